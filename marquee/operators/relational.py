@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.columns import genre_tokens
 
@@ -90,7 +91,7 @@ def dense_index(df: DataFrame, c: str, name: str = "idx", distinct: bool = True)
     Range-partitioned sort + zipWithIndex: no single-partition window."""
     base = df.select(c).distinct() if distinct else df
     ordered = base.orderBy(c)
-    schema = ordered.schema.add(name, "bigint")
+    schema = ordered.schema.add(name, T.LongType(), False)
     rdd = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
     return df.sparkSession.createDataFrame(rdd, schema)
 
