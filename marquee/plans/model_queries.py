@@ -1,3 +1,449 @@
-"""Registered queries."""
+"""Registered clustering/model queries.
+
+Quality measures on the given labels, nearest-centroid assignment, genre donors and
+regression metrics of a deterministic baseline have DuckDB oracles. Model fits
+(KMeans, PCA, ALS, FM, bridge, fold-in) are checked by rows and invariants (tests).
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marquee.functions import columns as C
+from marquee.operators import clustering as Cl
+from marquee.operators import features as Fe
+from marquee.operators import models as M
+from marquee.operators import neighbours as N
+from marquee.operators import relational as Rel
+from marquee.operators import users as U
+from marquee.operators import vectors as Vec
+from marquee.plans.catalog import register
+from marquee.sources import fixtures as fx
+from marquee.sources import io as sio
+
+V = fx.with_views
+_HASH = "('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8))::BIGINT % 10"
+
+# long form + centroids of the given labels, and squared distances, in DuckDB
+_CENT = """l AS (SELECT id, cluster, unnest(range(len(vec))) AS pos, unnest(vec) AS x FROM item_vectors),
+cp AS (SELECT cluster, pos, avg(x) AS m FROM l GROUP BY cluster, pos),
+cen AS (SELECT cluster, list(m ORDER BY pos) AS c FROM cp GROUP BY cluster),
+sz AS (SELECT cluster, count(*) AS n FROM item_vectors GROUP BY cluster)"""
+_SQ = "list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(list_zip({a}, {b}), lambda t: (t[1] - t[2]) * (t[1] - t[2]))), lambda x, y: x + y)"
+
+
+def _items(spark, sf_dir):
+    return fx.item_vectors(spark, sf_dir)
+
+
+# ------------------------------------------------------- quality (given labels)
+@register(
+    "assign_centroid",
+    f"""{V('item_vectors')}, {_CENT},
+d AS (SELECT v.id, c.cluster AS assigned, {_SQ.format(a='v.vec', b='c.c')} AS sq FROM item_vectors v CROSS JOIN cen c),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sq, assigned) AS rn FROM d) WHERE rn = 1)
+SELECT id, assigned, round(sq, 6) AS sq_distance FROM b""",
+)
+def assign_centroid(spark, sf_dir):
+    """Every vector to its nearest centroid (centroids: means of the given labels, broadcast)."""
+    iv = _items(spark, sf_dir)
+    out = Cl.assign_centroid(iv, Cl.centroids(iv))
+    return out.select("id", "assigned", F.round("sq_distance", 6).alias("sq_distance"))
+
+
+@register(
+    "inertia",
+    f"""{V('item_vectors')}, {_CENT}
+SELECT round(sum({_SQ.format(a='v.vec', b='c.c')}), 6) AS inertia FROM item_vectors v JOIN cen c ON v.cluster = c.cluster""",
+)
+def inertia(spark, sf_dir):
+    """A18."""
+    return Cl.inertia(_items(spark, sf_dir))
+
+
+@register(
+    "davies_bouldin",
+    f"""{V('item_vectors')}, {_CENT},
+s AS (SELECT v.cluster, avg(sqrt({_SQ.format(a='v.vec', b='c.c')})) AS s FROM item_vectors v JOIN cen c ON v.cluster = c.cluster GROUP BY v.cluster),
+cs AS (SELECT cen.cluster, cen.c, s.s FROM cen JOIN s ON cen.cluster = s.cluster),
+r AS (SELECT a.cluster, max((a.s + b.s) / sqrt({_SQ.format(a='a.c', b='b.c')})) AS m FROM cs a JOIN cs b ON a.cluster <> b.cluster GROUP BY a.cluster)
+SELECT round(avg(m), 6) AS davies_bouldin FROM r""",
+)
+def davies_bouldin(spark, sf_dir):
+    """A19."""
+    return Cl.davies_bouldin(_items(spark, sf_dir))
+
+
+@register(
+    "calinski_harabasz",
+    f"""{V('item_vectors')}, {_CENT},
+g AS (SELECT list(m ORDER BY pos) AS g FROM (SELECT pos, avg(x) AS m FROM l GROUP BY pos)),
+w AS (SELECT sum({_SQ.format(a='v.vec', b='c.c')}) AS W, count(*) AS n FROM item_vectors v JOIN cen c ON v.cluster = c.cluster),
+b AS (SELECT sum(sz.n * {_SQ.format(a='cen.c', b='g.g')}) AS B, count(*) AS k FROM cen JOIN sz ON cen.cluster = sz.cluster, g)
+SELECT round((B / (k - 1)) / (W / (n - k)), 6) AS calinski_harabasz FROM w, b""",
+)
+def calinski_harabasz(spark, sf_dir):
+    """A20."""
+    return Cl.calinski_harabasz(_items(spark, sf_dir))
+
+
+@register(
+    "silhouette_sample",
+    f"""{V('item_vectors')},
+smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 300),
+d AS (SELECT a.id AS i, a.cluster AS li, b.cluster AS lj, sqrt({_SQ.format(a='a.vec', b='b.vec')}) AS d FROM smp a JOIN smp b ON a.id <> b.id),
+per AS (SELECT i, li, lj, avg(d) AS md FROM d GROUP BY i, li, lj),
+ab AS (SELECT i, max(CASE WHEN li = lj THEN md END) AS a, min(CASE WHEN li <> lj THEN md END) AS b FROM per GROUP BY i),
+sc AS (SELECT CASE WHEN a IS NULL OR b IS NULL THEN CAST(0 AS DOUBLE) ELSE (b - a) / greatest(a, b) END AS s FROM ab)
+SELECT round(sum(s) / (SELECT count(*) FROM smp), 6) AS silhouette FROM sc""",
+)
+def silhouette_sample(spark, sf_dir):
+    """Exact Euclidean silhouette on a 300-row hash sample."""
+    return Cl.silhouette_sample(_items(spark, sf_dir), 300)
+
+
+def _folded_metrics(spark, sf_dir, ks=range(2, 11)):
+    """Candidate segmentations: the given labels folded into k groups (label % k), one metric row per k."""
+    iv = _items(spark, sf_dir)
+    out = None
+    for k in ks:
+        lab = iv.withColumn("cluster", F.col("cluster") % k)
+        row = (Cl.inertia(lab).crossJoin(Cl.davies_bouldin(lab)).crossJoin(Cl.calinski_harabasz(lab))
+               .crossJoin(Cl.silhouette_sample(lab, 300)).select(F.lit(k).alias("k"), "silhouette",
+                                                                   "calinski_harabasz", "davies_bouldin", "inertia"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _folded_sql() -> str:
+    parts = []
+    for k in range(2, 11):
+        parts.append(f"""SELECT {k} AS k,
+ (SELECT round(sum(s) / 300, 6) FROM (SELECT CASE WHEN a IS NULL OR b IS NULL THEN CAST(0 AS DOUBLE) ELSE (b - a) / greatest(a, b) END AS s
+   FROM (SELECT i, max(CASE WHEN li = lj THEN md END) AS a, min(CASE WHEN li <> lj THEN md END) AS b
+         FROM (SELECT i, li, lj, avg(d) AS md FROM (SELECT a.id AS i, a.cluster % {k} AS li, b.cluster % {k} AS lj, sqrt({_SQ.format(a='a.vec', b='b.vec')}) AS d
+               FROM smp a JOIN smp b ON a.id <> b.id) GROUP BY i, li, lj) GROUP BY i))) AS silhouette,
+ (SELECT round((B / (kk - 1)) / (W / (n - kk)), 6) FROM
+    (SELECT sum({_SQ.format(a='v.vec', b='c.c')}) AS W, count(*) AS n FROM fv{k} v JOIN fc{k} c ON v.cluster = c.cluster),
+    (SELECT sum(c.n * {_SQ.format(a='c.c', b='g.g')}) AS B, count(*) AS kk FROM fc{k} c, g)) AS calinski_harabasz,
+ (SELECT round(avg(m), 6) FROM (SELECT a.cluster, max((a.s + b.s) / sqrt({_SQ.format(a='a.c', b='b.c')})) AS m
+    FROM fs{k} a JOIN fs{k} b ON a.cluster <> b.cluster GROUP BY a.cluster)) AS davies_bouldin,
+ (SELECT round(sum({_SQ.format(a='v.vec', b='c.c')}), 6) FROM fv{k} v JOIN fc{k} c ON v.cluster = c.cluster) AS inertia""")
+    ctes = []
+    for k in range(2, 11):
+        ctes.append(f"""fv{k} AS (SELECT id, vec, cluster % {k} AS cluster FROM item_vectors),
+fl{k} AS (SELECT cluster, unnest(range(len(vec))) AS pos, unnest(vec) AS x FROM fv{k}),
+fc{k} AS (SELECT c.cluster, c.c, n.n FROM (SELECT cluster, list(m ORDER BY pos) AS c FROM (SELECT cluster, pos, avg(x) AS m FROM fl{k} GROUP BY cluster, pos) GROUP BY cluster) c
+          JOIN (SELECT cluster, count(*) AS n FROM fv{k} GROUP BY cluster) n ON c.cluster = n.cluster),
+fs{k} AS (SELECT c.cluster, c.c, s.s FROM fc{k} c JOIN (SELECT v.cluster, avg(sqrt({_SQ.format(a='v.vec', b='c.c')})) AS s
+          FROM fv{k} v JOIN fc{k} c ON v.cluster = c.cluster GROUP BY v.cluster) s ON c.cluster = s.cluster)""")
+    return (f"""{V('item_vectors')},
+smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 300),
+g AS (SELECT list(m ORDER BY pos) AS g FROM (SELECT pos, avg(x) AS m FROM (SELECT unnest(range(len(vec))) AS pos, unnest(vec) AS x FROM item_vectors) GROUP BY pos)),
+""" + ",\n".join(ctes) + ",\nmt AS (" + "\nUNION ALL\n".join(parts) + ")")
+
+
+_RANK_SQL = """rk AS (SELECT *,
+  (rank() OVER (ORDER BY silhouette DESC) + (count(*) OVER (PARTITION BY silhouette) - 1) / 2.0) AS r_sil,
+  (rank() OVER (ORDER BY calinski_harabasz DESC) + (count(*) OVER (PARTITION BY calinski_harabasz) - 1) / 2.0) AS r_ch,
+  (rank() OVER (ORDER BY davies_bouldin) + (count(*) OVER (PARTITION BY davies_bouldin) - 1) / 2.0) AS r_db,
+  (rank() OVER (ORDER BY inertia) + (count(*) OVER (PARTITION BY inertia) - 1) / 2.0) AS r_in FROM mt)"""
+
+
+@register(
+    "k_rank_vote",
+    _folded_sql() + ",\n" + _RANK_SQL + """
+SELECT k, silhouette, calinski_harabasz, davies_bouldin, inertia,
+  CAST(r_sil AS DOUBLE) AS r_sil, CAST(r_ch AS DOUBLE) AS r_ch, CAST(r_db AS DOUBLE) AS r_db, CAST(r_in AS DOUBLE) AS r_in,
+  CAST(r_sil + r_ch + r_db + r_in AS DOUBLE) AS rank_total FROM rk""",
+)
+def k_rank_vote(spark, sf_dir):
+    """Average ranks per quality measure over candidate k, and their total."""
+    out = Cl.k_rank_vote(_folded_metrics(spark, sf_dir))
+    return out.select("k", "silhouette", "calinski_harabasz", "davies_bouldin", "inertia",
+                      *[F.col(c).cast("double").alias(c) for c in ("r_sil", "r_ch", "r_db", "r_in", "rank_total")])
+
+
+@register(
+    "best_k",
+    _folded_sql() + "\nSELECT k, silhouette FROM mt ORDER BY silhouette DESC, k LIMIT 1",
+)
+def best_k(spark, sf_dir):
+    """K with the highest silhouette."""
+    return Cl.best_k(_folded_metrics(spark, sf_dir), "silhouette", True)
+
+
+# ---------------------------------------------------------------- baselines
+_PRED_SQL = """pop AS (SELECT movieId, avg(rating) AS prediction FROM ratings GROUP BY movieId),
+pr AS (SELECT r.rating, p.prediction FROM ratings r JOIN pop p ON r.movieId = p.movieId),
+mu AS (SELECT avg(rating) AS mu FROM pr)"""
+
+
+@register(
+    "regression_metrics",
+    f"""{V('ratings')}, {_PRED_SQL}
+SELECT round(sqrt(sum((rating - prediction) * (rating - prediction)) / count(*)), 6) AS rmse,
+       round(sum((rating - prediction) * (rating - prediction)) / count(*), 6) AS mse,
+       round(avg(abs(rating - prediction)), 6) AS mae,
+       round(1 - sum((rating - prediction) * (rating - prediction)) / sum((rating - mu) * (rating - mu)), 6) AS r2
+FROM pr, mu""",
+)
+def regression_metrics(spark, sf_dir):
+    """A15 on the item-mean baseline predictor (the bar every rating model must beat)."""
+    r = fx.ratings(spark, sf_dir)
+    pred = r.join(Rel.popularity(r, mean_name="prediction"), "movieId")
+    return M.regression_metrics(pred)
+
+
+@register(
+    "metrics_json_roundtrip",
+    f"""{V('ratings')}, {_PRED_SQL}
+SELECT round(sqrt(sum((rating - prediction) * (rating - prediction)) / count(*)), 6) AS rmse,
+       round(sum((rating - prediction) * (rating - prediction)) / count(*), 6) AS mse,
+       round(avg(abs(rating - prediction)), 6) AS mae,
+       round(1 - sum((rating - prediction) * (rating - prediction)) / sum((rating - mu) * (rating - mu)), 6) AS r2
+FROM pr, mu""",
+)
+def metrics_json_roundtrip(spark, sf_dir):
+    """A metric table written as JSON to the shared folder and read back with its schema."""
+    m = regression_metrics(spark, sf_dir)
+    path = sio.write_metrics_json(m, "metrics")
+    return spark.read.schema(m.schema).json(path)
+
+
+@register(
+    "masked_mse",
+    f"""{V('ratings')},
+im AS (SELECT userId, movieId, sum(rating) AS value FROM ratings GROUP BY userId, movieId),
+rc AS (SELECT movieId, avg(value) AS reconstruction FROM im GROUP BY movieId)
+SELECT round(avg((im.value - rc.reconstruction) * (im.value - rc.reconstruction)), 6) AS masked_mse
+FROM im JOIN rc ON im.movieId = rc.movieId WHERE im.value <> 0""",
+)
+def masked_mse(spark, sf_dir):
+    """Error on observed cells only (reconstruction = item mean of the summed matrix)."""
+    im = Rel.interaction_matrix(fx.ratings(spark, sf_dir)).withColumnRenamed("rating", "value")
+    rc = im.groupBy("movieId").agg(F.avg("value").alias("reconstruction"))
+    return M.masked_mse(im, rc, ["movieId"])
+
+
+@register(
+    "closest_by_genres",
+    f"""{V('movies', 'item_vectors')},
+rq AS (SELECT movieId AS request_id, list_distinct(string_split(genres, '|')) AS g FROM movies WHERE movieId NOT IN (SELECT id FROM item_vectors)),
+dn AS (SELECT movieId, list_distinct(string_split(genres, '|')) AS g FROM movies WHERE movieId IN (SELECT id FROM item_vectors)),
+ov AS (SELECT rq.request_id, dn.movieId, len(list_intersect(rq.g, dn.g)) AS overlap FROM rq CROSS JOIN dn),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY overlap DESC, movieId) AS rn FROM ov WHERE overlap >= 1) WHERE rn = 1)
+SELECT request_id, movieId AS donor_id, CAST(overlap AS INTEGER) AS overlap FROM b""",
+)
+def closest_by_genres(spark, sf_dir):
+    """Every catalogue item without a content vector gets the vector-bearing item that shares
+    the most genres (ties: smallest id) - the donor used to place new items."""
+    mv = fx.movies(spark, sf_dir)
+    iv = _items(spark, sf_dir)
+    req = mv.join(iv.select(F.col("id").alias("movieId")), "movieId", "left_anti").select(
+        F.col("movieId").alias("request_id"), C.genre_tokens("genres").alias("genres"))
+    return M.closest_by_genres(req, mv, iv)
+
+
+# --------------------------------------------------------------- model fits (INV)
+@register("kmeans_items")
+def kmeans_items(spark, sf_dir):
+    """M5: KMeans(k=10, seed=42) on item content vectors -> (id, cluster)."""
+    _, assigned = Cl.kmeans_fit(_items(spark, sf_dir), 10, 42)
+    return assigned
+
+
+@register("k_sweep")
+def k_sweep(spark, sf_dir):
+    """KMeans for k = 2..6 with silhouette / CH / DB / inertia per k."""
+    return Cl.k_sweep(_items(spark, sf_dir).select("id", "vec"), range(2, 7))
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """A fitted KMeans model saved to the shared folder, loaded, and applied."""
+    from pyspark.ml.clustering import KMeansModel
+    from pyspark.ml.functions import array_to_vector
+
+    iv = _items(spark, sf_dir)
+    model, _ = Cl.kmeans_fit(iv, 10, 42)
+    path = sio.save_model(model, "kmeans", spark)
+    loaded = KMeansModel.load(path)
+    return loaded.transform(iv.select("id", array_to_vector("vec").alias("features"))).select("id", "cluster")
+
+
+def _content_raw(spark, sf_dir):
+    cm = Fe.content_matrix(fx.genome_scores(spark, sf_dir), fx.genome_tags(spark, sf_dir), None, False)
+    return sio.long_to_dense(cm, "movieId", "tagId", "value", "vec").withColumnRenamed("movieId", "id")
+
+
+@register("encode_items")
+def encode_items(spark, sf_dir):
+    """M6 (re-aimed): PCA(k=16) of the min-max scaled tag vectors -> item encodings."""
+    x = _content_raw(spark, sf_dir)
+    return M.pca_encode(M.pca_fit(x, 16), x)
+
+
+@register("reconstruction_mse")
+def reconstruction_mse(spark, sf_dir):
+    """M6: mean squared reconstruction error of the PCA encoding."""
+    x = _content_raw(spark, sf_dir)
+    return M.pca_reconstruction_mse(M.pca_fit(x, 16), x)
+
+
+@register("encode_user_segments")
+def encode_user_segments(spark, sf_dir):
+    """M7b (re-aimed): PCA(k=8) of the standardized user segment matrix."""
+    usm = Fe.user_segment_matrix(fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir), fx.item_clusters(spark, sf_dir))
+    x = usm.select(F.col("userId").alias("id"), F.concat("genre_share", "cluster_rating",
+                                                          F.array(F.col("positive_count").cast("double"))).alias("vec"))
+    x = Vec.standard_scale(x, "vec", "scaled").select("id", F.col("scaled").alias("vec"))
+    return M.pca_encode(M.pca_fit(x, 8), x)
+
+
+@register("encode_users")
+def encode_users(spark, sf_dir):
+    """M7 (re-aimed): explicit ALS(rank=16) user factors as user encodings."""
+    return M.factors(M.als_fit(fx.ratings(spark, sf_dir), rank=16, reg=0.1, max_iter=10), "user")
+
+
+@register("als_item_factors")
+def als_item_factors(spark, sf_dir):
+    """M8: implicit ALS, 64 factors, reg 0.1, 15 iterations, alpha 1 -> item factors."""
+    return M.factors(M.als_fit(fx.ratings(spark, sf_dir), rank=64, reg=0.1, max_iter=15, implicit=True), "item")
+
+
+def _bridge(spark, sf_dir, rank=16):
+    iv = _items(spark, sf_dir).select("id", "vec")
+    f = M.factors(M.als_fit(fx.ratings(spark, sf_dir), rank=rank, reg=0.1, max_iter=10, implicit=True), "item")
+    beta = M.bridge_fit(iv, f)
+    return iv, f, beta
+
+
+@register("bridge_scores")
+def bridge_scores(spark, sf_dir):
+    """M9 (re-aimed): one least-squares bridge content -> ALS factors; r2 / MAE / std per factor."""
+    iv, f, beta = _bridge(spark, sf_dir)
+    return M.bridge_scores(iv, f, beta)
+
+
+@register("weak_dims")
+def weak_dims(spark, sf_dir):
+    """Mean bridge scores and the factors with r2 < 0.1."""
+    iv, f, beta = _bridge(spark, sf_dir)
+    return M.weak_dims(M.bridge_scores(iv, f, beta))
+
+
+def _split_ratings(spark, sf_dir):
+    r = fx.ratings(spark, sf_dir)
+    b = C.hash_bucket(F.concat_ws(":", F.col("userId").cast("string"), F.col("movieId").cast("string")))
+    return r.where(b >= 1), r.where(b < 1)
+
+
+@register("rating_als")
+def rating_als(spark, sf_dir):
+    """M10b (re-aimed): explicit ALS on a 90/10 keyed split; test RMSE / MAE / r2."""
+    train, test = _split_ratings(spark, sf_dir)
+    model = M.als_fit(train, rank=16, reg=0.1, max_iter=10)
+    pred = model.transform(test.select(F.col("userId").cast("int").alias("_u"), F.col("movieId").cast("int").alias("_i"),
+                                       "rating"))
+    return M.regression_metrics(pred)
+
+
+@register("rating_regressor")
+def rating_regressor(spark, sf_dir):
+    """M10 (re-aimed): FM regressor on [user vector || item vector] with a 90/10 keyed split."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import FMRegressor
+
+    uv = fx.user_vectors(spark, sf_dir).select(F.col("id").alias("userId"), F.col("vec").alias("u"))
+    iv = _items(spark, sf_dir).select(F.col("id").alias("movieId"), F.col("vec").alias("i"))
+    train, test = _split_ratings(spark, sf_dir)
+
+    def feats(df):
+        return df.join(uv, "userId").join(iv, "movieId").select(
+            "rating", array_to_vector(F.concat("u", "i")).alias("features"))
+
+    model = FMRegressor(factorSize=8, maxIter=50, stepSize=0.05, seed=42, labelCol="rating").fit(feats(train))
+    return M.regression_metrics(model.transform(feats(test)))
+
+
+@register("predicted_topk")
+def predicted_topk(spark, sf_dir):
+    """Top 50 items by predicted rating for users 1, 10, 100 (ALS recommendForUserSubset)."""
+    model = M.als_fit(fx.ratings(spark, sf_dir), rank=16, reg=0.1, max_iter=10)
+    users = fx.seed_requests(spark).select(F.col("movieId").cast("int").alias("_u"))
+    recs = model.recommendForUserSubset(users, 50)
+    x = recs.select(F.col("_u").cast("bigint").alias("userId"), F.posexplode("recommendations").alias("p", "r"))
+    return x.select("userId", F.col("r._i").cast("bigint").alias("movieId"),
+                    F.col("r.rating").cast("double").alias("predicted_rating"), (F.col("p") + 1).alias("rank"))
+
+
+def _new_users(spark, sf_dir):
+    """New users: the rating histories of users 1, 10, 100 re-keyed as fresh ids max + 1, ..."""
+    r = fx.ratings(spark, sf_dir)
+    seeds = fx.seed_requests(spark).select(F.col("movieId").alias("userId"))
+    base = Rel.next_id(r, "userId", "_base")
+    new = seeds.crossJoin(base).select("userId", (F.col("_base") + F.col("userId")).alias("new_id"))
+    return r.join(new, "userId").select(F.col("new_id").alias("userId"), "movieId", "rating")
+
+
+@register("fold_in_users")
+def fold_in_users(spark, sf_dir):
+    """Vectors for new users from their ratings against fixed ALS item factors."""
+    f = M.factors(M.als_fit(fx.ratings(spark, sf_dir), rank=16, reg=0.1, max_iter=10), "item")
+    return M.fold_in_users(_new_users(spark, sf_dir), f, 0.1)
+
+
+@register("new_user_recs")
+def new_user_recs(spark, sf_dir):
+    """New users -> fold-in -> nearest segment centroid -> banded peers -> co-rating ensemble."""
+    r = fx.ratings(spark, sf_dir)
+    model = M.als_fit(r, rank=16, reg=0.1, max_iter=10)
+    users = M.factors(model, "user").join(fx.user_clusters(spark, sf_dir).select(F.col("user_id").alias("id"), "cluster"), "id")
+    new = M.fold_in_users(_new_users(spark, sf_dir), M.factors(model, "item"), 0.1)
+    placed = Cl.assign_centroid(new, Cl.centroids(users)).select("id", F.col("assigned").alias("cluster"))
+    new_v = new.join(placed, "id")
+    space = users.unionByName(new_v.select("id", "vec", "cluster"))
+    req = new_v.select(F.col("id").alias("request_id"), F.col("id").alias("user_id"))
+    all_r = r.select("userId", "movieId", "rating").unionByName(_new_users(spark, sf_dir))
+    return U.user_ensemble(req, space, all_r, fx.movies(spark, sf_dir))
+
+
+@register("add_items")
+def add_items(spark, sf_dir):
+    """Items without a content vector: genre donor (W7) -> donor vector -> bridge-predicted
+    factors -> hybrid vector -> nearest hybrid centroid; appended to the keyed vector set (U1)."""
+    mv = fx.movies(spark, sf_dir)
+    iv = _items(spark, sf_dir)
+    iv2, f, beta = _bridge(spark, sf_dir)
+    req = mv.join(iv.select(F.col("id").alias("movieId")), "movieId", "left_anti").select(
+        F.col("movieId").alias("request_id"), C.genre_tokens("genres").alias("genres"))
+    donors = M.closest_by_genres(req, mv, iv)
+    new_vec = donors.join(iv.select(F.col("id").alias("donor_id"), "vec"), "donor_id").select(
+        F.col("request_id").alias("id"), "donor_id", "vec")
+    hyb_new = M.bridge_predict(new_vec, beta).select("id", "donor_id", F.concat("vec", "pred").alias("vec"))
+    hyb_old = M.bridge_predict(iv.select("id", "vec", "cluster"), beta).select(
+        "id", "cluster", F.concat("vec", "pred").alias("vec"))
+    placed = Cl.assign_centroid(hyb_new, Cl.centroids(hyb_old))
+    out = hyb_new.join(placed, "id").select("id", "donor_id", F.col("assigned").alias("cluster"))
+    return out.unionByName(hyb_old.select("id", F.lit(None).cast("bigint").alias("donor_id"), "cluster"))
+
+
+@register("new_item_recs")
+def new_item_recs(spark, sf_dir):
+    """Recommendations for newly placed items: cluster mates by cosine, no genre gate, seed excluded."""
+    placed = add_items(spark, sf_dir)
+    iv = _items(spark, sf_dir)
+    new = placed.where(F.col("donor_id").isNotNull())
+    vecs = iv.select("id", "vec", "cluster").unionByName(
+        new.join(iv.select(F.col("id").alias("donor_id"), "vec"), "donor_id").select("id", "vec", "cluster"))
+    req = new.select(F.col("id").alias("request_id"), F.col("id").alias("movieId"))
+    return N.content_neighbours(req, vecs, fx.movies(spark, sf_dir), top_n=50, gate=False, exclude_seeds=True)
+
+
+@register("knn_lsh")
+def knn_lsh(spark, sf_dir):
+    """M11 at scale: approximate cosine neighbours (similarity >= 0.3) via random-projection LSH."""
+    iv = _items(spark, sf_dir).select("id", "vec")
+    return N.knn_lsh(iv, iv, 0.3)
