@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import cosine, genre_tokens, norm, rank_weight, similarity_level
+from marquee.functions.columns import cosine, genre_tokens, norm, rank_weight, similarity_level, vector_dim
 from marquee.operators.relational import top_k_per_group
 
 SCORE_DIGITS = 6
@@ -59,7 +59,7 @@ def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFram
     seeds = broadcast_if_small(seed_rows(requests, vectors, movies))
     cands = cluster_candidates(vectors, movies)
     pairs = seeds.join(cands, "cluster").where(F.col("seed_id") != F.col("movie_id"))
-    sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"))
+    sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"), vector_dim(vectors))
     if gate:
         sim = F.when(F.arrays_overlap("s_tokens", "c_tokens"), sim).otherwise(F.lit(0.0))
     return pairs.select("request_id", "seed_id", "movie_id", "title", "genres", "cluster", sim.alias("similarity"))
@@ -113,7 +113,8 @@ def knn_scan(requests: DataFrame, req_vectors: DataFrame, candidates: DataFrame,
     if exclude_self:
         pairs = pairs.where(F.col("query_id") != F.col("candidate_id"))
     scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm")), SCORE_DIGITS).alias("similarity"))
+                          F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm"), vector_dim(candidates)),
+                                  SCORE_DIGITS).alias("similarity"))
     return top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], k)
 
 
@@ -134,7 +135,7 @@ def nearest_in_cluster(requests: DataFrame, train: DataFrame, test: DataFrame) -
     c = test.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), "cluster")
     pairs = q.join(c, "cluster").where(F.col("query_id") != F.col("candidate_id"))
     scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec"), SCORE_DIGITS).alias("similarity"))
+                          F.round(cosine("q_vec", "c_vec", dim=vector_dim(test)), SCORE_DIGITS).alias("similarity"))
     best = top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], 1)
     return q.select("request_id", "query_id").join(best.drop("rank"), ["request_id", "query_id"], "left")
 

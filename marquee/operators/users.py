@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
+from marquee.functions.columns import cosine, norm, shrunk_rating, vector_dim, weighted_rating
 from marquee.operators.neighbours import broadcast_if_small
 from marquee.operators.relational import interaction_matrix, popularity, top_k_per_group, with_scalars
 
@@ -46,11 +46,13 @@ def similarity_bands(df: DataFrame, sim: str = "similarity") -> DataFrame:
 def peer_candidates(requests: DataFrame, user_vectors: DataFrame) -> DataFrame:
     """Cluster members of each requested user with cosine similarity, self excluded."""
     q = requests.select("request_id", "user_id").join(
-        user_vectors.select(F.col("id").alias("user_id"), F.col("vec").alias("q_vec"), "cluster"), "user_id")
+        user_vectors.select(F.col("id").alias("user_id"), F.col("vec").alias("q_vec"), norm("vec").alias("q_nrm"),
+                            "cluster"), "user_id")
     q = broadcast_if_small(q)
-    c = user_vectors.select(F.col("id").alias("peer_id"), F.col("vec").alias("p_vec"), "cluster")
+    c = user_vectors.select(F.col("id").alias("peer_id"), F.col("vec").alias("p_vec"), norm("vec").alias("p_nrm"),
+                            "cluster")
     pairs = q.join(c, "cluster").where(F.col("user_id") != F.col("peer_id"))
-    sim = cosine("q_vec", "p_vec", norm("q_vec"), norm("p_vec"))
+    sim = cosine("q_vec", "p_vec", F.col("q_nrm"), F.col("p_nrm"), vector_dim(user_vectors))
     return pairs.select("request_id", "user_id", "peer_id", sim.alias("similarity"))
 
 
