@@ -9,15 +9,20 @@ cluster's partitions (skew join).
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import cosine, genre_tokens, norm, rank_weight, similarity_level, vector_dim
+from marquee.functions.columns import cosine, genre_tokens, norm, rank_weight, similarity_level
 from marquee.operators.relational import top_k_per_group
 
 SCORE_DIGITS = 6
 # Broadcast a request-side frame (rows carry a vector) only below this many rows.
 MAX_BROADCAST_ROWS = 100_000
+# Seeds / candidates per block of the cluster-block kernel (a block holds at most
+# BLOCK_ROWS x BLOCK_ROWS similarities, ~8 MB).
+BLOCK_ROWS = 1024
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -59,7 +64,7 @@ def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFram
     seeds = broadcast_if_small(seed_rows(requests, vectors, movies))
     cands = cluster_candidates(vectors, movies)
     pairs = seeds.join(cands, "cluster").where(F.col("seed_id") != F.col("movie_id"))
-    sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"), vector_dim(vectors))
+    sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"))
     if gate:
         sim = F.when(F.arrays_overlap("s_tokens", "c_tokens"), sim).otherwise(F.lit(0.0))
     return pairs.select("request_id", "seed_id", "movie_id", "title", "genres", "cluster", sim.alias("similarity"))
@@ -72,22 +77,90 @@ def rank_and_weight(scored: DataFrame, score: str, top_n: int, key: str = "movie
     return top.withColumn("_n", n).withColumn("weight", rank_weight("rank", "_n")).drop("_n")
 
 
+def _block_kernel(gate: bool):
+    """Cosine sums for one (cluster, seed block, candidate block): BLAS matmul, genre gate
+    from multi-hot token matrices, self pairs masked, then summed per request."""
+
+    def run(_key, sp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
+        if sp.empty or cp.empty:
+            return pd.DataFrame({"request_id": pd.Series([], dtype="int64"),
+                                 "movie_id": pd.Series([], dtype="int64"), "sim_sum": pd.Series([], dtype="float64")})
+        S = np.stack(sp["s_vec"].to_numpy())
+        Cm = np.stack(cp["c_vec"].to_numpy())
+        den = np.outer(sp["s_nrm"].to_numpy(), cp["c_nrm"].to_numpy())
+        sims = np.where(den == 0, 0.0, (S @ Cm.T) / np.where(den == 0, 1.0, den))
+        valid = sp["seed_id"].to_numpy()[:, None] != cp["movie_id"].to_numpy()[None, :]
+        keep = valid
+        if gate:
+            vocab: dict[str, int] = {}
+            s_tok = [[vocab.setdefault(t, len(vocab)) for t in ts] for ts in sp["s_tokens"]]
+            c_tok = [[vocab.setdefault(t, len(vocab)) for t in ts] for ts in cp["c_tokens"]]
+            gs = np.zeros((len(s_tok), max(len(vocab), 1)))
+            gc = np.zeros((len(c_tok), max(len(vocab), 1)))
+            for i, ts in enumerate(s_tok):
+                gs[i, ts] = 1.0
+            for i, ts in enumerate(c_tok):
+                gc[i, ts] = 1.0
+            keep = valid & ((gs @ gc.T) > 0)
+        sims = np.where(keep, sims, 0.0)
+        codes, reqs = pd.factorize(sp["request_id"])
+        onehot = np.zeros((len(reqs), len(sp)))
+        onehot[codes, np.arange(len(sp))] = 1.0
+        sums = onehot @ sims
+        hits = onehot @ valid.astype(float)
+        r, c = np.nonzero(hits > 0)
+        return pd.DataFrame({"request_id": np.asarray(reqs)[r].astype("int64"),
+                             "movie_id": cp["movie_id"].to_numpy()[c].astype("int64"), "sim_sum": sums[r, c]})
+
+    return run
+
+
+def cluster_similarity_sums(seeds: DataFrame, cands: DataFrame, gate: bool = True,
+                            block: int = BLOCK_ROWS) -> DataFrame:
+    """Per (request, candidate): sum over the request's seeds in the candidate's cluster of the
+    (gated) cosine, seed itself excluded. Rows exist where some other seed shares the cluster.
+
+    Each cluster is cut into a grid of (seed block x candidate block) cells by hashing, so a hot
+    cluster becomes many bounded cells; seeds are replicated once per candidate block and
+    candidates once per seed block. A cell is a cogrouped pandas call doing one BLAS matmul and
+    emitting sums already aggregated per request (pre-aggregation before the shuffle)."""
+    ns = seeds.groupBy(F.col("cluster").alias("_g")).agg(F.count(F.lit(1)).alias("_ns"))
+    nc = cands.groupBy(F.col("cluster").alias("_g")).agg(F.count(F.lit(1)).alias("_nc"))
+    grid = ns.join(nc, "_g").select(  # one row per cluster: bounded by the number of clusters
+        "_g", F.ceil(F.col("_ns") / block).cast("int").alias("_sb"), F.ceil(F.col("_nc") / block).cast("int").alias("_cb"))
+    key = ["cluster", "s_block", "c_block"]
+    grid = grid.withColumnRenamed("_g", "cluster")
+    s = seeds.join(F.broadcast(grid), "cluster").select(
+        F.col("cluster").alias("cluster"), "request_id", "seed_id", "s_vec", "s_nrm", "s_tokens",
+        F.pmod(F.xxhash64("request_id", "seed_id"), F.col("_sb")).cast("int").alias("s_block"),
+        F.explode(F.sequence(F.lit(0), F.col("_cb") - 1)).alias("c_block"))
+    c = cands.join(F.broadcast(grid), "cluster").select(
+        F.col("cluster").alias("cluster"), "movie_id", "c_vec", "c_nrm", "c_tokens",
+        F.pmod(F.xxhash64("movie_id"), F.col("_cb")).cast("int").alias("c_block"),
+        F.explode(F.sequence(F.lit(0), F.col("_sb") - 1)).alias("s_block"))
+    return s.groupBy(*key).cogroup(c.groupBy(*key)).applyInPandas(
+        _block_kernel(gate), "request_id bigint, movie_id bigint, sim_sum double")
+
+
 def content_neighbours(requests: DataFrame, vectors: DataFrame, movies: DataFrame, *, top_n: int = 50,
                        gate: bool = True, exclude_seeds: bool = False, blocked: DataFrame | None = None) -> DataFrame:
     """Sum of similarities over a request's seeds, per candidate, then top-n with weights.
 
     gate: genre gate (R2-R5); exclude_seeds: drop the request's own seeds (R5, R6);
     blocked: movieIds removed before the cut (R3, R5)."""
-    pairs = same_cluster_pairs(requests, vectors, movies, gate)
-    agg = pairs.groupBy("request_id", "movie_id", "title", "genres").agg(
-        F.round(F.sum("similarity"), SCORE_DIGITS).alias("similarity_score"))
+    seeds = seed_rows(requests, vectors, movies)
+    cands = cluster_candidates(vectors, movies)
+    sums = cluster_similarity_sums(seeds, cands, gate)
+    agg = sums.groupBy("request_id", "movie_id").agg(F.round(F.sum("sim_sum"), SCORE_DIGITS).alias("similarity_score"))
     if blocked is not None:
         agg = agg.join(blocked.select(F.col("movieId").alias("movie_id")), "movie_id", "left_anti")
     if exclude_seeds:
         own = requests.select("request_id", F.col("movieId").alias("movie_id"))
         agg = agg.join(own, ["request_id", "movie_id"], "left_anti")
     out = rank_and_weight(agg, "similarity_score", top_n)
-    return out.select("request_id", "movie_id", "title", "genres", "similarity_score", "weight", "rank")
+    names = catalogue(movies).select(F.col("movieId").alias("movie_id"), "title", "genres")
+    return out.join(names, "movie_id").select(
+        "request_id", "movie_id", "title", "genres", "similarity_score", "weight", "rank")
 
 
 def seed_info(requests: DataFrame, movies: DataFrame) -> DataFrame:
@@ -113,7 +186,7 @@ def knn_scan(requests: DataFrame, req_vectors: DataFrame, candidates: DataFrame,
     if exclude_self:
         pairs = pairs.where(F.col("query_id") != F.col("candidate_id"))
     scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm"), vector_dim(candidates)),
+                          F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm")),
                                   SCORE_DIGITS).alias("similarity"))
     return top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], k)
 
@@ -135,7 +208,7 @@ def nearest_in_cluster(requests: DataFrame, train: DataFrame, test: DataFrame) -
     c = test.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), "cluster")
     pairs = q.join(c, "cluster").where(F.col("query_id") != F.col("candidate_id"))
     scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec", dim=vector_dim(test)), SCORE_DIGITS).alias("similarity"))
+                          F.round(cosine("q_vec", "c_vec"), SCORE_DIGITS).alias("similarity"))
     best = top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], 1)
     return q.select("request_id", "query_id").join(best.drop("rank"), ["request_id", "query_id"], "left")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import cosine, norm, shrunk_rating, vector_dim, weighted_rating
+from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
 from marquee.operators.neighbours import broadcast_if_small
 from marquee.operators.relational import interaction_matrix, popularity, top_k_per_group, with_scalars
 
@@ -52,7 +52,7 @@ def peer_candidates(requests: DataFrame, user_vectors: DataFrame) -> DataFrame:
     c = user_vectors.select(F.col("id").alias("peer_id"), F.col("vec").alias("p_vec"), norm("vec").alias("p_nrm"),
                             "cluster")
     pairs = q.join(c, "cluster").where(F.col("user_id") != F.col("peer_id"))
-    sim = cosine("q_vec", "p_vec", F.col("q_nrm"), F.col("p_nrm"), vector_dim(user_vectors))
+    sim = cosine("q_vec", "p_vec", F.col("q_nrm"), F.col("p_nrm"))
     return pairs.select("request_id", "user_id", "peer_id", sim.alias("similarity"))
 
 
