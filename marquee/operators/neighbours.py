@@ -23,6 +23,9 @@ MAX_BROADCAST_ROWS = 100_000
 # Seeds / candidates per block of the cluster-block kernel (a block holds at most
 # BLOCK_ROWS x BLOCK_ROWS similarities, ~8 MB).
 BLOCK_ROWS = 1024
+# Up to this many seeds the pairs are scored by built-in expressions on a broadcast seed
+# side (no Python worker start-up); beyond it the cluster-block kernel is used.
+SMALL_SEED_ROWS = 512
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -149,8 +152,11 @@ def content_neighbours(requests: DataFrame, vectors: DataFrame, movies: DataFram
     gate: genre gate (R2-R5); exclude_seeds: drop the request's own seeds (R5, R6);
     blocked: movieIds removed before the cut (R3, R5)."""
     seeds = seed_rows(requests, vectors, movies)
-    cands = cluster_candidates(vectors, movies)
-    sums = cluster_similarity_sums(seeds, cands, gate)
+    if seeds.limit(SMALL_SEED_ROWS + 1).count() <= SMALL_SEED_ROWS:
+        pairs = same_cluster_pairs(requests, vectors, movies, gate)
+        sums = pairs.select("request_id", "movie_id", F.col("similarity").alias("sim_sum"))
+    else:
+        sums = cluster_similarity_sums(seeds, cluster_candidates(vectors, movies), gate)
     agg = sums.groupBy("request_id", "movie_id").agg(F.round(F.sum("sim_sum"), SCORE_DIGITS).alias("similarity_score"))
     if blocked is not None:
         agg = agg.join(blocked.select(F.col("movieId").alias("movie_id")), "movie_id", "left_anti")

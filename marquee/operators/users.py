@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
 from marquee.operators.neighbours import broadcast_if_small
-from marquee.operators.relational import interaction_matrix, popularity, top_k_per_group, with_scalars
+from marquee.operators.relational import dense_index, interaction_matrix, popularity, top_k_per_group, with_scalars
 
 SCORE_DIGITS = 6
 
@@ -90,7 +90,7 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) ->
     """For each peer u, unrated items j scored by sum_v dot(u, v) * r_vj; top n (ties: id).
 
     Items no co-rater reached score 0; they fill the list in id order when fewer than n
-    items are reached (taken from the head of the item dictionary, sized by one scalar)."""
+    items are reached."""
     m = interaction_matrix(ratings)
     d = user_dot(peers, m)
     other = m.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
@@ -99,13 +99,15 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) ->
         F.col("userId").alias("peer_id"), "movieId")
     scored = scored.join(rated, ["peer_id", "movieId"], "left_anti")
 
-    # zero-score fill: the smallest ids of the item dictionary, enough to survive the exclusions
-    per_peer = rated.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_rated"))
-    reach = scored.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored"))
-    need = per_peer.join(reach, "peer_id", "left").agg(
-        F.max(F.col("n_rated") + F.coalesce("n_scored", F.lit(0))).alias("h")).first()["h"] or 0
-    head = m.select("movieId").distinct().orderBy("movieId").limit(int(need) + top_n)
-    fill = peers.select("peer_id").distinct().crossJoin(F.broadcast(head)).join(
+    # zero-score fill for peers that reach fewer than top_n unrated items: the smallest
+    # unreached ids, taken from the head of the item dictionary (per-peer slot count, no scalar)
+    items = dense_index(m.select("movieId"), "movieId", "idx")
+    per_peer = rated.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_rated")).join(
+        scored.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored")), "peer_id", "left").na.fill({"n_scored": 0})
+    short = per_peer.where(F.col("n_scored") < top_n).select(
+        "peer_id", F.explode(F.sequence(F.lit(0), (F.col("n_rated") + F.col("n_scored") + top_n - 1).cast("bigint")))
+        .alias("idx"))
+    fill = short.join(items, "idx").select("peer_id", "movieId").join(
         rated, ["peer_id", "movieId"], "left_anti").join(scored.select("peer_id", "movieId"), ["peer_id", "movieId"],
                                                          "left_anti").withColumn("score", F.lit(0.0))
     cand = scored.unionByName(fill)
