@@ -102,8 +102,10 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) ->
     # zero-score fill for peers that reach fewer than top_n unrated items: the smallest
     # unreached ids, taken from the head of the item dictionary (per-peer slot count, no scalar)
     items = dense_index(m.select("movieId"), "movieId", "idx")
-    per_peer = rated.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_rated")).join(
-        scored.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored")), "peer_id", "left").na.fill({"n_scored": 0})
+    per_peer = peers.select("peer_id").distinct().join(
+        rated.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_rated")), "peer_id", "left").join(
+        scored.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored")), "peer_id", "left").na.fill(
+        {"n_rated": 0, "n_scored": 0})
     short = per_peer.where(F.col("n_scored") < top_n).select(
         "peer_id", F.explode(F.sequence(F.lit(0), (F.col("n_rated") + F.col("n_scored") + top_n - 1).cast("bigint")))
         .alias("idx"))
