@@ -3,6 +3,7 @@ set operations and scalar functions (SURVEY §2.1-2.8), each with its DuckDB ora
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
@@ -564,3 +565,97 @@ def cluster_assignments_roundtrip(spark, sf_dir):
     """Cluster map written as CSV with an explicit schema and read back."""
     return sio.roundtrip_csv(fx.item_clusters(spark, sf_dir), "clusters", "movieId bigint, cluster int")
 
+
+
+# ------------------------------------------------------- segment building blocks
+_POS_SQL = "pos AS (SELECT userId, movieId, rating FROM ratings WHERE rating > 3.5)"
+
+
+@register(
+    "user_genre_counts",
+    f"""{V('ratings', 'movies')}, {_POS_SQL}
+SELECT p.userId, g.genre, count(*) AS n FROM pos p
+JOIN (SELECT movieId, unnest(string_split(genres, '|')) AS genre FROM movies) g ON p.movieId = g.movieId GROUP BY p.userId, g.genre""",
+)
+def user_genre_counts(spark, sf_dir):
+    """A4: positive ratings per (user, genre)."""
+    j = R.positive_with_genres(fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir), POSITIVE)
+    return j.groupBy("userId", "genre").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "user_genre_share",
+    f"""{V('ratings', 'movies')}, {_POS_SQL},
+gc AS (SELECT p.userId, g.genre, count(*) AS n FROM pos p
+       JOIN (SELECT movieId, unnest(string_split(genres, '|')) AS genre FROM movies) g ON p.movieId = g.movieId GROUP BY p.userId, g.genre)
+SELECT userId, genre, n / sum(n) OVER (PARTITION BY userId) AS share FROM gc""",
+)
+def user_genre_share(spark, sf_dir):
+    """A5: row-normalised genre shares (window sum per user)."""
+    c = user_genre_counts(spark, sf_dir)
+    return c.select("userId", "genre", (F.col("n") / F.sum("n").over(Window.partitionBy("userId"))).alias("share"))
+
+
+@register(
+    "user_cluster_mean",
+    f"""{V('ratings', 'item_clusters')}, {_POS_SQL}
+SELECT p.userId, c.cluster, avg(p.rating) AS mean_rating FROM pos p JOIN item_clusters c ON p.movieId = c.movieId GROUP BY p.userId, c.cluster""",
+)
+def user_cluster_mean(spark, sf_dir):
+    """Mean positive rating per (user, item cluster)."""
+    r = fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE)
+    return r.join(fx.item_clusters(spark, sf_dir), "movieId").groupBy("userId", "cluster").agg(
+        F.avg("rating").alias("mean_rating"))
+
+
+@register(
+    "user_density",
+    f"{V('ratings')}, {_POS_SQL} SELECT userId, count(*) AS positive_count FROM pos GROUP BY userId",
+)
+def user_density(spark, sf_dir):
+    """Positive ratings per user."""
+    return fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE).groupBy("userId").agg(
+        F.count(F.lit(1)).alias("positive_count"))
+
+
+@register(
+    "pivot_scores",
+    f"""{V('genome_scores')},
+dup AS (SELECT count(*) AS d FROM (SELECT movieId, tagId FROM genome_scores GROUP BY movieId, tagId HAVING count(*) > 1))
+SELECT movieId, {', '.join(f"coalesce(max(CASE WHEN tagId = {t} THEN relevance END), CAST(0 AS DOUBLE)) AS tag_{t:02d}" for t in range(64))}
+FROM genome_scores GROUP BY movieId""",
+)
+def pivot_scores(spark, sf_dir):
+    """A10: long -> wide (one column per tag, 0-filled) with explicit pivot values from the tag
+    dictionary (a bounded dimension); duplicate (movie, tag) cells raise like the reference."""
+    gs = fx.genome_scores(spark, sf_dir)
+    tags = [r.tagId for r in fx.genome_tags(spark, sf_dir).orderBy("tagId").collect()]  # dictionary, not facts
+    checked = gs.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("movieId", "tagId"))).select(
+        "movieId", "tagId",
+        F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate (movieId, tagId) in pivot")).cast("double"))
+        .otherwise(F.col("relevance")).alias("relevance"))
+    wide = checked.groupBy("movieId").pivot("tagId", tags).agg(F.first("relevance"))
+    return wide.select("movieId", *[F.coalesce(F.col(str(t)), F.lit(0.0)).alias(f"tag_{t:02d}") for t in tags])
+
+
+@register(
+    "topk_scores",
+    f"""{V('item_vectors')},
+l AS (SELECT id, CAST(unnest(range(len(vec))) AS INTEGER) AS pos, unnest(vec) AS x FROM item_vectors),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY x DESC, pos) AS INTEGER) AS rank FROM l)
+SELECT id, pos, x AS score, rank FROM r WHERE rank <= 3""",
+)
+def topk_scores(spark, sf_dir):
+    """Arg-sort top-k positions of a score vector (posexplode, then per-row top-k)."""
+    l = fx.item_vectors(spark, sf_dir).select("id", F.posexplode("vec").alias("pos", "score"))
+    return Rel.top_k_per_group(l, ["id"], [F.col("score").desc(), F.col("pos").asc()], 3)
+
+
+@register(
+    "genres_join",
+    f"{V('movies')} SELECT movieId, array_to_string(list_sort(list_distinct(string_split(genres, '|'))), '|') AS genres_key FROM movies",
+)
+def genres_join(spark, sf_dir):
+    """F8: genre list joined back with '|' (sorted distinct tokens as a canonical key)."""
+    return fx.movies(spark, sf_dir).select(
+        "movieId", F.concat_ws("|", F.array_sort(F.array_distinct(C.genre_tokens("genres")))).alias("genres_key"))

@@ -303,3 +303,46 @@ def sample_nearest(spark, sf_dir):
     smp = tr.orderBy(F.md5(F.concat(F.col("id").cast("string"), F.lit(":sample"))), "id").limit(3)
     rq = smp.select("id", F.col("id").alias("request_id"))
     return N.knn_scan(rq, tr, te, k=1).drop("rank")
+
+
+@register(
+    "user_item_pairs",
+    f"""{V('user_vectors', 'item_vectors', 'seeds')}
+SELECT s.movieId AS userId, i.id AS movieId, list_concat(u.vec, i.vec) AS features
+FROM seeds s JOIN user_vectors u ON s.movieId = u.id CROSS JOIN item_vectors i""",
+)
+def user_item_pairs(spark, sf_dir):
+    """Each requested user's vector paired with every item vector (pair features for scoring);
+    the request side is size-checked and broadcast, the item table is scanned once."""
+    uv = fx.user_vectors(spark, sf_dir).select(F.col("id").alias("userId"), F.col("vec").alias("u"))
+    req = fx.seed_requests(spark).select(F.col("movieId").alias("userId")).join(uv, "userId")
+    iv = fx.item_vectors(spark, sf_dir).select(F.col("id").alias("movieId"), F.col("vec").alias("i"))
+    return N.broadcast_if_small(req).crossJoin(iv).select("userId", "movieId", F.concat("u", "i").alias("features"))
+
+
+@register(
+    "sum_similarity",
+    f"""{V('item_vectors', 'movies', 'seeds')},
+vn AS ({_vec_sql()}),
+sd AS (SELECT q.request_id, q.movieId AS seed_id, v.vec AS svec, v.nrm AS svn, v.cluster, string_split(m.genres, '|') AS sg
+       FROM seeds q JOIN vn v ON q.movieId = v.id JOIN movies m ON m.movieId = q.movieId),
+cd AS (SELECT v.id AS movie_id, v.vec AS cvec, v.nrm AS cvn, v.cluster, string_split(m.genres, '|') AS cg
+       FROM vn v JOIN movies m ON v.id = m.movieId WHERE m.title IS NOT NULL AND m.genres IS NOT NULL)
+SELECT s.request_id, c.movie_id,
+       round(sum(CASE WHEN NOT list_has_any(s.sg, c.cg) THEN {ZERO} ELSE {COS.format(a='s.svec', b='c.cvec').replace('s.svecn', 's.svn').replace('c.cvecn', 'c.cvn')} END), 6) AS similarity_score,
+       round(sum({COS.format(a='s.svec', b='c.cvec').replace('s.svecn', 's.svn').replace('c.cvecn', 'c.cvn')}), 6) AS cosine_sum,
+       round(sum(1 - {COS.format(a='s.svec', b='c.cvec').replace('s.svecn', 's.svn').replace('c.cvecn', 'c.cvn')}), 6) AS distance_sum
+FROM sd s JOIN cd c ON s.cluster = c.cluster AND s.seed_id <> c.movie_id GROUP BY s.request_id, c.movie_id""",
+)
+def sum_similarity(spark, sf_dir):
+    """A8 (+F14): per request and candidate, the gated similarity sum over seeds, the ungated
+    cosine sum and the cosine-distance sum (1 - cos), before any cut."""
+    iv, mv = fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir)
+    g = N.same_cluster_pairs(_seeds(spark), iv, mv, gate=True).select(
+        "request_id", "seed_id", "movie_id", F.col("similarity").alias("gated"))
+    u = N.same_cluster_pairs(_seeds(spark), iv, mv, gate=False).select(
+        "request_id", "seed_id", "movie_id", F.col("similarity").alias("cos"))
+    j = g.join(u, ["request_id", "seed_id", "movie_id"])
+    return j.groupBy("request_id", "movie_id").agg(
+        F.round(F.sum("gated"), 6).alias("similarity_score"), F.round(F.sum("cos"), 6).alias("cosine_sum"),
+        F.round(F.sum(1 - F.col("cos")), 6).alias("distance_sum"))
