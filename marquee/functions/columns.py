@@ -103,9 +103,12 @@ def parse_id_list(text: str | Column) -> Column:
 
 
 def ratings_map(ids: str | Column, ratings: str | Column) -> Column:
-    """Zip ids and ratings to a map; length mismatch raises."""
+    """Zip ids and ratings to a map; length mismatch raises; a repeated id keeps its
+    last value (dict semantics) instead of tripping the duplicate-map-key error."""
     ids, ratings = col(ids), col(ratings)
-    return F.when(F.size(ids) == F.size(ratings), F.map_from_arrays(ids, ratings.cast("array<double>"))).otherwise(
+    pairs = F.arrays_zip(ids.alias("k"), ratings.cast("array<double>").alias("v"))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(ids, i + 2, F.size(ids)), lambda y: y == p["k"]))
+    return F.when(F.size(ids) == F.size(ratings), F.map_from_entries(last)).otherwise(
         F.raise_error(F.lit("ids and ratings differ in length")).cast("map<bigint,double>")
     )
 

@@ -78,41 +78,37 @@ def scan_tags(spark, sf_dir):
 
 @register(
     "parse_id_list",
-    f"""WITH t AS (SELECT l_orderkey AS orderkey,
-                  string_agg(CAST(l_partkey AS VARCHAR) || ', ' || l_returnflag, ', ') AS txt
-               FROM lineitem GROUP BY l_orderkey),
-    p AS (SELECT orderkey, trim(unnest(string_split(txt, ','))) AS tok FROM t)
-SELECT orderkey, CAST(tok AS BIGINT) AS movieId FROM p WHERE regexp_full_match(tok, '[0-9]+')""",
+    """WITH t AS (SELECT l_orderkey AS orderkey, l_linenumber AS ln,
+                  CAST(l_partkey AS VARCHAR) || ', ' || l_returnflag || ',' || CAST(l_suppkey AS VARCHAR) || ' , x' || CAST(l_linenumber AS VARCHAR) AS txt
+               FROM lineitem),
+    p AS (SELECT orderkey, ln, trim(unnest(string_split(txt, ','))) AS tok FROM t)
+SELECT orderkey, ln, CAST(tok AS BIGINT) AS movieId FROM p WHERE regexp_full_match(tok, '[0-9]+')""",
 )
 def parse_id_list(spark, sf_dir):
-    """Free-text id lists (ids mixed with flag letters) -> id rows."""
+    """Free-text id lists (ids mixed with flags and junk tokens, one text per order line) -> id rows."""
     li = fx.table(spark, sf_dir, "lineitem")
-    texts = li.groupBy(F.col("l_orderkey").alias("orderkey")).agg(
-        F.concat_ws(", ", F.collect_list(F.concat_ws(", ", F.col("l_partkey").cast("string"), "l_returnflag"))).alias("txt")
-    )
-    return texts.select("orderkey", F.explode(C.parse_id_list("txt")).alias("movieId"))
+    txt = F.concat(F.col("l_partkey").cast("string"), F.lit(", "), F.col("l_returnflag"), F.lit(","),
+                   F.col("l_suppkey").cast("string"), F.lit(" , x"), F.col("l_linenumber").cast("string"))
+    return li.select(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("ln"),
+                     F.explode(C.parse_id_list(txt)).alias("movieId"))
 
 
 @register(
     "ratings_map",
-    f"""{V('ratings')},
-o AS (SELECT l.l_orderkey AS orderkey, l.l_partkey AS movieId, l.l_linenumber AS ln,
-             CAST(ceil(l.l_quantity / 5) AS DOUBLE) / CAST(2 AS DOUBLE) AS rating FROM lineitem l),
-last AS (SELECT orderkey, movieId, max(struct_pack(ln := ln, r := rating)).r AS rating FROM o GROUP BY orderkey, movieId)
-SELECT orderkey, movieId, rating FROM last""",
+    """WITH o AS (SELECT l_orderkey AS orderkey, l_linenumber AS ln, l_partkey AS k1, l_suppkey AS k2,
+                  CAST(ceil(l_quantity / 5) AS DOUBLE) / CAST(2 AS DOUBLE) AS r1, l_discount * 100 AS r2 FROM lineitem)
+SELECT orderkey, ln, k1 AS movieId, r1 AS rating FROM o WHERE k1 <> k2
+UNION ALL SELECT orderkey, ln, k2, r2 FROM o""",
 )
 def ratings_map(spark, sf_dir):
-    """Per order, zip (ids, ratings) into an id -> rating map (last value wins); entries as rows."""
-    li = fx.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("orderkey"), F.col("l_partkey").alias("movieId"),
-        F.col("l_linenumber").alias("ln"), fx.rating_expr(F.col("l_quantity")).alias("rating"),
-    )
-    last = li.groupBy("orderkey", "movieId").agg(F.max(F.struct("ln", "rating")).rating.alias("rating"))
-    lists = last.groupBy("orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("movieId", "rating"))).alias("kv")
-    )
-    m = lists.select("orderkey", C.ratings_map(F.col("kv.movieId"), F.col("kv.rating")).alias("m"))
-    return m.select("orderkey", F.explode("m").alias("movieId", "rating"))
+    """Zip an id list with a rating list into an id -> rating map (lengths must agree, a
+    repeated id keeps its last value); one map per order line, entries returned as rows."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    ids = F.array(F.col("l_partkey"), F.col("l_suppkey"))
+    vals = F.array(fx.rating_expr(F.col("l_quantity")), F.col("l_discount") * 100)
+    m = li.select(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("ln"),
+                  C.ratings_map(ids, vals).alias("m"))
+    return m.select("orderkey", "ln", F.explode("m").alias("movieId", "rating"))
 
 
 @register(

@@ -257,3 +257,8 @@ def test_watched_segments_excludes_watched_and_ranks(spark):
     ids = [x.movieId for x in sorted(out, key=lambda x: x.rank)]
     assert 2 not in ids and 4 not in ids and 8 not in ids  # watched / unrated excluded
     assert set(ids) == {6}
+
+
+def test_ratings_map_repeated_id_keeps_last(spark):
+    df = spark.createDataFrame([([1, 2, 1], [4.0, 3.0, 5.0])], "i array<bigint>, r array<double>")
+    assert df.select(C.ratings_map("i", "r").alias("m")).first().m == {1: 5.0, 2: 3.0}
