@@ -78,10 +78,14 @@ def select_peers(cands: DataFrame, num_user: int = 5, mode: str = "banded") -> D
                          "similarity_rank")
 
 
-def user_dot(peers: DataFrame, matrix: DataFrame) -> DataFrame:
-    """dot(u, v) = sum_i r_ui r_vi for every requested u and every co-rater v."""
+def _peer_rows(peers: DataFrame, matrix: DataFrame) -> DataFrame:
     u = broadcast_if_small(peers.select("peer_id").distinct())
-    mine = matrix.join(u, matrix.userId == u.peer_id).select("peer_id", "movieId", F.col("rating").alias("r_u"))
+    return matrix.join(u, matrix.userId == u.peer_id).select("peer_id", "movieId", F.col("rating").alias("r_u"))
+
+
+def user_dot(peers: DataFrame, matrix: DataFrame, mine: DataFrame | None = None) -> DataFrame:
+    """dot(u, v) = sum_i r_ui r_vi for every requested u and every co-rater v."""
+    mine = _peer_rows(peers, matrix) if mine is None else mine
     other = matrix.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
     return mine.join(other, "movieId").groupBy("peer_id", "v").agg(F.sum(F.col("r_u") * F.col("r_v")).alias("dot"))
 
@@ -90,13 +94,14 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) ->
     """For each peer u, unrated items j scored by sum_v dot(u, v) * r_vj; top n (ties: id).
 
     Items no co-rater reached score 0; they fill the list in id order when fewer than n
-    items are reached."""
+    items are reached. The matrix is read by three branches only (the peers' rows, the full
+    matrix for both joins, the item dictionary); everything else derives from those."""
     m = interaction_matrix(ratings)
-    d = user_dot(peers, m)
+    mine = _peer_rows(peers, m)
+    d = user_dot(peers, m, mine)
     other = m.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
+    rated = mine.select("peer_id", "movieId")
     scored = d.join(other, "v").groupBy("peer_id", "movieId").agg(F.sum(F.col("dot") * F.col("r_v")).alias("score"))
-    rated = m.join(peers.select(F.col("peer_id").alias("userId")).distinct(), "userId", "left_semi").select(
-        F.col("userId").alias("peer_id"), "movieId")
     scored = scored.join(rated, ["peer_id", "movieId"], "left_anti")
 
     # zero-score fill for peers that reach fewer than top_n unrated items: the smallest
@@ -109,10 +114,10 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) ->
     short = per_peer.where(F.col("n_scored") < top_n).select(
         "peer_id", F.explode(F.sequence(F.lit(0), (F.col("n_rated") + F.col("n_scored") + top_n - 1).cast("bigint")))
         .alias("idx"))
-    fill = short.join(items, "idx").select("peer_id", "movieId").join(
-        rated, ["peer_id", "movieId"], "left_anti").join(scored.select("peer_id", "movieId"), ["peer_id", "movieId"],
-                                                         "left_anti").withColumn("score", F.lit(0.0))
-    cand = scored.unionByName(fill)
+    fill = short.join(items, "idx").select("peer_id", "movieId").join(rated, ["peer_id", "movieId"], "left_anti") \
+        .withColumn("score", F.lit(0.0))
+    # a reached item can also sit in the fill slots: keep its real score (max) once
+    cand = scored.unionByName(fill).groupBy("peer_id", "movieId").agg(F.max("score").alias("score"))
     return top_k_per_group(cand, ["peer_id"], [F.col("score").desc(), F.col("movieId").asc()], top_n, "item_rank")
 
 
