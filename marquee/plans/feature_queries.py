@@ -41,7 +41,8 @@ FROM ga FULL OUTER JOIN ca ON ga.userId = ca.userId
 )
 def user_segment_matrix(spark, sf_dir):
     """R15."""
-    return Fe.user_segment_matrix(fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir), fx.item_clusters(spark, sf_dir))
+    return Fe.user_segment_matrix(fx.positive_ratings(spark, sf_dir, Fe.POSITIVE), fx.movies(spark, sf_dir),
+                                  fx.item_clusters(spark, sf_dir))
 
 
 def _content_sql(quantile: bool, split: bool) -> str:

@@ -158,7 +158,7 @@ def quantile_filter(spark, sf_dir):
 
 @register("positive_ratings", f"{V('ratings')} SELECT userId, movieId, rating FROM ratings WHERE rating > 3.5")
 def positive_ratings(spark, sf_dir):
-    return fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE).select("userId", "movieId", "rating")
+    return fx.positive_ratings(spark, sf_dir, POSITIVE).select("userId", "movieId", "rating")
 
 
 @register(
@@ -272,7 +272,7 @@ WHERE r.rating > 3.5""",
 )
 def join_ratings_genres(spark, sf_dir):
     """Positive ratings fanned out to one row per genre."""
-    return R.positive_with_genres(fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir), POSITIVE)
+    return R.positive_with_genres(fx.positive_ratings(spark, sf_dir, POSITIVE), fx.movies(spark, sf_dir), POSITIVE)
 
 
 @register(
@@ -281,7 +281,7 @@ def join_ratings_genres(spark, sf_dir):
 )
 def join_ratings_clusters(spark, sf_dir):
     """Item -> cluster map is one row per item; broadcast below the size threshold (AQE decides)."""
-    r = fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE).select("userId", "movieId", "rating")
+    r = fx.positive_ratings(spark, sf_dir, POSITIVE).select("userId", "movieId", "rating")
     return r.join(fx.item_clusters(spark, sf_dir), "movieId")
 
 
@@ -488,7 +488,7 @@ def rank_weights(spark, sf_dir):
 )
 def list_intersect(spark, sf_dir):
     """U2."""
-    pos = fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE).select("movieId")
+    pos = fx.positive_ratings(spark, sf_dir, POSITIVE).select("movieId")
     return pos.intersect(fx.item_vectors(spark, sf_dir).select(F.col("id").alias("movieId")))
 
 
@@ -575,7 +575,7 @@ JOIN (SELECT movieId, unnest(string_split(genres, '|')) AS genre FROM movies) g
 )
 def user_genre_counts(spark, sf_dir):
     """A4: positive ratings per (user, genre)."""
-    j = R.positive_with_genres(fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir), POSITIVE)
+    j = R.positive_with_genres(fx.positive_ratings(spark, sf_dir, POSITIVE), fx.movies(spark, sf_dir), POSITIVE)
     return j.groupBy("userId", "genre").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -599,7 +599,7 @@ SELECT p.userId, c.cluster, avg(p.rating) AS mean_rating FROM pos p JOIN item_cl
 )
 def user_cluster_mean(spark, sf_dir):
     """Mean positive rating per (user, item cluster)."""
-    r = fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE)
+    r = fx.positive_ratings(spark, sf_dir, POSITIVE)
     return r.join(fx.item_clusters(spark, sf_dir), "movieId").groupBy("userId", "cluster").agg(
         F.avg("rating").alias("mean_rating"))
 
@@ -610,7 +610,7 @@ def user_cluster_mean(spark, sf_dir):
 )
 def user_density(spark, sf_dir):
     """Positive ratings per user."""
-    return fx.ratings(spark, sf_dir).where(F.col("rating") > POSITIVE).groupBy("userId").agg(
+    return fx.positive_ratings(spark, sf_dir, POSITIVE).groupBy("userId").agg(
         F.count(F.lit(1)).alias("positive_count"))
 
 

@@ -194,7 +194,7 @@ w AS (SELECT DISTINCT userId AS request_id, movieId FROM ratings WHERE rating >
 )
 def watched_segments_all_users(spark, sf_dir):
     """R10 as one batch: every user's positively rated items are the watched list."""
-    req = fx.ratings(spark, sf_dir).where(F.col("rating") > 3.5).select(
+    req = fx.positive_ratings(spark, sf_dir, 3.5).select(
         F.col("userId").alias("request_id"), "movieId")
     return U.watched_segments(req, fx.item_clusters(spark, sf_dir), fx.movies(spark, sf_dir),
                               fx.ratings(spark, sf_dir), 10)

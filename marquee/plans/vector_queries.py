@@ -64,7 +64,7 @@ def _seeds(spark):
 
 def _user_seed_requests(spark, sf_dir):
     """Every user's positively rated items that have a content vector, one request per user."""
-    r = fx.ratings(spark, sf_dir).where(F.col("rating") > 3.5).select(F.col("userId").alias("request_id"), "movieId").distinct()
+    r = fx.positive_ratings(spark, sf_dir, 3.5).select(F.col("userId").alias("request_id"), "movieId").distinct()
     return r.join(fx.item_vectors(spark, sf_dir).select(F.col("id").alias("movieId")), "movieId", "left_semi")
 
 

@@ -47,8 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="marquee-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
+    try:  # make the chosen folder visible to readers of the setting; core confs may be read-only
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:
+        pass
     return sc.getCheckpointDir() or path
 
 

@@ -7,6 +7,8 @@ stated over the raw parquet views (region ... conversations).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,11 @@ def rating_expr(quantity: Column) -> Column:
     return F.ceil(quantity / F.lit(5)).cast("double") / F.lit(2).cast("double")
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, quantity_above: float | None = None) -> DataFrame:
     """userId, movieId, rating (0.5..5.0 half steps), timestamp (epoch seconds)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    if quantity_above is not None:
+        li = li.where(F.col("l_quantity") > F.lit(float(quantity_above)))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").cast(ID).alias("userId"),
@@ -45,6 +49,13 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def positive_ratings(spark: SparkSession, sf_dir: str, threshold: float = 3.5) -> DataFrame:
+    """Ratings above ``threshold``, with the equivalent predicate on the stored column so that it
+    reaches the parquet scan (a filter on the derived rating alone cannot be pushed down):
+    ceil(q/5)/2 > t  <=>  ceil(q/5) > floor(2t)  <=>  q > 5 * floor(2t)."""
+    return ratings(spark, sf_dir, 5.0 * math.floor(2 * threshold)).where(F.col("rating") > threshold)
+
+
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """movieId, title, genres ('a|b|TYPE')."""
     p = table(spark, sf_dir, "part")
