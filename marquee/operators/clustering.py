@@ -19,14 +19,21 @@ def sq_dist(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def centroids(df: DataFrame, label: str = "cluster", vec: str = "vec") -> DataFrame:
-    """Mean vector and size per label: (cluster, centroid array<double>, n)."""
-    long = df.select(label, F.posexplode(vec).alias("pos", "x"))
-    per = long.groupBy(label, "pos").agg(F.avg("x").alias("m"))
-    c = per.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("_s")).select(
-        label, F.col("_s.m").alias("centroid"))
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return c.join(n, label)
+def _attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:
+    """Join a small per-group table (one row per group or per (group, cluster)): broadcast."""
+    keys = list(keys)
+    return df.join(F.broadcast(small), keys) if keys else df.crossJoin(F.broadcast(small))
+
+
+def centroids(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
+    """Mean vector and size per label (within each ``by`` group): (*by, cluster, centroid, n)."""
+    keys = [*by, label]
+    long = df.select(*keys, F.posexplode(vec).alias("pos", "x"))
+    per = long.groupBy(*keys, "pos").agg(F.avg("x").alias("m"))
+    c = per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("_s")).select(
+        *keys, F.col("_s.m").alias("centroid"))
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return c.join(n, keys)
 
 
 def assign_centroid(df: DataFrame, cents: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
@@ -38,36 +45,40 @@ def assign_centroid(df: DataFrame, cents: DataFrame, vec: str = "vec", label: st
     return best.select("id", F.col("_b._c").alias("assigned"), F.col("_b._d").alias("sq_distance"))
 
 
-def inertia(df: DataFrame, label: str = "cluster", vec: str = "vec") -> DataFrame:
-    """Sum of squared distances to the own centroid."""
-    c = centroids(df, label, vec)
-    j = df.join(F.broadcast(c.select(label, "centroid")), label)
-    return j.agg(F.round(F.sum(sq_dist(F.col(vec), F.col("centroid"))), DIGITS).alias("inertia"))
+def inertia(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
+    """Sum of squared distances to the own centroid (per ``by`` group)."""
+    keys = [*by, label]
+    c = centroids(df, label, vec, by)
+    j = _attach(df, c.select(*keys, "centroid"), keys)
+    return j.groupBy(*by).agg(F.round(F.sum(sq_dist(F.col(vec), F.col("centroid"))), DIGITS).alias("inertia"))
 
 
-def davies_bouldin(df: DataFrame, label: str = "cluster", vec: str = "vec") -> DataFrame:
+def davies_bouldin(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
     """Mean over clusters of max_j (s_i + s_j) / ||c_i - c_j||, s = mean distance to the centroid."""
-    c = centroids(df, label, vec)
-    j = df.join(F.broadcast(c.select(label, "centroid")), label)
-    s = j.groupBy(label).agg(F.avg(F.sqrt(sq_dist(F.col(vec), F.col("centroid")))).alias("s"))
-    cs = c.join(s, label).select(F.col(label).alias("i"), F.col("centroid").alias("ci"), F.col("s").alias("si"))
-    other = cs.select(F.col("i").alias("j"), F.col("ci").alias("cj"), F.col("si").alias("sj"))
-    pairs = cs.crossJoin(F.broadcast(other)).where(F.col("i") != F.col("j"))  # k x k, bounded by k
-    r = pairs.select("i", ((F.col("si") + F.col("sj")) / F.sqrt(sq_dist(F.col("ci"), F.col("cj")))).alias("r"))
-    return r.groupBy("i").agg(F.max("r").alias("m")).agg(F.round(F.avg("m"), DIGITS).alias("davies_bouldin"))
-
-
-def calinski_harabasz(df: DataFrame, label: str = "cluster", vec: str = "vec") -> DataFrame:
+    keys = [*by, label]
+    c = centroids(df, label, vec, by)
+    j = _attach(df, c.select(*keys, "centroid"), keys)
+    s = j.groupBy(*keys).agg(F.avg(F.sqrt(sq_dist(F.col(vec), F.col("centroid")))).alias("s"))
+    cs = c.join(s, keys).select(*by, F.col(label).alias("i"), F.col("centroid").alias("ci"), F.col("s").alias("si"))
+    other = cs.select(*by, F.col("i").alias("j"), F.col("ci").alias("cj"), F.col("si").alias("sj"))
+    pairs = _attach(cs, other, by).where(F.col("i") != F.col("j"))  # k x k per group, bounded by k
+    r = pairs.select(*by, "i", ((F.col("si") + F.col("sj")) / F.sqrt(sq_dist(F.col("ci"), F.col("cj")))).alias("r"))
+    return r.groupBy(*by, "i").agg(F.max("r").alias("m")).groupBy(*by).agg(
+        F.round(F.avg("m"), DIGITS).alias("davies_bouldin"))
+
+
+def calinski_harabasz(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
     """(B / (k - 1)) / (W / (n - k))."""
-    c = centroids(df, label, vec)
-    allc = centroids(df.withColumn("_all", F.lit(0)), "_all", vec).select(F.col("centroid").alias("g"))
-    j = df.join(F.broadcast(c.select(label, "centroid")), label)
-    w = j.agg(F.sum(sq_dist(F.col(vec), F.col("centroid"))).alias("W"), F.count(F.lit(1)).alias("n"))
-    b = with_scalars(c, allc).agg(F.sum(F.col("n") * sq_dist(F.col("centroid"), F.col("g"))).alias("B"),
-                                  F.count(F.lit(1)).alias("k"))
-    return w.crossJoin(b).select(
-        F.round((F.col("B") / (F.col("k") - 1)) / (F.col("W") / (F.col("n") - F.col("k"))), DIGITS).alias(
-            "calinski_harabasz"))
+    keys = [*by, label]
+    c = centroids(df, label, vec, by)
+    allc = centroids(df.withColumn("_all", F.lit(0)), "_all", vec, by).select(*by, F.col("centroid").alias("g"))
+    j = _attach(df, c.select(*keys, "centroid"), keys)
+    w = j.groupBy(*by).agg(F.sum(sq_dist(F.col(vec), F.col("centroid"))).alias("W"), F.count(F.lit(1)).alias("n"))
+    b = _attach(c, allc, by).groupBy(*by).agg(
+        F.sum(F.col("n") * sq_dist(F.col("centroid"), F.col("g"))).alias("B"), F.count(F.lit(1)).alias("k_"))
+    out = w.join(b, list(by)) if by else w.crossJoin(b)
+    return out.select(*by, F.round((F.col("B") / (F.col("k_") - 1)) / (F.col("W") / (F.col("n") - F.col("k_"))),
+                                   DIGITS).alias("calinski_harabasz"))
 
 
 def hash_sample(df: DataFrame, size: int, key: str = "id", salt: str = ":sample") -> DataFrame:
@@ -75,22 +86,33 @@ def hash_sample(df: DataFrame, size: int, key: str = "id", salt: str = ":sample"
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(salt))), key).limit(size)
 
 
-def silhouette_sample(df: DataFrame, size: int = 300, label: str = "cluster", vec: str = "vec") -> DataFrame:
-    """Exact Euclidean silhouette on a bounded hash sample; singleton clusters score 0."""
-    s = hash_sample(df.select("id", label, vec), size)
-    a = s.select(F.col("id").alias("i"), F.col(label).alias("li"), F.col(vec).alias("vi"))
-    b = F.broadcast(s.select(F.col("id").alias("j"), F.col(label).alias("lj"), F.col(vec).alias("vj")))
-    pairs = a.crossJoin(b).where(F.col("i") != F.col("j"))  # sample^2, bounded by ``size``
-    d = pairs.select("i", "li", "lj", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
-    per = d.groupBy("i", "li", "lj").agg(F.avg("d").alias("md"))
-    ab = per.groupBy("i", "li").agg(
+def silhouette_sample(df: DataFrame, size: int = 300, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
+    """Exact Euclidean silhouette on a bounded hash sample of ids (the same ids in every
+    ``by`` group); singleton clusters score 0."""
+    ids = hash_sample(df.select("id").distinct(), size)
+    s = df.select("id", *by, label, vec).join(F.broadcast(ids), "id", "left_semi")
+    a = s.select(*by, F.col("id").alias("i"), F.col(label).alias("li"), F.col(vec).alias("vi"))
+    b = s.select(*by, F.col("id").alias("j"), F.col(label).alias("lj"), F.col(vec).alias("vj"))
+    pairs = _attach(a, b, by).where(F.col("i") != F.col("j"))  # sample^2 per group, bounded by ``size``
+    d = pairs.select(*by, "i", "li", "lj", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
+    per = d.groupBy(*by, "i", "li", "lj").agg(F.avg("d").alias("md"))
+    ab = per.groupBy(*by, "i", "li").agg(
         F.max(F.when(F.col("li") == F.col("lj"), F.col("md"))).alias("a"),
         F.min(F.when(F.col("li") != F.col("lj"), F.col("md"))).alias("b"))
-    sc = ab.select(F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
+    sc = ab.select(*by, F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b")).alias("s"))
-    # points alone in their cluster never appear with a same-cluster pair: count them as 0
-    n = s.agg(F.count(F.lit(1)).alias("n"))
-    return sc.agg(F.sum("s").alias("t")).crossJoin(n).select(F.round(F.col("t") / F.col("n"), DIGITS).alias("silhouette"))
+    # points alone in their cluster never appear with a same-cluster pair: they count as 0
+    n = s.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    t = sc.groupBy(*by).agg(F.sum("s").alias("t"))
+    out = t.join(n, list(by)) if by else t.crossJoin(n)
+    return out.select(*by, F.round(F.col("t") / F.col("n"), DIGITS).alias("silhouette"))
+
+
+def quality_by_group(df: DataFrame, by, label: str = "cluster", vec: str = "vec", sample: int = 300) -> DataFrame:
+    """The four measures for many labelings at once (one row per ``by`` group)."""
+    by = list(by)
+    return (silhouette_sample(df, sample, label, vec, by).join(calinski_harabasz(df, label, vec, by), by)
+            .join(davies_bouldin(df, label, vec, by), by).join(inertia(df, label, vec, by), by))
 
 
 def kmeans_fit(df: DataFrame, k: int, seed: int = 42, vec: str = "vec", max_iter: int = 20):
@@ -110,22 +132,23 @@ def model_centroids(model, spark) -> DataFrame:
 
 
 def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec", sample: int = 300) -> DataFrame:
-    """One KMeans fit per k on a cached input, with the four quality measures per k."""
-    spark = df.sparkSession
+    """One KMeans fit per k on a persisted input; the four quality measures of all fits are
+    then computed in one grouped job and written to the shared checkpoint folder."""
+    from marquee.session import cut_lineage
+
     base = df.select("id", vec).persist()
-    rows = []
     try:
+        assigned = None
         for k in ks:
-            _, assigned = kmeans_fit(base, k, seed, vec)
-            lab = base.join(assigned, "id")
-            m = (inertia(lab, "cluster", vec).crossJoin(davies_bouldin(lab, "cluster", vec))
-                 .crossJoin(calinski_harabasz(lab, "cluster", vec))
-                 .crossJoin(silhouette_sample(lab, sample, "cluster", vec))).first()
-            rows.append((int(k), m["silhouette"], m["calinski_harabasz"], m["davies_bouldin"], m["inertia"]))
+            _, a = kmeans_fit(base, k, seed, vec)
+            a = a.withColumn("k", F.lit(int(k)))
+            assigned = a if assigned is None else assigned.unionByName(a)
+        lab = base.join(assigned, "id")
+        out = cut_lineage(quality_by_group(lab, ["k"], "cluster", vec, sample).select(
+            F.col("k").cast("int").alias("k"), "silhouette", "calinski_harabasz", "davies_bouldin", "inertia"))
     finally:
         base.unpersist()
-    return spark.createDataFrame(
-        rows, "k int, silhouette double, calinski_harabasz double, davies_bouldin double, inertia double")
+    return out.orderBy("k")
 
 
 def k_rank_vote(metrics: DataFrame) -> DataFrame:

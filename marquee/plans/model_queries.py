@@ -103,16 +103,12 @@ def silhouette_sample(spark, sf_dir):
 
 
 def _folded_metrics(spark, sf_dir, ks=range(2, 11)):
-    """Candidate segmentations: the given labels folded into k groups (label % k), one metric row per k."""
+    """Candidate segmentations: the given labels folded into k groups (label % k), all k scored in
+    one job (rows replicated once per candidate k; every measure is grouped by k)."""
     iv = _items(spark, sf_dir)
-    out = None
-    for k in ks:
-        lab = iv.withColumn("cluster", F.col("cluster") % k)
-        row = (Cl.inertia(lab).crossJoin(Cl.davies_bouldin(lab)).crossJoin(Cl.calinski_harabasz(lab))
-               .crossJoin(Cl.silhouette_sample(lab, 300)).select(F.lit(k).alias("k"), "silhouette",
-                                                                   "calinski_harabasz", "davies_bouldin", "inertia"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    lab = iv.select("id", "vec", F.explode(F.sequence(F.lit(min(ks)), F.lit(max(ks)))).alias("k"), "cluster")
+    lab = lab.withColumn("cluster", F.col("cluster") % F.col("k"))
+    return Cl.quality_by_group(lab, ["k"]).select("k", "silhouette", "calinski_harabasz", "davies_bouldin", "inertia")
 
 
 def _folded_sql() -> str:
