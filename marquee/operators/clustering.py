@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.relational import average_rank, with_scalars
+from marquee.operators.relational import average_rank
 
 DIGITS = 6
 

@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
 from marquee.operators import clustering as Cl
