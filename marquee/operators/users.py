@@ -183,12 +183,13 @@ def watched_segments(requests: DataFrame, item_clusters: DataFrame, movies: Data
     scored = with_scalars(allm.join(item_clusters, "movieId"), stats).where(F.col("rating_count") >= 1)
     scored = scored.withColumn(
         "score", F.round(weighted_rating("rating_count", "mean_rating", "_m", "_C"), SCORE_DIGITS))
-    ranked = scored.withColumn("crank", F.row_number().over(
-        Window.partitionBy("cluster").orderBy(F.col("score").desc(), F.col("movieId").asc())))
-
     watched = requests.select("request_id", "movieId").distinct().join(item_clusters, "movieId")
     need = watched.groupBy("request_id", "cluster").agg((F.count(F.lit(1)) + top_k).alias("_k"))
     slots = need.select("request_id", "cluster", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias("crank"))
+    # each cluster is ranked only as deep as its deepest request needs: a literal limit lets the
+    # planner apply it per partition before the shuffle (WindowGroupLimit)
+    depth = need.agg(F.max("_k").alias("d")).first()["d"] or top_k
+    ranked = top_k_per_group(scored, ["cluster"], [F.col("score").desc(), F.col("movieId").asc()], int(depth), "crank")
     cand = slots.join(ranked, ["cluster", "crank"]).join(
         watched.select("request_id", "movieId"), ["request_id", "movieId"], "left_anti")
     top = top_k_per_group(cand, ["request_id"], [F.col("score").desc(), F.col("movieId").asc()], top_k)
