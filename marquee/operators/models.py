@@ -227,35 +227,42 @@ def fold_in_users(ratings: DataFrame, item_factors: DataFrame, reg: float = 0.1)
 
 
 # ------------------------------------------------------- genre donor
-def closest_by_genres(requests: DataFrame, movies: DataFrame, with_vector: DataFrame, max_genres: int = 4) -> DataFrame:
+def closest_by_genres(requests: DataFrame, movies: DataFrame, with_vector: DataFrame) -> DataFrame:
     """For each request (request_id, genres array) the movie with a vector sharing the most
     genres (ties: smallest movieId).
 
-    Every movie emits the non-empty subsets of its genre set (up to ``max_genres`` tokens per
-    subset); a subset key keeps only its smallest movieId, so the lookup table is bounded by the
-    number of distinct subsets and no request x movie pairs are formed."""
+    Each movie keeps only the genres some request asks for (a broadcast vocabulary row) and emits
+    the non-empty subsets of those, up to the largest request size; a subset key keeps only its
+    smallest movieId. The lookup table is bounded by the number of distinct subsets and no
+    request x movie pairs are formed (a movie with g relevant genres emits < 2^g keys)."""
     from marquee.functions.columns import genre_tokens
 
     def bit(m, i):
         return m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0
 
-    def subsets(arr):
-        # all non-empty subsets of a small sorted distinct array, as sorted '|'-joined keys
+    def subsets(arr, max_size):
+        # non-empty subsets of a small sorted distinct array with at most max_size members,
+        # as sorted '|'-joined keys
         n = F.size(arr)
         masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)
-        return F.transform(masks, lambda m: F.struct(
+        subs = F.transform(masks, lambda m: F.struct(
             F.array_join(F.filter(arr, lambda x, i: bit(m, i)), "|").alias("key"),
             F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0),
                         lambda acc, i: acc + bit(m, i).cast("int")).alias("size")))
+        return F.filter(subs, lambda x: x["size"] <= max_size)
 
+    rq = requests.select("request_id", F.array_sort(F.array_distinct("genres")).alias("g")).where(F.size("g") > 0)
+    vocab = rq.select(F.explode("g").alias("t")).agg(
+        F.sort_array(F.collect_set("t")).alias("_vocab"), F.max(F.lit(1)).alias("_one"))
+    widest = rq.agg(F.max(F.size("g")).alias("_r"))
     mv = movies.join(with_vector.select(F.col("id").alias("movieId")), "movieId", "left_semi").select(
-        "movieId", F.array_sort(F.array_distinct(genre_tokens("genres"))).alias("g")).where(
-        F.size("g") <= max_genres)
-    table = mv.select("movieId", F.explode(subsets(F.col("g"))).alias("s")).groupBy(
+        "movieId", F.array_sort(F.array_distinct(genre_tokens("genres"))).alias("g0"))
+    mv = mv.crossJoin(F.broadcast(vocab)).crossJoin(F.broadcast(widest)).select(
+        "movieId", F.array_intersect("g0", "_vocab").alias("g"), "_r").where(F.size("g") > 0)
+    table = mv.select("movieId", F.explode(subsets(F.col("g"), F.col("_r"))).alias("s")).groupBy(
         F.col("s.key").alias("key"), F.col("s.size").alias("size")).agg(F.min("movieId").alias("movieId"))
-    rq = requests.select("request_id", F.array_sort(F.array_distinct("genres")).alias("g")).select(
-        "request_id", F.explode(subsets(F.col("g"))).alias("s")).select(
+    keys = rq.select("request_id", F.explode(subsets(F.col("g"), F.size("g"))).alias("s")).select(
         "request_id", F.col("s.key").alias("key"))
-    hit = rq.join(table, "key")
+    hit = keys.join(table, "key")
     best = hit.groupBy("request_id").agg(F.min(F.struct((-F.col("size")).alias("neg"), F.col("movieId"))).alias("_b"))
     return best.select("request_id", F.col("_b.movieId").alias("donor_id"), (-F.col("_b.neg")).alias("overlap"))

@@ -201,11 +201,11 @@ def test_list_measures_brute_force(spark):
 
 def test_closest_by_genres_brute_force(spark):
     rnd = random.Random(11)
-    tokens = list("abcdef")
-    movies = [(i, f"t{i}", "|".join(rnd.sample(tokens, rnd.randint(1, 3)))) for i in range(40)]
+    tokens = list("abcdefgh")
+    movies = [(i, f"t{i}", "|".join(rnd.sample(tokens, rnd.randint(1, 7)))) for i in range(40)]
     mdf = _movies(spark, movies)
     with_vec = spark.createDataFrame([(i, [1.0], 0) for i in range(0, 40, 2)], "id bigint, vec array<double>, cluster int")
-    reqs = [(100 + k, rnd.sample(tokens, rnd.randint(1, 3))) for k in range(15)]
+    reqs = [(100 + k, rnd.sample(tokens, rnd.randint(1, 5))) for k in range(15)]
     rdf = spark.createDataFrame(reqs, "request_id bigint, genres array<string>")
     got = {r.request_id: (r.donor_id, r.overlap) for r in M.closest_by_genres(rdf, mdf, with_vec).collect()}
     for q, g in reqs:
