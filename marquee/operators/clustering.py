@@ -86,29 +86,38 @@ def hash_sample(df: DataFrame, size: int, key: str = "id", salt: str = ":sample"
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(salt))), key).limit(size)
 
 
-def silhouette_sample(df: DataFrame, size: int = 300, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
+SILHOUETTE_SAMPLE = 10_000  # the reference's sample size for its sweep; smaller sets are scored in full
+
+
+def silhouette_sample(df: DataFrame, size: int = SILHOUETTE_SAMPLE, label: str = "cluster", vec: str = "vec",
+                      by=()) -> DataFrame:
     """Exact Euclidean silhouette on a bounded hash sample of ids (the same ids in every
-    ``by`` group); singleton clusters score 0."""
-    ids = hash_sample(df.select("id").distinct(), size)
-    s = df.select("id", *by, label, vec).join(F.broadcast(ids), "id", "left_semi")
-    a = s.select(*by, F.col("id").alias("i"), F.col(label).alias("li"), F.col(vec).alias("vi"))
-    b = s.select(*by, F.col("id").alias("j"), F.col(label).alias("lj"), F.col(vec).alias("vj"))
-    pairs = _attach(a, b, by).where(F.col("i") != F.col("j"))  # sample^2 per group, bounded by ``size``
-    d = pairs.select(*by, "i", "li", "lj", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
-    per = d.groupBy(*by, "i", "li", "lj").agg(F.avg("d").alias("md"))
+    ``by`` group); singleton clusters score 0. Pair distances are computed once over the sample
+    (size^2, bounded) and reused by every labeling."""
+    ids = F.broadcast(hash_sample(df.select("id").distinct(), size))
+    vecs = df.select("id", vec).join(ids, "id", "left_semi").dropDuplicates(["id"])
+    a = vecs.select(F.col("id").alias("i"), F.col(vec).alias("vi"))
+    b = vecs.select(F.col("id").alias("j"), F.col(vec).alias("vj"))
+    d = a.crossJoin(b).where(F.col("i") != F.col("j")).select(
+        "i", "j", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
+    labels = df.select(*by, "id", label).join(ids, "id", "left_semi")
+    li = labels.select(*by, F.col("id").alias("i"), F.col(label).alias("li"))
+    lj = labels.select(*by, F.col("id").alias("j"), F.col(label).alias("lj"))
+    per = d.join(li, "i").join(lj, [*by, "j"]).groupBy(*by, "i", "li", "lj").agg(F.avg("d").alias("md"))
     ab = per.groupBy(*by, "i", "li").agg(
         F.max(F.when(F.col("li") == F.col("lj"), F.col("md"))).alias("a"),
         F.min(F.when(F.col("li") != F.col("lj"), F.col("md"))).alias("b"))
     sc = ab.select(*by, F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b")).alias("s"))
     # points alone in their cluster never appear with a same-cluster pair: they count as 0
-    n = s.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    n = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     t = sc.groupBy(*by).agg(F.sum("s").alias("t"))
     out = t.join(n, list(by)) if by else t.crossJoin(n)
     return out.select(*by, F.round(F.col("t") / F.col("n"), DIGITS).alias("silhouette"))
 
 
-def quality_by_group(df: DataFrame, by, label: str = "cluster", vec: str = "vec", sample: int = 300) -> DataFrame:
+def quality_by_group(df: DataFrame, by, label: str = "cluster", vec: str = "vec",
+                     sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
     """The four measures for many labelings at once (one row per ``by`` group)."""
     by = list(by)
     return (silhouette_sample(df, sample, label, vec, by).join(calinski_harabasz(df, label, vec, by), by)
@@ -131,7 +140,7 @@ def model_centroids(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, centroid array<double>")
 
 
-def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec", sample: int = 300) -> DataFrame:
+def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec", sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
     """One KMeans fit per k on a persisted input; the four quality measures of all fits are
     then computed in one grouped job and written to the shared checkpoint folder."""
     from marquee.session import cut_lineage

@@ -90,7 +90,7 @@ def calinski_harabasz(spark, sf_dir):
 @register(
     "silhouette_sample",
     f"""{V('item_vectors')},
-smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 300),
+smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 10000),
 d AS (SELECT a.id AS i, a.cluster AS li, b.cluster AS lj, sqrt({_SQ.format(a='a.vec', b='b.vec')}) AS d FROM smp a JOIN smp b ON a.id <> b.id),
 per AS (SELECT i, li, lj, avg(d) AS md FROM d GROUP BY i, li, lj),
 ab AS (SELECT i, max(CASE WHEN li = lj THEN md END) AS a, min(CASE WHEN li <> lj THEN md END) AS b FROM per GROUP BY i),
@@ -98,8 +98,8 @@ sc AS (SELECT CASE WHEN a IS NULL OR b IS NULL THEN CAST(0 AS DOUBLE) ELSE (b -
 SELECT round(sum(s) / (SELECT count(*) FROM smp), 6) AS silhouette FROM sc""",
 )
 def silhouette_sample(spark, sf_dir):
-    """Exact Euclidean silhouette on a 300-row hash sample."""
-    return Cl.silhouette_sample(_items(spark, sf_dir), 300)
+    """Exact Euclidean silhouette on a hash sample of up to 10 000 rows (the reference's sample size)."""
+    return Cl.silhouette_sample(_items(spark, sf_dir))
 
 
 def _folded_metrics(spark, sf_dir, ks=range(2, 11)):
@@ -115,7 +115,7 @@ def _folded_sql() -> str:
     parts = []
     for k in range(2, 11):
         parts.append(f"""SELECT {k} AS k,
- (SELECT round(sum(s) / 300, 6) FROM (SELECT CASE WHEN a IS NULL OR b IS NULL THEN CAST(0 AS DOUBLE) ELSE (b - a) / greatest(a, b) END AS s
+ (SELECT round(sum(s) / (SELECT count(*) FROM smp), 6) FROM (SELECT CASE WHEN a IS NULL OR b IS NULL THEN CAST(0 AS DOUBLE) ELSE (b - a) / greatest(a, b) END AS s
    FROM (SELECT i, max(CASE WHEN li = lj THEN md END) AS a, min(CASE WHEN li <> lj THEN md END) AS b
          FROM (SELECT i, li, lj, avg(d) AS md FROM (SELECT a.id AS i, a.cluster % {k} AS li, b.cluster % {k} AS lj, sqrt({_SQ.format(a='a.vec', b='b.vec')}) AS d
                FROM smp a JOIN smp b ON a.id <> b.id) GROUP BY i, li, lj) GROUP BY i))) AS silhouette,
@@ -134,7 +134,7 @@ fc{k} AS (SELECT c.cluster, c.c, n.n FROM (SELECT cluster, list(m ORDER BY pos)
 fs{k} AS (SELECT c.cluster, c.c, s.s FROM fc{k} c JOIN (SELECT v.cluster, avg(sqrt({_SQ.format(a='v.vec', b='c.c')})) AS s
           FROM fv{k} v JOIN fc{k} c ON v.cluster = c.cluster GROUP BY v.cluster) s ON c.cluster = s.cluster)""")
     return (f"""{V('item_vectors')},
-smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 300),
+smp AS (SELECT id, cluster, vec FROM item_vectors ORDER BY md5(CAST(id AS VARCHAR) || ':sample'), id LIMIT 10000),
 g AS (SELECT list(m ORDER BY pos) AS g FROM (SELECT pos, avg(x) AS m FROM (SELECT unnest(range(len(vec))) AS pos, unnest(vec) AS x FROM item_vectors) GROUP BY pos)),
 """ + ",\n".join(ctes) + ",\nmt AS (" + "\nUNION ALL\n".join(parts) + ")")
 
