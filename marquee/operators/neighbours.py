@@ -61,10 +61,12 @@ def cluster_candidates(vectors: DataFrame, movies: DataFrame) -> DataFrame:
         "cluster", "title", "genres", F.col("tokens").alias("c_tokens"))
 
 
-def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFrame, gate: bool = True) -> DataFrame:
+def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFrame, gate: bool = True,
+                       seeds: DataFrame | None = None) -> DataFrame:
     """J10 + F11 + F6: (request, seed, candidate) pairs inside the seed's cluster, seed excluded,
-    with cosine similarity; with ``gate`` a pair sharing no genre scores 0 (row kept)."""
-    seeds = broadcast_if_small(seed_rows(requests, vectors, movies))
+    with cosine similarity; with ``gate`` a pair sharing no genre scores 0 (row kept).
+    ``seeds`` may pass resolved seed rows whose size the caller has already checked."""
+    seeds = broadcast_if_small(seed_rows(requests, vectors, movies)) if seeds is None else seeds
     cands = cluster_candidates(vectors, movies)
     pairs = seeds.join(cands, "cluster").where(F.col("seed_id") != F.col("movie_id"))
     sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"))
@@ -152,8 +154,8 @@ def content_neighbours(requests: DataFrame, vectors: DataFrame, movies: DataFram
     gate: genre gate (R2-R5); exclude_seeds: drop the request's own seeds (R5, R6);
     blocked: movieIds removed before the cut (R3, R5)."""
     seeds = seed_rows(requests, vectors, movies)
-    if seeds.limit(SMALL_SEED_ROWS + 1).count() <= SMALL_SEED_ROWS:
-        pairs = same_cluster_pairs(requests, vectors, movies, gate)
+    if seeds.limit(SMALL_SEED_ROWS + 1).count() <= SMALL_SEED_ROWS:  # checked: broadcast directly
+        pairs = same_cluster_pairs(requests, vectors, movies, gate, seeds=F.broadcast(seeds))
         sums = pairs.select("request_id", "movie_id", F.col("similarity").alias("sim_sum"))
     else:
         sums = cluster_similarity_sums(seeds, cluster_candidates(vectors, movies), gate)
