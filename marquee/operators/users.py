@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
-from marquee.operators.neighbours import broadcast_if_small
+from marquee.operators.neighbours import MAX_BROADCAST_ROWS, broadcast_if_small
 from marquee.operators.relational import dense_index, interaction_matrix, popularity, top_k_per_group, with_scalars
 
 SCORE_DIGITS = 6
@@ -78,8 +78,9 @@ def select_peers(cands: DataFrame, num_user: int = 5, mode: str = "banded") -> D
                          "similarity_rank")
 
 
-def _peer_rows(peers: DataFrame, matrix: DataFrame) -> DataFrame:
-    u = broadcast_if_small(peers.select("peer_id").distinct())
+def _peer_rows(peers: DataFrame, matrix: DataFrame, peers_checked: bool = False) -> DataFrame:
+    u = peers.select("peer_id").distinct()
+    u = F.broadcast(u) if peers_checked else broadcast_if_small(u)
     return matrix.join(u, matrix.userId == u.peer_id).select("peer_id", "movieId", F.col("rating").alias("r_u"))
 
 
@@ -90,14 +91,14 @@ def user_dot(peers: DataFrame, matrix: DataFrame, mine: DataFrame | None = None)
     return mine.join(other, "movieId").groupBy("peer_id", "v").agg(F.sum(F.col("r_u") * F.col("r_v")).alias("dot"))
 
 
-def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) -> DataFrame:
+def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100, peers_checked: bool = False) -> DataFrame:
     """For each peer u, unrated items j scored by sum_v dot(u, v) * r_vj; top n (ties: id).
 
     Items no co-rater reached score 0; they fill the list in id order when fewer than n
     items are reached. The matrix is read by three branches only (the peers' rows, the full
     matrix for both joins, the item dictionary); everything else derives from those."""
     m = interaction_matrix(ratings)
-    mine = _peer_rows(peers, m)
+    mine = _peer_rows(peers, m, peers_checked)
     d = user_dot(peers, m, mine)
     other = m.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
     rated = mine.select("peer_id", "movieId")
@@ -127,8 +128,10 @@ def user_ensemble(requests: DataFrame, user_vectors: DataFrame, ratings: DataFra
 
     ensemble_score counts peer occurrences (parity: a peer chosen twice votes twice);
     supported_by_users is the sorted distinct peer list."""
+    # at most num_user peers per request: a request table below the broadcast bound bounds the peers too
+    small = requests.limit(MAX_BROADCAST_ROWS // num_user + 1).count() <= MAX_BROADCAST_ROWS // num_user
     peers = select_peers(peer_candidates(requests, user_vectors), num_user, mode)
-    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer)
+    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer, peers_checked=small)
     votes = peers.select("request_id", "peer_id").join(recs.select("peer_id", "movieId"), "peer_id")
     agg = votes.groupBy("request_id", "movieId").agg(
         F.count(F.lit(1)).alias("ensemble_score"), F.sort_array(F.collect_set("peer_id")).alias("supported_by_users"))
