@@ -182,3 +182,22 @@ def hybrid_vector(spark, sf_dir):
     scaled = Vec.minmax_scale(iv).select("id", F.col("scaled").alias("vec"))
     out = Vec.concat_vectors(iv, scaled)
     return out.select("id", Vec.round_vec("vec").alias("vec"))
+
+
+@register(
+    "user_cluster_wide",
+    f"""{V('ratings', 'item_clusters')},
+pos AS (SELECT userId, movieId, rating FROM ratings WHERE rating > 3.5),
+cm AS (SELECT p.userId, c.cluster, avg(p.rating) AS r FROM pos p JOIN item_clusters c ON p.movieId = c.movieId GROUP BY 1, 2)
+SELECT userId, {', '.join(f"coalesce(max(CASE WHEN cluster = {k} THEN r END), CAST(0 AS DOUBLE)) AS cluster_rating_{k}" for k in range(10))}
+FROM cm GROUP BY userId""",
+)
+def user_cluster_wide(spark, sf_dir):
+    """Mean positive rating per item cluster as prefixed wide columns (cluster_rating_<k>),
+    0-filled; the pivot values are the item-cluster dictionary (bounded by the number of clusters)."""
+    pos = fx.positive_ratings(spark, sf_dir, Fe.POSITIVE)
+    ic = fx.item_clusters(spark, sf_dir)
+    cm = pos.join(ic, "movieId").groupBy("userId", "cluster").agg(F.avg("rating").alias("r"))
+    ks = [r.cluster for r in ic.select("cluster").distinct().orderBy("cluster").collect()]  # dictionary, not facts
+    wide = cm.groupBy("userId").pivot("cluster", ks).agg(F.first("r"))
+    return wide.select("userId", *[F.coalesce(F.col(str(k)), F.lit(0.0)).alias(f"cluster_rating_{k}") for k in ks])
