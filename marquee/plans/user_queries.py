@@ -198,3 +198,42 @@ def watched_segments_all_users(spark, sf_dir):
         F.col("userId").alias("request_id"), "movieId")
     return U.watched_segments(req, fx.item_clusters(spark, sf_dir), fx.movies(spark, sf_dir),
                               fx.ratings(spark, sf_dir), 10)
+
+
+_ALL_PEERS_SQL = f"""{V('user_vectors', 'seeds')}, {_REQ_SQL},
+uv AS (SELECT id, vec, cluster, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors),
+pc AS (SELECT r.request_id, r.user_id, p.id AS peer_id, round({_COS}, 6) AS similarity
+       FROM rq r JOIN uv q ON r.user_id = q.id JOIN uv p ON q.cluster = p.cluster AND p.id <> q.id)"""
+
+
+@register(
+    "similar_user_rank",
+    f"""{_ALL_PEERS_SQL}
+SELECT request_id, user_id, peer_id, similarity,
+       CAST(row_number() OVER (PARTITION BY request_id ORDER BY similarity DESC, peer_id) AS INTEGER) AS similarity_rank FROM pc""",
+)
+def similar_user_rank(spark, sf_dir):
+    """Every cluster peer of users 1, 10, 100 ranked by similarity (row_number per request)."""
+    from pyspark.sql import Window
+
+    c = U.peer_candidates(_user_requests(spark), fx.user_vectors(spark, sf_dir)).withColumn(
+        "similarity", F.round("similarity", 6))
+    w = Window.partitionBy("request_id").orderBy(F.col("similarity").desc(), F.col("peer_id").asc())
+    return c.withColumn("similarity_rank", F.row_number().over(w))
+
+
+@register(
+    "similarity_level",
+    f"""{_ALL_PEERS_SQL}
+SELECT request_id, user_id, peer_id, similarity,
+       CASE WHEN similarity = 1.0 THEN 'identical' WHEN similarity > 0.99 THEN 'near identical'
+            WHEN similarity > 0.95 THEN 'close' WHEN similarity > 0.90 THEN 'medium' ELSE 'weak' END AS similarity_level
+FROM pc""",
+)
+def similarity_level(spark, sf_dir):
+    """level label of every peer similarity of users 1, 10, 100."""
+    from marquee.functions.columns import similarity_level as level
+
+    c = U.peer_candidates(_user_requests(spark), fx.user_vectors(spark, sf_dir)).withColumn(
+        "similarity", F.round("similarity", 6))
+    return c.withColumn("similarity_level", level("similarity"))

@@ -346,3 +346,39 @@ def sum_similarity(spark, sf_dir):
     return j.groupBy("request_id", "movie_id").agg(
         F.round(F.sum("gated"), 6).alias("similarity_score"), F.round(F.sum("cos"), 6).alias("cosine_sum"),
         F.round(F.sum(1 - F.col("cos")), 6).alias("distance_sum"))
+
+
+@register(
+    "cosine",
+    f"""{V('item_vectors')},
+l AS (SELECT id, cluster, unnest(range(len(vec))) AS pos, unnest(vec) AS x FROM item_vectors),
+cen AS (SELECT cluster, list(m ORDER BY pos) AS c FROM (SELECT cluster, pos, avg(x) AS m FROM l GROUP BY cluster, pos) GROUP BY cluster),
+j AS (SELECT v.id, v.cluster, v.vec, c.c, sqrt(list_dot_product(v.vec, v.vec)) AS vn, sqrt(list_dot_product(c.c, c.c)) AS cn
+      FROM item_vectors v JOIN cen c ON v.cluster = c.cluster)
+SELECT id, cluster, round(CASE WHEN vn = 0 OR cn = 0 THEN {ZERO} ELSE list_dot_product(vec, c) / (vn * cn) END, 6) AS similarity FROM j""",
+)
+def cosine(spark, sf_dir):
+    """cosine of every item vector with its cluster centroid (0 when a norm is 0)."""
+    from marquee.operators import clustering as Cl
+
+    iv = fx.item_vectors(spark, sf_dir)
+    cents = Cl.centroids(iv).select("cluster", "centroid")
+    j = iv.join(F.broadcast(cents), "cluster")
+    return j.select("id", "cluster", F.round(C.cosine("vec", "centroid"), 6).alias("similarity"))
+
+
+@register(
+    "nearest_one",
+    f"""{V('item_vectors', 'seeds')},
+vn AS ({_vec_sql()}),
+sc AS (SELECT s.movieId AS request_id, q.id AS query_id, c.id AS candidate_id,
+              round({COS.format(a='q.vec', b='c.vec').replace('q.vecn', 'q.nrm').replace('c.vecn', 'c.nrm')}, 6) AS similarity
+       FROM seeds s JOIN vn q ON s.movieId = q.id CROSS JOIN vn c WHERE c.id <> q.id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY similarity DESC, candidate_id) AS rn FROM sc)
+SELECT request_id, query_id, candidate_id, similarity FROM rk WHERE rn = 1""",
+)
+def nearest_one(spark, sf_dir):
+    """Arg-max neighbour of each requested item over all vectors."""
+    iv = fx.item_vectors(spark, sf_dir)
+    rq = fx.seed_requests(spark).select(F.col("movieId").alias("id")).withColumn("request_id", F.col("id"))
+    return N.knn_scan(rq, iv, iv, k=1).drop("rank")
