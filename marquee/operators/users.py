@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
 from marquee.operators.neighbours import MAX_BROADCAST_ROWS, broadcast_if_small
+from marquee.session import cut_lineage
 from marquee.operators.relational import dense_index, interaction_matrix, popularity, top_k_per_group, with_scalars
 
 SCORE_DIGITS = 6
@@ -131,6 +132,8 @@ def user_ensemble(requests: DataFrame, user_vectors: DataFrame, ratings: DataFra
     # at most num_user peers per request: a request table below the broadcast bound bounds the peers too
     small = requests.limit(MAX_BROADCAST_ROWS // num_user + 1).count() <= MAX_BROADCAST_ROWS // num_user
     peers = select_peers(peer_candidates(requests, user_vectors), num_user, mode)
+    if small:  # a few rows feeding three branches: materialise once in the shared checkpoint folder
+        peers = cut_lineage(peers)
     recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer, peers_checked=small)
     votes = peers.select("request_id", "peer_id").join(recs.select("peer_id", "movieId"), "peer_id")
     agg = votes.groupBy("request_id", "movieId").agg(
@@ -144,8 +147,11 @@ def user_ensemble(requests: DataFrame, user_vectors: DataFrame, ratings: DataFra
 def peer_recommendations(requests: DataFrame, user_vectors: DataFrame, ratings: DataFrame, movies: DataFrame, *,
                          num_user: int = 5, per_peer: int = 100, mode: str = "banded") -> DataFrame:
     """R7 side output: each chosen peer's list with its similarity rank."""
+    small = requests.limit(MAX_BROADCAST_ROWS // num_user + 1).count() <= MAX_BROADCAST_ROWS // num_user
     peers = select_peers(peer_candidates(requests, user_vectors), num_user, mode)
-    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer)
+    if small:
+        peers = cut_lineage(peers)
+    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer, peers_checked=small)
     out = peers.join(recs, "peer_id").join(movies.select("movieId", "title", "genres"), "movieId")
     return out.select("request_id", F.col("peer_id").alias("user_id"), F.col("movieId").alias("movie_id"), "title",
                       "genres", "similarity_rank", "item_rank")
