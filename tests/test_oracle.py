@@ -53,3 +53,16 @@ def test_entry_smoke(spark, entry):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["movieId", "title", "genres", "ave_rating", "rating_count", "weighted_rating"]
+
+
+# model fits and their derived flows: checked by rows and invariants in test_models.py
+INVARIANT_ONLY = {
+    "add_items", "als_item_factors", "bridge_scores", "encode_items", "encode_user_segments", "encode_users",
+    "fold_in_users", "k_sweep", "kmeans_items", "knn_lsh", "model_roundtrip", "new_item_recs", "new_user_recs",
+    "predicted_topk", "rating_als", "rating_regressor", "reconstruction_mse", "weak_dims",
+}
+
+
+def test_every_query_has_an_oracle_or_is_a_model(entry):
+    missing = set(entry.queries()) - set(entry.oracle_sql())
+    assert missing == INVARIANT_ONLY
