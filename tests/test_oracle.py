@@ -18,6 +18,7 @@ SUBSET = [
     "similarity_bands", "peer_selection", "co_rating_scores", "user_ensemble", "segment_recommend",
     "watched_segments", "eval_rbo", "eval_rbo_curve", "eval_match_matrix", "assign_centroid", "davies_bouldin",
     "silhouette_sample", "closest_by_genres", "regression_metrics", "stream_popularity",
+    "cosine", "nearest_one", "user_cluster_wide", "k_rank_vote",
 ]
 
 FULL = os.environ.get("MARQUEE_FULL") == "1"
