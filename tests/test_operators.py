@@ -261,3 +261,10 @@ def test_watched_segments_excludes_watched_and_ranks(spark):
 def test_ratings_map_repeated_id_keeps_last(spark):
     df = spark.createDataFrame([([1, 2, 1], [4.0, 3.0, 5.0])], "i array<bigint>, r array<double>")
     assert df.select(C.ratings_map("i", "r").alias("m")).first().m == {1: 5.0, 2: 3.0}
+
+
+def test_assign_new_ids_continue_after_max(spark):
+    existing = spark.createDataFrame([(1,), (5,)], "movieId bigint")
+    new = spark.createDataFrame([("b",), ("a",), ("c",)], "title string")
+    got = {r.title: r.movieId for r in Rel.assign_new_ids(new, existing, "movieId", "title").collect()}
+    assert got == {"a": 6, "b": 7, "c": 8}
