@@ -55,3 +55,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             AND word_length BETWEEN word_length_low AND word_length_high END AS kept
 FROM c WHERE choice = 1
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS owner FROM p),
+t AS (SELECT *, payload_bytes >= 1000 AND owner IS NOT NULL AND page_id IS DISTINCT FROM owner AS again FROM o)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN owner END AS refers_to
+FROM t
+"""

@@ -5,23 +5,60 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.llm import oracles
 from marquee.llm.common import table
+from marquee.llm.packing import pack, with_digests
 from marquee.llm.quality_rules import quality_rules
+from marquee.llm.sharding import shard_documents
+from marquee.llm.token_counts import count_tokens
+from marquee.llm.warc import round_trip
+
+SHARDS = 40
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed vocabulary files lie; they are never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_digests(pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2048))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), 4096)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_packing": op2_packing,
+        "op3_sharding": op3_sharding,
         "op4_quality_rules": op4_quality_rules,
+        "op7_token_counts": op7_token_counts,
+        "op9_warc": op9_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": oracles.QUALITY_RULES,
+        "op9_warc": oracles.WARC,
     }
