@@ -28,3 +28,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tokenizer_file(name: str) -> str:
+    """Where an installed vocabulary file lies; such files are never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -64,3 +64,50 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' EL
        CASE WHEN again THEN owner END AS refers_to
 FROM t
 """
+
+
+def _mixing(max_repeats: float = 2.0, entropy: float = 0.98, block_tokens: int = 4_000_000, seed: str = "mix") -> str:
+    """The exponent's sections, one after another, then passes, blocks and slots by plain windows."""
+    rounds, low, high = [], "0.0::DOUBLE", "1.0::DOUBLE"
+    for k in range(5):
+        rounds.append(f"""
+g{k} AS (SELECT i, {low} + i * ({high} - {low}) / 32 AS a FROM range(0, 33) t(i)),
+e{k} AS (
+  SELECT i, a, sum(pow(share, a)) AS z, sum(pow(share, a) * ln(share)) AS q, max(pow(share, a) / tokens) / min(pow(share, a) / tokens) AS repeats, any_value(sources) AS sources
+  FROM s, g{k} GROUP BY i, a),
+b{k} AS (SELECT min(i) AS i FROM e{k} WHERE repeats <= {max_repeats} AND ln(z) - a * q / z <= {entropy} * ln(sources) + 1e-12),
+r{k} AS (SELECT coalesce((SELECT a FROM g{k} WHERE g{k}.i = greatest(b{k}.i - 1, 0)), 1.0) AS low, coalesce((SELECT a FROM g{k} WHERE g{k}.i = b{k}.i), 1.0) AS high FROM b{k})""")
+        low, high = f"(SELECT low FROM r{k})", f"(SELECT high FROM r{k})"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+t AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY source),
+s AS (SELECT source, tokens, tokens / sum(tokens) OVER () AS share, (count(*) OVER ())::DOUBLE AS sources FROM t WHERE tokens > 0),{",".join(rounds)},
+p AS (SELECT source, tokens, pow(share, (SELECT high FROM r4)) AS power FROM s),
+w AS (
+  SELECT source, power / sum(power) OVER () AS weight,
+         greatest(tokens, floor(tokens * (power / tokens / min(power / tokens) OVER ()) + 1e-6)::BIGINT) AS budget FROM p),
+u AS (
+  SELECT t.source, tokens, coalesce(weight, 0.0) AS weight, coalesce(budget, 0) AS budget,
+         CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS passes, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+  FROM t LEFT JOIN w USING (source)),
+n AS (SELECT greatest(1, ceil(sum(budget) / {block_tokens}))::BIGINT AS blocks FROM u),
+k AS (SELECT blocks, CASE WHEN 4 * blocks <= 256 THEN 2 WHEN 4 * blocks <= 4096 THEN 3 ELSE 4 END AS digits FROM n),
+l AS (
+  SELECT r, coalesce(sum(n_tokens) OVER (PARTITION BY source ORDER BY hash RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) < rest AS more
+  FROM (SELECT d.*, rest, md5(concat_ws('|', '{seed}', passes, doc_id)) AS hash FROM d JOIN u USING (source))),
+x AS (
+  SELECT d.*, tokens, weight, budget, e AS epoch, md5(concat_ws('|', '{seed}', e, doc_id)) AS hash
+  FROM d JOIN u USING (source) JOIN l USING (r), LATERAL (SELECT unnest(range(0, passes + CASE WHEN more THEN 1 ELSE 0 END)) AS e)),
+q AS (
+  SELECT source, epoch, left(hash, digits) AS bucket, any_value(tokens) AS tokens, any_value(budget) AS budget, any_value(blocks) AS blocks, sum(n_tokens) AS n
+  FROM x, k GROUP BY source, epoch, left(hash, digits)),
+z AS (
+  SELECT source, epoch, bucket, CASE WHEN budget > 0 THEN
+         least(blocks - 1, floor((epoch * tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY bucket) - n)::DOUBLE * blocks / budget))::BIGINT ELSE 0 END AS block FROM q)
+SELECT doc_id, x.source, x.epoch, n_tokens, round(weight, 9) AS weight, block, row_number() OVER (PARTITION BY block ORDER BY hash, x.source, x.epoch, n_tokens) - 1 AS slot
+FROM x, k, z WHERE z.source = x.source AND z.epoch = x.epoch AND z.bucket = left(x.hash, digits)
+"""
+
+
+MIXING = _mixing()

@@ -1,7 +1,7 @@
 import pytest
 import sentencepiece
 
-from marquee.llm.queries import tokenizer_file
+from marquee.llm.common import tokenizer_file
 from marquee.llm.token_counts import count_tokens, single_tokens
 
 FILE = tokenizer_file("piece_bpe_32k.model")
