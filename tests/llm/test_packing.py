@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from marquee.llm.packing import END_ID, pack, with_digests
-from marquee.llm.queries import tokenizer_file
+from marquee.llm.common import tokenizer_file
 
 FILE = tokenizer_file("word_bpe_49k.json")
 
@@ -48,3 +48,17 @@ def test_digests(some_docs):
 
 def test_empty(no_docs):
     assert with_digests(pack(no_docs, FILE)).collect() == []
+
+
+def test_parts_keep_the_ids(some_docs):
+    import pyarrow as pa
+
+    from marquee.llm.packing import _Encoder
+
+    tokenizer = Tokenizer.from_file(FILE)
+    texts = ["don't it's 'S we'll can't, (can't) ,'s", "a,b;c... d--e f_g h1 1h 12,3", "J̌ ǰ Ǩ Å Å Å ≠ a≠", "<|endoftext|> x<|startoftext|>y <|nope|> a<b", "\x1c a\x1fb \x00, \x7f.", "É,é É. …, a…b  x y 　z", "Σ ΑΣ ΑΣ, İI ı ǅ ﬁ", "ALL CAPS!! All Caps??", "á, é ́x ,́ .́"]
+    texts += [r["text"] or "" for r in some_docs.collect()]
+    encoder = _Encoder(FILE)
+    for _ in range(2):
+        got = [x.tolist() for x in encoder.encode(pa.array(texts))]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
