@@ -1,7 +1,7 @@
 """Temperature mixing of sources into budgeted block permutations (operator 5).
 
 A source with the share p of all tokens gets the weight p ** a, normalised. The exponent a is the
-smallest in [0, 1] at which no source is repeated more than ``max_repeats`` times as often as the
+smallest in [0, 1] (the flattest mixture) at which no source is repeated more than ``max_repeats`` times as often as the
 least repeated one, and the entropy of the weights stays within ``entropy`` of its maximum. It is
 found by sections of the interval, each one aggregate over the table of shares.
 
@@ -125,7 +125,7 @@ def _counted(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", _source(), _tokens()), "mix-tokens")
 
 
-def mix(docs: DataFrame, max_repeats: float = 2.0, entropy: float = 0.98, block_tokens: int = 4_000_000, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, max_repeats: float = 2.0, entropy: float = 0.999, block_tokens: int = 4_000_000, seed: str = "mix") -> DataFrame:
     """doc_id, source, epoch, n_tokens, weight (of the source), block and slot (order in the block)."""
     rows = _counted(docs)
     dealt = Plan(rows, max_repeats, entropy, block_tokens, seed).dealt(rows)
@@ -133,7 +133,7 @@ def mix(docs: DataFrame, max_repeats: float = 2.0, entropy: float = 0.98, block_
     return dealt.select("doc_id", "source", "epoch", "n_tokens", F.round("weight", 9).alias("weight"), "block", slot.cast("long").alias("slot"))
 
 
-def mixed_documents(docs: DataFrame, max_repeats: float = 2.0, entropy: float = 0.98, block_tokens: int = 4_000_000, seed: str = "mix") -> DataFrame:
+def mixed_documents(docs: DataFrame, max_repeats: float = 2.0, entropy: float = 0.999, block_tokens: int = 4_000_000, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, once a pass, in the order of the mixture."""
     plan = Plan(_counted(docs), max_repeats, entropy, block_tokens, seed)
     dealt = plan.dealt(docs.select("doc_id", _source(), F.struct("*").alias("document")))

@@ -66,7 +66,7 @@ FROM t
 """
 
 
-def _mixing(max_repeats: float = 2.0, entropy: float = 0.98, block_tokens: int = 4_000_000, seed: str = "mix") -> str:
+def _mixing(max_repeats: float = 2.0, entropy: float = 0.999, block_tokens: int = 4_000_000, seed: str = "mix") -> str:
     """The exponent's sections, one after another, then passes, blocks and slots by plain windows."""
     rounds, low, high = [], "0.0::DOUBLE", "1.0::DOUBLE"
     for k in range(5):

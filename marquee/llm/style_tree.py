@@ -4,8 +4,8 @@ The pages of a host are merged into one tree: an element is known by the labels
 on the way to it. Each of its presentations (the order of its children's labels) and each of its
 texts is counted over the host's pages. The importance of a presentation node is the entropy of its
 presentations, that of a content node is 1 less the mean entropy of its texts over the pages: text
-that stands on every page tells nothing. Both mix into a composite importance, in which a node's
-content nodes below it weigh more the fewer kinds of children it has. A branch whose every node
+that stands on every page tells nothing. Both mix into a composite importance, in which the mean of
+the content nodes of a branch weighs more the fewer presentations its root has. A branch whose every node
 stays below ``LEAST`` is cut from the pages of the host, if at least ``PAGES`` of them have it.
 
 Pages say themselves what much of their boilerplate is, and a host's menus or adverts can differ on
@@ -37,7 +37,7 @@ from marquee.llm.common import written
 from marquee.llm.html import HEADINGS, Element, parse
 from marquee.llm.words import text_slices
 
-#: Least importance of a branch, pages that must have it, discount a kind of child, and levels of the tree.
+#: Least importance of a branch, pages that must have it, discount a presentation, and levels of the tree.
 LEAST, PAGES, DISCOUNT, DEPTH = 0.3, 10, 0.9, 24
 #: Elements and names that declare boilerplate.
 NOISE_TAGS = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
@@ -154,7 +154,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     features = source.mapInArrow(_counts, _COUNTS).groupBy("host", "node", "kind", "feature")
     features = features.agg(F.first("up").alias("up"), F.sum("n").alias("n"), F.sum("n_log_n").alias("n_log_n"), F.sum("pages").alias("pages"))
     nodes = features.groupBy("host", "node", "kind").agg(
-        F.first("up").alias("up"), F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.count("*").alias("features"),
+        F.first("up").alias("up"), F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.count("*").alias("features"), F.count_if(F.col("feature") != _key()).alias("styles"),
         F.sum(F.col("n") * F.log("n")).alias("n_log_n"), F.sum(F.log("n") - F.col("n_log_n") / F.col("n")).alias("entropies"),
     )
     base = F.log(F.greatest(F.col("pages"), F.lit(2)))
@@ -163,14 +163,14 @@ def style_tree(pages: DataFrame) -> DataFrame:
     nodes = nodes.withColumn("own", F.when(F.col("pages") < 2, 1.0).when(F.col("kind") == _PRESENTATION, looks).otherwise(texts))
     nodes = nodes.groupBy("host", "node").agg(
         F.first("up").alias("up"), F.max(F.when(F.col("kind") == _PRESENTATION, F.col("pages"))).alias("pages"),
-        F.max(F.when(F.col("kind") == _PRESENTATION, F.col("own"))).alias("looks"), F.max(F.when(F.col("kind") == _PRESENTATION, F.col("features"))).alias("kinds"),
+        F.max(F.when(F.col("kind") == _PRESENTATION, F.col("own"))).alias("looks"), F.max(F.when(F.col("kind") == _PRESENTATION, F.col("styles"))).alias("styles"),
         F.max(F.when(F.col("kind") == _TEXT, F.col("own"))).alias("texts"), F.coalesce(F.max(F.when(F.col("kind") == _TEXT, F.col("n"))), F.lit(0)).alias("weight"),
     )
     nodes = written(nodes, "style-nodes")
     lines = F.explode(F.concat("up", F.array("node")))
     below = nodes.where("weight > 0").select("host", lines.alias("node"), "texts", "weight")
     below = below.groupBy("host", "node").agg((F.sum(F.col("texts") * F.col("weight")) / F.sum("weight")).alias("content"))
-    discount = F.pow(F.lit(DISCOUNT), F.col("kinds"))
+    discount = F.pow(F.lit(DISCOUNT), F.col("styles"))  # 1 for elements without children
     composite = F.when(F.col("content").isNull(), 0.0).otherwise((1 - discount) * F.col("looks") + discount * F.col("content"))
     return nodes.join(below, ["host", "node"], "left").select("host", "node", "up", "pages", composite.alias("importance"))
 

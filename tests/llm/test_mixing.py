@@ -13,7 +13,7 @@ def shares(rows):
 
 def test_weights_and_budgets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    plan = Plan(_counted(docs), 2.0, 0.98, 20_000, "s")
+    plan = Plan(_counted(docs), 2.0, 0.999, 20_000, "s")
     natural = shares(_counted(docs).collect())
     total = sum(natural.values())
     p = {s: n / total for s, n in natural.items()}
@@ -25,10 +25,10 @@ def test_weights_and_budgets(spark):
     def fits(a):
         w = flattened(a)
         repeats = [w[s] / p[s] for s in p]
-        return max(repeats) / min(repeats) <= 2.0 and -sum(x * math.log(x) for x in w.values()) <= 0.98 * math.log(len(p))
+        return max(repeats) / min(repeats) <= 2.0 and -sum(x * math.log(x) for x in w.values()) <= 0.999 * math.log(len(p))
 
     assert fits(plan.exponent + 1e-9) and not fits(plan.exponent - 1e-4)
-    rows = mix(docs, 2.0, 0.98, 20_000, "s").collect()
+    rows = mix(docs, 2.0, 0.999, 20_000, "s").collect()
     passes = defaultdict(Counter)
     for r in rows:
         passes[r["doc_id"]][r["epoch"]] += 1
