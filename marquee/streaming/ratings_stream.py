@@ -3,13 +3,16 @@
 Order lines arrive as parquet files; each is joined to the static orders table
 (stream-static join) to form ratings, and a stateful streaming aggregation keeps
 sum and count per movie in the state store (checkpointed under the shared
-``spark.checkpoint.dir``). Every micro-batch writes the current table to a folder
-named by its batch id, so a replayed batch overwrites the same folder (idempotent
-sink); readers take the newest committed folder.
+``spark.checkpoint.dir``). The query runs in update mode: a micro-batch brings only
+the movies it has changed, which replace their rows of the folder before it. Folders
+are named by batch id, so a replayed batch overwrites the same folder (idempotent
+sink), and readers open the newest folder only.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +40,24 @@ def run_popularity_stream(spark: SparkSession, sf_dir: str, out_dir: str | None
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id:012d}")
+        current = batch.select("movieId", "rating_sum", "rating_count")
+        if batch_id:
+            before = batch.sparkSession.read.schema(current.schema).parquet(_folder(out_dir, batch_id - 1))
+            current = before.join(current, "movieId", "left_anti").unionByName(current)
+        current.write.mode("overwrite").parquet(_folder(out_dir, batch_id))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_dir
 
 
+def _folder(out_dir: str, batch_id: int) -> str:
+    return f"{out_dir}/batch={batch_id:012d}"
+
+
 def latest_popularity(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Newest committed batch of the sink as (movieId, ave_rating, rating_count)."""
-    snap = spark.read.parquet(out_dir)
-    last = snap.agg(F.max("batch").alias("_b"))
-    cur = snap.join(F.broadcast(last), snap.batch == last._b)
+    """Newest batch of the sink as (movieId, ave_rating, rating_count); file names tell which it is."""
+    newest = max(int(re.search(r"/batch=(\d+)/", f)[1]) for f in spark.read.parquet(out_dir).inputFiles())
+    cur = spark.read.parquet(_folder(out_dir, newest))
     return cur.select("movieId", (F.col("rating_sum") / F.col("rating_count")).alias("ave_rating"), "rating_count")

@@ -22,3 +22,17 @@ def test_stream_matches_batch_and_restarts_cleanly(spark):
     again = {r.movieId: (r.ave_rating, r.rating_count) for r in S.latest_popularity(spark, out).collect()}
     assert again == first
     assert sorted(p for p in os.listdir(out.replace("file:", "")) if p.startswith("batch=")) == batches
+
+
+def test_several_batches_merge_by_key(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    lines = pq.read_table(f"{SF_SMALL}/lineitem.parquet")
+    cuts = [0, 10, 1500, 4000, lines.num_rows]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        pq.write_table(lines.slice(a, b - a), tmp_path / ("lineitem.parquet" if i == 0 else f"lineitem_{i}.parquet"))
+    pq.write_table(pq.read_table(f"{SF_SMALL}/orders.parquet"), tmp_path / "orders.parquet")
+    out = S.run_popularity_stream(spark, str(tmp_path))
+    assert len([p for p in os.listdir(out.replace("file:", "")) if p.startswith("batch=")]) == 4
+    got = {r.movieId: (r.ave_rating, r.rating_count) for r in S.latest_popularity(spark, out).collect()}
+    assert got == {r.movieId: (r.ave_rating, r.rating_count) for r in Rel.popularity(fx.ratings(spark, SF_SMALL)).collect()}
