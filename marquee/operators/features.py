@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import genre_tokens, hash_bucket, multi_hot
-from marquee.operators.relational import popularity, with_scalars
+from marquee.operators.relational import popularity, scalar_quantile, with_scalars
 from marquee.operators.vectors import dim_stats, round_vec, standard_scale
 
 POSITIVE = 3.5
@@ -73,8 +73,7 @@ def content_matrix(scores: DataFrame, tags: DataFrame, quantile: float | None =
     """
     s = scores
     if quantile is not None:
-        q = s.agg(F.percentile("relevance", F.lit(quantile)).alias("_q"))
-        s = with_scalars(s, q).where(F.col("relevance") >= F.col("_q")).drop("_q")
+        s = with_scalars(s, scalar_quantile(s, "relevance", quantile, "_q")).where(F.col("relevance") >= F.col("_q")).drop("_q")
     n_movies = s.agg(F.countDistinct("movieId").alias("_n"))
     per_tag = s.groupBy("tagId").agg(
         F.min("relevance").alias("_mn"), F.max("relevance").alias("_mx"), F.countDistinct("movieId").alias("_k"))

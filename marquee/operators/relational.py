@@ -10,9 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marquee.functions.columns import genre_tokens
+from marquee.session import cut_lineage
 
 # ---------------------------------------------------------------- aggregates
 
@@ -36,8 +36,18 @@ def scalar_mean(df: DataFrame, c: str, name: str) -> DataFrame:
 
 
 def scalar_quantile(df: DataFrame, c: str, p: float, name: str) -> DataFrame:
-    """A3: exact quantile with linear interpolation (pandas default) as a 1-row frame."""
-    return df.agg(F.percentile(F.col(c).cast("double"), F.lit(p)).alias(name))
+    """A3: exact quantile with linear interpolation (pandas default) as a 1-row frame.
+
+    Order statistics over a range-partitioned table of distinct values and their counts, so a
+    continuous column is never held by one task. Nulls are left out."""
+    values = df.select(F.col(c).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    upto = running_total(values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")), [F.col("_v").asc()], "_n", "_upto")
+    ranked = upto.crossJoin(F.broadcast(upto.agg(F.max("_upto").alias("_all"))))
+    pos = (F.col("_all") - 1) * F.lit(float(p))
+    at = ranked.agg(F.min(F.when(F.col("_upto") > F.floor(pos), F.col("_v"))).alias("_lo"),
+                    F.min(F.when(F.col("_upto") > F.ceil(pos), F.col("_v"))).alias("_hi"),
+                    F.max(pos - F.floor(pos)).alias("_f"))
+    return at.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias(name))
 
 
 def interaction_matrix(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
@@ -51,8 +61,8 @@ def next_id(df: DataFrame, c: str, name: str = "next_id") -> DataFrame:
 
 
 def assign_new_ids(new_rows: DataFrame, existing: DataFrame, c: str, order_by: str) -> DataFrame:
-    """A12 (batch): new ids max+1, max+2, ... in ``order_by`` order; ids are
-    distributed by a sorted zipWithIndex, not a single-partition window."""
+    """A12 (batch): new ids max+1, max+2, ... in ``order_by`` order; ids come
+    from range offsets, not from a single-partition window."""
     base = next_id(existing, c, "_base")
     indexed = dense_index(new_rows, order_by, "_k", distinct=False)
     return with_scalars(indexed, base).withColumn(c, F.col("_base") + F.col("_k")).drop("_base", "_k")
@@ -85,15 +95,32 @@ def keep_last(df: DataFrame, key: str, seq: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(s).alias("_last")).select(key, *[F.col(f"_last.{c}").alias(c) for c in others])
 
 
-def dense_index(df: DataFrame, c: str, name: str = "idx", distinct: bool = True) -> DataFrame:
-    """0-based code over sorted values (LabelEncoder order: numeric, not text).
+def running_total(df: DataFrame, order: Sequence[Column], amount: str | None, name: str,
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running total of ``amount`` (None: row count) in ``order``, within each key group.
+
+    The rows are range-partitioned on (keys, order) and written once; totals per (range, key) then
+    give each range its offset. No task holds more than a range, however large a key group is, and
+    everything stays in the JVM. ``order`` should break ties (equal rows fall into one range)."""
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order).sortWithinPartitions(*keys, *order)
+    fixed = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id())).withColumn(
+        "_part", F.shiftright("_at", 33))
+    one = F.lit(1) if amount is None else F.col(amount)
+    part = fixed.groupBy(*keys, "_part").agg(F.sum(one).alias("_sum"), F.min("_at").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_part") if keys else Window.orderBy("_part")  # one row per range and key
+    offset = part.select(*keys, "_part", "_first", (F.sum("_sum").over(w) - F.col("_sum")).alias("_before"))
+    joined = fixed.join(offset, [*keys, "_part"])
+    if amount is None:
+        inside = F.col("_at") - F.col("_first") + 1
+    else:
+        inside = F.sum(one).over(Window.partitionBy(*keys, "_part").orderBy("_at"))
+    return joined.withColumn(name, F.col("_before") + inside).drop("_at", "_part", "_first", "_before")
 
-    Range-partitioned sort + zipWithIndex: no single-partition window."""
+
+def dense_index(df: DataFrame, c: str, name: str = "idx", distinct: bool = True) -> DataFrame:
+    """0-based code over sorted values (LabelEncoder order: numeric, not text)."""
     base = df.select(c).distinct() if distinct else df
-    ordered = base.orderBy(c)
-    schema = ordered.schema.add(name, T.LongType(), False)
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    return running_total(base, [F.col(c).asc()], None, name).withColumn(name, F.col(name) - 1)
 
 
 def average_rank(df: DataFrame, c: str, ascending: bool, name: str) -> DataFrame:
