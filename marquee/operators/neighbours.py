@@ -1,10 +1,10 @@
 """Similarity queries over keyed vector sets.
 
-Work is always bounded by the request table: each request scans only the
-members of its seeds' clusters (J10) or, for the unblocked kNN scans (J12), the
-candidate table once. Request sides are broadcast only after a size check;
-beyond it the join is a shuffle join on the cluster key, and AQE splits a hot
-cluster's partitions (skew join).
+Every scoring runs on one plan: a grid of (request block x candidate block) cells inside each
+cluster (one cluster for scans without clusters). Requests are hashed by request_id, so a cell
+holds all of a request's rows for its cluster and can cut its list to what the request needs;
+candidates are hashed by id. A hot cluster becomes many cells of bounded size, a cell is one BLAS
+matmul, and only the cut lists are shuffled again.
 """
 
 from __future__ import annotations
@@ -18,20 +18,10 @@ from marquee.functions.columns import cosine, genre_tokens, norm, rank_weight, s
 from marquee.operators.relational import top_k_per_group
 
 SCORE_DIGITS = 6
-# Broadcast a request-side frame (rows carry a vector) only below this many rows.
-MAX_BROADCAST_ROWS = 100_000
-# Seeds / candidates per block of the cluster-block kernel (a block holds at most
-# BLOCK_ROWS x BLOCK_ROWS similarities, ~8 MB).
+# Seeds / candidates per block of the grid (a cell holds at most BLOCK_ROWS x BLOCK_ROWS similarities, ~8 MB).
 BLOCK_ROWS = 1024
-# Up to this many seeds the pairs are scored by built-in expressions on a broadcast seed
-# side (no Python worker start-up); beyond it the cluster-block kernel is used.
-SMALL_SEED_ROWS = 512
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a bounded size check (counts at most max_rows + 1 rows)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# Lists are cut on unrounded scores in a cell and ranked on rounded ones: scores this close to the cut stay.
+_NEAR = 2 * 10.0 ** -SCORE_DIGITS
 
 
 def _vectors_with_norm(vectors: DataFrame) -> DataFrame:
@@ -61,18 +51,16 @@ def cluster_candidates(vectors: DataFrame, movies: DataFrame) -> DataFrame:
         "cluster", "title", "genres", F.col("tokens").alias("c_tokens"))
 
 
-def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFrame, gate: bool = True,
-                       seeds: DataFrame | None = None) -> DataFrame:
-    """J10 + F11 + F6: (request, seed, candidate) pairs inside the seed's cluster, seed excluded,
-    with cosine similarity; with ``gate`` a pair sharing no genre scores 0 (row kept).
-    ``seeds`` may pass resolved seed rows whose size the caller has already checked."""
-    seeds = broadcast_if_small(seed_rows(requests, vectors, movies)) if seeds is None else seeds
-    cands = cluster_candidates(vectors, movies)
-    pairs = seeds.join(cands, "cluster").where(F.col("seed_id") != F.col("movie_id"))
+def same_cluster_pairs(requests: DataFrame, vectors: DataFrame, movies: DataFrame) -> DataFrame:
+    """J10 + F11 + F6: (request, seed, candidate) pairs inside the seed's cluster, seed excluded, with
+    cosine similarity, plain and gated (0 where the two share no genre). All pairs are the result:
+    an equi-join on the cluster, split by AQE where a cluster is hot."""
+    pairs = seed_rows(requests, vectors, movies).join(cluster_candidates(vectors, movies), "cluster").where(
+        F.col("seed_id") != F.col("movie_id"))
     sim = cosine("s_vec", "c_vec", F.col("s_nrm"), F.col("c_nrm"))
-    if gate:
-        sim = F.when(F.arrays_overlap("s_tokens", "c_tokens"), sim).otherwise(F.lit(0.0))
-    return pairs.select("request_id", "seed_id", "movie_id", "title", "genres", "cluster", sim.alias("similarity"))
+    x = pairs.select("request_id", "seed_id", "movie_id", "title", "genres", "cluster",
+                     F.arrays_overlap("s_tokens", "c_tokens").alias("_shared"), sim.alias("similarity"))
+    return x.withColumn("gated", F.when(F.col("_shared"), F.col("similarity")).otherwise(F.lit(0.0))).drop("_shared")
 
 
 def rank_and_weight(scored: DataFrame, score: str, top_n: int, key: str = "movie_id") -> DataFrame:
@@ -82,71 +70,76 @@ def rank_and_weight(scored: DataFrame, score: str, top_n: int, key: str = "movie
     return top.withColumn("_n", n).withColumn("weight", rank_weight("rank", "_n")).drop("_n")
 
 
-def _block_kernel(gate: bool):
-    """Cosine sums for one (cluster, seed block, candidate block): BLAS matmul, genre gate
-    from multi-hot token matrices, self pairs masked, then summed per request."""
+def cells(requests: DataFrame, candidates: DataFrame, candidate_id: str, block: int | None = None):
+    """Both sides dealt over the grid: each request row once per candidate block of its cluster, each
+    candidate once per request block. Returns the two grouped frames for a cogrouped kernel."""
+    block = BLOCK_ROWS if block is None else block
+    ns = requests.groupBy("cluster").agg(F.count(F.lit(1)).alias("_ns"))
+    nc = candidates.groupBy("cluster").agg(F.count(F.lit(1)).alias("_nc"))
+    grid = ns.join(nc, "cluster").select(
+        "cluster", F.ceil(F.col("_ns") / block).cast("int").alias("_sb"), F.ceil(F.col("_nc") / block).cast("int").alias("_cb"))
+    key = ["cluster", "s_block", "c_block"]
+    s = requests.join(grid, "cluster").withColumns({
+        "cluster": F.col("cluster").alias("cluster"),  # a column of its own on either side
+        "s_block": F.pmod(F.xxhash64("request_id"), F.col("_sb")).cast("int"),
+        "c_block": F.explode(F.sequence(F.lit(0), F.col("_cb") - 1))}).drop("_sb", "_cb")
+    c = candidates.join(grid, "cluster").withColumns({
+        "cluster": F.col("cluster").alias("cluster"),
+        "c_block": F.pmod(F.xxhash64(candidate_id), F.col("_cb")).cast("int"),
+        "s_block": F.explode(F.sequence(F.lit(0), F.col("_sb") - 1))}).drop("_sb", "_cb")
+    return s.groupBy(*key), c.groupBy(*key)
+
+
+def cosine_matrix(s_vec, s_nrm, c_vec, c_nrm) -> np.ndarray:
+    """Cosines of all rows of one side with all of the other; 0 where a norm is 0."""
+    den = np.outer(s_nrm.to_numpy(), c_nrm.to_numpy())
+    dots = np.stack(s_vec.to_numpy()) @ np.stack(c_vec.to_numpy()).T
+    return np.where(den == 0, 0.0, dots / np.where(den == 0, 1.0, den))
+
+
+def best(scores: np.ndarray, usable: np.ndarray, n: int) -> np.ndarray:
+    """Per row, whether a usable column is among the n largest or within rounding of them."""
+    x = np.where(usable, scores, -np.inf)
+    if n >= x.shape[1]:
+        return usable
+    cut = -np.partition(-x, n - 1, axis=1)[:, n - 1]
+    return usable & (x >= cut[:, None] - _NEAR)
+
+
+def _sum_kernel(gate: bool, own: bool, top_n: int):
+    """Cosine sums over each request's seeds in a cell (gated by shared tokens, self pairs masked), cut to
+    the request's ``top_n``; with ``own`` the request's seeds are no candidates."""
+
+    def tokens_matrix(lists, vocab):
+        out = np.zeros((len(lists), len(vocab)))
+        for i, ts in enumerate(lists):
+            out[i, [vocab[t] for t in ts]] = 1.0
+        return out
 
     def run(_key, sp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
         if sp.empty or cp.empty:
             return pd.DataFrame({"request_id": pd.Series([], dtype="int64"),
                                  "movie_id": pd.Series([], dtype="int64"), "sim_sum": pd.Series([], dtype="float64")})
-        S = np.stack(sp["s_vec"].to_numpy())
-        Cm = np.stack(cp["c_vec"].to_numpy())
-        den = np.outer(sp["s_nrm"].to_numpy(), cp["c_nrm"].to_numpy())
-        sims = np.where(den == 0, 0.0, (S @ Cm.T) / np.where(den == 0, 1.0, den))
+        sims = cosine_matrix(sp["s_vec"], sp["s_nrm"], cp["c_vec"], cp["c_nrm"])
         valid = sp["seed_id"].to_numpy()[:, None] != cp["movie_id"].to_numpy()[None, :]
         keep = valid
         if gate:
-            vocab: dict[str, int] = {}
-            s_tok = [[vocab.setdefault(t, len(vocab)) for t in ts] for ts in sp["s_tokens"]]
-            c_tok = [[vocab.setdefault(t, len(vocab)) for t in ts] for ts in cp["c_tokens"]]
-            gs = np.zeros((len(s_tok), max(len(vocab), 1)))
-            gc = np.zeros((len(c_tok), max(len(vocab), 1)))
-            for i, ts in enumerate(s_tok):
-                gs[i, ts] = 1.0
-            for i, ts in enumerate(c_tok):
-                gc[i, ts] = 1.0
-            keep = valid & ((gs @ gc.T) > 0)
-        sims = np.where(keep, sims, 0.0)
+            vocab = {t: i for i, t in enumerate({t for ts in [*sp["s_tokens"], *cp["c_tokens"]] for t in ts})}
+            keep = valid & ((tokens_matrix(sp["s_tokens"], vocab) @ tokens_matrix(cp["c_tokens"], vocab).T) > 0)
         codes, reqs = pd.factorize(sp["request_id"])
         onehot = np.zeros((len(reqs), len(sp)))
         onehot[codes, np.arange(len(sp))] = 1.0
-        sums = onehot @ sims
-        hits = onehot @ valid.astype(float)
-        r, c = np.nonzero(hits > 0)
+        sums = onehot @ np.where(keep, sims, 0.0)
+        usable = (onehot @ valid.astype(float)) > 0
+        if own:
+            usable &= (onehot @ (~valid).astype(float)) == 0
+        r, c = np.nonzero(best(sums, usable, top_n))
         return pd.DataFrame({"request_id": np.asarray(reqs)[r].astype("int64"),
                              "movie_id": cp["movie_id"].to_numpy()[c].astype("int64"), "sim_sum": sums[r, c]})
 
     return run
 
 
-def cluster_similarity_sums(seeds: DataFrame, cands: DataFrame, gate: bool = True,
-                            block: int = BLOCK_ROWS) -> DataFrame:
-    """Per (request, candidate): sum over the request's seeds in the candidate's cluster of the
-    (gated) cosine, seed itself excluded. Rows exist where some other seed shares the cluster.
-
-    Each cluster is cut into a grid of (seed block x candidate block) cells by hashing, so a hot
-    cluster becomes many bounded cells; seeds are replicated once per candidate block and
-    candidates once per seed block. A cell is a cogrouped pandas call doing one BLAS matmul and
-    emitting sums already aggregated per request (pre-aggregation before the shuffle)."""
-    ns = seeds.groupBy(F.col("cluster").alias("_g")).agg(F.count(F.lit(1)).alias("_ns"))
-    nc = cands.groupBy(F.col("cluster").alias("_g")).agg(F.count(F.lit(1)).alias("_nc"))
-    grid = ns.join(nc, "_g").select(  # one row per cluster: bounded by the number of clusters
-        "_g", F.ceil(F.col("_ns") / block).cast("int").alias("_sb"), F.ceil(F.col("_nc") / block).cast("int").alias("_cb"))
-    key = ["cluster", "s_block", "c_block"]
-    grid = grid.withColumnRenamed("_g", "cluster")
-    s = seeds.join(F.broadcast(grid), "cluster").select(
-        F.col("cluster").alias("cluster"), "request_id", "seed_id", "s_vec", "s_nrm", "s_tokens",
-        F.pmod(F.xxhash64("request_id", "seed_id"), F.col("_sb")).cast("int").alias("s_block"),
-        F.explode(F.sequence(F.lit(0), F.col("_cb") - 1)).alias("c_block"))
-    c = cands.join(F.broadcast(grid), "cluster").select(
-        F.col("cluster").alias("cluster"), "movie_id", "c_vec", "c_nrm", "c_tokens",
-        F.pmod(F.xxhash64("movie_id"), F.col("_cb")).cast("int").alias("c_block"),
-        F.explode(F.sequence(F.lit(0), F.col("_sb") - 1)).alias("s_block"))
-    return s.groupBy(*key).cogroup(c.groupBy(*key)).applyInPandas(
-        _block_kernel(gate), "request_id bigint, movie_id bigint, sim_sum double")
-
-
 def content_neighbours(requests: DataFrame, vectors: DataFrame, movies: DataFrame, *, top_n: int = 50,
                        gate: bool = True, exclude_seeds: bool = False, blocked: DataFrame | None = None) -> DataFrame:
     """Sum of similarities over a request's seeds, per candidate, then top-n with weights.
@@ -154,17 +147,16 @@ def content_neighbours(requests: DataFrame, vectors: DataFrame, movies: DataFram
     gate: genre gate (R2-R5); exclude_seeds: drop the request's own seeds (R5, R6);
     blocked: movieIds removed before the cut (R3, R5)."""
     seeds = seed_rows(requests, vectors, movies)
-    if seeds.limit(SMALL_SEED_ROWS + 1).count() <= SMALL_SEED_ROWS:  # checked: broadcast directly
-        pairs = same_cluster_pairs(requests, vectors, movies, gate, seeds=F.broadcast(seeds))
-        sums = pairs.select("request_id", "movie_id", F.col("similarity").alias("sim_sum"))
-    else:
-        sums = cluster_similarity_sums(seeds, cluster_candidates(vectors, movies), gate)
-    agg = sums.groupBy("request_id", "movie_id").agg(F.round(F.sum("sim_sum"), SCORE_DIGITS).alias("similarity_score"))
+    cands = cluster_candidates(vectors, movies)
     if blocked is not None:
-        agg = agg.join(blocked.select(F.col("movieId").alias("movie_id")), "movie_id", "left_anti")
-    if exclude_seeds:
+        cands = cands.join(blocked.select(F.col("movieId").alias("movie_id")), "movie_id", "left_anti")
+    s, c = cells(seeds, cands, "movie_id")
+    agg = s.cogroup(c).applyInPandas(_sum_kernel(gate, exclude_seeds, top_n),
+                                     "request_id bigint, movie_id bigint, sim_sum double")
+    if exclude_seeds:  # a seed without a vector in this cluster's cell can still be a candidate of another cluster
         own = requests.select("request_id", F.col("movieId").alias("movie_id"))
         agg = agg.join(own, ["request_id", "movie_id"], "left_anti")
+    agg = agg.select("request_id", "movie_id", F.round("sim_sum", SCORE_DIGITS).alias("similarity_score"))
     out = rank_and_weight(agg, "similarity_score", top_n)
     names = catalogue(movies).select(F.col("movieId").alias("movie_id"), "title", "genres")
     return out.join(names, "movie_id").select(
@@ -178,27 +170,58 @@ def seed_info(requests: DataFrame, movies: DataFrame) -> DataFrame:
         F.array_sort(F.array_distinct(genre_tokens("genres"))).alias("genre_set"))
 
 
-def knn_scan(requests: DataFrame, req_vectors: DataFrame, candidates: DataFrame, k: int,
-             exclude_self: bool = True) -> DataFrame:
-    """J12 + T1: exact k nearest candidates by cosine for each request.
+def _knn_kernel(k: int, exclude_self: bool):
+    def run(_key, sp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
+        if sp.empty or cp.empty:
+            r = c = np.zeros(0, dtype=int)
+            sims = np.zeros((0, 0))
+        else:
+            sims = cosine_matrix(sp["q_vec"], sp["q_nrm"], cp["c_vec"], cp["c_nrm"])
+            usable = np.ones(sims.shape, dtype=bool)
+            if exclude_self:
+                usable = sp["query_id"].to_numpy()[:, None] != cp["candidate_id"].to_numpy()[None, :]
+            r, c = np.nonzero(best(sims, usable, k))
+        return pd.DataFrame({"request_id": sp["request_id"].to_numpy()[r], "query_id": sp["query_id"].to_numpy()[r],
+                             "candidate_id": cp["candidate_id"].to_numpy()[c], "similarity": sims[r, c]})
 
-    The request side (size-checked broadcast) is scanned against the candidate table once;
-    work is requests x candidates, linear in the data. For unbounded request batches use
-    ``knn_lsh`` (approximate)."""
-    rq = requests.select("request_id", "id").join(
-        req_vectors.select("id", F.col("vec").alias("q_vec"), norm("vec").alias("q_nrm")), "id").withColumnRenamed(
+    return run
+
+
+def _query_rows(requests: DataFrame, vectors: DataFrame, *keep: str) -> DataFrame:
+    return requests.select("request_id", "id").join(
+        vectors.select("id", F.col("vec").alias("q_vec"), norm("vec").alias("q_nrm"), *keep), "id").withColumnRenamed(
         "id", "query_id")
-    rq = broadcast_if_small(rq)
-    cv = candidates.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), norm("vec").alias("c_nrm"))
-    pairs = rq.crossJoin(cv)
-    if exclude_self:
-        pairs = pairs.where(F.col("query_id") != F.col("candidate_id"))
-    scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm")),
-                                  SCORE_DIGITS).alias("similarity"))
+
+
+def _candidate_rows(vectors: DataFrame, *keep: str) -> DataFrame:
+    return vectors.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), norm("vec").alias("c_nrm"), *keep)
+
+
+def _nearest(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    q, c = cells(queries, candidates, "candidate_id")
+    found = q.cogroup(c).applyInPandas(
+        _knn_kernel(k, exclude_self), "request_id bigint, query_id bigint, candidate_id bigint, similarity double")
+    scored = found.withColumn("similarity", F.round("similarity", SCORE_DIGITS))
     return top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], k)
 
 
+def knn_scan(requests: DataFrame, req_vectors: DataFrame, candidates: DataFrame, k: int,
+             exclude_self: bool = True) -> DataFrame:
+    """J12 + T1: exact k nearest candidates by cosine for each request, on the grid (one cluster).
+
+    Work is requests x candidates, as an exact scan must be; each cell passes on k rows a request."""
+    one = F.lit(0).alias("cluster")
+    return _nearest(_query_rows(requests, req_vectors).select("*", one), _candidate_rows(candidates).select("*", one),
+                    k, exclude_self)
+
+
+def cosine_pairs(requests: DataFrame, req_vectors: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Each request with every candidate but itself. All pairs are the result, so nothing is ranked."""
+    pairs = _query_rows(requests, req_vectors).join(_candidate_rows(candidates), F.col("query_id") != F.col("candidate_id"))
+    return pairs.select("request_id", "query_id", "candidate_id",
+                        F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm")), SCORE_DIGITS).alias("similarity"))
+
+
 def similar_users(requests: DataFrame, train: DataFrame, test: DataFrame, k: int = 10) -> DataFrame:
     """Most similar test users for each train user, with level label."""
     top = knn_scan(requests, train, test, k, exclude_self=False)
@@ -210,15 +233,9 @@ def similar_users(requests: DataFrame, train: DataFrame, test: DataFrame, k: int
 def nearest_in_cluster(requests: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
     """Nearest test item inside the train item's cluster (W5); requests without
     any cluster mate are reported with a null neighbour instead of raising."""
-    q = requests.select("request_id", "id").join(
-        train.select("id", F.col("vec").alias("q_vec"), "cluster"), "id").withColumnRenamed("id", "query_id")
-    q = broadcast_if_small(q)
-    c = test.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), "cluster")
-    pairs = q.join(c, "cluster").where(F.col("query_id") != F.col("candidate_id"))
-    scored = pairs.select("request_id", "query_id", "candidate_id",
-                          F.round(cosine("q_vec", "c_vec"), SCORE_DIGITS).alias("similarity"))
-    best = top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], 1)
-    return q.select("request_id", "query_id").join(best.drop("rank"), ["request_id", "query_id"], "left")
+    q = _query_rows(requests, train, "cluster")
+    near = _nearest(q, _candidate_rows(test, "cluster"), 1, True)
+    return q.select("request_id", "query_id").join(near.drop("rank"), ["request_id", "query_id"], "left")
 
 
 def knn_lsh(vectors: DataFrame, queries: DataFrame, threshold: float, bucket_length: float = 0.5,

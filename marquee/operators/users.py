@@ -9,13 +9,23 @@ peers' co-rating neighbourhoods, never by all user pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rating
-from marquee.operators.neighbours import MAX_BROADCAST_ROWS, broadcast_if_small
+from marquee.operators.neighbours import best, cells, cosine_matrix
+from marquee.operators.relational import (
+    dense_index,
+    interaction_matrix,
+    popularity,
+    running_total,
+    scalar_quantile,
+    top_k_per_group,
+    with_scalars,
+)
 from marquee.session import cut_lineage
-from marquee.operators.relational import dense_index, interaction_matrix, popularity, top_k_per_group, with_scalars
 
 SCORE_DIGITS = 6
 
@@ -44,19 +54,61 @@ def similarity_bands(df: DataFrame, sim: str = "similarity") -> DataFrame:
     return x.where((lower < s) & (s <= lower + F.lit(BAND_WIDTH)))
 
 
-def peer_candidates(requests: DataFrame, user_vectors: DataFrame) -> DataFrame:
-    """Cluster members of each requested user with cosine similarity, self excluded."""
+def _peer_sides(requests: DataFrame, user_vectors: DataFrame):
     q = requests.select("request_id", "user_id").join(
         user_vectors.select(F.col("id").alias("user_id"), F.col("vec").alias("q_vec"), norm("vec").alias("q_nrm"),
                             "cluster"), "user_id")
-    q = broadcast_if_small(q)
     c = user_vectors.select(F.col("id").alias("peer_id"), F.col("vec").alias("p_vec"), norm("vec").alias("p_nrm"),
                             "cluster")
+    return q, c
+
+
+def peer_candidates(requests: DataFrame, user_vectors: DataFrame) -> DataFrame:
+    """Every cluster member of each requested user with cosine similarity, self excluded."""
+    q, c = _peer_sides(requests, user_vectors)
     pairs = q.join(c, "cluster").where(F.col("user_id") != F.col("peer_id"))
     sim = cosine("q_vec", "p_vec", F.col("q_nrm"), F.col("p_nrm"))
     return pairs.select("request_id", "user_id", "peer_id", sim.alias("similarity"))
 
 
+def _peer_kernel(num_user: int, mode: str):
+    """Of a cell, the pairs that can be among a request's peers: its first hits in window and id order, or
+    its most similar members."""
+
+    def run(_key, sp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
+        if sp.empty or cp.empty:
+            r = c = np.zeros(0, dtype=int)
+            sims = np.zeros((0, 0))
+        else:
+            cp = cp.sort_values("peer_id")
+            sims = cosine_matrix(sp["q_vec"], sp["q_nrm"], cp["p_vec"], cp["p_nrm"])
+            usable = sp["user_id"].to_numpy()[:, None] != cp["peer_id"].to_numpy()[None, :]
+            if mode == "nearest":
+                keep = best(sims, usable, num_user)
+            else:
+                keep, hits = np.zeros(sims.shape, dtype=bool), np.zeros(len(sp), dtype=int)
+                for w in range(BAND_COUNT):  # slack: the exact test follows on the merged rows
+                    lower = BAND_START + w * BAND_STEP
+                    inside = usable & (sims > lower - 1e-9) & (sims <= lower + BAND_WIDTH + 1e-9)
+                    sure = inside & (sims > lower + 1e-9) & (sims <= lower + BAND_WIDTH - 1e-9)
+                    before = hits[:, None] + np.cumsum(sure, axis=1) - sure
+                    keep |= inside & (before < num_user)
+                    hits += sure.sum(axis=1)
+            r, c = np.nonzero(keep)
+        return pd.DataFrame({"request_id": sp["request_id"].to_numpy()[r], "user_id": sp["user_id"].to_numpy()[r],
+                             "peer_id": cp["peer_id"].to_numpy()[c], "similarity": sims[r, c]})
+
+    return run
+
+
+def chosen_peers(requests: DataFrame, user_vectors: DataFrame, num_user: int = 5, mode: str = "banded") -> DataFrame:
+    """R7 peers of every request: the grid cuts each cell to what can be chosen, then ``select_peers``."""
+    q, c = cells(*_peer_sides(requests, user_vectors), "peer_id")
+    pairs = q.cogroup(c).applyInPandas(
+        _peer_kernel(num_user, mode), "request_id bigint, user_id bigint, peer_id bigint, similarity double")
+    return select_peers(pairs, num_user, mode)
+
+
 def select_peers(cands: DataFrame, num_user: int = 5, mode: str = "banded") -> DataFrame:
     """R7 peer choice.
 
@@ -79,9 +131,8 @@ def select_peers(cands: DataFrame, num_user: int = 5, mode: str = "banded") -> D
                          "similarity_rank")
 
 
-def _peer_rows(peers: DataFrame, matrix: DataFrame, peers_checked: bool = False) -> DataFrame:
+def _peer_rows(peers: DataFrame, matrix: DataFrame) -> DataFrame:
     u = peers.select("peer_id").distinct()
-    u = F.broadcast(u) if peers_checked else broadcast_if_small(u)
     return matrix.join(u, matrix.userId == u.peer_id).select("peer_id", "movieId", F.col("rating").alias("r_u"))
 
 
@@ -92,14 +143,14 @@ def user_dot(peers: DataFrame, matrix: DataFrame, mine: DataFrame | None = None)
     return mine.join(other, "movieId").groupBy("peer_id", "v").agg(F.sum(F.col("r_u") * F.col("r_v")).alias("dot"))
 
 
-def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100, peers_checked: bool = False) -> DataFrame:
+def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) -> DataFrame:
     """For each peer u, unrated items j scored by sum_v dot(u, v) * r_vj; top n (ties: id).
 
     Items no co-rater reached score 0; they fill the list in id order when fewer than n
     items are reached. The matrix is read by three branches only (the peers' rows, the full
     matrix for both joins, the item dictionary); everything else derives from those."""
     m = interaction_matrix(ratings)
-    mine = _peer_rows(peers, m, peers_checked)
+    mine = _peer_rows(peers, m)
     d = user_dot(peers, m, mine)
     other = m.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
     rated = mine.select("peer_id", "movieId")
@@ -124,34 +175,29 @@ def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100, pee
 
 
 def user_ensemble(requests: DataFrame, user_vectors: DataFrame, ratings: DataFrame, movies: DataFrame, *,
-                  top_n: int = 50, num_user: int = 5, per_peer: int = 100, mode: str = "banded") -> DataFrame:
-    """Peers -> each peer's top co-rated items -> votes per item -> top n.
+                  top_n: int | None = 50, num_user: int = 5, per_peer: int = 100, mode: str = "banded") -> DataFrame:
+    """Peers -> each peer's top co-rated items -> votes per item -> top n (None: all votes, unranked).
 
     ensemble_score counts peer occurrences (parity: a peer chosen twice votes twice);
-    supported_by_users is the sorted distinct peer list."""
-    # at most num_user peers per request: a request table below the broadcast bound bounds the peers too
-    small = requests.limit(MAX_BROADCAST_ROWS // num_user + 1).count() <= MAX_BROADCAST_ROWS // num_user
-    peers = select_peers(peer_candidates(requests, user_vectors), num_user, mode)
-    if small:  # a few rows feeding three branches: materialise once in the shared checkpoint folder
-        peers = cut_lineage(peers)
-    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer, peers_checked=small)
+    supported_by_users is the sorted distinct peer list. The peers (at most ``num_user`` a request)
+    feed three branches, so they are written once."""
+    peers = cut_lineage(chosen_peers(requests, user_vectors, num_user, mode))
+    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer)
     votes = peers.select("request_id", "peer_id").join(recs.select("peer_id", "movieId"), "peer_id")
     agg = votes.groupBy("request_id", "movieId").agg(
         F.count(F.lit(1)).alias("ensemble_score"), F.sort_array(F.collect_set("peer_id")).alias("supported_by_users"))
-    agg = agg.join(movies.select("movieId", "title", "genres"), "movieId")
-    top = top_k_per_group(agg, ["request_id"], [F.col("ensemble_score").desc(), F.col("movieId").asc()], top_n)
-    return top.select("request_id", F.col("movieId").alias("movie_id"), "title", "genres", "ensemble_score",
-                      "supported_by_users", "rank")
+    agg = agg.join(movies.select("movieId", "title", "genres"), "movieId").withColumnRenamed("movieId", "movie_id")
+    if top_n is None:
+        return agg.select("request_id", "movie_id", "title", "genres", "ensemble_score", "supported_by_users")
+    top = top_k_per_group(agg, ["request_id"], [F.col("ensemble_score").desc(), F.col("movie_id").asc()], top_n)
+    return top.select("request_id", "movie_id", "title", "genres", "ensemble_score", "supported_by_users", "rank")
 
 
 def peer_recommendations(requests: DataFrame, user_vectors: DataFrame, ratings: DataFrame, movies: DataFrame, *,
                          num_user: int = 5, per_peer: int = 100, mode: str = "banded") -> DataFrame:
     """R7 side output: each chosen peer's list with its similarity rank."""
-    small = requests.limit(MAX_BROADCAST_ROWS // num_user + 1).count() <= MAX_BROADCAST_ROWS // num_user
-    peers = select_peers(peer_candidates(requests, user_vectors), num_user, mode)
-    if small:
-        peers = cut_lineage(peers)
-    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer, peers_checked=small)
+    peers = cut_lineage(chosen_peers(requests, user_vectors, num_user, mode))
+    recs = co_rating_scores(peers.select("peer_id").distinct(), ratings, per_peer)
     out = peers.join(recs, "peer_id").join(movies.select("movieId", "title", "genres"), "movieId")
     return out.select("request_id", F.col("peer_id").alias("user_id"), F.col("movieId").alias("movie_id"), "title",
                       "genres", "similarity_rank", "item_rank")
@@ -187,18 +233,14 @@ def watched_segments(requests: DataFrame, item_clusters: DataFrame, movies: Data
     pop = popularity(ratings, mean_name="mean_rating", count_name="rating_count")
     allm = movies.select("movieId", "title").join(pop, "movieId", "left").na.fill(
         {"mean_rating": 0.0, "rating_count": 0})
-    stats = allm.agg(F.avg("mean_rating").alias("_C"),
-                     F.percentile(F.col("rating_count").cast("double"), F.lit(quantile)).alias("_m"))
+    stats = allm.agg(F.avg("mean_rating").alias("_C")).crossJoin(scalar_quantile(allm, "rating_count", quantile, "_m"))
     scored = with_scalars(allm.join(item_clusters, "movieId"), stats).where(F.col("rating_count") >= 1)
     scored = scored.withColumn(
         "score", F.round(weighted_rating("rating_count", "mean_rating", "_m", "_C"), SCORE_DIGITS))
     watched = requests.select("request_id", "movieId").distinct().join(item_clusters, "movieId")
     need = watched.groupBy("request_id", "cluster").agg((F.count(F.lit(1)) + top_k).alias("_k"))
-    slots = need.select("request_id", "cluster", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))).alias("crank"))
-    # each cluster is ranked only as deep as its deepest request needs: a literal limit lets the
-    # planner apply it per partition before the shuffle (WindowGroupLimit)
-    depth = need.agg(F.max("_k").alias("d")).first()["d"] or top_k
-    ranked = top_k_per_group(scored, ["cluster"], [F.col("score").desc(), F.col("movieId").asc()], int(depth), "crank")
+    slots = need.select("request_id", "cluster", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k"))).alias("crank"))
+    ranked = running_total(scored, [F.col("score").desc(), F.col("movieId").asc()], None, "crank", ["cluster"])
     cand = slots.join(ranked, ["cluster", "crank"]).join(
         watched.select("request_id", "movieId"), ["request_id", "movieId"], "left_anti")
     top = top_k_per_group(cand, ["request_id"], [F.col("score").desc(), F.col("movieId").asc()], top_k)

@@ -129,7 +129,7 @@ FROM peers p JOIN recs r ON p.peer_id = r.peer_id GROUP BY p.request_id, r.movie
 def ensemble_votes(spark, sf_dir):
     """Vote count and distinct supporters per candidate, before the top-n cut."""
     out = U.user_ensemble(_user_requests(spark), fx.user_vectors(spark, sf_dir), fx.ratings(spark, sf_dir),
-                          fx.movies(spark, sf_dir), top_n=1 << 30)
+                          fx.movies(spark, sf_dir), top_n=None)
     return out.select("request_id", "movie_id", "ensemble_score", "supported_by_users")
 
 

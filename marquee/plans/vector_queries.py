@@ -104,10 +104,17 @@ def _train_vectors(spark, sf_dir, split="train"):
     return Fe.row_split(iv, "id").where(F.col("split") == split).drop("split")
 
 
-@register("content_split", _neighbours_sql(_SEEDS, vec_where=f"WHERE {_HASH.format(k='id')} >= 2"))
+_ID_BUCKET = _HASH.format(k="id")
+
+
+@register("content_split", " UNION ALL ".join(
+    f"SELECT *, '{part}' AS split FROM ({_neighbours_sql(_SEEDS, vec_where=f'WHERE {_ID_BUCKET} {side}')})"
+    for part, side in (("train", ">= 2"), ("test", "< 2"))))
 def content_split(spark, sf_dir):
-    """R2 on the train rows of a keyed 80/20 item split."""
-    return N.content_neighbours(_seeds(spark), _train_vectors(spark, sf_dir), fx.movies(spark, sf_dir))
+    """R2 on the train rows and on the test rows of a keyed 80/20 item split."""
+    lists = [N.content_neighbours(_seeds(spark), _train_vectors(spark, sf_dir, part), fx.movies(spark, sf_dir)).withColumn(
+        "split", F.lit(part)) for part in ("train", "test")]
+    return lists[0].unionByName(lists[1])
 
 
 @register(
@@ -177,15 +184,15 @@ FROM sd s JOIN cd c ON s.cluster = c.cluster AND s.seed_id <> c.movie_id"""
 @register("same_cluster_pairs", _pairs_sql(False))
 def same_cluster_pairs(spark, sf_dir):
     """J10 + F11: seed x cluster-mate cosine, seed excluded."""
-    p = N.same_cluster_pairs(_seeds(spark), fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir), gate=False)
+    p = N.same_cluster_pairs(_seeds(spark), fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir))
     return p.select("request_id", "seed_id", "movie_id", "cluster", F.round("similarity", 6).alias("similarity"))
 
 
 @register("genre_gate", _pairs_sql(True))
 def genre_gate(spark, sf_dir):
     """pairs sharing no genre score 0 (kept)."""
-    p = N.same_cluster_pairs(_seeds(spark), fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir), gate=True)
-    return p.select("request_id", "seed_id", "movie_id", "cluster", F.round("similarity", 6).alias("similarity"))
+    p = N.same_cluster_pairs(_seeds(spark), fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir))
+    return p.select("request_id", "seed_id", "movie_id", "cluster", F.round("gated", 6).alias("similarity"))
 
 
 @register(
@@ -196,12 +203,13 @@ SELECT sg.request_id, m.movieId FROM sg JOIN movies m ON
   len(list_filter(string_split(m.genres, '|'), lambda x: NOT list_contains(sg.g, x))) = 0""",
 )
 def genre_subset(spark, sf_dir):
-    """movies whose genre set is a subset of a seed's genres (equi-join on the sorted token set
-    after exploding seed subsets is unnecessary: a movie is a subset iff its sorted distinct tokens
-    are a subset; the seed side is broadcast and tiny)."""
-    mv = fx.movies(spark, sf_dir).select("movieId", C.genre_tokens("genres").alias("g"))
-    sd = F.broadcast(_seeds(spark).join(mv, "movieId").select("request_id", F.col("g").alias("sg")))
-    return mv.crossJoin(sd).where(C.is_subset("g", "sg")).select("request_id", "movieId")
+    """movies whose genre set is a subset of a seed's genres: an equi-join on the token, where
+    as many distinct tokens must match as the movie has."""
+    mv = fx.movies(spark, sf_dir).select("movieId", F.array_distinct(C.genre_tokens("genres")).alias("g"))
+    sd = _seeds(spark).join(mv, "movieId").select("request_id", F.col("movieId").alias("seed_id"), F.explode("g").alias("token"))
+    tokens = mv.select("movieId", F.size("g").alias("n"), F.explode("g").alias("token"))
+    hits = tokens.join(sd, "token").groupBy("request_id", "seed_id", "movieId", "n").agg(F.count(F.lit(1)).alias("hits"))
+    return hits.where(F.col("hits") == F.col("n")).select("request_id", "movieId")
 
 
 @register(
@@ -213,10 +221,10 @@ SELECT s.request_id, s.movieId AS query_id, c.id AS candidate_id,
 FROM seeds s JOIN vn q ON s.movieId = q.id CROSS JOIN vn c WHERE c.id <> q.id""",
 )
 def seed_cosine_all(spark, sf_dir):
-    """Each request seed against every vector (size-checked broadcast of the seeds)."""
+    """Each request seed against every vector."""
     iv = fx.item_vectors(spark, sf_dir)
     rq = _seeds(spark).select("request_id", F.col("movieId").alias("id"))
-    return N.knn_scan(rq, iv, iv, k=1 << 30).drop("rank")
+    return N.cosine_pairs(rq, iv, iv)
 
 
 @register(
@@ -312,12 +320,12 @@ SELECT s.movieId AS userId, i.id AS movieId, list_concat(u.vec, i.vec) AS featur
 FROM seeds s JOIN user_vectors u ON s.movieId = u.id CROSS JOIN item_vectors i""",
 )
 def user_item_pairs(spark, sf_dir):
-    """Each requested user's vector paired with every item vector (pair features for scoring);
-    the request side is size-checked and broadcast, the item table is scanned once."""
+    """Each requested user's vector paired with every item vector (pair features for scoring).
+    All pairs are the result."""
     uv = fx.user_vectors(spark, sf_dir).select(F.col("id").alias("userId"), F.col("vec").alias("u"))
     req = fx.seed_requests(spark).select(F.col("movieId").alias("userId")).join(uv, "userId")
     iv = fx.item_vectors(spark, sf_dir).select(F.col("id").alias("movieId"), F.col("vec").alias("i"))
-    return N.broadcast_if_small(req).crossJoin(iv).select("userId", "movieId", F.concat("u", "i").alias("features"))
+    return req.crossJoin(iv).select("userId", "movieId", F.concat("u", "i").alias("features"))
 
 
 @register(
@@ -338,14 +346,10 @@ def sum_similarity(spark, sf_dir):
     """A8 (+F14): per request and candidate, the gated similarity sum over seeds, the ungated
     cosine sum and the cosine-distance sum (1 - cos), before any cut."""
     iv, mv = fx.item_vectors(spark, sf_dir), fx.movies(spark, sf_dir)
-    g = N.same_cluster_pairs(_seeds(spark), iv, mv, gate=True).select(
-        "request_id", "seed_id", "movie_id", F.col("similarity").alias("gated"))
-    u = N.same_cluster_pairs(_seeds(spark), iv, mv, gate=False).select(
-        "request_id", "seed_id", "movie_id", F.col("similarity").alias("cos"))
-    j = g.join(u, ["request_id", "seed_id", "movie_id"])
-    return j.groupBy("request_id", "movie_id").agg(
-        F.round(F.sum("gated"), 6).alias("similarity_score"), F.round(F.sum("cos"), 6).alias("cosine_sum"),
-        F.round(F.sum(1 - F.col("cos")), 6).alias("distance_sum"))
+    p = N.same_cluster_pairs(_seeds(spark), iv, mv)
+    return p.groupBy("request_id", "movie_id").agg(
+        F.round(F.sum("gated"), 6).alias("similarity_score"), F.round(F.sum("similarity"), 6).alias("cosine_sum"),
+        F.round(F.sum(1 - F.col("similarity")), 6).alias("distance_sum"))
 
 
 @register(
