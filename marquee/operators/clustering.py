@@ -1,16 +1,19 @@
 """Clustering: Spark ML KMeans fits, nearest-centroid assignment, and quality
-measures (inertia, Davies-Bouldin, Calinski-Harabasz, exact Euclidean silhouette
-on a bounded hash sample), k sweep with best-k selection (M5*, A18-A22, W1).
+measures (inertia, Davies-Bouldin, Calinski-Harabasz, silhouette over all rows in
+linear time), k sweep with best-k selection (M5*, A18-A22, W1).
 
 Centroid tables hold k rows of d values (bounded by k x d) and are broadcast.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.relational import average_rank
+from marquee.operators.relational import average_rank, with_scalars
+from marquee.session import cut_lineage
 
 DIGITS = 6
 
@@ -26,23 +29,20 @@ def _attach(df: DataFrame, small: DataFrame, keys) -> DataFrame:
 
 
 def centroids(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
-    """Mean vector and size per label (within each ``by`` group): (*by, cluster, centroid, n)."""
+    """Mean vector and size per label (within each ``by`` group): (*by, cluster, centroid, n), in one pass."""
     keys = [*by, label]
-    long = df.select(*keys, F.posexplode(vec).alias("pos", "x"))
-    per = long.groupBy(*keys, "pos").agg(F.avg("x").alias("m"))
-    c = per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("_s")).select(
-        *keys, F.col("_s.m").alias("centroid"))
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return c.join(n, keys)
+    x = df.select(*keys, array_to_vector(vec).alias("_x"))
+    means = x.groupBy(*keys).agg(Summarizer.mean(F.col("_x")).alias("_m"), F.count(F.lit(1)).alias("n"))
+    return means.select(*keys, vector_to_array("_m").alias("centroid"), "n")
 
 
 def assign_centroid(df: DataFrame, cents: DataFrame, vec: str = "vec", label: str = "cluster") -> DataFrame:
-    """Nearest centroid (squared Euclidean; ties: lower cluster id) for every row.
-    Centroids are k rows, broadcast; rows x k is linear in the data."""
-    c = F.broadcast(cents.select(F.col(label).alias("_c"), F.col("centroid")))
-    d = df.select("id", vec).crossJoin(c).withColumn("_d", sq_dist(F.col(vec), F.col("centroid")))
-    best = d.groupBy("id").agg(F.min(F.struct("_d", "_c")).alias("_b"))
-    return best.select("id", F.col("_b._c").alias("assigned"), F.col("_b._d").alias("sq_distance"))
+    """Nearest centroid (squared Euclidean; ties: lower cluster id) for every row, without a shuffle.
+    The centroids are one broadcast row of k arrays; rows with equal ids stay rows of their own."""
+    table = cents.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("c"), F.col("centroid").alias("m")))).alias("_cents"))
+    x = with_scalars(df.select("id", vec), table)
+    nearest = F.array_min(F.transform("_cents", lambda t: F.struct(sq_dist(F.col(vec), t["m"]).alias("d"), t["c"].alias("c"))))
+    return x.select("id", nearest.alias("_b")).select("id", F.col("_b.c").alias("assigned"), F.col("_b.d").alias("sq_distance"))
 
 
 def inertia(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
@@ -86,41 +86,48 @@ def hash_sample(df: DataFrame, size: int, key: str = "id", salt: str = ":sample"
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(salt))), key).limit(size)
 
 
-SILHOUETTE_SAMPLE = 10_000  # the reference's sample size for its sweep; smaller sets are scored in full
-
-
-def silhouette_sample(df: DataFrame, size: int = SILHOUETTE_SAMPLE, label: str = "cluster", vec: str = "vec",
-                      by=()) -> DataFrame:
-    """Exact Euclidean silhouette on a bounded hash sample of ids (the same ids in every
-    ``by`` group); singleton clusters score 0. Pair distances are computed once over the sample
-    (size^2, bounded) and reused by every labeling."""
-    ids = F.broadcast(hash_sample(df.select("id").distinct(), size))
-    vecs = df.select("id", vec).join(ids, "id", "left_semi").dropDuplicates(["id"])
-    a = vecs.select(F.col("id").alias("i"), F.col(vec).alias("vi"))
-    b = vecs.select(F.col("id").alias("j"), F.col(vec).alias("vj"))
-    d = a.crossJoin(b).where(F.col("i") != F.col("j")).select(
-        "i", "j", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
-    labels = df.select(*by, "id", label).join(ids, "id", "left_semi")
-    li = labels.select(*by, F.col("id").alias("i"), F.col(label).alias("li"))
-    lj = labels.select(*by, F.col("id").alias("j"), F.col(label).alias("lj"))
-    per = d.join(li, "i").join(lj, [*by, "j"]).groupBy(*by, "i", "li", "lj").agg(F.avg("d").alias("md"))
-    ab = per.groupBy(*by, "i", "li").agg(
+def silhouette(df: DataFrame, label: str = "cluster", vec: str = "vec", by=()) -> DataFrame:
+    """Mean silhouette of every row, with squared Euclidean distances.
+
+    The mean distance of x to a cluster is |x|^2 - 2 x.m + s, with m the cluster's mean vector and s its
+    mean squared norm, so one pass over the rows with k cluster sums replaces all pairs. Rows alone in
+    their cluster count 0. The sums are one broadcast row per ``by`` group (bounded by k x d)."""
+    keys = [*by, label]
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    norms = df.groupBy(*keys).agg(F.avg(dot(F.col(vec), F.col(vec))).alias("s"))
+    sums = centroids(df, label, vec, by).join(norms, keys)
+    entry = F.struct(F.col(label).alias("c"), F.col("centroid").alias("m"), F.col("s"), F.col("n").cast("double").alias("n"))
+    table = sums.groupBy(*by).agg(F.collect_list(entry).alias("_sums"))
+    x = _attach(df, table, by).withColumn("_xx", dot(F.col(vec), F.col(vec)))
+    far = F.transform("_sums", lambda t: F.struct(
+        t["c"].alias("c"), t["n"].alias("n"), (F.col("_xx") - 2 * dot(F.col(vec), t["m"]) + t["s"]).alias("d")))
+    x = x.select(*keys, far.alias("_far"))
+    own = F.filter("_far", lambda t: t["c"] == F.col(label))[0]
+    other = F.array_min(F.transform(F.filter("_far", lambda t: t["c"] != F.col(label)), lambda t: t["d"]))
+    x = x.select(*keys, F.when(own["n"] > 1, own["d"] * own["n"] / (own["n"] - 1)).alias("a"), other.alias("b"))
+    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    score = F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(score)
+    return x.groupBy(*by).agg(F.round(F.avg(score), DIGITS).alias("silhouette"))
+
+
+def silhouette_sample(df: DataFrame, size: int, label: str = "cluster", vec: str = "vec") -> DataFrame:
+    """A21 as a sampling operator: exact Euclidean silhouette of the ``size`` ids with the smallest hashes;
+    singleton clusters score 0. The caller's size bounds the broadcast sample and the pairs."""
+    smp = hash_sample(df.select("id", label, vec), size)
+    a = smp.select(F.col("id").alias("i"), F.col(label).alias("li"), F.col(vec).alias("vi"))
+    b = smp.select(F.col("id").alias("j"), F.col(label).alias("lj"), F.col(vec).alias("vj"))
+    d = a.join(F.broadcast(b), F.col("i") != F.col("j")).select("i", "li", "lj", F.sqrt(sq_dist(F.col("vi"), F.col("vj"))).alias("d"))
+    ab = d.groupBy("i", "li", "lj").agg(F.avg("d").alias("md")).groupBy("i").agg(
         F.max(F.when(F.col("li") == F.col("lj"), F.col("md"))).alias("a"),
         F.min(F.when(F.col("li") != F.col("lj"), F.col("md"))).alias("b"))
-    sc = ab.select(*by, F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest("a", "b")).alias("s"))
-    # points alone in their cluster never appear with a same-cluster pair: they count as 0
-    n = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    t = sc.groupBy(*by).agg(F.sum("s").alias("t"))
-    out = t.join(n, list(by)) if by else t.crossJoin(n)
-    return out.select(*by, F.round(F.col("t") / F.col("n"), DIGITS).alias("silhouette"))
-
-
-def quality_by_group(df: DataFrame, by, label: str = "cluster", vec: str = "vec",
-                     sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
-    """The four measures for many labelings at once (one row per ``by`` group)."""
+    sc = F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return ab.agg(F.round(F.avg(sc), DIGITS).alias("silhouette"))
+
+
+def quality_by_group(df: DataFrame, by, label: str = "cluster", vec: str = "vec") -> DataFrame:
+    """The four measures for many labelings at once (one row per ``by`` group), each over all rows."""
     by = list(by)
-    return (silhouette_sample(df, sample, label, vec, by).join(calinski_harabasz(df, label, vec, by), by)
+    return (silhouette(df, label, vec, by).join(calinski_harabasz(df, label, vec, by), by)
             .join(davies_bouldin(df, label, vec, by), by).join(inertia(df, label, vec, by), by))
 
 
@@ -140,11 +147,8 @@ def model_centroids(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, centroid array<double>")
 
 
-def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec", sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
-    """One KMeans fit per k on a persisted input; the four quality measures of all fits are
-    then computed in one grouped job and written to the shared checkpoint folder."""
-    from marquee.session import cut_lineage
-
+def sweep_assignments(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
+    """(id, vec, k, cluster): the rows labelled by one KMeans fit per k, written to the shared folder."""
     base = df.select("id", vec).persist()
     try:
         assigned = None
@@ -152,12 +156,23 @@ def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec", sample: int = S
             _, a = kmeans_fit(base, k, seed, vec)
             a = a.withColumn("k", F.lit(int(k)))
             assigned = a if assigned is None else assigned.unionByName(a)
-        lab = base.join(assigned, "id")
-        out = cut_lineage(quality_by_group(lab, ["k"], "cluster", vec, sample).select(
-            F.col("k").cast("int").alias("k"), "silhouette", "calinski_harabasz", "davies_bouldin", "inertia"))
+        return cut_lineage(base.join(assigned, "id"))
     finally:
         base.unpersist()
-    return out.orderBy("k")
+
+
+def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
+    """The four quality measures of all fits, computed over all rows in one grouped job."""
+    out = quality_by_group(sweep_assignments(df, ks, seed, vec), ["k"], "cluster", vec)
+    return out.select(F.col("k").cast("int").alias("k"), "silhouette", "calinski_harabasz", "davies_bouldin", "inertia")
+
+
+def segment_by_vote(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
+    """M5c + W1: (id, cluster) of the fit whose k has the best total rank over the four measures (ties: smaller k)."""
+    fits = sweep_assignments(df, ks, seed, vec)
+    votes = cut_lineage(k_rank_vote(quality_by_group(fits, ["k"], "cluster", vec)))
+    chosen = votes.agg(F.min(F.struct("rank_total", "k")).alias("_b")).select(F.col("_b.k").alias("k"))
+    return fits.join(F.broadcast(chosen), "k").select("id", "cluster")
 
 
 def k_rank_vote(metrics: DataFrame) -> DataFrame:

@@ -5,14 +5,18 @@
 * implicit item factors: ALS(implicitPrefs=True);
 * bridge content -> factors: one least-squares fit for all factors at once, from
   normal-equation sums aggregated by Spark (d x d, bounded by the dimension);
-* fold-in of new users: per-user normal-equation sums pre-aggregated per partition,
-  combined by user, solved per user in a pandas UDF on the d x d system only.
+* fold-in of new users: normal-equation sums per (user, salt), combined by user, solved per
+  user in a pandas UDF on the d x d system only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,81 +71,82 @@ def factors(model, which: str = "item") -> DataFrame:
 
 
 # ---------------------------------------------------------------------- PCA
-def pca_fit(vectors: DataFrame, k: int, vec: str = "vec"):
+@dataclass
+class Pca:
+    """Principal axes (d x k) and the mean (d) of the fitted rows: bounded by the dimension."""
+
+    axes: np.ndarray
+    mean: np.ndarray
+
+
+def pca_fit(vectors: DataFrame, k: int, vec: str = "vec") -> Pca:
     """PCA (covariance d x d on the driver: fine for d ~ 1000 tags, not for n_items columns)."""
     from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
 
-    data = vectors.select("id", array_to_vector(vec).alias("features"))
-    return PCA(k=k, inputCol="features", outputCol="enc").fit(data)
+    data = vectors.select(array_to_vector(vec).alias("features"))
+    model = PCA(k=k, inputCol="features", outputCol="enc").fit(data)
+    mean = data.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
+    return Pca(model.pc.toArray(), mean)
+
+
+def pca_encode(model: Pca, vectors: DataFrame, vec: str = "vec") -> DataFrame:
+    """Projections of the centred rows."""
+    axes, mean = model.axes, model.mean
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def encode(x: pd.Series) -> pd.Series:
+        return pd.Series(list((np.stack(x.to_numpy()) - mean) @ axes) if len(x) else [], dtype=object)
+
+    return vectors.select("id", encode(F.col(vec)).alias("vec"))
 
 
-def pca_encode(model, vectors: DataFrame, vec: str = "vec") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+def pca_errors(model: Pca, vectors: DataFrame, vec: str = "vec") -> DataFrame:
+    """M6: per row the squared error of mean + P z, and the squared distance from the mean."""
+    axes, mean = model.axes, model.mean
 
-    data = vectors.select("id", array_to_vector(vec).alias("features"))
-    return model.transform(data).select("id", vector_to_array("enc").alias("vec"))
+    @F.pandas_udf("error double, spread double")
+    def measure(x: pd.Series) -> pd.DataFrame:
+        rows = np.stack(x.to_numpy()) - mean if len(x) else np.zeros((0, len(mean)))
+        rest = rows - (rows @ axes) @ axes.T
+        return pd.DataFrame({"error": (rest ** 2).sum(axis=1), "spread": (rows ** 2).sum(axis=1)})
 
+    return vectors.select("id", F.size(vec).alias("d"), measure(F.col(vec)).alias("m")).select("id", "d", "m.error", "m.spread")
 
-def pca_reconstruction_mse(model, vectors: DataFrame, vec: str = "vec") -> DataFrame:
-    """M6: x_hat = P P^T x; mean squared error over every cell."""
-    pc = model.pc.toArray()  # d x k, bounded by the dimension
-    d = pc.shape[0]
-    proj = F.array(*[F.lit(float(v)) for v in pc.flatten()])
-    spark = vectors.sparkSession
-    enc = pca_encode(model, vectors, vec).withColumnRenamed("vec", "z")
-    j = vectors.select("id", vec).join(enc, "id")
-    k = pc.shape[1]
-    recon = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.aggregate(
-        F.sequence(F.lit(0), F.lit(k - 1)), F.lit(0.0),
-        lambda acc, c: acc + F.element_at(proj, i * k + c + 1) * F.element_at(F.col("z"), c + 1)))
-    err = F.aggregate(F.zip_with(F.col(vec), recon, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    _ = spark
-    return j.agg(F.round(F.sum(err) / (F.count(F.lit(1)) * d), DIGITS).alias("reconstruction_mse"))
+
+def pca_reconstruction_mse(model: Pca, vectors: DataFrame, vec: str = "vec") -> DataFrame:
+    """M6: mean squared error over every cell."""
+    return pca_errors(model, vectors, vec).agg(F.round(F.sum("error") / F.sum("d"), DIGITS).alias("reconstruction_mse"))
 
 
 # ------------------------------------------------------------ bridge (M9)
-def _gram_partials(x_col: str, y_col: str | None):
+def _gram_rows(x_col: str, y_col: str):
+    """Per task, the rows of its [X 1]^T [X 1 | Y]: d + 1 rows of d + 1 + factors values."""
     def run(it):
-        xtx = xty = None
-        n = 0
+        total = None
         for pdf in it:
             if pdf.empty:
                 continue
-            X = np.stack(pdf[x_col].to_numpy())
-            X = np.hstack([X, np.ones((X.shape[0], 1))])
-            a = X.T @ X
-            xtx = a if xtx is None else xtx + a
-            if y_col is not None:
-                Y = np.stack(pdf[y_col].to_numpy())
-                b = X.T @ Y
-                xty = b if xty is None else xty + b
-            n += len(pdf)
-        if xtx is not None:
-            yield pd.DataFrame({"xtx": [xtx.flatten().tolist()],
-                                "xty": [xty.flatten().tolist() if xty is not None else []], "n": [n]})
+            x = np.stack(pdf[x_col].to_numpy())
+            x = np.hstack([x, np.ones((x.shape[0], 1))])
+            part = x.T @ np.hstack([x, np.stack(pdf[y_col].to_numpy())])
+            total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "sums": list(total)})
     return run
 
 
-def _sum_arrays(col: str):
-    return F.aggregate(F.collect_list(col), F.array_repeat(F.lit(0.0), F.size(F.first(col))),
-                       lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
-
-
 def bridge_fit(content: DataFrame, targets: DataFrame, ridge: float = 1e-6) -> np.ndarray:
     """M9: least squares for every factor at once: (X^T X + l I) B = X^T Y.
 
-    Each partition emits its own X^T X and X^T Y (numpy, Arrow batches); Spark sums the
-    per-partition partials (one row per partition); the (d+1) x (d+1) system is solved on
-    the driver — a model-sized result, independent of the number of rows."""
+    Each task emits the rows of its own sums; Spark adds them up row by row (partially before the
+    shuffle, and no task holds more than some rows of the matrix). The summed (d+1) x (d+1) system,
+    independent of the number of items, is solved on the driver."""
     j = content.select("id", F.col("vec").alias("x")).join(targets.select("id", F.col("vec").alias("y")), "id")
-    parts = j.mapInPandas(_gram_partials("x", "y"), "xtx array<double>, xty array<double>, n bigint")
-    tot = parts.agg(_sum_arrays("xtx").alias("xtx"), _sum_arrays("xty").alias("xty")).first()
-    xtx = np.array(tot["xtx"])
-    d1 = int(round(len(xtx) ** 0.5))
-    xtx = xtx.reshape(d1, d1)
-    xty = np.array(tot["xty"]).reshape(d1, -1)
-    return np.linalg.solve(xtx + ridge * np.eye(d1), xty)
+    rows = j.select("x", "y").mapInPandas(_gram_rows("x", "y"), "i bigint, sums array<double>")
+    total = rows.groupBy("i").agg(Summarizer.sum(array_to_vector("sums")).alias("s")).orderBy("i").collect()
+    m = np.stack([r["s"].toArray() for r in total])
+    d1 = len(m)
+    return np.linalg.solve(m[:, :d1] + ridge * np.eye(d1), m[:, d1:])
 
 
 def bridge_predict(content: DataFrame, beta: np.ndarray, out: str = "pred") -> DataFrame:
@@ -180,89 +185,66 @@ def weak_dims(scores: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 
 # ---------------------------------------------------------- fold-in
-def _user_normal_partials():
-    def run(it):
-        acc: dict[int, list] = {}
-        for pdf in it:
-            for uid, g in pdf.groupby("userId"):
-                V = np.stack(g["f"].to_numpy())
-                r = g["rating"].to_numpy()
-                a = V.T @ V
-                b = V.T @ r
-                if uid in acc:
-                    acc[uid][0] += a
-                    acc[uid][1] += b
-                else:
-                    acc[uid] = [a, b]
-        if acc:
-            yield pd.DataFrame({"userId": list(acc.keys()),
-                                "a": [v[0].flatten().tolist() for v in acc.values()],
-                                "b": [v[1].tolist() for v in acc.values()]})
-    return run
+FOLD_SALTS = 8  # a user's ratings are dealt over so many keys
+
+
+def _user_sums(it):
+    """Normal-equation sums of one (user, salt) after another: rows come sorted by them."""
+    key, a, b, n = None, None, None, 0
+    for pdf in it:
+        for k, g in pdf.groupby(["userId", "salt"], sort=False):
+            f, r = np.stack(g["f"].to_numpy()), g["rating"].to_numpy()
+            if k != key:
+                if key is not None:
+                    yield pd.DataFrame({"userId": [key[0]], "sums": [np.concatenate([a.ravel(), b, [n]])]})
+                key, a, b, n = k, 0.0, 0.0, 0
+            a, b, n = a + f.T @ f, b + f.T @ r, n + len(g)
+    if key is not None:
+        yield pd.DataFrame({"userId": [key[0]], "sums": [np.concatenate([a.ravel(), b, [n]])]})
 
 
 def fold_in_users(ratings: DataFrame, item_factors: DataFrame, reg: float = 0.1) -> DataFrame:
     """User vectors x_u = (V_u^T V_u + reg * n_u I)^-1 V_u^T r_u against fixed item factors.
 
-    Per-partition partial sums (memory bounded by users x d^2, not by rows: a hot user
-    streams through Arrow batches), then one combine by user, then a d x d solve per user."""
+    Ratings are dealt by (user, salt) and summed in sorted order, so a task holds one d x d sum at a
+    time and a hot user is split; the few sums of a user are added up, then solved one by one."""
     j = ratings.select("userId", "movieId", "rating").join(
         item_factors.select(F.col("id").alias("movieId"), F.col("vec").alias("f")), "movieId")
-    parts = j.mapInPandas(_user_normal_partials(), "userId bigint, a array<double>, b array<double>")
-    counts = j.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
-    comb = parts.groupBy("userId").agg(_sum_arrays("a").alias("a"), _sum_arrays("b").alias("b")).join(counts, "userId")
-    lam = reg
+    j = j.withColumn("salt", F.pmod(F.xxhash64("movieId"), F.lit(FOLD_SALTS))).repartition("userId", "salt")
+    parts = j.sortWithinPartitions("userId", "salt").select("userId", "salt", "f", "rating").mapInPandas(
+        _user_sums, "userId bigint, sums array<double>")
+    comb = parts.groupBy("userId").agg(Summarizer.sum(array_to_vector("sums")).alias("s")).select(
+        F.col("userId").alias("id"), vector_to_array("s").alias("sums"))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def solve(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+    def solve(sums: pd.Series) -> pd.Series:
         out = []
-        for av, bv, nv in zip(a, b, n):
-            bv = np.asarray(bv)
-            d = len(bv)
-            A = np.asarray(av).reshape(d, d) + lam * float(nv) * np.eye(d)
-            out.append(np.linalg.solve(A, bv))
-        return pd.Series(out)
+        for s in sums:
+            d = int(round((-1 + (1 + 4 * (len(s) - 1)) ** 0.5) / 2))  # d * d + d + 1 values
+            out.append(np.linalg.solve(s[: d * d].reshape(d, d) + reg * s[-1] * np.eye(d), s[d * d : -1]))
+        return pd.Series(out, dtype=object)
 
-    return comb.select(F.col("userId").alias("id"), solve("a", "b", "n").alias("vec"))
+    return comb.select("id", solve("sums").alias("vec"))
 
 
 # ------------------------------------------------------- genre donor
 def closest_by_genres(requests: DataFrame, movies: DataFrame, with_vector: DataFrame) -> DataFrame:
     """For each request (request_id, genres array) the movie with a vector sharing the most
-    genres (ties: smallest movieId).
+    genres (ties: smallest movieId); a request without genres or overlap gets no donor and overlap 0.
 
-    Each movie keeps only the genres some request asks for (a broadcast vocabulary row) and emits
-    the non-empty subsets of those, up to the largest request size; a subset key keeps only its
-    smallest movieId. The lookup table is bounded by the number of distinct subsets and no
-    request x movie pairs are formed (a movie with g relevant genres emits < 2^g keys)."""
+    Requests and movies collapse to their distinct genre sets first; overlaps are counted by one
+    equi-join on the genre between the two (few) lists of sets."""
     from marquee.functions.columns import genre_tokens
 
-    def bit(m, i):
-        return m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0
-
-    def subsets(arr, max_size):
-        # non-empty subsets of a small sorted distinct array with at most max_size members,
-        # as sorted '|'-joined keys
-        n = F.size(arr)
-        masks = F.sequence(F.lit(1), F.pow(F.lit(2), n).cast("int") - 1)
-        subs = F.transform(masks, lambda m: F.struct(
-            F.array_join(F.filter(arr, lambda x, i: bit(m, i)), "|").alias("key"),
-            F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0),
-                        lambda acc, i: acc + bit(m, i).cast("int")).alias("size")))
-        return F.filter(subs, lambda x: x["size"] <= max_size)
-
-    rq = requests.select("request_id", F.array_sort(F.array_distinct("genres")).alias("g")).where(F.size("g") > 0)
-    vocab = rq.select(F.explode("g").alias("t")).agg(
-        F.sort_array(F.collect_set("t")).alias("_vocab"), F.max(F.lit(1)).alias("_one"))
-    widest = rq.agg(F.max(F.size("g")).alias("_r"))
-    mv = movies.join(with_vector.select(F.col("id").alias("movieId")), "movieId", "left_semi").select(
-        "movieId", F.array_sort(F.array_distinct(genre_tokens("genres"))).alias("g0"))
-    mv = mv.crossJoin(F.broadcast(vocab)).crossJoin(F.broadcast(widest)).select(
-        "movieId", F.array_intersect("g0", "_vocab").alias("g"), "_r").where(F.size("g") > 0)
-    table = mv.select("movieId", F.explode(subsets(F.col("g"), F.col("_r"))).alias("s")).groupBy(
-        F.col("s.key").alias("key"), F.col("s.size").alias("size")).agg(F.min("movieId").alias("movieId"))
-    keys = rq.select("request_id", F.explode(subsets(F.col("g"), F.size("g"))).alias("s")).select(
-        "request_id", F.col("s.key").alias("key"))
-    hit = keys.join(table, "key")
-    best = hit.groupBy("request_id").agg(F.min(F.struct((-F.col("size")).alias("neg"), F.col("movieId"))).alias("_b"))
-    return best.select("request_id", F.col("_b.movieId").alias("donor_id"), (-F.col("_b.neg")).alias("overlap"))
+    def canonical(c):
+        return F.array_sort(F.array_distinct(F.coalesce(c, F.array().cast("array<string>"))))
+
+    rq = requests.select("request_id", canonical(F.col("genres")).alias("g"))
+    mv = movies.join(with_vector.select(F.col("id").alias("movieId")), "movieId", "left_semi")
+    sets = mv.select(canonical(genre_tokens("genres")).alias("s"), "movieId").groupBy("s").agg(F.min("movieId").alias("movieId"))
+    wanted = rq.select("g").distinct().select("g", F.explode("g").alias("t"))
+    hits = wanted.join(sets.select("s", "movieId", F.explode("s").alias("t")), "t").groupBy("g", "s").agg(
+        F.count(F.lit(1)).cast("int").alias("overlap"), F.min("movieId").alias("movieId"))
+    found = hits.groupBy("g").agg(F.min(F.struct((-F.col("overlap")).alias("neg"), F.col("movieId"))).alias("_b"))
+    return rq.join(found, "g", "left").select(
+        "request_id", F.col("_b.movieId").alias("donor_id"), F.coalesce(-F.col("_b.neg"), F.lit(0)).alias("overlap"))

@@ -1,12 +1,13 @@
 """Vector operators on (id, vec array<double>) frames.
 
-Per-dimension statistics are computed in long form (posexplode + groupBy(pos)),
-then folded back into one row of d-length arrays (bounded by the dimension) and
-broadcast to the rows that need them.
+Per-dimension statistics are one aggregate pass (Summarizer) into one row of d-length arrays
+(bounded by the dimension), broadcast to the rows that need them.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +17,14 @@ from marquee.operators.relational import with_scalars
 
 def dim_stats(df: DataFrame, vec: str = "vec") -> DataFrame:
     """One row of per-dimension arrays: mins, maxs, means, stds (population)."""
-    long = df.select(F.posexplode(vec).alias("pos", "x"))
-    per = long.groupBy("pos").agg(
-        F.min("x").alias("mn"), F.max("x").alias("mx"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")
-    )
-    s = F.sort_array(F.collect_list(F.struct("pos", "mn", "mx", "mean", "std")))
-    return per.agg(s.alias("_s")).select(
-        F.col("_s.mn").alias("mins"), F.col("_s.mx").alias("maxs"),
-        F.col("_s.mean").alias("means"), F.col("_s.std").alias("stds"),
+    x = df.select(array_to_vector(vec).alias("_x"))
+    stats = Summarizer.metrics("min", "max", "mean", "variance").summary(F.col("_x"))
+    st = x.groupBy(F.lit(1).alias("_one")).agg(stats.alias("s"), F.count(F.lit(1)).alias("n"))
+    population = (F.col("n") - 1) / F.col("n")  # the summary's variance is that of a sample
+    return st.select(
+        vector_to_array("s.min").alias("mins"), vector_to_array("s.max").alias("maxs"),
+        vector_to_array("s.mean").alias("means"),
+        F.transform(vector_to_array("s.variance"), lambda v: F.sqrt(v * population)).alias("stds"),
     )
 
 

@@ -61,10 +61,18 @@ def dense_to_long(df: DataFrame, id_col: str, vec_col: str, row: str = "row", co
         row, F.col("_p").cast("bigint").alias(col), value)
 
 
-def long_to_dense(df: DataFrame, row: str, col: str, value: str, vec_name: str = "vec") -> DataFrame:
-    """S7 inverse: values ordered by column index; the per-row list is bounded by the column count."""
-    s = F.sort_array(F.collect_list(F.struct(F.col(col), F.col(value))))
-    return df.groupBy(row).agg(s.alias("_kv")).select(row, F.col(f"_kv.{value}").alias(vec_name))
+def long_to_dense(df: DataFrame, row: str, col: str, value: str, vec_name: str = "vec",
+                  columns: DataFrame | None = None) -> DataFrame:
+    """S7 inverse: one slot for every column of the dictionary ``columns`` (default: those that occur), in
+    column order, 0 where a row has no cell. A row with two cells of one column is refused.
+
+    The dictionary is one broadcast row, bounded by the number of columns, as is each result row."""
+    names = (df if columns is None else columns).select(col).distinct()
+    slots = names.agg(F.sort_array(F.collect_set(col)).alias("_slots"))
+    cells = df.groupBy(row).agg(F.collect_list(F.struct(F.col(col).alias("k"), F.col(value).cast("double").alias("v"))).alias("_kv"))
+    x = cells.crossJoin(F.broadcast(slots))
+    filled = F.map_from_entries("_kv")  # raises on a repeated column
+    return x.select(row, F.transform("_slots", lambda c: F.coalesce(F.try_element_at(filled, c), F.lit(0.0))).alias(vec_name))
 
 
 def save_model(model, name: str, spark: SparkSession) -> str:
