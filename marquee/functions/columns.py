@@ -33,11 +33,8 @@ def genre_tokens(genres: str | Column) -> Column:
 def genre_match_count(genres: str | Column, wanted: Iterable[str]) -> Column:
     """Number of wanted genres that occur as a substring of lower(genres)."""
     low = F.lower(F.coalesce(col(genres), F.lit("")))
-    terms = [str(g).lower() for g in wanted]
-    total = F.lit(0)
-    for t in terms:
-        total = total + F.when(F.instr(low, t) > 0, 1).otherwise(0)
-    return total
+    terms = F.array(*[F.lower(F.lit(g)) for g in wanted])
+    return F.size(F.filter(terms, lambda t: F.contains(low, t)))
 
 
 def weighted_rating(v: str | Column, r: str | Column, m: str | Column, c: str | Column) -> Column:

@@ -398,11 +398,9 @@ SELECT quantile_cont(rating_count, 0.6) AS q60, quantile_cont(rating_count, 0.5)
 def vote_quantiles(spark, sf_dir):
     """A3: exact quantiles with linear interpolation (not percentile_approx)."""
     pop = Rel.popularity(fx.ratings(spark, sf_dir))
-    return pop.agg(
-        F.percentile(F.col("rating_count").cast("double"), F.lit(0.6)).alias("q60"),
-        F.median(F.col("rating_count").cast("double")).alias("median_votes"),
-        F.percentile("ave_rating", F.lit(0.75)).alias("q75_rating"),
-    )
+    parts = [Rel.scalar_quantile(pop, c, p, name) for c, p, name in (
+        ("rating_count", 0.6, "q60"), ("rating_count", 0.5, "median_votes"), ("ave_rating", 0.75, "q75_rating"))]
+    return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
 
 
 @register(
@@ -443,11 +441,11 @@ def shrunk_rating(spark, sf_dir):
 # -------------------------------------------------------------- ranking / top-k
 @register(
     "topk_global",
-    f"{V('ratings')}, {_POP_SQL} SELECT movieId, ave_rating, rating_count FROM pop WHERE rating_count >= 30 ORDER BY ave_rating DESC, movieId LIMIT 10",
+    f"{V('ratings')}, {_POP_SQL} SELECT movieId, ave_rating, rating_count FROM pop ORDER BY ave_rating DESC, movieId LIMIT 10",
 )
 def topk_global(spark, sf_dir):
     """T1 global: distributed top-k (TakeOrderedAndProject)."""
-    pop = Rel.popularity(fx.ratings(spark, sf_dir)).where(F.col("rating_count") >= 30)
+    pop = Rel.popularity(fx.ratings(spark, sf_dir))
     return Rel.top_k(pop, [F.col("ave_rating").desc(), F.col("movieId").asc()], 10)
 
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
 from marquee.operators import clustering as Cl
@@ -124,7 +125,8 @@ def test_content_neighbours_brute_force(spark, gate, exclude, block, monkeypatch
     mdf = _movies(spark, [(i, f"t{i}", genres[i]) for i in ids])
     req = spark.createDataFrame([(1, s) for s in seeds], "request_id bigint, movieId bigint")
     monkeypatch.setattr(N, "BLOCK_ROWS", block)
-    monkeypatch.setattr(N, "SMALL_SEED_ROWS", 0 if block == 2 else 512)
+    s, _ = N.cells(N.seed_rows(req, vdf, mdf), N.cluster_candidates(vdf, mdf), "movie_id")
+    assert s._df.select("c_block").distinct().count() == (5 if block == 2 else 1)  # 10 candidates a cluster
     got = N.content_neighbours(req, vdf, mdf, top_n=10, gate=gate, exclude_seeds=exclude).orderBy("rank").collect()
     expect = _brute_neighbours(seeds, vecs, genres, clusters, gate, exclude, 10)
     assert [(r.movie_id, r.similarity_score, r.weight) for r in got] == expect
@@ -167,10 +169,12 @@ def test_co_rating_scores_brute_force_with_zero_fill(spark):
 
 
 def _rbo(l1, l2, p=0.9):
-    s = 0.0
-    for d in range(1, min(len(l1), len(l2)) + 1):
-        s += len(set(l1[:d]) & set(l2[:d])) / d * p ** (d - 1)
-    return (1 - p) * s
+    """From the definition: an id counts from the depth at which both lists hold it."""
+    depth = min(len(l1), len(l2))
+    place = {m: i for i, m in enumerate(l2, 1)}
+    joined = np.bincount([max(i, place[m]) for i, m in enumerate(l1, 1) if m in place], minlength=max(len(l1), len(l2)) + 1)
+    agreement = np.cumsum(joined)[1 : depth + 1] / np.arange(1, depth + 1)
+    return (1 - p) * float(agreement @ p ** np.arange(depth))
 
 
 def test_list_measures_brute_force(spark):
@@ -205,7 +209,7 @@ def test_closest_by_genres_brute_force(spark):
     movies = [(i, f"t{i}", "|".join(rnd.sample(tokens, rnd.randint(1, 7)))) for i in range(40)]
     mdf = _movies(spark, movies)
     with_vec = spark.createDataFrame([(i, [1.0], 0) for i in range(0, 40, 2)], "id bigint, vec array<double>, cluster int")
-    reqs = [(100 + k, rnd.sample(tokens, rnd.randint(1, 5))) for k in range(15)]
+    reqs = [(100 + k, rnd.sample(tokens, rnd.randint(1, 5))) for k in range(15)] + [(200, []), (201, ["zz"])]
     rdf = spark.createDataFrame(reqs, "request_id bigint, genres array<string>")
     got = {r.request_id: (r.donor_id, r.overlap) for r in M.closest_by_genres(rdf, mdf, with_vec).collect()}
     for q, g in reqs:
@@ -216,7 +220,7 @@ def test_closest_by_genres_brute_force(spark):
             ov = len(set(g) & set(gen.split("|")))
             if ov and (best is None or (-ov, i) < (-best[1], best[0])):
                 best = (i, ov)
-        assert got.get(q) == best
+        assert got[q] == (best or (None, 0))
 
 
 def test_cluster_quality_matches_numpy(spark):
@@ -235,6 +239,11 @@ def test_cluster_quality_matches_numpy(spark):
     B = sum((lab == k).sum() * ((cents[k] - g) ** 2).sum() for k in range(4))
     ch = (B / 3) / (inertia / 36)
     assert math.isclose(Cl.calinski_harabasz(df).first().calinski_harabasz, ch, rel_tol=1e-6)
+    D2 = ((X[:, None] - X[None]) ** 2).sum(axis=2)
+    own = [D2[i, [j for j in range(40) if lab[j] == lab[i] and j != i]].mean() for i in range(40)]
+    oth = [min(D2[i, lab == k].mean() for k in range(4) if k != lab[i]) for i in range(40)]
+    sq = np.mean([(b - a) / max(a, b) for a, b in zip(own, oth)])
+    assert math.isclose(Cl.silhouette(df).first().silhouette, sq, abs_tol=2e-6)
     # exact silhouette over all 40 points (sample larger than the data)
     D = np.linalg.norm(X[:, None] - X[None], axis=2)
     sil = []
@@ -268,3 +277,68 @@ def test_assign_new_ids_continue_after_max(spark):
     new = spark.createDataFrame([("b",), ("a",), ("c",)], "title string")
     got = {r.title: r.movieId for r in Rel.assign_new_ids(new, existing, "movieId", "title").collect()}
     assert got == {"a": 6, "b": 7, "c": 8}
+
+
+def test_many_genres_have_a_donor(spark):
+    genres = [f"g{i}" for i in range(40)]
+    mdf = _movies(spark, [(1, "a", "|".join(genres)), (2, "b", "|".join(genres[:32])), (3, "c", "g0")])
+    vec = spark.createDataFrame([(1, [1.0], 0), (3, [1.0], 0)], "id bigint, vec array<double>, cluster int")
+    req = spark.createDataFrame([(2, genres[:32])], "request_id bigint, genres array<string>")
+    assert [tuple(r) for r in M.closest_by_genres(req, mdf, vec).collect()] == [(2, 1, 32)]
+
+
+def test_assign_centroid_keeps_equal_ids(spark):
+    cents = spark.createDataFrame([(0, [0.0]), (1, [10.0]), (2, [10.0])], "cluster int, centroid array<double>")
+    df = spark.createDataFrame([(1, [1.0]), (1, [9.0])], "id bigint, vec array<double>")
+    assert sorted(tuple(r) for r in Cl.assign_centroid(df, cents).collect()) == [(1, 0, 1.0), (1, 1, 1.0)]
+
+
+def test_long_to_dense_fills_and_refuses(spark):
+    from marquee.sources.io import long_to_dense
+
+    df = spark.createDataFrame([(1, 0, 1.0), (1, 1, 2.0), (1, 2, 3.0), (2, 0, 4.0), (2, 2, 5.0)], "r int, c int, v double")
+    assert {x.r: x.vec for x in long_to_dense(df, "r", "c", "v").collect()} == {1: [1.0, 2.0, 3.0], 2: [4.0, 0.0, 5.0]}
+    with pytest.raises(Exception):
+        long_to_dense(df.union(df.limit(1)), "r", "c", "v").collect()
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.6, 0.75, 1.0])
+def test_quantile_is_exact(spark, p):
+    rnd = np.random.default_rng(2)
+    for values in (rnd.normal(size=501), rnd.integers(0, 9, 400).astype(float), np.array([3.0])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(7)
+        assert math.isclose(Rel.scalar_quantile(df, "v", p, "q").first().q, np.quantile(values, p), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_running_total_within_groups(spark):
+    rows = [(k, i, (7 * i) % 5) for k in (1, 2, 3) for i in range(200 if k == 2 else 9)]
+    df = spark.createDataFrame(rows, "k int, i int, n int").repartition(9)
+    got = {(r.k, r.i): (r.t, r.pos) for r in Rel.running_total(Rel.running_total(df, [F.col("i").desc()], "n", "t", ["k"]),
+                                                               [F.col("i").desc()], None, "pos", ["k"]).collect()}
+    for k in (1, 2, 3):
+        mine = sorted((r for r in rows if r[0] == k), key=lambda r: -r[1])
+        total = 0
+        for place, (_, i, n) in enumerate(mine, 1):
+            total += n
+            assert got[k, i] == (total, place)
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_knn_and_peers_on_the_grid(spark, block, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", block)
+    rnd = np.random.default_rng(4)
+    vec = {i: rnd.normal(size=3).tolist() for i in range(25)}
+    df = spark.createDataFrame([(i, v, i % 2) for i, v in vec.items()], "id bigint, vec array<double>, cluster int")
+    req = spark.createDataFrame([(i, i) for i in range(10)], "request_id bigint, id bigint")
+
+    def cos(a, b):
+        return float(np.dot(vec[a], vec[b]) / np.linalg.norm(vec[a]) / np.linalg.norm(vec[b]))
+
+    got = {(r.request_id, r["rank"]): r.candidate_id for r in N.knn_scan(req, df, df, 4).collect()}
+    for q in range(10):
+        want = sorted((i for i in vec if i != q), key=lambda i: (-round(cos(q, i), 6), i))[:4]
+        assert [got[q, k] for k in range(1, 5)] == want
+    users = req.withColumnRenamed("id", "user_id")
+    for mode in ("banded", "nearest"):
+        quick = {tuple(r) for r in U.chosen_peers(users, df, 3, mode).collect()}
+        assert quick == {tuple(r) for r in U.select_peers(U.peer_candidates(users, df), 3, mode).collect()}

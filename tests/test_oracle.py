@@ -17,7 +17,7 @@ SUBSET = [
     "content_neighbours", "content_with_block", "hybrid_neighbours", "knn_cosine", "similar_users",
     "similarity_bands", "peer_selection", "co_rating_scores", "user_ensemble", "segment_recommend",
     "watched_segments", "eval_rbo", "eval_rbo_curve", "eval_match_matrix", "assign_centroid", "davies_bouldin",
-    "silhouette_sample", "closest_by_genres", "regression_metrics", "stream_popularity",
+    "silhouette", "silhouette_sample", "sparse_matrix_dense", "content_split", "genre_subset", "closest_by_genres", "regression_metrics", "stream_popularity",
     "cosine", "nearest_one", "user_cluster_wide", "k_rank_vote",
 ]
 
@@ -60,8 +60,8 @@ def test_entry_smoke(spark, entry):
 # model fits and their derived flows: checked by rows and invariants in test_models.py
 INVARIANT_ONLY = {
     "add_items", "als_item_factors", "bridge_scores", "encode_items", "encode_user_segments", "encode_users",
-    "fold_in_users", "k_sweep", "kmeans_items", "knn_lsh", "model_roundtrip", "new_item_recs", "new_user_recs",
-    "predicted_topk", "rating_als", "rating_regressor", "reconstruction_mse", "weak_dims",
+    "fold_in_users", "k_sweep", "kmeans_items", "kmeans_users", "knn_lsh", "new_item_recs", "new_user_recs",
+    "predicted_topk", "rating_als", "rating_regressor", "segments_by_vote", "weak_dims",
 }
 
 
