@@ -7,8 +7,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
+from marquee.operators import neighbours as N
 from marquee.operators import recommend as R
 from marquee.operators import relational as Rel
+from marquee.operators import vectors as Vec
 from marquee.plans.catalog import register
 from marquee.sources import fixtures as fx
 from marquee.sources import io as sio
@@ -225,11 +227,11 @@ def genres_explode(spark, sf_dir):
 
 @register(
     "distinct_genres",
-    f"{V('movies')} SELECT DISTINCT trim(unnest(string_split(genres, '|'))) AS genre FROM movies",
+    f"{V('movies')} SELECT DISTINCT trim(unnest(string_split(genres, '|'))) AS genre FROM movies ORDER BY genre",
 )
 def distinct_genres(spark, sf_dir):
-    """A13/T3."""
-    return Rel.distinct_tokens(fx.movies(spark, sf_dir))
+    """Sorted."""
+    return Rel.distinct_tokens(fx.movies(spark, sf_dir)).orderBy("genre")
 
 
 # ---------------------------------------------------------------------- joins
@@ -250,6 +252,126 @@ def join_inner_popularity(spark, sf_dir):
     return fx.movies(spark, sf_dir).join(Rel.popularity(fx.ratings(spark, sf_dir)), "movieId")
 
 
+# Ratings of few users leave most movies unrated; movies with holes have null titles and genres.
+_FEW = "few AS (SELECT * FROM ratings WHERE userId < 50), pop AS (SELECT movieId, avg(rating) AS ave_rating, count(rating) AS rating_count FROM few GROUP BY movieId)"
+_HOLES = """holes AS (SELECT movieId, CASE WHEN movieId % 11 <> 0 THEN title END AS title, CASE WHEN movieId % 13 <> 0 THEN genres END AS genres FROM movies)"""
+
+
+def _few_ratings(spark, sf_dir):
+    return fx.ratings(spark, sf_dir).where(F.col("userId") < 50)
+
+
+def _movies_with_holes(spark, sf_dir):
+    return fx.movies(spark, sf_dir).select(
+        "movieId", F.when(F.col("movieId") % 11 != 0, F.col("title")).alias("title"),
+        F.when(F.col("movieId") % 13 != 0, F.col("genres")).alias("genres"))
+
+
+@register(
+    "unrated_stats",
+    f"""{V('ratings', 'movies')}, {_FEW}
+SELECT m.movieId, coalesce(p.ave_rating, 0) AS ave_rating, coalesce(p.rating_count, 0) AS rating_count,
+       round((SELECT avg(ave_rating) FROM pop), 6) AS mean_rated,
+       round((SELECT avg(coalesce(p2.ave_rating, 0)) FROM movies m2 LEFT JOIN pop p2 ON m2.movieId = p2.movieId), 6) AS mean_all
+FROM movies m LEFT JOIN pop p ON m.movieId = p.movieId""",
+)
+def unrated_stats(spark, sf_dir):
+    """J2, P12, A2 where most movies have no rating: zero-filled stats, and the two means that then differ."""
+    pop = Rel.popularity(_few_ratings(spark, sf_dir))
+    every = Rel.left_fill(fx.movies(spark, sf_dir).select("movieId"), pop, "movieId", {"ave_rating": 0.0, "rating_count": 0})
+    means = pop.agg(F.round(F.avg("ave_rating"), 6).alias("mean_rated")).crossJoin(
+        every.agg(F.round(F.avg("ave_rating"), 6).alias("mean_all")))
+    return Rel.with_scalars(every, means)
+
+
+@register(
+    "catalogue_with_holes",
+    f"""{V('movies')}, {_HOLES}
+SELECT movieId, title, genres, title IS NOT NULL AND genres IS NOT NULL AS usable,
+       len(string_split(genres, '|')) AS n_genres, instr(lower(coalesce(genres, '')), 'small') > 0 AS is_small,
+       coalesce(regexp_matches(title, '(?i)r.ng'), false) AS found
+FROM holes""",
+)
+def catalogue_with_holes(spark, sf_dir):
+    """P11, P14, P15, P7 on null titles and genres: usable as a result, genre tokens, genre match, title search."""
+    mv = _movies_with_holes(spark, sf_dir)
+    usable = N.catalogue(mv).select("movieId", F.lit(True).alias("_u"))
+    found = R.title_search(mv, "R.ng").select("movieId", F.lit(True).alias("_f"))
+    x = mv.join(usable, "movieId", "left").join(found, "movieId", "left")
+    return x.select("movieId", "title", "genres", F.coalesce("_u", F.lit(False)).alias("usable"),
+                    F.when(F.col("genres").isNotNull(), F.size(C.genre_tokens("genres"))).cast("bigint").alias("n_genres"),
+                    (C.genre_match_count("genres", ["small"]) > 0).alias("is_small"), F.coalesce("_f", F.lit(False)).alias("found"))
+
+
+@register(
+    "requests_unknown",
+    f"""{V('ratings', 'user_clusters')}, rq AS (SELECT DISTINCT userId AS id FROM ratings UNION SELECT DISTINCT -userId - 1 FROM ratings)
+SELECT id FROM rq WHERE id NOT IN (SELECT user_id FROM user_clusters)""",
+)
+def requests_unknown(spark, sf_dir):
+    """Of requests for every user and for as many ids that don't exist, the unknown ones are reported."""
+    ids = fx.ratings(spark, sf_dir).select(F.col("userId").alias("id"))
+    req = ids.union(ids.select(-F.col("id") - 1)).distinct()
+    return Rel.anti(req, fx.user_clusters(spark, sf_dir).select(F.col("user_id").alias("id")), "id")
+
+
+@register(
+    "constant_dims_found",
+    f"{V('item_vectors')} SELECT CAST(p AS INTEGER) AS pos, CAST(0 AS DOUBLE) AS std FROM (SELECT max(len(vec)) AS d FROM item_vectors), unnest([0, 1]) t(k), LATERAL (SELECT d + k AS p)",
+)
+def constant_dims_found(spark, sf_dir):
+    """Two constant dimensions behind the content vector are found."""
+    iv = fx.item_vectors(spark, sf_dir).select("id", F.concat("vec", F.array(F.lit(0.5), F.lit(-3.0))).alias("vec"))
+    return Vec.constant_dims(iv).select("pos", F.round("std", 6).alias("std"))
+
+
+@register("csv_sources", " UNION ALL ".join(
+    f"(WITH x AS ({V(view)} SELECT * FROM {view}) SELECT '{kind}' AS kind, count(*) AS n_rows, 0::BIGINT AS changed FROM x)"
+    for kind, view in (("movies", "movies"), ("ratings", "ratings"), ("genome-scores", "genome_scores"), ("genome-tags", "genome_tags"))))
+def csv_sources(spark, sf_dir):
+    """The four inputs written as CSV to the shared folder and read with their explicit schemas; no row changes."""
+    out = None
+    for kind, source in (("movies", fx.movies), ("ratings", fx.ratings), ("genome-scores", fx.genome_scores), ("genome-tags", fx.genome_tags)):
+        df = source(spark, sf_dir)
+        again = sio.read_csv(spark, sio.write_table(df, f"csv-{kind}", "csv"), kind)
+        changed = df.exceptAll(again).agg(F.count(F.lit(1)).alias("changed"))
+        row = again.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_rows")).crossJoin(changed)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register(
+    "normalize_ratings",
+    f"""{V('ratings')} SELECT row_number() OVER (ORDER BY userId, movieId, "timestamp", rating) AS rating_id, userId AS user_id, movieId AS movie_id, rating FROM ratings""",
+)
+def normalize_ratings(spark, sf_dir):
+    """The ratings table with surrogate ids in key order, written and read back."""
+    r = fx.ratings(spark, sf_dir)
+    order = [F.col(c).asc() for c in ("userId", "movieId", "timestamp", "rating")]
+    t = Rel.running_total(r, order, None, "rating_id").select(
+        "rating_id", F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"), "rating")
+    return sio.roundtrip_parquet(t, "ratings-table")
+
+
+@register(
+    "normalize_scores",
+    f"{V('genome_scores')} SELECT row_number() OVER (ORDER BY movieId, tagId) AS score_id, movieId AS movie_id, tagId AS tag_id, relevance FROM genome_scores",
+)
+def normalize_scores(spark, sf_dir):
+    """The tag scores with surrogate ids, written and read back."""
+    t = Rel.running_total(fx.genome_scores(spark, sf_dir), [F.col("movieId").asc(), F.col("tagId").asc()], None, "score_id")
+    return sio.roundtrip_parquet(t.select("score_id", F.col("movieId").alias("movie_id"), F.col("tagId").alias("tag_id"), "relevance"), "scores-table")
+
+
+@register(
+    "normalize_tags",
+    f"{V('genome_tags')} SELECT tagId AS tag_id, tag AS name FROM genome_tags",
+)
+def normalize_tags(spark, sf_dir):
+    """The tag table, written and read back."""
+    return sio.roundtrip_parquet(fx.genome_tags(spark, sf_dir).select(F.col("tagId").alias("tag_id"), F.col("tag").alias("name")), "tags-table")
+
+
 @register(
     "join_left_stats",
     f"""{V('ratings', 'item_vectors')}, {_POP_SQL}

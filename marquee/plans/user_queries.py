@@ -120,6 +120,25 @@ def user_ensemble(spark, sf_dir):
                            fx.movies(spark, sf_dir))
 
 
+_EVERY_USER_SQL = "rq AS (SELECT DISTINCT id AS request_id, id AS user_id FROM user_vectors)"
+_ENSEMBLE_SQL = """votes AS (SELECT p.request_id, r.movieId, count(*) AS ensemble_score, list_sort(list_distinct(list(p.peer_id))) AS supported_by_users
+          FROM peers p JOIN recs r ON p.peer_id = r.peer_id GROUP BY p.request_id, r.movieId),
+en AS (SELECT v.*, m.title, m.genres FROM votes v JOIN movies m ON v.movieId = m.movieId),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY ensemble_score DESC, movieId) AS INTEGER) AS rank FROM en)
+SELECT request_id, movieId AS movie_id, title, genres, ensemble_score, supported_by_users, rank FROM rk WHERE rank <= 50"""
+
+
+@register(
+    "user_ensemble_all_users",
+    f"{V('user_vectors', 'ratings', 'movies')}, {_EVERY_USER_SQL}, {_PEER_SQL}, {_CORATE_SQL},\n{_ENSEMBLE_SQL}",
+)
+def user_ensemble_all_users(spark, sf_dir):
+    """R7 + M12 as one batch: every user with a vector."""
+    uv = fx.user_vectors(spark, sf_dir)
+    req = uv.select(F.col("id").alias("request_id"), F.col("id").alias("user_id")).distinct()
+    return U.user_ensemble(req, uv, fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir))
+
+
 @register(
     "ensemble_votes",
     f"""{V('user_vectors', 'ratings', 'movies', 'seeds')}, {_REQ_SQL}, {_PEER_SQL}, {_CORATE_SQL}

@@ -386,3 +386,25 @@ def nearest_one(spark, sf_dir):
     iv = fx.item_vectors(spark, sf_dir)
     rq = fx.seed_requests(spark).select(F.col("movieId").alias("id")).withColumn("request_id", F.col("id"))
     return N.knn_scan(rq, iv, iv, k=1).drop("rank")
+
+
+@register(
+    "similar_users_all",
+    f"""{V('user_vectors')},
+tr AS (SELECT id, vec, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors WHERE {_USER_SPLIT} >= 2),
+te AS (SELECT id, vec, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors WHERE {_USER_SPLIT} < 2),
+sc AS (SELECT q.id AS request_id, q.id AS train_user_id, c.id AS test_user_id,
+              round({COS.format(a='q.vec', b='c.vec').replace('q.vecn', 'q.nrm').replace('c.vecn', 'c.nrm')}, 6) AS similarity
+       FROM tr q CROSS JOIN te c),
+rk AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY similarity DESC, test_user_id) AS rank FROM sc)
+SELECT request_id, train_user_id, test_user_id, similarity,
+       CASE WHEN similarity = 1.0 THEN 'identical' WHEN similarity > 0.99 THEN 'near identical'
+            WHEN similarity > 0.95 THEN 'close' WHEN similarity > 0.90 THEN 'medium' ELSE 'weak' END AS similarity_level,
+       CAST(rank AS INTEGER) AS rank
+FROM rk WHERE rank <= 10""",
+)
+def similar_users_all(spark, sf_dir):
+    """R12 as one batch: the 10 most similar test users of every train user, on the grid."""
+    uv = Fe.row_split(fx.user_vectors(spark, sf_dir), "id")
+    tr, te = uv.where(F.col("split") == "train"), uv.where(F.col("split") == "test")
+    return N.similar_users(tr.select("id", F.col("id").alias("request_id")), tr, te, 10)

@@ -17,7 +17,7 @@ SUBSET = [
     "content_neighbours", "content_with_block", "hybrid_neighbours", "knn_cosine", "similar_users",
     "similarity_bands", "peer_selection", "co_rating_scores", "user_ensemble", "segment_recommend",
     "watched_segments", "eval_rbo", "eval_rbo_curve", "eval_match_matrix", "assign_centroid", "davies_bouldin",
-    "silhouette", "silhouette_sample", "sparse_matrix_dense", "content_split", "genre_subset", "closest_by_genres", "regression_metrics", "stream_popularity",
+    "silhouette", "silhouette_sample", "sparse_matrix_dense", "unrated_stats", "catalogue_with_holes", "requests_unknown", "constant_dims_found", "normalize_ratings", "eval_precision", "eval_jaccard", "eval_position_match", "content_split", "genre_subset", "closest_by_genres", "regression_metrics", "stream_popularity",
     "cosine", "nearest_one", "user_cluster_wide", "k_rank_vote",
 ]
 
