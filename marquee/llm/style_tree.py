@@ -42,7 +42,7 @@ LEAST, PAGES, DISCOUNT, DEPTH = 0.3, 10, 0.9, 24
 #: Elements and names that declare boilerplate.
 NOISE_TAGS = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 NOISE_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "alerts", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "alerts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
     "consent", "contentinfo", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer", "form", "gdpr", "hidden", "login", "masthead", "menu", "modal",
     "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "promoted", "related", "replies", "reply",
     "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
