@@ -14,6 +14,7 @@ from marquee.operators import clustering as Cl
 from marquee.operators import features as Fe
 from marquee.operators import models as M
 from marquee.operators import neighbours as N
+from marquee.operators import recommend as R
 from marquee.operators import relational as Rel
 from marquee.operators import users as U
 from marquee.operators import vectors as Vec
@@ -698,6 +699,32 @@ def new_item_recs(spark, sf_dir):
     return N.content_neighbours(req, placed.select("id", "vec", "cluster"), fx.movies(spark, sf_dir), top_n=50, gate=False, exclude_seeds=True)
 
 
+@register("hybrid_neighbours_als")
+def hybrid_neighbours_als(spark, sf_dir):
+    """R5 on hybrid vectors of content encodings and ALS item factors; seeds and blocked ids excluded."""
+    hybrid = _placed_items(spark, sf_dir).where(F.col("donor_id").isNull()).select("id", "vec", "cluster")
+    return N.content_neighbours(fx.seed_requests(spark), hybrid, fx.movies(spark, sf_dir), exclude_seeds=True,
+                                blocked=R.blocked_ids(fx.importance(spark, sf_dir)))
+
+
+@register(
+    "hybrid_als_check",
+    f"""{V('item_vectors', 'movies', 'seeds', 'importance')},
+last AS (SELECT movieId, arg_max(importance_score, seq) AS s FROM importance GROUP BY movieId),
+cand AS (SELECT v.id FROM item_vectors v JOIN movies m ON m.movieId = v.id WHERE v.id NOT IN (SELECT movieId FROM seeds)
+         AND v.id NOT IN (SELECT movieId FROM last WHERE s = -1) AND v.cluster IN (SELECT cluster FROM item_vectors WHERE id IN (SELECT movieId FROM seeds)))
+SELECT least(50, count(*)) AS n_rows, 0::BIGINT AS outside FROM cand""",
+)
+def hybrid_als_check(spark, sf_dir):
+    """R5 invariants: a full list, of allowed items in the seeds' clusters only."""
+    iv = _items(spark, sf_dir)
+    seeds = fx.seed_requests(spark).select(F.col("movieId").alias("id"))
+    fit = iv.join(iv.join(seeds, "id").select("cluster").distinct(), "cluster").select("id").join(seeds, "id", "left_anti").join(
+        R.blocked_ids(fx.importance(spark, sf_dir)).select(F.col("movieId").alias("id")), "id", "left_anti")
+    got = sio.roundtrip_parquet(hybrid_neighbours_als(spark, sf_dir), "hybrid-list").select(F.col("movie_id").alias("id"))
+    return got.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(got.join(fit, "id", "left_anti").agg(F.count(F.lit(1)).alias("outside")))
+
+
 @register("knn_lsh")
 def knn_lsh(spark, sf_dir):
     """M11 at scale: approximate cosine neighbours (similarity >= 0.3) via random-projection LSH."""

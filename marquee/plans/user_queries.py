@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquee.operators import features as Fe
+from marquee.operators import neighbours as N
 from marquee.operators import users as U
 from marquee.plans.catalog import register
 from marquee.sources import fixtures as fx
@@ -139,6 +141,29 @@ def user_ensemble_all_users(spark, sf_dir):
     return U.user_ensemble(req, uv, fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir))
 
 
+_BUCKET = "('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 10"
+_HELD_OUT_SQL = f"""tr AS (SELECT id, vec, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors WHERE {_BUCKET} >= 2),
+te AS (SELECT id, vec, cluster, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors WHERE {_BUCKET} < 2),
+rq AS (SELECT request_id, user_id FROM (SELECT q.id AS request_id, p.id AS user_id,
+         row_number() OVER (PARTITION BY q.id ORDER BY round({_COS}, 6) DESC, p.id) AS k FROM tr q CROSS JOIN te p) WHERE k = 1)"""
+
+
+@register(
+    "user_ensemble_heldout",
+    f"""{V('user_vectors', 'ratings', 'movies')}, {_HELD_OUT_SQL},
+{_PEER_SQL.replace("uv AS (SELECT id, vec, cluster, sqrt(list_dot_product(vec, vec)) AS nrm FROM user_vectors)", "uv AS (SELECT * FROM te)")},
+{_CORATE_SQL},
+{_ENSEMBLE_SQL}""",
+)
+def user_ensemble_heldout(spark, sf_dir):
+    """R7, second list: for every train user, the ensemble of the most similar held-out user among the held-out users."""
+    uv = Fe.row_split(fx.user_vectors(spark, sf_dir), "id")
+    train, test = uv.where(F.col("split") == "train"), uv.where(F.col("split") == "test")
+    near = N.knn_scan(train.select("id", F.col("id").alias("request_id")), train, test, 1, exclude_self=False)
+    req = near.select("request_id", F.col("candidate_id").alias("user_id"))
+    return U.user_ensemble(req, test.drop("split"), fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir))
+
+
 @register(
     "ensemble_votes",
     f"""{V('user_vectors', 'ratings', 'movies', 'seeds')}, {_REQ_SQL}, {_PEER_SQL}, {_CORATE_SQL}

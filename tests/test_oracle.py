@@ -60,7 +60,7 @@ def test_entry_smoke(spark, entry):
 # model fits and their derived flows: checked by rows and invariants in test_models.py
 INVARIANT_ONLY = {
     "add_items", "als_item_factors", "bridge_scores", "encode_items", "encode_user_segments", "encode_users",
-    "fold_in_users", "k_sweep", "kmeans_items", "kmeans_users", "knn_lsh", "new_item_recs", "new_user_recs",
+    "fold_in_users", "hybrid_neighbours_als", "k_sweep", "kmeans_items", "kmeans_users", "knn_lsh", "new_item_recs", "new_user_recs",
     "predicted_topk", "rating_als", "rating_regressor", "segments_by_vote", "weak_dims",
 }
 
