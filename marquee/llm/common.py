@@ -30,6 +30,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table once all that was made from it is written too."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def tokenizer_file(name: str) -> str:
     """Where an installed vocabulary file lies; such files are never copied."""
     import public_tokenizers

@@ -8,6 +8,8 @@ product of the matrix with its transpose is wanted only where it reaches that bo
   shares one of its first n - ceil(n * percent / 100) + 1 columns, so the product starts on these.
 * A pair is dropped if the sizes rule it out, or if the overlap cannot reach the bound with what
   lies behind the shared column in either row. It holds for the first column that a pair shares.
+* The columns fall into ``BINS`` bins by hash. A pair cannot overlap by more than the sum over bins of
+  its smaller count, so pairs below the bound by this sum are dropped without reading a text.
 * For the other pairs overlap counts are added up over all columns, in blocks of pairs.
 
 A column that many rows share is not squared. First each row is paired with one leader a column (the
@@ -34,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import discard, written
 from marquee.llm.components import components
 from marquee.llm.words import LOWER, Hashes, Words, mix, text_bytes, text_slices, windows
 
-COUNT_BLOCK, COUNT_LEAST, COMMON = 4_000_000, 4, 1 << 17
+COUNT_BLOCK, COUNT_LEAST, COMMON, BINS = 2_000_000, 3, 1 << 18, 64
 #: Rows of 8-byte keys that are broadcast at most; larger tables are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -74,11 +76,6 @@ def _classes(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)).view(np.int64)
 
 
-def _blob(gram: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    whole = gram.astype("<u8").tobytes()
-    return pa.array([whole[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
-
-
 def _common_of(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     often = counts >= COUNT_LEAST
@@ -95,34 +92,36 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, n: int = 3, percent: int = 90):
         self.n, self.percent = n, percent
-        self.docs = docs.select("doc_id", "text")
+        self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))  # together they name a row
         read = self._read()
-        self.rows = read.where("n_shingles IS NOT NULL").select("doc_id", "class", "n_shingles")
-        self.classes = written(self.rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "classes")
-        copies = self.rows.join(self.classes.where("n > 1").select("class", F.col("doc_id").alias("kept")), "class").where("doc_id <> kept")
-        copies = copies.select("doc_id").distinct().join(self.classes.select("doc_id"), "doc_id", "left_anti")
-        copies = _few(written(copies, "copies"))
-        self.docs = self.docs.join(copies, "doc_id", "left_anti")  # one document of each class; the others have equal sets
+        self.rows = read.where("n_shingles IS NOT NULL").select("doc_id", "hash", "class", "n_shingles")
+        kept = F.min(F.struct("doc_id", "hash")).alias("kept")
+        self.classes = written(self.rows.where("n_shingles > 0").groupBy("class").agg(kept, F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "classes")
+        copies = self.rows.join(self.classes.where("n > 1").select("class", "kept"), "class")
+        copies = copies.where(~F.struct("doc_id", "hash").eqNullSafe(F.col("kept"))).select(F.col("doc_id").alias("id"), F.col("hash").alias("row_hash"))
+        copies = _few(written(copies.distinct(), "copies"))
+        self.docs = self.docs.join(copies, self._row(copies), "left_anti")  # one document of each class; the others have equal sets
 
         common = read.where("n_shingles IS NULL").groupBy("class").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "class").limit(COMMON).collect()
-        self.entries = written(self._prefixes([r["class"] for r in reversed(common)]), "prefixes").select("class", "n", F.posexplode("prefix").alias("place", "column"))
-        columns = self.entries.groupBy("column").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.min(F.struct("place", "n", "class")).alias("leader"), F.min("n").alias("smallest"))
-        self.columns = written(columns.where("least <> most").select("column", "leader", "smallest"), "columns")
-        shared = self.entries.join(_few(self.columns.select("column")), "column", "left_semi")
-        self.entries = written(shared.distinct(), "entries")
-        wanted = _few(written(self.entries.select("class").distinct(), "wanted"))
-        self.sets = written(self._sets_of(wanted), "sets")
-
-        first = written(self._led(), "pairs")
-        links = written(self._linked(first), "links")
-        labels = components(links)
-        second = self._linked(written(self._between(labels).join(first, ["a", "b"], "left_anti"), "pairs"))
-        self.links = written(links.union(second), "links")
+        prefixes = written(self._prefixes([r["class"] for r in reversed(common)]), "prefixes")
+        entries = prefixes.select("class", "n", F.posexplode("prefix").alias("place", "column"))
+        several = entries.groupBy("column").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most")
+        several = _few(written(several.select("column"), "shared-columns"))
+        self.entries = written(entries.join(several, "column", "left_semi").distinct(), "entries")
+        self.bins = written(prefixes.select("class", "bins").dropDuplicates(["class"]), "bins")
+        discard(prefixes)
+        leader = F.min(F.struct("place", "n", "class")).alias("leader")
+        self.columns = written(self.entries.groupBy("column").agg(leader, F.min("n").alias("smallest")), "columns")
+
+        led = written(self._led(), "pairs")
+        links = self._linked(self._bounded(led))
+        second = self._bounded(self._between(components(links)).join(led, ["a", "b"], "left_anti"))
+        self.links = links if second.isEmpty() else written(links.union(self._linked(second)), "links")
         self.labels = components(self.links)
 
     def _read(self) -> DataFrame:
         """One row a document (doc_id, class, n_shingles), and rows (class = n-gram, n) for common n-grams."""
-        n = self.n
+        n, names = self.n, ["doc_id", "hash", "class", "n_shingles", "n"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = []
@@ -131,21 +130,20 @@ class JaccardJoin:
                 gram, counts = _common_of(held)
                 held.clear()
                 empty = pa.nulls(len(gram), pa.int64())
-                return pa.RecordBatch.from_arrays([empty.cast(kind), pa.array(gram), empty, pa.array(counts)], names=["doc_id", "class", "n_shingles", "n"])
+                return pa.RecordBatch.from_arrays([empty.cast(kind), empty, pa.array(gram), empty, pa.array(counts)], names=names)
 
             kind = pa.int64()
             for batch in text_slices(batches, "text"):
                 kind = batch["doc_id"].type
                 gram, bounds = _sets(batch["text"], n)
                 held.append(gram)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"], pa.array(_classes(gram, bounds)), pa.array(np.diff(bounds).astype(np.int64)), pa.nulls(batch.num_rows, pa.int64())], names=["doc_id", "class", "n_shingles", "n"]
-                )
+                columns = [batch["doc_id"], batch["hash"], pa.array(_classes(gram, bounds)), pa.array(np.diff(bounds).astype(np.int64)), pa.nulls(batch.num_rows, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 if sum(map(len, held)) >= COUNT_BLOCK:
                     yield counted()
             yield counted()
 
-        schema = self.docs.select("doc_id").schema.add("class", "long").add("n_shingles", "long").add("n", "long")
+        schema = self.docs.select("doc_id").schema.add("hash", "long").add("class", "long").add("n_shingles", "long").add("n", "long")
         return written(self.docs.mapInArrow(run, schema), "sets-read")
 
     def _prefixes(self, common: list[int]) -> DataFrame:
@@ -170,22 +168,21 @@ class JaccardJoin:
                 place = np.arange(len(gram)) - np.repeat(bounds[:-1], sizes)
                 chosen = ordered[place < np.repeat(length, sizes)].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(chosen))
-                yield pa.RecordBatch.from_arrays([pa.array(_classes(gram, bounds)), pa.array(sizes.astype(np.int64)), lists], names=["class", "n", "prefix"])
+                counts = np.bincount(row * BINS + (gram >> np.uint64(40)).astype(np.int64) % BINS, minlength=len(sizes) * BINS).astype("<u4").tobytes()
+                bins = pa.array([counts[4 * BINS * i : 4 * BINS * (i + 1)] for i in range(len(sizes))], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_classes(gram, bounds)), pa.array(sizes.astype(np.int64)), lists, bins], names=["class", "n", "prefix", "bins"])
 
-        return self.docs.select("text").mapInArrow(run, "class long, n long, prefix array<long>")
+        return self.docs.select("text").mapInArrow(run, "class long, n long, prefix array<long>, bins binary")
 
-    def _sets_of(self, wanted: DataFrame) -> DataFrame:
-        """class and the whole set, for the classes in ``wanted`` at least."""
-        n = self.n
+    def _row(self, other: DataFrame) -> Column:
+        return self.docs["doc_id"].eqNullSafe(other["id"]) & self.docs["hash"].eqNullSafe(other["row_hash"])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_slices(batches, "text"):
-                gram, bounds = _sets(batch["text"], n)
-                yield pa.RecordBatch.from_arrays([pa.array(_classes(gram, bounds)), _blob(gram, bounds)], names=["class", "set"])
-
-        ids = _few(written(self.classes.join(wanted, "class", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "wanted-documents"))
-        docs = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        return docs.select("text").mapInArrow(run, "class long, set binary")
+    def _texts_of(self, pairs: DataFrame) -> DataFrame:
+        """class and text of one document of each class in ``pairs``."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        ids = self.classes.join(wanted, "class", "left_semi").select("class", F.col("kept.doc_id").alias("id"), F.col("kept.hash").alias("row_hash"))
+        ids = _few(written(ids, "wanted"))
+        return written(self.docs.join(ids, self._row(ids)).select("class", "text"), "texts")
 
     def _possible(self, a: str, b: str) -> Column:
         """Whether sizes and places in the shared column let two entries reach the bound."""
@@ -214,28 +211,45 @@ class JaccardJoin:
         pairs = open_.join(rest, "column").where((F.col("x.label") != F.col("y.label")) & self._possible("x", "y"))
         return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
+    def _bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose counts in bins leave room for the overlap that they need; written."""
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, BINS).astype(np.int64) for c in ("x", "y"))
+                good = pa.array((100 + percent) * np.minimum(x, y).sum(axis=1) >= percent * (x.sum(axis=1) + y.sum(axis=1)))
+                yield pa.RecordBatch.from_arrays([batch["a"].filter(good), batch["b"].filter(good)], names=["a", "b"])
+
+        x = self.bins.select(F.col("class").alias("a"), F.col("bins").alias("x"))
+        y = self.bins.select(F.col("class").alias("b"), F.col("bins").alias("y"))
+        return written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "pairs")
+
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole overlap reaches the bound."""
-        percent = self.percent
+        n, percent = self.n, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    block = batch.slice(at, 256)
-                    sets = [[np.frombuffer(v.as_buffer(), "<u8") for v in block[c]] for c in ("x", "y")]
-                    sizes = [np.array(list(map(len, s)), np.int64) for s in sets]
-                    pair = np.concatenate([np.repeat(np.arange(block.num_rows), s) for s in sizes])
-                    gram = np.concatenate([g for s in sets for g in s])
-                    order = np.lexsort((gram, pair))
-                    gram, pair = gram[order], pair[order]
-                    both = (gram[1:] == gram[:-1]) & (pair[1:] == pair[:-1])
-                    overlap = np.bincount(pair[1:][both], minlength=block.num_rows)
-                    good = pa.array(100 * overlap >= percent * (sizes[0] + sizes[1] - overlap))
-                    yield pa.RecordBatch.from_arrays([block["a"].filter(good), block["b"].filter(good)], names=["a", "b"])
-
-        x = self.sets.select(F.col("class").alias("a"), F.col("set").alias("x"))
-        y = self.sets.select(F.col("class").alias("b"), F.col("set").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+                for part in text_slices(iter([batch]), "x"):
+                    for block in text_slices(iter([part]), "y"):
+                        (x, x_bounds), (y, y_bounds) = _sets(block["x"], n), _sets(block["y"], n)
+                        sizes = np.diff(x_bounds), np.diff(y_bounds)
+                        pair = np.concatenate([np.repeat(np.arange(block.num_rows), s) for s in sizes])
+                        gram = np.concatenate([x, y])
+                        order = np.lexsort((gram, pair))
+                        gram, pair = gram[order], pair[order]
+                        both = (gram[1:] == gram[:-1]) & (pair[1:] == pair[:-1])
+                        overlap = np.bincount(pair[1:][both], minlength=block.num_rows)
+                        good = pa.array(100 * overlap >= percent * (sizes[0] + sizes[1] - overlap))
+                        yield pa.RecordBatch.from_arrays([block["a"].filter(good), block["b"].filter(good)], names=["a", "b"])
+
+        texts = self._texts_of(pairs)
+        x = texts.select(F.col("class").alias("a"), F.col("text").alias("x"))
+        y = texts.select(F.col("class").alias("b"), F.col("text").alias("y"))
+        links = written(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+        discard(texts)
+        return links
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles and component_id of every row."""
