@@ -38,3 +38,22 @@ def test_scan_reads_only_needed_columns(spark, entry):
 def test_per_request_topk_uses_group_limit(spark, entry):
     df = entry.queries()["segment_recommend"](spark, SF_SMALL)
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["content_neighbours", "nearest_in_cluster", "peer_selection", "genre_subset", "silhouette",
+                                  "assign_centroid", "watched_segments_all_users"])
+def test_no_pair_products_without_broadcasts(spark, entry, name):
+    """With automatic broadcasts off, nothing falls back to a product of two tables (scans without clusters
+    still meet their one-row grid that way)."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "CartesianProduct" not in _plan(entry, spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_no_switches_on_size_are_left():
+    import marquee.operators.neighbours as N
+
+    assert not any(hasattr(N, n) for n in ("SMALL_SEED_ROWS", "MAX_BROADCAST_ROWS", "broadcast_if_small"))
