@@ -7,7 +7,7 @@ Per-entity maps that feed the arrays are bounded by the vocabulary size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import genre_tokens, hash_bucket, multi_hot
@@ -18,7 +18,7 @@ POSITIVE = 3.5
 
 
 def _dense_from_map(m, vocab):
-    return F.transform(vocab, lambda k: F.coalesce(F.element_at(m, k), F.lit(0.0)))
+    return F.transform(vocab, lambda k: F.coalesce(F.try_element_at(m, k), F.lit(0.0)))
 
 
 def user_segment_matrix(ratings: DataFrame, movies: DataFrame, item_clusters: DataFrame,
@@ -26,29 +26,33 @@ def user_segment_matrix(ratings: DataFrame, movies: DataFrame, item_clusters: Da
     """Per user [genre shares | mean positive rating per item cluster | positive count], 0-filled.
 
     userId, genre_share array<double> (sorted genres), cluster_rating array<double>
-    (sorted cluster ids), positive_count bigint; the three blocks are full-outer joined on user.
+    (sorted cluster ids), positive_count bigint; all three come from one grouping of the facts.
     """
+    genres = movies.select("movieId", F.transform(genre_tokens("genres"), lambda g: F.struct(
+        F.lit("genre").alias("kind"), g.alias("genre"), F.lit(None).cast("int").alias("cluster"))).alias("_g"))
+    clusters = item_clusters.select("movieId", F.array(F.struct(
+        F.lit("cluster").alias("kind"), F.lit(None).cast("string").alias("genre"), F.col("cluster").cast("int").alias("cluster"))).alias("_c"))
     pos = ratings.where(F.col("rating") > threshold).select("userId", "movieId", "rating")
-    pos_genres = pos.join(movies.select("movieId", F.explode(genre_tokens("genres")).alias("genre")), "movieId")
-    counts = pos_genres.groupBy("userId", "genre").agg(F.count(F.lit(1)).alias("n"))
-    shares = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("userId")))
-    g_vocab = counts.agg(F.sort_array(F.collect_set("genre")).alias("_gv"))
-    g = shares.groupBy("userId").agg(F.map_from_entries(F.collect_list(F.struct("genre", "share"))).alias("_gm"))
-
-    pos_cl = pos.join(item_clusters, "movieId")
-    cmean = pos_cl.groupBy("userId", "cluster").agg(F.avg("rating").alias("r"))
-    c_vocab = cmean.agg(F.sort_array(F.collect_set("cluster")).alias("_cv"))
-    c = cmean.groupBy("userId").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "r"))).alias("_cm"))
-
-    dens = pos.groupBy("userId").agg(F.count(F.lit(1)).alias("positive_count"))
-
-    joined = g.join(c, "userId", "full").join(dens, "userId", "full")
-    x = with_scalars(with_scalars(joined, g_vocab), c_vocab)
-    return x.select(
+    x = pos.join(genres, "movieId", "left").join(clusters, "movieId", "left")
+    none = F.array().cast("array<struct<kind:string,genre:string,cluster:int>>")
+    one = F.array(F.struct(F.lit("all").alias("kind"), F.lit(None).cast("string").alias("genre"), F.lit(None).cast("int").alias("cluster")))
+    # one row per thing counted, so the facts are shuffled once
+    entries = x.select("userId", "rating", F.explode(F.concat(F.coalesce("_g", none), F.coalesce("_c", none), one)).alias("e"))
+    cells = entries.groupBy("userId", "e").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("r"))
+
+    def of(kind, key, value):
+        return F.collect_list(F.when(F.col("e.kind") == kind, F.struct(F.col(f"e.{key}").alias("k"), F.col(value).cast("double").alias("v"))))
+
+    per = cells.groupBy("userId").agg(of("genre", "genre", "n").alias("_g"), of("cluster", "cluster", "r").alias("_c"),
+                                      F.sum(F.when(F.col("e.kind") == "all", F.col("n"))).alias("positive_count"))
+    vocab = cells.agg(F.sort_array(F.collect_set("e.genre")).alias("_gv"), F.sort_array(F.collect_set("e.cluster")).alias("_cv"))
+    total = F.aggregate("_g", F.lit(0.0), lambda acc, e: acc + e["v"])
+    shares = F.map_from_entries(F.transform("_g", lambda e: F.struct(e["k"], (e["v"] / F.col("_n")).alias("v"))))
+    return with_scalars(per.withColumn("_n", total), vocab).select(
         "userId",
-        _dense_from_map(F.col("_gm"), F.col("_gv")).alias("genre_share"),
-        _dense_from_map(F.col("_cm"), F.col("_cv")).alias("cluster_rating"),
-        F.coalesce("positive_count", F.lit(0)).cast("bigint").alias("positive_count"),
+        _dense_from_map(shares, F.col("_gv")).alias("genre_share"),
+        _dense_from_map(F.map_from_entries("_c"), F.col("_cv")).alias("cluster_rating"),
+        F.col("positive_count").cast("bigint").alias("positive_count"),
     )
 
 

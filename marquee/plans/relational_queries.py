@@ -746,12 +746,10 @@ def pivot_scores(spark, sf_dir):
     dictionary (a bounded dimension); duplicate (movie, tag) cells raise like the reference."""
     gs = fx.genome_scores(spark, sf_dir)
     tags = [r.tagId for r in fx.genome_tags(spark, sf_dir).orderBy("tagId").collect()]  # dictionary, not facts
-    checked = gs.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("movieId", "tagId"))).select(
-        "movieId", "tagId",
-        F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate (movieId, tagId) in pivot")).cast("double"))
-        .otherwise(F.col("relevance")).alias("relevance"))
-    wide = checked.groupBy("movieId").pivot("tagId", tags).agg(F.first("relevance"))
-    return wide.select("movieId", *[F.coalesce(F.col(str(t)), F.lit(0.0)).alias(f"tag_{t:02d}") for t in tags])
+    wide = gs.groupBy("movieId").pivot("tagId", tags).agg(F.first("relevance").alias("v"), F.count(F.lit(1)).alias("n"))
+    twice = F.raise_error(F.lit("duplicate (movieId, tagId) in pivot")).cast("double")
+    return wide.select("movieId", *[
+        F.when(F.col(f"{t}_n") > 1, twice).otherwise(F.coalesce(F.col(f"{t}_v"), F.lit(0.0))).alias(f"tag_{t:02d}") for t in tags])
 
 
 @register(
