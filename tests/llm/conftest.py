@@ -13,7 +13,8 @@ def hard_docs(spark):
     rows = [(i, t, ["en", None, "de"][i % 3], ["s1", "s2", None][i % 3], 7, "x", True) for i, t in enumerate(HARD_TEXTS)]
     rows += [rows[6], rows[6], (None, "no id at all", None, None, None, None, None)]
     schema = "doc_id long, text string, lang string, source string, n_tokens int, shard string, kept boolean"
-    return spark.createDataFrame(rows, schema).repartition(3)
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    return docs.selectExpr("*", "1 AS id", "'h' AS hash", "2 AS class", "3 AS bin", "'d' AS document", "4 AS epoch", "null AS weight", "5 AS part", "6 AS length")
 
 
 @pytest.fixture(scope="session")
