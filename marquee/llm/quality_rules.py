@@ -174,9 +174,8 @@ def _verdict():
     return inside & bins["word_length"].between(F.col("word_length_low"), F.col("word_length_high"))
 
 
-def judge(measures: DataFrame) -> DataFrame:
-    """``measures`` (read twice: pass a written table) with base_failed and kept."""
-    limits = written(fences(sketches(measures)), "fences")
+def judge(measures: DataFrame, limits: DataFrame) -> DataFrame:
+    """``measures`` with base_failed and kept, by the fences of their groups."""
     joined = measures.join(limits, ["lang", "source"], "left")
     return joined.select(
         *measures.columns,
@@ -189,18 +188,23 @@ def _group(docs: DataFrame, *columns) -> DataFrame:
     return docs.select(*columns, "text", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
 
 
+def _measures(docs: DataFrame) -> DataFrame:
+    return written(measured(_group(docs, "doc_id"), ["doc_id", "lang", "source"]), "measures")
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the five counts, base_failed and kept for every document."""
-    measures = written(measured(_group(docs, "doc_id"), ["doc_id", "lang", "source"]), "measures")
-    return judge(measures).select("doc_id", *_COUNTS, "base_failed", "kept")
+    measures = _measures(docs)
+    limits = written(fences(sketches(measures)), "fences")
+    return judge(measures, limits).select("doc_id", *_COUNTS, "base_failed", "kept")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns.
 
-    The rows are written once with their measures and read again when the fences are known, so no
-    text is shuffled and no key is needed to find a row again.
+    The rows are measured once for the sketches and once more beside their own columns when the
+    fences are known, so no text is shuffled or written and no key is needed to find a row again.
     """
+    limits = written(fences(sketches(_measures(docs))), "fences")
     packed = _group(docs, F.struct("*").alias("document"))
-    rows = written(measured(packed, ["document", "lang", "source"]), "measured-documents")
-    return judge(rows).where("kept").select("document.*")
+    return judge(measured(packed, ["document", "lang", "source"]), limits).where("kept").select("document.*")
