@@ -40,7 +40,7 @@ from marquee.llm.common import discard, written
 from marquee.llm.components import components
 from marquee.llm.words import LOWER, Hashes, Words, mix, text_bytes, text_slices, windows
 
-COUNT_BLOCK, COUNT_LEAST, COMMON, BINS = 2_000_000, 3, 1 << 18, 64
+COUNT_BLOCK, COUNT_LEAST, COMMON, BINS = 1_000_000, 3, 1 << 18, 64
 #: Rows of 8-byte keys that are broadcast at most; larger tables are shuffled.
 BROADCAST_ROWS = 1_000_000
 

@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Rows are handled in slices of about so many bytes of text; one longer text is a slice of its own.
-SLICE_BYTES = (2 << 20) - 1
+SLICE_BYTES = (1 << 20) - 1
 
 _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
 _UNIT = {"pow": np.ones(1, np.uint64), "inv": np.ones(1, np.uint64)}
