@@ -73,12 +73,6 @@ def cosine(a: str | Column, b: str | Column, norm_a: Column | None = None, norm_
     return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot(a, b) / (na * nb))
 
 
-def unit(a: str | Column) -> Column:
-    """Vector divided by its norm (zero vector stays zero)."""
-    n = norm(a)
-    return F.when(n == 0, F.transform(col(a), lambda x: x * 0.0)).otherwise(F.transform(col(a), lambda x: x / n))
-
-
 def similarity_level(s: str | Column) -> Column:
     """label a similarity value."""
     s = col(s)
@@ -124,11 +118,6 @@ def hash_bucket(key: str | Column, buckets: int = 10) -> Column:
     return (h % F.lit(buckets)).cast("int")
 
 
-def genres_share(a: str | Column, b: str | Column) -> Column:
-    """any common element between two token arrays."""
-    return F.arrays_overlap(col(a), col(b))
-
-
 def is_subset(a: str | Column, b: str | Column) -> Column:
     """every element of a is in b."""
     return F.size(F.array_except(col(a), col(b))) == 0

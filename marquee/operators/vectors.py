@@ -11,7 +11,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import cosine, norm
 from marquee.operators.relational import with_scalars
 
 
@@ -58,17 +57,7 @@ def round_vec(c, digits: int = 6):
     return F.transform(c if not isinstance(c, str) else F.col(c), lambda x: F.round(x, digits))
 
 
-def with_norm(df: DataFrame, vec: str = "vec", name: str = "norm") -> DataFrame:
-    return df.withColumn(name, norm(vec))
-
-
 def concat_vectors(a: DataFrame, b: DataFrame, key: str = "id", out: str = "vec") -> DataFrame:
     """Entity-wise concatenation of two vector sets (inner join on id)."""
     return a.select(key, F.col("vec").alias("_a")).join(b.select(key, F.col("vec").alias("_b")), key).select(
         key, F.concat("_a", "_b").alias(out))
-
-
-def pair_cosine(pairs: DataFrame, a: str, b: str, na: str | None = None, nb: str | None = None,
-                out: str = "similarity") -> DataFrame:
-    """F11 on a frame that already holds both vectors (and optional norms)."""
-    return pairs.withColumn(out, cosine(a, b, F.col(na) if na else None, F.col(nb) if nb else None))
