@@ -18,6 +18,10 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
+#: Rows of text that a task exchanges with Python at a time, while a table is written.
+BATCH_ROWS = 2000
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, then read.
 
@@ -25,8 +29,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     the files, so a later join is broadcast only where the table is below
     ``spark.sql.autoBroadcastJoinThreshold``, and shuffled otherwise.
     """
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf, key = shared_folder(df.sparkSession, label), df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
