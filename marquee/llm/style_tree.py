@@ -10,9 +10,11 @@ stays below ``LEAST`` is cut from the pages of the host, if at least ``PAGES`` o
 
 Pages say themselves what much of their boilerplate is, and a host's menus or adverts can differ on
 every page. So elements that declare such a role (nav, footer, aside, form, class "ad", "comments",
-...) have no importance from the start, and a page's content begins at its article elements, else
-its main element, else its body. Headings and plain paragraphs in them are cut only with a branch,
-and a page keeps its text where cutting would leave none.
+...) have no importance from the start. The tree covers the rest of the body: a page's content begins
+at its article or main element only if that holds all of it. A form or the like that holds the page's
+title, an article or most of its text is a wrapper and declares nothing. Headings and plain paragraphs
+are cut only with a branch, and a page keeps its text where cutting would leave none, if need be that
+of elements that declare a role, but for hidden ones.
 
 Counting is partial before it is shuffled, and only counts are. Branches to cut are one array a
 host, joined to the pages; Spark broadcasts that table if its files are small, else it shuffles.
@@ -49,6 +51,9 @@ NOISE_NAMES = {
 }
 #: The others don't declare it for an element that holds the page's title: a wrapper named "with-sidebar" is no sidebar.
 NEVER_TITLED = {"banner", "comment", "comments", "hidden", "masthead", "menu", "nav", "navbar", "navigation"}
+#: These elements declare it only if the page isn't wrapped in them.
+WRAPPERS = {"form", "fieldset", "dialog"}
+CONTENT = {"article", "main"}
 #: These declare it only outside an article or main element, where they hold the article's own title.
 OUTER = {"header", "topbar"}
 
@@ -58,60 +63,90 @@ def _noisy(names: frozenset) -> bool:
 
 
 def _declared(e: Element) -> bool:
-    if e.tag in NOISE_TAGS or e.tag == "main":
-        return e.tag != "main"
-    return _noisy(e.names) and not (e.titled and e.names.isdisjoint(NEVER_TITLED))
-
-
-def content_roots(root: Element) -> list[Element]:
-    """The page's outermost articles, else its main elements, else the page."""
-    for wanted in ("article", "main"):
-        found: list[Element] = []
-
-        def into(e: Element) -> bool:
-            if e.parent is not None and (_declared(e) or e.tag == "header"):
-                return False
-            if e.tag == wanted:
-                found.append(e)  # noqa: B023
-                return False
-            return True
-
-        for _ in root.walk(into):
-            pass
-        found = [e for e in found if any(x.blocks for x in e.walk(lambda x: x is e or not _declared(x)))]  # noqa: B023
-        if found:
-            return found
-    return [root]
+    if e.tag in NOISE_TAGS and not (e.tag in WRAPPERS and e.titled):
+        return True
+    return e.tag != "main" and _noisy(e.names) and not (e.titled and e.names.isdisjoint(NEVER_TITLED))
+
+
+def _outer(e: Element) -> bool:
+    return e.tag in OUTER or not e.names.isdisjoint(OUTER)
+
+
+def _mark_wrappers(root: Element) -> None:
+    """Forms and the like that hold an article or, outside of articles, most of the page's text count as titled, and so do the elements around them."""
+    every = list(root.walk())
+    if not any(e.tag in WRAPPERS for e in every):
+        return
+    size, holds, inside = {}, set(), set()
+    for e in every:
+        if e.tag in CONTENT or e.parent in inside:
+            inside.add(e)
+    for e in reversed(every):
+        size[e] = sum(len(text) for _, text in e.blocks) + sum(size[c] for c in e.children)
+        if any(c in holds or (c.tag == "article" and not _declared(c)) for c in e.children):
+            holds.add(e)
+    for e in every:
+        if e.tag in WRAPPERS and (e in holds or (e not in inside and 2 * size[e] > size[root])):
+            while e is not None and not e.titled:
+                e.titled, e = True, e.parent
+
+
+def _read(html: str) -> Element:
+    root = parse(html, _noisy)
+    _mark_wrappers(root)
+    return root
+
+
+def content_root(root: Element) -> Element:
+    """The innermost article or main element that holds all of the page's text, without what declares boilerplate; else the page."""
+    inner, every, todo = {}, [], [(root, True)]
+    while todo:
+        e, outer = todo.pop()
+        every.append(e)
+        outer = outer and e.tag not in CONTENT
+        inner[e] = [c for c in e.children if not _declared(c) and not (outer and _outer(c))]
+        todo.extend((c, outer) for c in inner[e])
+    full = set()
+    for e in reversed(every):
+        if e.blocks or any(c in full for c in inner[e]):
+            full.add(e)
+    e = found = root
+    while not e.blocks and len(below := [c for c in inner[e] if c in full]) == 1:
+        e = below[0]
+        if e.tag in CONTENT:
+            found = e
+    return found
 
 
 def _key(*parts: object) -> int:
     return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def branches(roots: list[Element]) -> Iterator[tuple[Element, tuple[int, ...]]]:
+def branches(root: Element) -> Iterator[tuple[Element, tuple[int, ...]]]:
     """Elements of the content that don't declare boilerplate, with the keys of the nodes from the content's root to them."""
-    todo = [(e, (_key(e.label),)) for e in reversed(roots)]
-    page = roots[0].parent is None
+    todo = [(root, (_key(root.label),), True)]
     while todo:
-        e, keys = todo.pop()
+        e, keys, outer = todo.pop()
         yield e, keys
+        outer = outer and e.tag not in CONTENT
         for child in reversed(e.children):
-            outer = page and (child.tag in OUTER or not child.names.isdisjoint(OUTER))
-            if not _declared(child) and not outer:
-                todo.append((child, keys if len(keys) >= DEPTH else (*keys, _key(keys[-1], child.label))))
+            if not _declared(child) and not (outer and _outer(child)):
+                todo.append((child, keys if len(keys) >= DEPTH else (*keys, _key(keys[-1], child.label)), outer))
 
 
 def extract(html: str, cut: set[int]) -> str:
     """The main text of a page, without the branches whose nodes are in ``cut``."""
-    roots = content_roots(parse(html, _noisy))
+    page = _read(html)
     kept: list[tuple[int, str]] = []
     every: list[tuple[int, str]] = []
     plain = HEADINGS | {"p"}
-    for e, keys in branches(roots):
+    for e, keys in branches(content_root(page)):
         every.extend(e.blocks)
         removable = keys[1:-1] if e.tag in plain and not e.names else keys[1:]
         if not cut or cut.isdisjoint(removable):
             kept.extend(e.blocks)
+    if not every:
+        every = [b for e in page.walk(lambda e: "hidden" not in e.names) for b in e.blocks]
     return " ".join(text for _, text in sorted(kept or every))
 
 
@@ -129,7 +164,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple, list] = {}
         for host, html in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
             here: Counter = Counter()
-            for e, keys in branches(content_roots(parse(html, _noisy))):
+            for e, keys in branches(content_root(_read(html))):
                 look = tuple(dict.fromkeys(c.label for c in e.children))
                 here[(keys, _PRESENTATION, _key(*look), len(look))] += 1
                 for _, text in e.blocks:

@@ -76,3 +76,20 @@ def test_given_pages(spark):
 def test_deep_page():
     html = "<div>" * 5000 + "deep" + "</div>" * 5000
     assert extract(html, set()) == "deep" and parse(html).children
+
+
+WHOLE = {
+    "<main><h1>Title</h1><p>Lead</p><article><p>body</p></article></main>": "Title Lead body",
+    "<header>Site</header><div class='content'><h1>T</h1><p>story</p></div><article><header>teaser</header></article><nav>n</nav>": "T story teaser",
+    "<nav>n</nav><form id='aspnetForm'><div><h1>T</h1><p>story</p></div><footer>f</footer></form>": "T story",
+    "<nav>n</nav><form action='/'><div><p>a story without a title</p></div></form><p>more</p>": "a story without a title more",
+    "<form><nav>n</nav><article><p>x</p></article></form>": "x",
+    "<p>Long enough text of the page.</p><form>name</form>": "Long enough text of the page.",
+    "<article><p>short</p><form>a newsletter with a longer text</form></article>": "short",
+    "<nav>only a menu</nav><div hidden><p>h</p></div>": "only a menu",
+}
+
+
+@pytest.mark.parametrize("html", WHOLE)
+def test_nothing_is_cut_before_the_tree(html):
+    assert extract(html, set()) == WHOLE[html]
