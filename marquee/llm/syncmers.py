@@ -7,9 +7,13 @@ anchor outside it, and any ``K - S + 1`` successive windows hold at least one. A
 Two fingerprints are compared by position: the longest run of common anchors that stands in the same
 order in both, twice over the sum of their sizes.
 
+A text with fewer than ``FEW`` anchors also has those of a finer scale (``FINE``: inner substrings and
+windows of 4 and 11 code points), after a dot. Two texts that both have them are compared by them, any
+others by the common scale.
+
 Defined cases: equal texts have equal fingerprints and likeness 1; two empty ones too. An empty or
-null text has an empty fingerprint, which is like no other (0). A text shorter than ``K`` has one
-anchor, the hash of all of it. Texts that repeat a period have as many anchors as it has.
+null text has an empty fingerprint, which is like no other (0). A text shorter than ``K`` (or the
+finer scale's windows) has one anchor there, the hash of all of it. Texts that repeat a period have as many anchors as it has.
 
 ``edited_neighbours`` compares each document with its edited text and with the next document. It cuts
 the ids into ranges of about ``RANGE_BYTES`` of text and sends each row to its range once; the first
@@ -36,6 +40,8 @@ from marquee.llm.words import mix
 
 S, WINDOW = 8, 32
 K = WINDOW + S - 1
+#: The finer scale (S, WINDOW), and the anchors from which a text needs none.
+FINE, FEW = (4, 8), 16
 RANGE_BYTES = 8 << 20
 
 _STEP, _MASK = 0x9E3779B97F4A7C55, (1 << 64) - 1
@@ -45,39 +51,59 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def anchors(points: np.ndarray) -> np.ndarray:
-    """24-bit hashes of the distinct anchors, in order of first occurrence."""
-    if not len(points):
-        return np.zeros(0, np.uint32)
+class Anchors(np.ndarray):
+    """Anchors of a text, with those of the finer scale as ``fine`` if there are few."""
+
+    fine: np.ndarray | None = None
+
+
+def _scale(points: np.ndarray, inner: int, window: int) -> np.ndarray:
     x = mix(points.astype(np.uint64) + np.uint64(1))
-    if len(points) < K:
+    if len(points) < window + inner - 1:
         whole = 0
         for v in x.tolist():
             whole = (whole * _STEP + v) & _MASK
         return (mix(np.array([whole], np.uint64)) >> np.uint64(40)).astype(np.uint32)
     step, size = _STEP, 1
-    while size < S:
+    while size < inner:
         x = x[:-size] * np.uint64(step) + x[size:]
         step, size = step * step & _MASK, 2 * size
     order = mix(x)
     least, size = order, 1
-    while size < WINDOW:
+    while size < window:
         least, size = np.minimum(least[:-size], least[size:]), 2 * size
-    at = np.flatnonzero((order[: len(least)] == least) | (order[WINDOW - 1 :] == least))
-    key = x[at + (K - S)]
-    for back in range(0, K - S, S):  # all code points of the window
+    at = np.flatnonzero((order[: len(least)] == least) | (order[window - 1 :] == least))
+    key = x[at + (window - 1)]
+    for back in range(0, window - 1, inner):  # all code points of the window
         key = key * np.uint64(_STEP) + x[at + back]
     key = (mix(key) >> np.uint64(40)).astype(np.uint32)
     _, first = np.unique(key, return_index=True)
     return key[np.sort(first)]
 
 
-def fingerprint(found: np.ndarray) -> str:
+def anchors(points: np.ndarray) -> Anchors:
+    """24-bit hashes of the distinct anchors, in order of first occurrence."""
+    if not len(points):
+        return np.zeros(0, np.uint32).view(Anchors)
+    found = _scale(points, S, WINDOW).view(Anchors)
+    if len(found) < FEW:
+        found.fine = _scale(points, *FINE)
+    return found
+
+
+def _base64(found: np.ndarray) -> str:
     return base64.b64encode(found.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()).decode()
 
 
+def fingerprint(found: np.ndarray) -> str:
+    fine = getattr(found, "fine", None)
+    return _base64(found) if fine is None else f"{_base64(found)}.{_base64(fine)}"
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Twice the longest common run in order, over the sum of sizes."""
+    """Twice the longest common run in order, over the sum of sizes, at the finest scale of both."""
+    if getattr(a, "fine", None) is not None and getattr(b, "fine", None) is not None:
+        a, b = a.fine, b.fine
     if len(a) == len(b) and np.array_equal(a, b):
         return 1.0
     if not len(a) or not len(b):

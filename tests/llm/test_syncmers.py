@@ -81,3 +81,19 @@ def test_one_and_none(spark, no_docs):
     one = m.edited_neighbours(spark.createDataFrame([(1, "abc" * 40)], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert m.edited_neighbours(no_docs).collect() == []
+
+
+def test_short_edited_text_is_near(spark):
+    """Texts of 20 to 300 code points, whose last third is another text's."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) BETWEEN 20 AND 300")
+    rows = m.edited_neighbours(docs).collect()
+    for low, high, least in ((20, 57, 0.2), (57, 100, 0.4), (100, 301, 0.5)):
+        here = [r for r in rows if low <= r["n_chars"] < high]
+        assert here and np.median([r["near_edited"] for r in here]) > least
+        assert np.median([r["near_next"] for r in here]) < 0.1
+
+
+def test_scales():
+    a, b = (m.anchors(m.code_points(t)) for t in ("a short text of a few common words", "a short text of a few other things"))
+    assert m.likeness(a, a) == 1.0 and 0.2 < m.likeness(a, b) < 1 and "." in m.fingerprint(a)
+    assert m.anchors(m.code_points("")).fine is None and m.fingerprint(m.anchors(m.code_points(""))) == ""
