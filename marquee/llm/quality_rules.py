@@ -1,10 +1,11 @@
 """Quality rules whose thresholds follow each language and source (operator 4).
 
 Every document gets word, symbol and repetition measures. The measures of the documents that
-pass the base rules are counted into fixed-width bins per (lang, source): a quantile sketch that
-merges by adding counts, whose error is one bin. Quartiles of the merged sketches give fences
-(quartile -/+ ``FENCE`` x interquartile range, at least ``SPREAD`` bins wide), and the small table
-of fences is joined back to the measures.
+pass the base rules are counted into bins per (lang, source): a quantile sketch that merges by adding
+counts. Up to ``EXACT`` a bin is one wide, above that ``RATIO`` times the one below, so their number is
+bounded by the logarithm of the values. Quartiles of the merged sketches give fences
+(quartile -/+ ``FENCE`` x interquartile range, at least ``SPREAD`` bins wide, or the bin of the quartile), and the small table of
+fences is joined back to the measures, whose own values are compared.
 
 Defined cases: a null or blank text has no words and fails the base rules. A null lang or source
 is a group of its own, as '' (joined with the empty string). Groups with fewer than ``SUPPORT``
@@ -15,11 +16,12 @@ are not read, or are carried untouched inside one struct by ``filter_documents``
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import written
@@ -32,8 +34,8 @@ SYMBOLS = b"#*$%&|<>"
 FENCE, SUPPORT = 3, 200
 #: Least distance of the fence from the quartile, in bins (thousandths a word; hundredths of a code point).
 SPREAD = {"symbols": 100, "dup_lines": 100, "repeats": 200, "word_length": 300}
-#: Bins above are counted as this one, which bounds each sketch.
-LAST_BIN = 10_000
+#: Values up to this one have bins of their own; those above are counted in bins that grow by a ratio.
+EXACT, RATIO = 10_000, 1.02
 MEASURES = list(SPREAD)
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -105,21 +107,24 @@ def _base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _bins() -> dict:
-    def share(count: str, scale: int):
-        return F.least(F.expr(f"{scale} * {count} div n_words"), F.lit(LAST_BIN)).cast("int")
-
+def _values() -> dict:
     return {
-        "symbols": share("n_symbols", 1000),
-        "dup_lines": share("n_dup_lines", 1000),
-        "repeats": share("n_repeat_words", 1000),
-        "word_length": share("word_chars", 100),
+        "symbols": F.expr("1000 * n_symbols div n_words"),
+        "dup_lines": F.expr("1000 * n_dup_lines div n_words"),
+        "repeats": F.expr("1000 * n_repeat_words div n_words"),
+        "word_length": F.expr("100 * word_chars div n_words"),
     }
 
 
+def _bin(value: Column) -> Column:
+    """The least value of a value's bin."""
+    steps = F.floor(F.log(value / EXACT) / math.log(RATIO))
+    return F.when(value <= EXACT, value).otherwise(F.floor(EXACT * F.pow(F.lit(RATIO), steps))).cast("long")
+
+
 def sketches(measures: DataFrame) -> DataFrame:
     """(lang, source, measure, bin, n): one mergeable sketch per language, source and measure."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), b.alias("bin")) for m, b in _bins().items()])
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _bin(v).alias("bin")) for m, v in _values().items()])
     return (
         measures.where(~_base_failed())
         .select("lang", "source", F.explode(pairs).alias("p"))
@@ -149,7 +154,8 @@ def fences(sketch: DataFrame) -> DataFrame:
         )
         columns = [F.max("total").alias("total")]
         for m, spread in SPREAD.items():
-            reach = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(spread))
+            width = F.when(F.col("q3") > EXACT, F.ceil(F.col("q3") * (RATIO - 1)) + 2).otherwise(0)
+            reach = F.greatest(FENCE * (F.col("q3") - F.col("q1")), F.lit(spread), width)
             this = F.col("measure") == m
             columns.append(F.max(F.when(this, F.col("q1") - reach)).alias(f"{m}_low"))
             columns.append(F.max(F.when(this, F.col("q3") + reach)).alias(f"{m}_high"))
@@ -167,11 +173,11 @@ def fences(sketch: DataFrame) -> DataFrame:
 
 
 def _verdict():
-    bins = _bins()
+    values = _values()
     inside = ~_base_failed()
     for m in ("symbols", "dup_lines", "repeats"):
-        inside &= bins[m] <= F.col(f"{m}_high")
-    return inside & bins["word_length"].between(F.col("word_length_low"), F.col("word_length_high"))
+        inside &= values[m] <= F.col(f"{m}_high")
+    return inside & values["word_length"].between(F.col("word_length_low"), F.col("word_length_high"))
 
 
 def judge(measures: DataFrame, limits: DataFrame) -> DataFrame:

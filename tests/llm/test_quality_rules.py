@@ -60,3 +60,14 @@ def test_filter_keeps_rows_whole(hard_docs, no_docs):
     assert not left - every and left
     assert sum(left.values()) == quality_rules(hard_docs).where("kept").count()
     assert filter_documents(no_docs).collect() == [] and quality_rules(no_docs).collect() == []
+
+
+def test_values_have_no_cap(spark):
+    """Words of more than 100 code points, and more than 10 symbols a word: a group of such texts keeps them, and loses what lies outside."""
+    long = [(i, " ".join("字" * (90 + i % 80 + k) for k in range(10)), "zh", "s") for i in range(300)]
+    some = [(1000, " ".join("字" * (90 + k) for k in range(10)), "zh", "s"), (1001, " ".join("字" * (2000 + k) for k in range(10)), "zh", "s")]
+    marks = [(i, " ".join("a" * k + "#" * 500 for k in range(10)), "x", "s") for i in range(2000, 2300)]
+    marks += [(3000, " ".join("a" * k + "#" * 5000 for k in range(10)), "x", "s")]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(spark.createDataFrame(long + some + marks, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept[i] for i in range(300)) and kept[1000] and not kept[1001]
+    assert all(kept[i] for i in range(2000, 2300)) and not kept[3000]
