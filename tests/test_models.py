@@ -1,5 +1,6 @@
 """Rows-and-invariants checks for model queries (fits are not oracle-comparable)."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_CHECK, SF_SMALL
@@ -123,3 +124,19 @@ def test_recommendation_invariants(spark, entry):
     assert not ({r.movie_id for r in hy} & {1, 10, 100})
     ws = sorted(hy, key=lambda r: r.rank)
     assert all(a.weight >= b.weight for a, b in zip(ws, ws[1:]))
+
+
+def test_knn_lsh_recall(spark, entry):
+    """At the registered parameters, of all pairs of different items with a cosine of 0.3 or more."""
+    from marquee.plans.model_queries import _items
+
+    rows = _items(spark, SF_CHECK).select("id", "vec").collect()
+    ids, vec = np.array([r["id"] for r in rows]), np.array([r["vec"] for r in rows], float)
+    vec /= np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-300)
+    near = vec @ vec.T >= 0.3 + 1e-6
+    np.fill_diagonal(near, False)
+    exact = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(near))}
+    found = {(r["query_id"], r["candidate_id"]) for r in entry.queries()["knn_lsh"](spark, SF_CHECK).select("query_id", "candidate_id").collect()}
+    recall = len(exact & found) / len(exact)
+    print(f"knn_lsh: {len(exact & found)} of {len(exact)} pairs, recall {recall:.4f}")
+    assert recall >= 0.9
