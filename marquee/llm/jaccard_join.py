@@ -38,44 +38,13 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import discard, written
 from marquee.llm.components import components
-from marquee.llm.words import LOWER, Hashes, Words, mix, text_bytes, text_slices, windows
+from marquee.llm.words import set_hashes, shared, shingle_sets, text_slices
 
 COUNT_BLOCK, COUNT_LEAST, COMMON, BINS = 1_000_000, 3, 1 << 18, 64
 #: Rows of 8-byte keys that are broadcast at most; larger tables are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
-def _sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of each row: hashes, sorted within rows, and the n+1 offsets."""
-    data, offsets = text_bytes(column)
-    data = LOWER[data]
-    words = Words(data, offsets)
-    each, counts = Hashes(data).of(words.start, words.end), words.per_row()
-    grams, rows = [], []
-    for k in range(1, n + 1):
-        found, at = windows(each, words.row, k)
-        row = words.row[at]
-        if k < n:
-            short = counts[row] == k
-            found, row = found[short], row[short]
-        grams.append(found + np.uint64(n - k))
-        rows.append(row)
-    gram, row = np.concatenate(grams), np.concatenate(rows)
-    order = np.lexsort((gram, row))
-    gram, row = gram[order], row[order]
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
-    gram, row = gram[new], row[new]
-    return gram, np.searchsorted(row, np.arange(words.rows + 1))
-
-
-def _classes(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A hash of each row's set; equal sets have equal ones."""
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(gram))])
-    sizes = np.diff(bounds)
-    return mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)).view(np.int64)
-
-
 def _common_of(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     often = counts >= COUNT_LEAST
@@ -135,9 +104,9 @@ class JaccardJoin:
             kind = pa.int64()
             for batch in text_slices(batches, "text"):
                 kind = batch["doc_id"].type
-                gram, bounds = _sets(batch["text"], n)
+                gram, bounds = shingle_sets(batch["text"], n)
                 held.append(gram)
-                columns = [batch["doc_id"], batch["hash"], pa.array(_classes(gram, bounds)), pa.array(np.diff(bounds).astype(np.int64)), pa.nulls(batch.num_rows, pa.int64())]
+                columns = [batch["doc_id"], batch["hash"], pa.array(set_hashes(gram, bounds)), pa.array(np.diff(bounds).astype(np.int64)), pa.nulls(batch.num_rows, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 if sum(map(len, held)) >= COUNT_BLOCK:
                     yield counted()
@@ -156,7 +125,7 @@ class JaccardJoin:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, rank = sent.value
             for batch in text_slices(batches, "text"):
-                gram, bounds = _sets(batch["text"], n)
+                gram, bounds = shingle_sets(batch["text"], n)
                 sizes = np.diff(bounds)
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 late = np.zeros(len(gram), np.int64)
@@ -170,7 +139,7 @@ class JaccardJoin:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(chosen))
                 counts = np.bincount(row * BINS + (gram >> np.uint64(40)).astype(np.int64) % BINS, minlength=len(sizes) * BINS).astype("<u4").tobytes()
                 bins = pa.array([counts[4 * BINS * i : 4 * BINS * (i + 1)] for i in range(len(sizes))], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_classes(gram, bounds)), pa.array(sizes.astype(np.int64)), lists, bins], names=["class", "n", "prefix", "bins"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_hashes(gram, bounds)), pa.array(sizes.astype(np.int64)), lists, bins], names=["class", "n", "prefix", "bins"])
 
         return self.docs.select("text").mapInArrow(run, "class long, n long, prefix array<long>, bins binary")
 
@@ -233,14 +202,9 @@ class JaccardJoin:
             for batch in batches:
                 for part in text_slices(iter([batch]), "x"):
                     for block in text_slices(iter([part]), "y"):
-                        (x, x_bounds), (y, y_bounds) = _sets(block["x"], n), _sets(block["y"], n)
-                        sizes = np.diff(x_bounds), np.diff(y_bounds)
-                        pair = np.concatenate([np.repeat(np.arange(block.num_rows), s) for s in sizes])
-                        gram = np.concatenate([x, y])
-                        order = np.lexsort((gram, pair))
-                        gram, pair = gram[order], pair[order]
-                        both = (gram[1:] == gram[:-1]) & (pair[1:] == pair[:-1])
-                        overlap = np.bincount(pair[1:][both], minlength=block.num_rows)
+                        x, y = shingle_sets(block["x"], n), shingle_sets(block["y"], n)
+                        sizes = np.diff(x[1]), np.diff(y[1])
+                        overlap = shared(x, y)
                         good = pa.array(100 * overlap >= percent * (sizes[0] + sizes[1] - overlap))
                         yield pa.RecordBatch.from_arrays([block["a"].filter(good), block["b"].filter(good)], names=["a", "b"])
 
@@ -251,23 +215,42 @@ class JaccardJoin:
         discard(texts)
         return links
 
+    def _labelled(self) -> DataFrame:
+        """The classes with the label of their component."""
+        labels = self.labels.select(F.col("node").alias("class"), "label")
+        return self.classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+
     def documents(self) -> DataFrame:
         """doc_id, n_shingles and component_id of every row."""
-        labels = self.labels.select(F.col("node").alias("class"), "label")
-        labelled = self.classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+        labelled = self._labelled()
         first = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
         named = written(labelled.select("class", "label").join(first, "label").select("class", "component_id"), "components")
         rows = self.rows.join(named, "class", "left")
         return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
+    def others(self) -> tuple[DataFrame, DataFrame]:
+        """(id, row_hash) of the rows linked to a row before them, and of rows found several times that are first."""
+        labelled = self._labelled()
+        first = labelled.groupBy("label").agg(F.min("kept").alias("first"))
+        named = written(labelled.select("class", "label").join(first, "label").select("class", "first"), "firsts")
+        rows = self.rows.where("n_shingles > 0").groupBy("class", "doc_id", "hash").agg(F.count("*").alias("n")).join(named, "class")
+        rows = rows.withColumn("is_first", F.struct("doc_id", "hash").eqNullSafe(F.col("first")))
+        rows = written(rows.select(F.col("doc_id").alias("id"), F.col("hash").alias("row_hash"), "n", "is_first"), "row-names")
+        return rows.where("NOT is_first").select("id", "row_hash"), rows.where("is_first AND n > 1").select("id", "row_hash")
+
 
 def keep_first(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` without those linked to one with a smaller doc_id; of rows with equal ids that link, one stays."""
-    found = written(JaccardJoin(docs, n, percent).documents(), "joined")
-    gone = _few(written(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone"))
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = found.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    again = written(again.select("doc_id"), "again")
+    """The rows of ``docs`` without those linked to one with a smaller doc_id: one row of each component stays.
+
+    A row is known by its doc_id and text, so rows with equal ids and texts that don't link all stay."""
+    gone, again = (_few(written(x, "rows")) for x in JaccardJoin(docs, n, percent).others())
+    packed = docs.select(F.struct("*").alias("document"), F.col("doc_id").alias("this"), F.xxhash64("text").alias("hash"))
+
+    def is_in(names: DataFrame) -> Column:
+        return packed["this"].eqNullSafe(names["id"]) & packed["hash"].eqNullSafe(names["row_hash"])
+
+    kept = packed.join(gone, is_in(gone), "left_anti")
     if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(F.broadcast(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+        return kept.select("document.*")
+    once = kept.join(again, is_in(again), "left_semi").dropDuplicates(["this", "hash"])
+    return kept.join(again, is_in(again), "left_anti").unionByName(once).select("document.*")

@@ -23,13 +23,15 @@ m AS (
   FROM w LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)),
 b AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-         CASE WHEN n_words > 0 THEN least(1000 * n_symbols // n_words, 10000) END AS symbols,
-         CASE WHEN n_words > 0 THEN least(1000 * n_dup_lines // n_words, 10000) END AS dup_lines,
-         CASE WHEN n_words > 0 THEN least(1000 * n_repeat_words // n_words, 10000) END AS repeats,
-         CASE WHEN n_words > 0 THEN least(100 * word_chars // n_words, 10000) END AS word_length
+         CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words END AS symbols,
+         CASE WHEN n_words > 0 THEN 1000 * n_dup_lines // n_words END AS dup_lines,
+         CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words END AS repeats,
+         CASE WHEN n_words > 0 THEN 100 * word_chars // n_words END AS word_length
   FROM m),
-s AS (UNPIVOT (SELECT lang, source, symbols, dup_lines, repeats, word_length FROM b WHERE NOT base_failed)
-      ON symbols, dup_lines, repeats, word_length INTO NAME measure VALUE bin),
+v AS (UNPIVOT (SELECT lang, source, symbols, dup_lines, repeats, word_length FROM b WHERE NOT base_failed)
+      ON symbols, dup_lines, repeats, word_length INTO NAME measure VALUE x),
+s AS (SELECT lang, source, measure, CASE WHEN x <= 10000 THEN x
+             ELSE floor(10000 * pow(1.02::DOUBLE, floor(ln(x / 10000.0::DOUBLE) / ln(1.02::DOUBLE))))::BIGINT END AS bin FROM v),
 levels AS (
   SELECT 2 AS level, lang, source, measure, bin FROM s
   UNION ALL SELECT 1, lang, NULL, measure, bin FROM s
@@ -39,8 +41,10 @@ q AS (
   FROM levels GROUP BY level, lang, source, measure),
 f AS (
   SELECT level, lang, source, measure, total,
-         q1 - greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 200 ELSE 100 END) AS low,
-         q3 + greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 200 ELSE 100 END) AS high
+         q1 - greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 60 ELSE 100 END,
+                  CASE WHEN q3 > 10000 THEN ceil(q3 * (1.02::DOUBLE - 1)) + 2 ELSE 0 END) AS low,
+         q3 + greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 60 ELSE 100 END,
+                  CASE WHEN q3 > 10000 THEN ceil(q3 * (1.02::DOUBLE - 1)) + 2 ELSE 0 END) AS high
   FROM q),
 p AS (
   SELECT level, lang, source, max(total) AS total, max(high) FILTER (measure = 'symbols') AS symbols_high,

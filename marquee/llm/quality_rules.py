@@ -33,7 +33,7 @@ SYMBOLS = b"#*$%&|<>"
 #: Fences: interquartile ranges beyond the quartile, and documents that a group needs for its own.
 FENCE, SUPPORT = 3, 200
 #: Least distance of the fence from the quartile, in bins (thousandths a word; hundredths of a code point).
-SPREAD = {"symbols": 100, "dup_lines": 100, "repeats": 200, "word_length": 300}
+SPREAD = {"symbols": 100, "dup_lines": 100, "repeats": 60, "word_length": 300}
 #: Values up to this one have bins of their own; those above are counted in bins that grow by a ratio.
 EXACT, RATIO = 10_000, 1.02
 MEASURES = list(SPREAD)

@@ -21,21 +21,6 @@ LOWER[65:91] += 32
 #: Rows are handled in slices of about so many bytes of text; one longer text is a slice of its own.
 SLICE_BYTES = (1 << 20) - 1
 
-_BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
-_UNIT = {"pow": np.ones(1, np.uint64), "inv": np.ones(1, np.uint64)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
-    if len(_UNIT["pow"]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for key, base in (("pow", _BASE), ("inv", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _UNIT[key] = np.multiply.accumulate(steps)
-    return _UNIT["pow"][:n], _UNIT["inv"][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,16 +50,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data, offsets - offsets[0]
 
 
+#: Masks for the last 0 to 8 bytes of a range.
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
 class Hashes:
-    """Hashes of any byte range of ``data`` from one prefix sum."""
+    """Hashes of byte ranges of ``data``: each eight bytes are scrambled with their place in the range, then added up."""
 
     def __init__(self, data: np.ndarray):
-        power, self._inverse = _powers(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=self._sums[1:])
+        self._padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        self._eights = np.ndarray(len(data) + 1, "<u8", self._padded, strides=(1,))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+        size = end - start
+        chunks = (size + 7) >> 3
+        upto = np.concatenate([[0], np.cumsum(chunks)])
+        place = np.arange(upto[-1]) - np.repeat(upto[:-1], chunks)
+        value = self._eights[np.repeat(start, chunks) + 8 * place] & _MASK[np.minimum(np.repeat(size, chunks) - 8 * place, 8)]
+        salt = mix(np.arange(1, chunks.max(initial=0) + 1, dtype=np.uint64))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(value ^ salt[place]))])
+        return mix(sums[upto[1:]] - sums[upto[:-1]] + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Words:
@@ -109,3 +104,46 @@ def windows(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np
     for i in range(k):
         out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[at + i]
     return mix(out), at
+
+
+def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of each row's words, lower-cased in A-Z: hashes, sorted within rows, and the n+1 offsets.
+
+    A text with fewer than n words is one shorter n-gram."""
+    data, offsets = text_bytes(column)
+    data = LOWER[data]
+    words = Words(data, offsets)
+    each, counts = Hashes(data).of(words.start, words.end), words.per_row()
+    grams, rows = [], []
+    for k in range(1, n + 1):
+        found, at = windows(each, words.row, k)
+        row = words.row[at]
+        if k < n:
+            short = counts[row] == k
+            found, row = found[short], row[short]
+        grams.append(found + np.uint64(n - k))
+        rows.append(row)
+    gram, row = np.concatenate(grams), np.concatenate(rows)
+    order = np.lexsort((gram, row))
+    gram, row = gram[order], row[order]
+    new = np.ones(len(gram), bool)
+    new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
+    gram, row = gram[new], row[new]
+    return gram, np.searchsorted(row, np.arange(words.rows + 1))
+
+
+def set_hashes(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of each row's set; equal sets have equal ones."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(gram))])
+    sizes = np.diff(bounds)
+    return mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)).view(np.int64)
+
+
+def shared(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many values the i-th set of x and the i-th of y have in common; sets as (values, offsets)."""
+    sizes = np.diff(x[1]), np.diff(y[1])
+    pair = np.concatenate([np.repeat(np.arange(len(s)), s) for s in sizes])
+    key = mix(np.concatenate([x[0], y[0]]) + pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key)
+    key = key[order]
+    return np.bincount(pair[order[1:][key[1:] == key[:-1]]], minlength=len(sizes[0]))

@@ -6,6 +6,10 @@ HARD_TEXTS = [
     "word " * 4000, "a b c d e f g h i j k l\n" * 40, "the quick brown fox jumps over the lazy dog " * 20, "é combining ́mark \x00 nul",
 ]
 
+#: Two words that a polynomial hash modulo a power of two can't tell apart, whatever its base.
+TWINS = ["".join("ab"[i.bit_count() % 2 ^ flip] for i in range(1024)) for flip in (0, 1)]
+HARD_TEXTS += [*TWINS, "\n".join(TWINS) + "\none line more, so that there are ten words in all"]
+
 
 @pytest.fixture(scope="session")
 def hard_docs(spark):

@@ -79,6 +79,12 @@ def test_repeated_ids_and_missing_values(spark, hard_docs):
     assert ids[6] == 1 and 7 not in ids and ids[0] == ids[1] == 1
 
 
+def test_rows_with_equal_ids_stay_unless_they_link(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    docs = spark.createDataFrame([(3, x), (5, x), (5, y), (5, y), (7, z), (7, ""), (7, ""), (None, z)], "doc_id long, text string")
+    assert Counter(map(tuple, keep_first(docs).collect())) == Counter([(3, x), (5, y), (7, ""), (7, ""), (None, z)])
+
+
 def test_given_documents(some_docs):
     rows = [(r["doc_id"], r["text"]) for r in some_docs.collect()]
     expected = slow(rows)

@@ -1,7 +1,8 @@
+import math
 import re
 from collections import Counter
 
-from marquee.llm.quality_rules import MEASURES, SPREAD, SUPPORT, FENCE, filter_documents, quality_rules
+from marquee.llm.quality_rules import EXACT, FENCE, MEASURES, RATIO, SPREAD, SUPPORT, filter_documents, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -16,6 +17,10 @@ def slow(text):
     return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
 
+def binned(x):
+    return x if x <= EXACT else math.floor(EXACT * RATIO ** math.floor(math.log(x / EXACT) / math.log(RATIO)))
+
+
 def verdicts(rows):
     """kept by the definition, for (lang, source, text)."""
     measured = []
@@ -23,7 +28,7 @@ def verdicts(rows):
         n, chars, symbols, lines, repeats = slow(text)
         base = n < 10 or 100 * repeats > 20 * n
         bins = None if not n else {"symbols": 1000 * symbols // n, "dup_lines": 1000 * lines // n, "repeats": 1000 * repeats // n, "word_length": 100 * chars // n}
-        measured.append((lang or "", source or "", base, bins and {k: min(v, 10_000) for k, v in bins.items()}))
+        measured.append((lang or "", source or "", base, bins))
     out = []
     for lang, source, base, bins in measured:
         if base:
@@ -34,9 +39,9 @@ def verdicts(rows):
         group = own if len(own) >= SUPPORT else same if len(same) >= SUPPORT else [b for _, _, f, b in measured if not f]
         good = True
         for m in MEASURES:
-            values = sorted(b[m] for b in group)
+            values = sorted(binned(b[m]) for b in group)
             q1, q3 = (values[-(-len(values) * k // 4) - 1] for k in (1, 3))
-            reach = max(FENCE * (q3 - q1), SPREAD[m])
+            reach = max(FENCE * (q3 - q1), SPREAD[m], math.ceil(q3 * (RATIO - 1)) + 2 if q3 > EXACT else 0)
             good &= bins[m] <= q3 + reach and (m != "word_length" or bins[m] >= q1 - reach)
         out.append(good)
     return out
@@ -68,6 +73,16 @@ def test_values_have_no_cap(spark):
     some = [(1000, " ".join("字" * (90 + k) for k in range(10)), "zh", "s"), (1001, " ".join("字" * (2000 + k) for k in range(10)), "zh", "s")]
     marks = [(i, " ".join("a" * k + "#" * 500 for k in range(10)), "x", "s") for i in range(2000, 2300)]
     marks += [(3000, " ".join("a" * k + "#" * 5000 for k in range(10)), "x", "s")]
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules(spark.createDataFrame(long + some + marks, "doc_id long, text string, lang string, source string")).collect()}
+    rows = long + some + marks
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [kept[r[0]] for r in rows] == verdicts([(r[2], r[3], r[1]) for r in rows])
     assert all(kept[i] for i in range(300)) and kept[1000] and not kept[1001]
     assert all(kept[i] for i in range(2000, 2300)) and not kept[3000]
+
+
+def test_repeats_fence_rejects(spark):
+    """A text whose repeats lie below the base rule, but far above those of its source."""
+    clean = [(i, " ".join(f"w{i}x{k}" for k in range(100)), "en", "s") for i in range(300)]
+    twice = " ".join([f"u{k}" for k in range(8)] * 2 + [f"v{k}" for k in range(84)])
+    kept = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules(spark.createDataFrame([*clean, (999, twice, "en", "s")], "doc_id long, text string, lang string, source string")).collect()}
+    assert kept[999] == (False, False) and all(kept[i] == (False, True) for i in range(300))
