@@ -115,3 +115,62 @@ FROM x, k, z WHERE z.source = x.source AND z.epoch = x.epoch AND z.bucket = left
 
 
 MIXING = _mixing()
+
+
+def _centroids(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64) -> str:
+    """Rounds one after another, each comparing every vector with every centroid."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} AS (
+  SELECT r, c, list_sum(list_transform(range(1, {dims + 1}), lambda i: (p.v[i] - c{i}.v[i]) * (p.v[i] - c{i}.v[i])))::BIGINT AS d FROM p, c{i}),
+a{i} AS (SELECT r, first(c ORDER BY d, c) AS c, min(d) AS d FROM d{i} GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (SELECT a{i}.c, i, sum(p.v[i])::BIGINT AS s, count(*) AS n FROM a{i} JOIN p USING (r), range(1, {dims + 1}) t(i) GROUP BY a{i}.c, i),
+m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{i} GROUP BY c),
+c{i + 1} AS (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return f"""
+WITH p AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = {dims}),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), v) - 1 AS c, v FROM p QUALIFY c < {k}),{",".join(steps)}
+SELECT vec_id, a{rounds}.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a{rounds}.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = a{rounds}.c JOIN (SELECT r, vec_id FROM p) USING (r)
+"""
+
+
+CENTROIDS = _centroids()
+
+RESAMPLING = r"""
+WITH crc AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(0, 256) b(i))),
+w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+f AS MATERIALIZED (SELECT r, unnest(words) AS word FROM w),
+g AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+x AS (SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM f UNION SELECT word FROM g)),
+h AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(digits) // 2), lambda k: ('0x' || digits[2 * k + 1 : 2 * k + 2])::BIGINT)),
+                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM x, crc),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN h USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM g JOIN h USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (sum(coalesce(s, 0)) OVER () + 10000)::DOUBLE)
+                                 / ((coalesce(s, 0) + 1)::DOUBLE * (sum(coalesce(t, 0)) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+weights AS (SELECT r, sum(gain)::BIGINT AS weight FROM f JOIN h USING (word) JOIN gains USING (bucket) GROUP BY r),
+scores AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256(concat('2024:', doc_id)), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weights USING (r)),
+ranks AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS drawn FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scores LEFT JOIN ranks USING (r)
+"""

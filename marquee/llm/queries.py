@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marquee.llm import kneser_ney, oracles
+from marquee.llm.centroids import cluster
 from marquee.llm.common import table, tokenizer_file
 from marquee.llm.jaccard_join import JaccardJoin
 from marquee.llm.mixing import mix
 from marquee.llm.packing import pack, with_digests
 from marquee.llm.quality_rules import quality_rules
+from marquee.llm.resampling import resample
 from marquee.llm.sharding import shard_documents
+from marquee.llm.signatures import SignatureJoin
 from marquee.llm.style_tree import main_text
 from marquee.llm.syncmers import edited_neighbours
 from marquee.llm.token_counts import count_tokens
@@ -66,6 +69,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(table(spark, sf_dir, "documents")).documents()
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SignatureJoin(table(spark, sf_dir, "documents")).documents()
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_text": op1_html_text,
@@ -78,6 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_kneser_ney": op8_kneser_ney,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_minhash": op11_minhash,
+        "op12_centroids": op12_centroids,
+        "op13_resampling": op13_resampling,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -87,4 +105,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": oracles.QUALITY_RULES,
         "op5_mixing": oracles.MIXING,
         "op9_warc": oracles.WARC,
+        "op12_centroids": oracles.CENTROIDS,
+        "op13_resampling": oracles.RESAMPLING,
     }
