@@ -9,11 +9,13 @@ Documents with equal n-gram sets are one class, and only classes are compared:
   Classes that agree on t of m coordinates share one of their first m - t + 1 pairs, so only this
   prefix is posted and merged. The frequent rest is skipped: its collisions are looked up.
 * The collisions of a candidate are counted on four bits of each coordinate, packed in longs that go
-  with the class; equal values have equal bits, so no count is too low. Pairs below the threshold go.
+  with the class; equal values have equal bits, so no count is too low. Pairs below the threshold go,
+  and so do those whose n-grams differ too much by their parities in ``PARITIES`` bins: a bin of unlike
+  parity holds an n-gram of one class alone, and linked classes have few such.
 * Links are confirmed on the full sets: n-grams are hashed once a class and intersected pair by pair.
 
-A posting list is not squared. First each class is paired with one leader a list, the list's
-smallest class. Only where classes of a list are then in different components, those outside the largest one
+A posting list is not squared. First each class is paired with one leader a list, the class with the
+fewest rarer pairs: the original of a group of copies has few of its own. Only where classes of a list are then in different components, those outside the largest one
 are paired with the others. Every link between components is found this way, so components are
 those of all links that the signatures let through. Keys with more than ``HOT`` pairs are salted where
 pairs get the bits or sets of a class, so a leader's are copied once a salt.
@@ -44,9 +46,11 @@ from marquee.llm.words import mix, set_hashes, shared, shingle_sets, text_slices
 COORDINATES, LOSS = 128, 1e-8
 #: Pairs of one class above which they are salted; frequent coordinate-value pairs that are sent to the tasks.
 HOT, COMMON, OFTEN, COUNT_BLOCK = 100_000, 1 << 17, 3, 1 << 20
+PARITIES = 512
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64)).reshape(2, -1) | np.uint64(1)
 #: Four bits of each coordinate, in so many longs.
 _BITS = [f"bits{i}" for i in range(COORDINATES // 16)]
+_ODD = [f"odd{i}" for i in range(PARITIES // 64)]
 
 
 def match_threshold(percent: int) -> int:
@@ -68,6 +72,14 @@ def signatures(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(out + _SEEDS[0])
 
 
+def parities(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether each bin has an odd number of a set's n-grams, as 64-bit values (sets x PARITIES / 64)."""
+    rows = len(bounds) - 1
+    at = np.repeat(np.arange(rows), np.diff(bounds)) * PARITIES + (gram >> np.uint64(40)).astype(np.int64) % PARITIES
+    odd = (np.bincount(at, minlength=rows * PARITIES) & 1).astype(np.uint8).reshape(rows, PARITIES)
+    return np.packbits(odd, axis=1).view("<u8")
+
+
 def _lists(values: np.ndarray, length: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(values))
 
@@ -78,18 +90,20 @@ class SignatureJoin:
     def __init__(self, docs: DataFrame, n: int = 5, percent: int = 85):
         self.n, self.percent, self.least = n, percent, match_threshold(percent)
         self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))  # together they name a row
-        read = written(self._read(), "signatures-read")
-        self.rows = read.select("doc_id", "hash", "class", "n_shingles")
+        read = written(self._read(), "signatures")
+        self.rows = written(read.drop("signature"), "sets")
         first = F.min(F.struct("doc_id", "hash")).alias("first")
         self.classes = written(self.rows.where("n_shingles > 0").groupBy("class").agg(first, F.min("doc_id").alias("doc_id")), "classes")
-        single = written(read.where("n_shingles > 0").select("class", F.col("n_shingles").alias("n"), "signature").dropDuplicates(["class"]), "signatures")
-        prefixes = written(self._prefixes(single), "prefixes")
-        discard(single)
-        self.bits = prefixes.select("class", *_BITS)
-        posted = prefixes.select("class", "n", F.explode("prefix").alias("pair"))
-        lists = posted.groupBy("pair").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader <> last")
-        lists = written(lists.select("pair", "leader"), "lists")
-        self.posted = written(posted.join(lists, "pair"), "posted")
+        prefixes = written(self._prefixes(read.where("n_shingles > 0").select("class", F.col("n_shingles").alias("n"), "signature")), "prefixes")
+        discard(read)
+        posted = prefixes.select("class", F.posexplode("prefix").alias("place", "pair"))
+        order = F.col("place").cast("long") * (1 << 56) + F.shiftrightunsigned("class", 8)
+        lists = posted.groupBy("pair").agg(F.min("class").alias("least"), F.max("class").alias("last"), F.min_by("class", order).alias("leader"))
+        lists = written(lists.where("least <> last").select("pair", "leader"), "lists")
+        self.posted = written(posted.select("pair", "class").join(lists, "pair").distinct(), "posted")
+        shared_some = self.posted.select("class").distinct()
+        self.bits = written(prefixes.drop("prefix").join(shared_some, "class", "left_semi").dropDuplicates(["class"]), "bits")
+        discard(prefixes)
 
         led = written(self._led(), "led")
         links = self._linked(self._matching(led))
@@ -103,8 +117,8 @@ class SignatureJoin:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, "text"):
                 gram, bounds = shingle_sets(batch["text"], n)
-                names = signatures(gram, bounds).astype("<u8").tobytes()
-                wide = 8 * COORDINATES
+                names = np.concatenate([signatures(gram, bounds), parities(gram, bounds)], axis=1).astype("<u8").tobytes()
+                wide = 8 * (COORDINATES + len(_ODD))
                 each = pa.array([names[i : i + wide] for i in range(0, len(names), wide)], pa.binary())
                 columns = [batch["doc_id"], batch["hash"], pa.array(set_hashes(gram, bounds)), pa.array(np.diff(bounds).astype(np.int64)), each]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "class", "n_shingles", "signature"])
@@ -119,7 +133,7 @@ class SignatureJoin:
             held, size = [], 0
             for batch in _ended(batches):
                 if batch is not None:
-                    held.append(np.frombuffer(b"".join(batch["signature"].to_pylist()), "<u8"))
+                    held.append(_names(batch["signature"])[0].ravel())
                     size += len(held[-1])
                 if held and (batch is None or size >= COUNT_BLOCK):
                     found, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -141,7 +155,7 @@ class SignatureJoin:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common, rank = sent.value
             for batch in batches:
-                names = np.frombuffer(b"".join(batch["signature"].to_pylist()), "<u8").reshape(-1, COORDINATES)
+                names, odd = _names(batch["signature"])
                 late = np.zeros(names.shape, np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, names), len(common) - 1)
@@ -150,22 +164,23 @@ class SignatureJoin:
                 nibbles = (names & np.uint64(15)).reshape(len(names), -1, 16) << (4 * np.arange(16, dtype=np.uint64))
                 bits = nibbles.sum(axis=2, dtype=np.uint64).view(np.int64)
                 columns = [batch["class"], batch["n"], _lists(chosen.ravel().view(np.int64), np.full(len(names), length))]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(bits[:, i]) for i in range(len(_BITS)))], names=["class", "n", "prefix", *_BITS])
+                columns += [pa.array(c) for c in np.concatenate([bits, odd.view(np.int64)], axis=1).T]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "prefix", *_BITS, *_ODD])
 
-        return single.mapInArrow(run, "class long, n long, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
+        return single.mapInArrow(run, "class long, n long, prefix array<long>, " + ", ".join(f"{b} long" for b in [*_BITS, *_ODD]))
 
     def _collide(self, x: str, y: str) -> Column:
-        """Whether the bits of two classes agree on enough coordinates."""
-        differ = None
+        """Whether sizes, coordinates and parities let two classes link."""
+        m, n = F.col(f"{x}n"), F.col(f"{y}n")
+        apart = unlike = F.lit(0)
         for b in _BITS:
             v = F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}"))
             v = v.bitwiseOR(F.shiftrightunsigned(v, 2))
-            v = v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(F.lit(0x1111111111111111))
-            differ = F.bit_count(v) if differ is None else differ + F.bit_count(v)
-        return differ <= COORDINATES - self.least
-
-    def _sizes(self, x: str, y: str) -> Column:
-        return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
+            apart += F.bit_count(v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(F.lit(0x1111111111111111)))
+        for b in _ODD:
+            unlike += F.bit_count(F.col(f"{x}{b}").bitwiseXOR(F.col(f"{y}{b}")))
+        sizes = 100 * F.least(m, n) >= self.percent * F.greatest(m, n)
+        return sizes & (apart <= COORDINATES - self.least) & ((100 + self.percent) * unlike <= (100 - self.percent) * (m + n))
 
     def _led(self) -> DataFrame:
         """Pairs (a < b) of each posted class with its list's leader."""
@@ -175,7 +190,7 @@ class SignatureJoin:
         """The pairs whose signatures agree on enough coordinates."""
         joined = pairs
         for key in ("b", "a"):
-            joined = self._beside(joined, key, self.bits.select("class", *[F.col(c).alias(f"{key}_{c}") for c in _BITS]))
+            joined = self._beside(joined, key, self.bits.select("class", *[F.col(c).alias(f"{key}_{c}") for c in ("n", *_BITS, *_ODD)]))
         return joined.where(self._collide("a_", "b_")).select("a", "b")
 
     def _beside(self, pairs: DataFrame, key: str, side: DataFrame) -> DataFrame:
@@ -192,16 +207,16 @@ class SignatureJoin:
 
     def _between(self, labels: DataFrame) -> DataFrame:
         """Matching pairs (a < b) of a list's classes in different components, one of them not in its largest."""
-        posted = self.posted.select("pair", "class", "n").join(labels.withColumnRenamed("node", "class"), "class", "left")
+        posted = self.posted.select("pair", "class").join(labels.withColumnRenamed("node", "class"), "class", "left")
         posted = written(posted.withColumn("label", F.coalesce("label", "class")), "posted")
         groups = posted.groupBy("pair", "label").agg(F.count("*").alias("rows"))
         lists = groups.groupBy("pair").agg(F.max(F.struct("rows", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1")
         lists = written(lists.select("pair", F.col("largest.label").alias("largest")), "split-lists")
         open_ = written(posted.join(lists, "pair").join(self.bits, "class"), "open")
-        x, y = (open_.select("pair", *[F.col(c).alias(f"{k}_{c}") for c in ("class", "n", "label", "largest", *_BITS)]) for k in "xy")
+        x, y = (open_.select("pair", *[F.col(c).alias(f"{k}_{c}") for c in ("class", "n", "label", "largest", *_BITS, *_ODD)]) for k in "xy")
         pairs = x.join(y.where("y_label <> y_largest").drop("y_largest"), "pair")
         once = (F.col("x_label") == F.col("x_largest")) | (F.col("x_class") < F.col("y_class"))
-        pairs = pairs.where((F.col("x_label") != F.col("y_label")) & once & self._sizes("x_n", "y_n") & self._collide("x_", "y_"))
+        pairs = pairs.where((F.col("x_label") != F.col("y_label")) & once & self._collide("x_", "y_"))
         return pairs.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
 
     def _sets_of(self, pairs: DataFrame) -> DataFrame:
@@ -255,6 +270,11 @@ class SignatureJoin:
         return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _names(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinate-value pairs and parities of a column of signatures."""
+    return np.split(np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, COORDINATES + len(_ODD)), [COORDINATES], axis=1)
+
+
 def _ended(batches: Iterator) -> Iterator:
     """The batches, then None."""
     yield from batches

@@ -73,3 +73,14 @@ def test_threshold():
     t = match_threshold(85)
     rng = np.random.default_rng(0)
     assert 64 < t < 100 and rng.binomial(COORDINATES, 0.85, 1_000_000).min() >= t
+
+
+def test_parities_differ_in_no_more_bins_than_sets_have_own_members():
+    texts = [" ".join(f"w{i}" for i in range(a, b)) for a, b in ((0, 300), (20, 310), (0, 300), (500, 900))]
+    gram, bounds = shingle_sets(pa.array(texts), 1)
+    odd = np.unpackbits(signatures.parities(gram, bounds).view(np.uint8), axis=1)
+    sets = [set(gram[a:b].tolist()) for a, b in zip(bounds, bounds[1:])]
+    for i in range(4):
+        for j in range(4):
+            apart = len(sets[i] ^ sets[j])
+            assert apart // 2 <= (odd[i] != odd[j]).sum() <= apart or apart > 100
