@@ -53,7 +53,9 @@ class Element:
 
 
 def _described(tag: str, rest: str) -> tuple[str, frozenset]:
-    """The label, in which numbers in names are made alike, and the words in class, id and role."""
+    """The label, in which numbers in names are made alike, and the tokens of class, id and role, their words parted by hyphens.
+
+    "hidden" tells of the attribute or style, or of a class of that name beside none that depends on the screen."""
     if "=" not in rest and "hidden" not in rest:
         return tag, frozenset()
     label, names = tag, set()
@@ -63,7 +65,10 @@ def _described(tag: str, rest: str) -> tuple[str, frozenset]:
             if key == "hidden" or re.search(r"display\s*:\s*none", value, re.I):
                 names.add("hidden")
         else:
-            names.update(w.lower() for w in _NAME.findall(value))
+            for token in value.split():
+                words = "-".join(_NAME.findall(token)).lower()
+                if ":" not in token and not (words == "hidden" and ":" in value):
+                    names.add(words)
             if key != "id":
                 label += "." + ".".join(sorted(re.sub(r"\d+", "N", value).split()))
     return label, frozenset(names)

@@ -7,7 +7,7 @@ found by sections of the interval, each one aggregate over the table of shares.
 
 The budget is the smallest at which no source is cut: the least repeated one passes exactly once,
 so every document is in the mixture. A source's stream is its documents in the order of a hash that
-changes with each pass: full passes, then a last pass up to the hash where the budget is reached.
+changes with each pass (a source without tokens is dealt evenly by it): full passes, then a last pass up to the hash where the budget is reached.
 Streams are dealt over blocks in proportion, so every block holds the target weights; inside a
 block documents lie in hash order.
 
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import written
+from marquee.operators.relational import running_total
 
 SECTIONS, ROUNDS = 32, 5
 
@@ -87,13 +88,16 @@ class Plan:
         budgets = written(budgets, "mix-budgets")
         self.total = budgets.agg(F.sum("budget")).first()[0] or 0
         self.blocks = max(1, math.ceil(self.total / block_tokens))
-        self.digits = max(2, math.ceil(math.log(4 * self.blocks, 16)))
+        self.digits = 2
+        while 16**self.digits < 4 * self.blocks:
+            self.digits += 1
         self.limits = written(self._limits(rows, budgets), "mix-limits")
         dealt = self.passes(rows).groupBy("source", "epoch", "bucket", "tokens", "budget").agg(F.sum("n_tokens").alias("n"))
-        before = Window.partitionBy("source", "epoch").orderBy("bucket")
-        at = F.col("epoch") * F.col("tokens") + F.sum("n").over(before) - F.col("n")
-        block = F.least(F.lit(self.blocks - 1), F.floor(at.cast("double") * self.blocks / F.col("budget"))).cast("long")
-        self.buckets = written(dealt.select("source", "epoch", "bucket", F.when(F.col("budget") > 0, block).otherwise(F.lit(0)).alias("block")), "mix-blocks")
+        dealt = running_total(dealt, [F.col("bucket").asc()], "n", "upto", ["source", "epoch"])
+        at = F.col("epoch") * F.col("tokens") + F.col("upto") - F.col("n")
+        block = F.least(F.lit(self.blocks - 1), F.floor(at.cast("double") * self.blocks / F.col("budget")))
+        evenly = F.floor(F.conv("bucket", 16, 10).cast("long") * self.blocks / 16**self.digits)  # no tokens: by hash
+        self.buckets = written(dealt.select("source", "epoch", "bucket", F.when(F.col("budget") > 0, block).otherwise(evenly).cast("long").alias("block")), "mix-blocks")
 
     def _limits(self, rows: DataFrame, budgets: DataFrame) -> DataFrame:
         """The budgets with ``last``: the largest hash that the last, partial pass takes; null if there is none."""
@@ -101,7 +105,7 @@ class Plan:
         hashed = rows.join(partial, "source").withColumn("hash", _hash(F.col("passes"), self.seed))
         hashed = hashed.withColumn("bucket", F.substring("hash", 1, self.digits))
         buckets = hashed.groupBy("source", "bucket", "rest").agg(F.sum("n_tokens").alias("n"))
-        buckets = buckets.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n"))
+        buckets = running_total(buckets, [F.col("bucket").asc()], "n", "upto", ["source"]).withColumn("before", F.col("upto") - F.col("n"))
         final = buckets.where("before < rest").groupBy("source").agg(F.max_by(F.struct("bucket", "before"), "bucket").alias("b"))
         final = written(final.select("source", "b.*"), "mix-last-buckets")
         inside = hashed.join(final, ["source", "bucket"]).groupBy("source", "hash", "before", "rest").agg(F.sum("n_tokens").alias("n"))

@@ -96,7 +96,7 @@ u AS (
          CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS passes, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
   FROM t LEFT JOIN w USING (source)),
 n AS (SELECT greatest(1, ceil(sum(budget) / {block_tokens}))::BIGINT AS blocks FROM u),
-k AS (SELECT blocks, CASE WHEN 4 * blocks <= 256 THEN 2 WHEN 4 * blocks <= 4096 THEN 3 ELSE 4 END AS digits FROM n),
+k AS (SELECT blocks, (SELECT min(d) FROM range(2, 16) t(d) WHERE pow(16, d) >= 4 * blocks) AS digits FROM n),
 l AS (
   SELECT r, coalesce(sum(n_tokens) OVER (PARTITION BY source ORDER BY hash RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) < rest AS more
   FROM (SELECT d.*, rest, md5(concat_ws('|', '{seed}', passes, doc_id)) AS hash FROM d JOIN u USING (source))),
@@ -108,7 +108,8 @@ q AS (
   FROM x, k GROUP BY source, epoch, left(hash, digits)),
 z AS (
   SELECT source, epoch, bucket, CASE WHEN budget > 0 THEN
-         least(blocks - 1, floor((epoch * tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY bucket) - n)::DOUBLE * blocks / budget))::BIGINT ELSE 0 END AS block FROM q)
+         least(blocks - 1, floor((epoch * tokens + sum(n) OVER (PARTITION BY source, epoch ORDER BY bucket) - n)::DOUBLE * blocks / budget))::BIGINT
+         ELSE ('0x' || bucket)::BIGINT * blocks // pow(16, length(bucket))::BIGINT END AS block FROM q)
 SELECT doc_id, x.source, x.epoch, n_tokens, round(weight, 9) AS weight, block, row_number() OVER (PARTITION BY block ORDER BY hash, x.source, x.epoch, n_tokens) - 1 AS slot
 FROM x, k, z WHERE z.source = x.source AND z.epoch = x.epoch AND z.bucket = left(x.hash, digits)
 """

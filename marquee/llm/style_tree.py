@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -51,6 +52,14 @@ NOISE_NAMES = {
 }
 #: The others don't declare it for an element that holds the page's title: a wrapper named "with-sidebar" is no sidebar.
 NEVER_TITLED = {"banner", "comment", "comments", "hidden", "masthead", "menu", "nav", "navbar", "navigation"}
+#: Inside a text only these declare it.
+INLINE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "hidden", "promo", "promoted", "promotion", "sponsor", "sponsored"}
+#: Words that say nothing beside such a name: "comment-list" declares comments, "related-work" or "overflow-hidden" nothing.
+PLAIN_NAMES = {
+    "area", "bar", "block", "body", "bottom", "box", "boxes", "button", "buttons", "col", "column", "container", "content", "desktop", "global", "group", "inner", "item", "items",
+    "left", "link", "links", "list", "main", "mobile", "module", "outer", "page", "panel", "primary", "right", "row", "secondary", "section", "site", "slot", "text", "top", "unit",
+    "widget", "wrap", "wrapper",
+}
 #: These elements declare it only if the page isn't wrapped in them.
 WRAPPERS = {"form", "fieldset", "dialog"}
 CONTENT = {"article", "main"}
@@ -58,24 +67,41 @@ CONTENT = {"article", "main"}
 OUTER = {"header", "topbar"}
 
 
-def _noisy(names: frozenset) -> bool:
-    return not names.isdisjoint(NOISE_NAMES)
+_ROLES = NOISE_NAMES | OUTER
+
+
+@lru_cache(maxsize=1 << 16)
+def _roles(names: frozenset) -> frozenset:
+    """The roles that an element's class, id and role declare; a token counts as a whole."""
+    tokens = [set(name.split("-")) for name in names]
+    return frozenset(w for words in tokens if words <= _ROLES | PLAIN_NAMES for w in words & _ROLES)
+
+
+def _inline_noise(names: frozenset) -> bool:
+    return not _roles(names).isdisjoint(INLINE_NAMES)
+
+
+def _named(e: Element) -> bool:
+    return e.tag != "main" and not _roles(e.names).isdisjoint(NOISE_NAMES)
 
 
 def _declared(e: Element) -> bool:
     if e.tag in NOISE_TAGS and not (e.tag in WRAPPERS and e.titled):
         return True
-    return e.tag != "main" and _noisy(e.names) and not (e.titled and e.names.isdisjoint(NEVER_TITLED))
+    return _named(e) and not (e.titled and _roles(e.names).isdisjoint(NEVER_TITLED))
 
 
 def _outer(e: Element) -> bool:
-    return e.tag in OUTER or not e.names.isdisjoint(OUTER)
+    return e.tag in OUTER or not _roles(e.names).isdisjoint(OUTER)
 
 
 def _mark_wrappers(root: Element) -> None:
-    """Forms and the like that hold an article or, outside of articles, most of the page's text count as titled, and so do the elements around them."""
+    """Forms and the like that hold an article or, outside of articles, most of the page's text count as titled, and so do the elements around them.
+
+    On a page without article and main elements this also holds for elements that only a name declares."""
     every = list(root.walk())
-    if not any(e.tag in WRAPPERS for e in every):
+    named = set() if any(e.tag in CONTENT for e in every) else {e for e in every if e.names and _named(e)}
+    if not named and not any(e.tag in WRAPPERS for e in every):
         return
     size, holds, inside = {}, set(), set()
     for e in every:
@@ -86,13 +112,13 @@ def _mark_wrappers(root: Element) -> None:
         if any(c in holds or (c.tag == "article" and not _declared(c)) for c in e.children):
             holds.add(e)
     for e in every:
-        if e.tag in WRAPPERS and (e in holds or (e not in inside and 2 * size[e] > size[root])):
+        if (e.tag in WRAPPERS or e in named) and (e in holds or (e not in inside and 2 * size[e] > size[root])):
             while e is not None and not e.titled:
                 e.titled, e = True, e.parent
 
 
 def _read(html: str) -> Element:
-    root = parse(html, _noisy)
+    root = parse(html, _inline_noise)
     _mark_wrappers(root)
     return root
 
@@ -146,7 +172,7 @@ def extract(html: str, cut: set[int]) -> str:
         if not cut or cut.isdisjoint(removable):
             kept.extend(e.blocks)
     if not every:
-        every = [b for e in page.walk(lambda e: "hidden" not in e.names) for b in e.blocks]
+        every = [b for e in page.walk(lambda e: "hidden" not in _roles(e.names)) for b in e.blocks]
     return " ".join(text for _, text in sorted(kept or every))
 
 

@@ -160,7 +160,7 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every document."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("key"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long") + 64)).first()[0] or 0
-    count = math.ceil(size / RANGE_BYTES)
+    count = min(math.ceil(size / RANGE_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = []
     if count > 1:
         shares = [i / count for i in range(1, count)]

@@ -13,8 +13,8 @@ exit (the first successor beyond the split) and its place in the tree of success
 of the file, pointer jumping over the exits then finds the one true entry of each split, and a
 candidate is a record if the entry lies in its subtree. Magic inside a payload is never reached.
 
-A record cut by magic inside its payload is put together from its pieces by the task of the split;
-one that also crosses the end of its split is put together in a second, narrow pass.
+Payloads are hashed piece by piece as they are read, so candidates inside one another cost no memory
+but their hash states. A record that also crosses the end of its split is put together in a second, narrow pass.
 
 Defined cases: a null html is an empty payload; a null url writes no target; a null page_id is
 written without an id and read back as null. Rows that share the largest page_id are all responses.
@@ -37,6 +37,8 @@ from marquee.llm.common import shared_folder, written
 
 #: Fixed values of the format.
 MAGIC, END_OF_RECORD, BREAK = "WARC/1.", "\r\n\r\n", "\r\n"
+#: Bytes of a revisit record's block in which the length of its payload is looked for.
+HTTP_HEAD = 1 << 16
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -117,6 +119,41 @@ _FIELDS += [("type", "string"), ("page_id", "long"), ("refers_to", "long"), ("pa
 _SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _FIELDS)
 
 
+class _Open:
+    """A record's block as it is read: its bytes are hashed and counted, not kept, however many records overlap."""
+
+    __slots__ = ("record", "missing", "tail", "head", "size", "sha1")
+
+    def __init__(self, record: dict, size: int):
+        self.record, self.missing, self.tail, self.head, self.size, self.sha1 = record, size, b"", b"", 0, None
+
+    def feed(self, data: bytes) -> bool:
+        """Take what belongs to the block; True once it is complete."""
+        if len(data) > self.missing:
+            data = data[: self.missing]
+        self.missing -= len(data)
+        if self.sha1 is None:
+            if self.record["type"] == "revisit" and len(self.head) < HTTP_HEAD:
+                self.head += data[: HTTP_HEAD - len(self.head)]
+            data = self.tail + data
+            end = data.find(b"\r\n\r\n")
+            if end < 0:
+                self.tail = data[-3:]
+                data = b""
+            else:
+                data, self.sha1 = data[end + 4 :], hashlib.sha1()
+        if self.sha1 is not None:
+            self.sha1.update(data)
+            self.size += len(data)
+        if self.missing > 0:
+            return False
+        size, digest = self.size, (self.sha1 or hashlib.sha1()).hexdigest()
+        if self.record["type"] == "revisit":
+            size, digest = _content("revisit", self.head)
+        self.record |= {"payload_bytes": size, "payload_digest": digest or self.record["payload_digest"], "complete": True}
+        return True
+
+
 class _Split:
     """Candidates of one split; offsets count from its first piece."""
 
@@ -125,16 +162,9 @@ class _Split:
         self.read, self.first, self.found, self.open = 0, block == 0, [], []
 
     def add(self, piece: bytes) -> None:
-        still = []
-        for record, parts, missing in self.open:
-            parts.append(MAGIC.encode())
-            parts.append(piece)
-            missing -= len(MAGIC) + len(piece)
-            if missing <= 0:
-                self._close(record, b"".join(parts)[: record["block_bytes"]])
-            else:
-                still.append((record, parts, missing))
-        self.open = still
+        if self.open:
+            data = MAGIC.encode() + piece
+            self.open = [o for o in self.open if not o.feed(data)]
         at = self.read - len(MAGIC)
         self.read += len(piece) + len(MAGIC)
         first, self.first = self.first, False
@@ -145,17 +175,11 @@ class _Split:
         kind = header[b"warc-type"].decode("latin-1")
         digest = header.get(b"warc-payload-digest", b"").decode("latin-1").removeprefix("sha1:") or None
         record = {"at": at, "successor": at + len(MAGIC) + begin + size + len(END_OF_RECORD), "type": kind, "page_id": _page(header[b"warc-record-id"]), "refers_to": _page(header.get(b"warc-refers-to"))}
-        record |= {"payload_digest": digest, "payload_bytes": None, "complete": False, "block_bytes": size}
+        record |= {"payload_digest": digest, "payload_bytes": None, "complete": False}
         self.found.append(record)
-        if len(piece) - begin >= size:
-            self._close(record, piece[begin : begin + size])
-        else:
-            self.open.append((record, [piece[begin:]], size - (len(piece) - begin)))
-
-    @staticmethod
-    def _close(record: dict, block: bytes) -> None:
-        size, digest = _content(record["type"], block)
-        record |= {"payload_bytes": size, "payload_digest": digest or record["payload_digest"], "complete": True}
+        opened = _Open(record, size)
+        if not opened.feed(piece[begin:]):
+            self.open.append(opened)
 
     def rows(self) -> Iterator[dict]:
         """The candidates with exits and subtree bounds, and one row with the size of the split."""
@@ -246,9 +270,14 @@ def _completed(pieces: DataFrame, bases: DataFrame, cut: DataFrame) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch["path"], batch["block"], pa.array(at), batch["piece"]], names=["path", "block", "at", "piece"])
 
     source = pieces.select("path", "block", "piece").mapInArrow(placed, "path string, block long, at long, piece binary")
-    source = source.join(bases, ["path", "block"]).select("path", (F.col("at") + F.col("base")).alias("piece_at"), "piece")
+    source = source.join(bases, ["path", "block"]).select("path", "block", (F.col("at") + F.col("base")).alias("piece_at"), "piece")
     wanted = cut.select("path", "at", "successor", "type", "page_id", "refers_to", "payload_digest")
-    parts = wanted.join(source, "path").where((F.col("piece_at") > F.col("at")) & (F.col("piece_at") < F.col("successor")))
+    # the splits that a record reaches into: its own and those that begin before its end
+    reach = wanted.join(bases.select("path", "block", "base"), "path").where(F.col("base") < F.col("successor"))
+    next_base = F.lead("base").over(Window.partitionBy("path").orderBy("block"))  # the splits of one file
+    ends = bases.select("path", "block", F.coalesce(next_base, F.lit((1 << 63) - 1)).alias("end"))
+    wanted = reach.join(ends, ["path", "block"]).where(F.col("end") > F.col("at")).drop("base", "end")
+    parts = wanted.join(source, ["path", "block"]).where((F.col("piece_at") > F.col("at")) & (F.col("piece_at") < F.col("successor")))
     record = parts.groupBy("path", "at").agg(
         F.first("type").alias("type"), F.first("page_id").alias("page_id"), F.first("refers_to").alias("refers_to"), F.first("payload_digest").alias("stated"), F.sort_array(F.collect_list(F.struct("piece_at", "piece"))).alias("parts")
     )

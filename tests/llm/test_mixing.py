@@ -55,3 +55,10 @@ def test_order_and_columns(hard_docs, no_docs):
 def test_uniform_sources_pass_once(spark):
     docs = spark.range(40).selectExpr("id as doc_id", "'a b c' as text", "concat('s', id % 4) as source")
     assert sorted(r["doc_id"] for r in mix(docs).collect()) == list(range(40))
+
+
+def test_documents_without_tokens_are_dealt_over_the_blocks(spark):
+    rows = [(i, " ", "blank") for i in range(1000)] + [(1000 + i, "word " * 100, "full") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    blocks = Counter(r["block"] for r in mix(docs, block_tokens=1000).where("source = 'blank'").collect())
+    assert blocks.total() == 1000 and len(blocks) >= 36 and max(blocks.values()) < 100

@@ -93,3 +93,30 @@ WHOLE = {
 @pytest.mark.parametrize("html", WHOLE)
 def test_nothing_is_cut_before_the_tree(html):
     assert extract(html, set()) == WHOLE[html]
+
+
+TOKENS = {
+    "<div class='overflow-hidden'><article><h1>T</h1><p>story</p></article></div>": "T story",
+    "<article class='overflow-hidden rounded'><h1>T</h1><p>story</p></article>": "T story",
+    "<article><p class='hidden md:block'>wide</p><p class='hidden'>no</p><p>story</p></article>": "wide story",
+    "<div class='content with-sidebar'><h2>T</h2><p>story</p></div><div class='sidebar'>s</div><p>x</p>": "T story x",
+    "<article><section class='related-work'><h2>Related work</h2><p>a</p></section><div class='search-algorithms'>b</div><div class='related-links'>r</div></article>": "Related work a b",
+    "<article><p>a <span class='notice'>notice</span> b</p><div class='site-notice'>n</div></article>": "a notice b",
+    "<div class='promo'><p>A page whose whole story lies in an element with such a name.</p></div><p>x</p>": "A page whose whole story lies in an element with such a name. x",
+    "<p>Some story.</p><div class='comment-list'><p>A comment that is much longer than the story itself.</p></div>": "Some story.",
+}
+
+
+@pytest.mark.parametrize("html", TOKENS)
+def test_names_count_as_whole_tokens(html):
+    assert extract(html, set()) == TOKENS[html]
+
+
+def test_menu_without_a_telling_name_is_cut(spark):
+    """Menus that repeat on a host's pages go by their importance alone; one's own lists stay."""
+    menu = "<div class='q1'><ul class='k'>" + "".join(f"<li><a href='/{t}'>{t}</a></li>" for t in ("Home", "World", "Sport", "Shop")) + "</ul></div>"
+    body = "<body>{menu}<div class='c'><h1>Title {i}</h1><p>Story of page {i}.</p><ul class='f'><li>Fact {i}</li><li>Fact two of {i}</li></ul></div></body>"
+    rows = [(i, f"http://menu.example/{i}", body.format(menu=menu, i=i)) for i in range(25)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in main_text(pages).collect()}
+    assert all(text[i] == f"Title {i} Story of page {i}. Fact {i} Fact two of {i}" for i in range(25))

@@ -60,3 +60,23 @@ def test_long_payload_of_magic(spark):
 
 def test_empty(spark):
     assert round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_many_false_headers_take_little_memory():
+    """8000 candidates inside one payload, each with a length beyond the end of the page."""
+    import tracemalloc
+
+    from marquee.llm.warc import MAGIC, _Split
+
+    payload = (FAKE.format(n=10**6) + "some text of the page\r\n\r\n") * 8000
+    record = f"{MAGIC}1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:5>\r\nContent-Length: {len(payload) + 4}\r\n\r\n\r\n\r\n{payload}\r\n\r\n"
+    tracemalloc.start()
+    split = _Split("p", 0, len(record))
+    for piece in record.encode().split(MAGIC.encode()):
+        split.add(piece)
+    rows = list(split.rows())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20, peak
+    first = min((r for r in rows if "at" in r), key=lambda r: r["at"])
+    assert first["complete"] and first["payload_digest"] == hashlib.sha1(payload.encode()).hexdigest() and len(rows) == 8002
