@@ -100,6 +100,7 @@ class SignatureJoin:
         order = F.col("place").cast("long") * (1 << 56) + F.shiftrightunsigned("class", 8)
         lists = posted.groupBy("pair").agg(F.min("class").alias("least"), F.max("class").alias("last"), F.min_by("class", order).alias("leader"))
         lists = written(lists.where("least <> last").select("pair", "leader"), "lists")
+        lists = lists.hint("merge")  # they grow with the classes, so one plan at every size
         self.posted = written(posted.select("pair", "class").join(lists, "pair").distinct(), "posted")
         shared_some = self.posted.select("class").distinct()
         self.bits = written(prefixes.drop("prefix").join(shared_some, "class", "left_semi").dropDuplicates(["class"]), "bits")
