@@ -197,11 +197,15 @@ def _candidate_rows(vectors: DataFrame, *keep: str) -> DataFrame:
     return vectors.select(F.col("id").alias("candidate_id"), F.col("vec").alias("c_vec"), norm("vec").alias("c_nrm"), *keep)
 
 
-def _nearest(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+def found_in_cells(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """The k best candidates of each request in each block of its clusters (and those within rounding of them)."""
     q, c = cells(queries, candidates, "candidate_id")
-    found = q.cogroup(c).applyInPandas(
+    return q.cogroup(c).applyInPandas(
         _knn_kernel(k, exclude_self), "request_id bigint, query_id bigint, candidate_id bigint, similarity double")
-    scored = found.withColumn("similarity", F.round("similarity", SCORE_DIGITS))
+
+
+def _nearest(queries: DataFrame, candidates: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    scored = found_in_cells(queries, candidates, k, exclude_self).withColumn("similarity", F.round("similarity", SCORE_DIGITS))
     return top_k_per_group(scored, ["request_id"], [F.col("similarity").desc(), F.col("candidate_id").asc()], k)
 
 
@@ -222,9 +226,10 @@ def cosine_pairs(requests: DataFrame, req_vectors: DataFrame, candidates: DataFr
                         F.round(cosine("q_vec", "c_vec", F.col("q_nrm"), F.col("c_nrm")), SCORE_DIGITS).alias("similarity"))
 
 
-def similar_users(requests: DataFrame, train: DataFrame, test: DataFrame, k: int = 10) -> DataFrame:
-    """Most similar test users for each train user, with level label."""
-    top = knn_scan(requests, train, test, k, exclude_self=False)
+def similar_users(requests: DataFrame, train: DataFrame, test: DataFrame, k: int = 10, search=knn_scan) -> DataFrame:
+    """Most similar test users for each train user, with level label (F13). ``search`` is ``knn_scan`` or
+    ``pivots.knn_pivots``, which fits batches of many requests."""
+    top = search(requests, train, test, k, exclude_self=False)
     return top.select("request_id", F.col("query_id").alias("train_user_id"),
                       F.col("candidate_id").alias("test_user_id"), "similarity",
                       similarity_level("similarity").alias("similarity_level"), "rank")

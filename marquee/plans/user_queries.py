@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marquee.operators import features as Fe
 from marquee.operators import neighbours as N
 from marquee.operators import users as U
+from marquee.operators.pivots import knn_pivots
 from marquee.plans.catalog import register
 from marquee.sources import fixtures as fx
 
@@ -159,7 +160,7 @@ def user_ensemble_heldout(spark, sf_dir):
     """R7, second list: for every train user, the ensemble of the most similar held-out user among the held-out users."""
     uv = Fe.row_split(fx.user_vectors(spark, sf_dir), "id")
     train, test = uv.where(F.col("split") == "train"), uv.where(F.col("split") == "test")
-    near = N.knn_scan(train.select("id", F.col("id").alias("request_id")), train, test, 1, exclude_self=False)
+    near = knn_pivots(train.select("id", F.col("id").alias("request_id")), train, test, 1, exclude_self=False)
     req = near.select("request_id", F.col("candidate_id").alias("user_id"))
     return U.user_ensemble(req, test.drop("split"), fx.ratings(spark, sf_dir), fx.movies(spark, sf_dir))
 

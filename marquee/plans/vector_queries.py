@@ -9,6 +9,7 @@ from marquee.operators import features as Fe
 from marquee.operators import neighbours as N
 from marquee.operators import recommend as R
 from marquee.operators import vectors as Vec
+from marquee.operators.pivots import PivotSearch, knn_pivots
 from marquee.plans.catalog import register
 from marquee.sources import fixtures as fx
 
@@ -404,7 +405,35 @@ SELECT request_id, train_user_id, test_user_id, similarity,
 FROM rk WHERE rank <= 10""",
 )
 def similar_users_all(spark, sf_dir):
-    """R12 as one batch: the 10 most similar test users of every train user, on the grid."""
+    """R12 as one batch: the 10 most similar test users of every train user, by pivot partitions."""
     uv = Fe.row_split(fx.user_vectors(spark, sf_dir), "id")
     tr, te = uv.where(F.col("split") == "train"), uv.where(F.col("split") == "test")
-    return N.similar_users(tr.select("id", F.col("id").alias("request_id")), tr, te, 10)
+    return N.similar_users(tr.select("id", F.col("id").alias("request_id")), tr, te, 10, search=knn_pivots)
+
+
+@register(
+    "knn_pivots",
+    f"""{V('item_vectors')},
+v AS (SELECT id, vec, sqrt(list_dot_product(vec, vec)) AS nrm FROM item_vectors),
+sc AS (SELECT q.id AS request_id, q.id AS query_id, c.id AS candidate_id,
+              round({COS.format(a='q.vec', b='c.vec').replace('q.vecn', 'q.nrm').replace('c.vecn', 'c.nrm')}, 6) AS similarity
+       FROM v q JOIN v c ON q.id <> c.id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY similarity DESC, candidate_id) AS rank FROM sc)
+SELECT request_id, query_id, candidate_id, similarity, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
+)
+def knn_pivots_all(spark, sf_dir):
+    """M11 for every item: its 10 nearest other items, by pivot partitions."""
+    iv = fx.item_vectors(spark, sf_dir)
+    return knn_pivots(iv.select("id", F.col("id").alias("request_id")), iv, iv, 10)
+
+
+@register(
+    "knn_pivot_pairs",
+    f"""{V('item_vectors')}
+SELECT count(*) AS requests, count(*) AS candidates, true AS no_more_than_the_grid FROM item_vectors""",
+)
+def knn_pivot_pairs(spark, sf_dir):
+    """Pairs that ``knn_pivots`` scores, against those of the grid."""
+    iv = fx.item_vectors(spark, sf_dir)
+    pairs = PivotSearch(iv.select("id", F.col("id").alias("request_id")), iv, iv, 10).pairs()
+    return pairs.select("requests", "candidates", (F.col("pairs_scored") <= F.col("requests") * F.col("candidates")).alias("no_more_than_the_grid"))
