@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.session import ensure_checkpoint_dir
+from marquee.operators.relational import dense_index
+from marquee.session import cut_lineage, ensure_checkpoint_dir
 
 DIGITS = 6
 
@@ -51,23 +52,61 @@ def masked_mse(observed: DataFrame, reconstructed: DataFrame, keys: list[str], v
 
 
 # ---------------------------------------------------------------------- ALS
+@dataclass
+class CodedAls:
+    """An ALS model with the dense codes of its ids, which Spark's ALS holds as 32-bit integers."""
+
+    model: object
+    users: DataFrame  # id, code
+    items: DataFrame
+
+    def factors(self, which: str = "item") -> DataFrame:
+        found, codes = (self.model.itemFactors, self.items) if which == "item" else (self.model.userFactors, self.users)
+        found = found.select(F.col("id").cast("bigint").alias("code"), F.col("features").cast("array<double>").alias("vec"))
+        return found.join(codes, "code").select("id", "vec")
+
+    def predict(self, df: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
+        """``df`` with ``prediction``; null for ids that the model doesn't know."""
+        u = self.users.select(F.col("id").alias("_uid"), F.col("code").cast("int").alias("_u"))
+        i = self.items.select(F.col("id").alias("_iid"), F.col("code").cast("int").alias("_i"))
+        known = df.join(u, F.col(user) == F.col("_uid"), "left").join(i, F.col(item) == F.col("_iid"), "left").drop("_uid", "_iid")
+        x = known.select("*", F.coalesce("_u", F.lit(-1)).alias("_user"), F.coalesce("_i", F.lit(-1)).alias("_item")).drop("_u", "_i")
+        out = self.model.copy().setUserCol("_user").setItemCol("_item").setColdStartStrategy("nan").transform(x)
+        return out.withColumn("prediction", F.when(~F.isnan("prediction"), F.col("prediction"))).drop("_user", "_item")
+
+    def recommend_all(self, n: int) -> DataFrame:
+        """userId, movieId, predicted_rating and rank of the n best items of every user."""
+        x = self.model.recommendForAllUsers(n).select(F.col("_u").cast("bigint").alias("_uc"), F.posexplode("recommendations").alias("p", "r"))
+        x = x.select("_uc", F.col("r._i").cast("bigint").alias("_ic"), F.col("r.rating").cast("double").alias("predicted_rating"), (F.col("p") + 1).alias("rank"))
+        x = x.join(self.users.select(F.col("code").alias("_uc"), F.col("id").alias("userId")), "_uc")
+        x = x.join(self.items.select(F.col("code").alias("_ic"), F.col("id").alias("movieId")), "_ic")
+        return x.select("userId", "movieId", "predicted_rating", "rank")
+
+
 def als_fit(ratings: DataFrame, rank: int = 64, reg: float = 0.1, max_iter: int = 15, implicit: bool = False,
-            alpha: float = 1.0, seed: int = 42, user: str = "userId", item: str = "movieId"):
-    """ALS by column name (ids must fit in int; the derived ids do)."""
+            alpha: float = 1.0, seed: int = 42, user: str = "userId", item: str = "movieId",
+            users: DataFrame | None = None, items: DataFrame | None = None) -> CodedAls:
+    """ALS on dense codes, so ids can be any long. ``users`` and ``items`` (id, code) come from an
+    ``IdDictionary`` where codes must outlive the fit; by default the ratings' ids are coded in order."""
     from pyspark.ml.recommendation import ALS
 
+    def coded(column: str) -> DataFrame:
+        ids = ratings.select(F.col(column).alias("id")).where(F.col(column).isNotNull())
+        return cut_lineage(dense_index(ids, "id", "code").select("id", "code"))
+
     ensure_checkpoint_dir(ratings.sparkSession)
+    users, items = coded(user) if users is None else users, coded(item) if items is None else items
+    data = ratings.select(F.col(user).alias("_uid"), F.col(item).alias("_iid"), F.col("rating").cast("float").alias("rating"))
+    data = data.join(users.select(F.col("id").alias("_uid"), F.col("code").cast("int").alias("_u")), "_uid")
+    data = data.join(items.select(F.col("id").alias("_iid"), F.col("code").cast("int").alias("_i")), "_iid").select("_u", "_i", "rating")
     als = ALS(rank=rank, regParam=reg, maxIter=max_iter, implicitPrefs=implicit, alpha=alpha, seed=seed,
               userCol="_u", itemCol="_i", ratingCol="rating", coldStartStrategy="drop", nonnegative=False,
               checkpointInterval=5)
-    data = ratings.select(F.col(user).cast("int").alias("_u"), F.col(item).cast("int").alias("_i"),
-                          F.col("rating").cast("float").alias("rating"))
-    return als.fit(data)
+    return CodedAls(als.fit(cut_lineage(data)), users, items)
 
 
-def factors(model, which: str = "item") -> DataFrame:
-    f = model.itemFactors if which == "item" else model.userFactors
-    return f.select(F.col("id").cast("bigint").alias("id"), F.col("features").cast("array<double>").alias("vec"))
+def factors(model: CodedAls, which: str = "item") -> DataFrame:
+    return model.factors(which)
 
 
 # ---------------------------------------------------------------------- PCA

@@ -519,8 +519,7 @@ def _validated(train, fit, grid):
 
 def _als_predictor(train, reg):
     model = M.als_fit(train, FACTORS, reg, ITERATIONS)
-    model.setColdStartStrategy("nan")
-    return lambda df: model.transform(df.select(F.col("userId").cast("int").alias("_u"), F.col("movieId").cast("int").alias("_i"), "rating"))
+    return lambda df: model.predict(df.select("userId", "movieId", "rating"))
 
 
 def _fm_predictor(train, reg):
@@ -576,10 +575,7 @@ def rating_check(spark, sf_dir):
 def predicted_topk(spark, sf_dir):
     """Top 50 items by predicted rating with title and genres, for every user (ALS recommendForAllUsers)."""
     model = M.als_fit(fx.ratings(spark, sf_dir), FACTORS, REG, ITERATIONS)
-    recs = model.recommendForAllUsers(50)
-    x = recs.select(F.col("_u").cast("bigint").alias("userId"), F.posexplode("recommendations").alias("p", "r"))
-    x = x.select("userId", F.col("r._i").cast("bigint").alias("movieId"),
-                 F.col("r.rating").cast("double").alias("predicted_rating"), (F.col("p") + 1).alias("rank"))
+    x = model.recommend_all(50)
     return x.join(fx.movies(spark, sf_dir).select("movieId", "title", "genres"), "movieId")
 
 

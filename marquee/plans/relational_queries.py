@@ -14,6 +14,7 @@ from marquee.operators import vectors as Vec
 from marquee.plans.catalog import register
 from marquee.sources import fixtures as fx
 from marquee.sources import io as sio
+from marquee.sources.batches import BatchTable, IdDictionary
 
 V = fx.with_views
 _GENRE_SQL = " + ".join(f"(CASE WHEN instr(lower(genres), '{g}') > 0 THEN 1 ELSE 0 END)" for g in fx.APP_GENRES)
@@ -353,6 +354,41 @@ def normalize_ratings(spark, sf_dir):
     return sio.roundtrip_parquet(t, "ratings-table")
 
 
+@register(
+    "load_ratings_batches",
+    f"""{V('ratings')}, one AS (SELECT userId, movieId, min(rating) AS rating, min("timestamp") AS first FROM ratings GROUP BY userId, movieId)
+SELECT count(*) AS rows, min(1) AS first_id, count(*) AS last_id, count(DISTINCT userId) AS users, sum(movieId)::BIGINT AS items, 4 AS batches, 0 AS loaded_again FROM one""",
+)
+def load_ratings_batches(spark, sf_dir):
+    """Ratings (one a user and movie) loaded in four numbered batches with reserved surrogate ids, then once more in vain."""
+    one = fx.ratings(spark, sf_dir).groupBy("userId", "movieId").agg(F.min("rating").alias("rating"))
+    one = sio.roundtrip_parquet(one, "ratings-once")
+    table = BatchTable(spark, sio.shared_path(spark, "ratings-batches"), one.schema, ["userId", "movieId"], "rating_id")
+    size = -(-one.count() // 4)
+    batches = table.load_all(one, ["userId", "movieId"], size)
+    again = sum(table.load(b, one) for b in range(batches))
+    x = table.read()
+    return x.agg(F.count("*").alias("rows"), F.min("rating_id").cast("int").alias("first_id"), F.max("rating_id").alias("last_id"),
+                 F.countDistinct("userId").alias("users"), F.sum("movieId").alias("items"), F.lit(batches).alias("batches"), F.lit(again).alias("loaded_again"))
+
+
+@register(
+    "encode_append_encode",
+    f"""{V('ratings')}, f AS (SELECT DISTINCT userId AS id FROM ratings WHERE userId % 3 > 0), a AS (SELECT DISTINCT userId AS id FROM ratings),
+c AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS code FROM f
+      UNION ALL SELECT id, (SELECT count(*) FROM f) + row_number() OVER (ORDER BY id) - 1 FROM a WHERE id NOT IN (SELECT id FROM f))
+SELECT userId, movieId, code AS user_idx, rating FROM ratings JOIN c ON userId = id""",
+)
+def encode_append_encode(spark, sf_dir):
+    """An id dictionary of two thirds of the users, appended to with all of them; old codes stay."""
+    r = fx.ratings(spark, sf_dir)
+    ids = IdDictionary(spark, sio.shared_path(spark, "user-codes"))
+    ids.append(1, r.where("userId % 3 > 0"), "userId")
+    ids.append(2, r, "userId")
+    ids.append(1, r, "userId")  # a replay
+    return ids.encode(r, "userId", "user_idx").select("userId", "movieId", "user_idx", "rating")
+
+
 @register(
     "normalize_scores",
     f"{V('genome_scores')} SELECT row_number() OVER (ORDER BY movieId, tagId) AS score_id, movieId AS movie_id, tagId AS tag_id, relevance FROM genome_scores",
