@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from marquee.functions.columns import genre_tokens, hash_bucket, multi_hot
 from marquee.operators.relational import popularity, scalar_quantile, with_scalars
 from marquee.operators.vectors import dim_stats, round_vec, standard_scale
+from marquee.session import cut_lineage
 
 POSITIVE = 3.5
 
@@ -26,26 +27,24 @@ def user_segment_matrix(ratings: DataFrame, movies: DataFrame, item_clusters: Da
     """Per user [genre shares | mean positive rating per item cluster | positive count], 0-filled.
 
     userId, genre_share array<double> (sorted genres), cluster_rating array<double>
-    (sorted cluster ids), positive_count bigint; all three come from one grouping of the facts.
-    """
-    genres = movies.select("movieId", F.transform(genre_tokens("genres"), lambda g: F.struct(
-        F.lit("genre").alias("kind"), g.alias("genre"), F.lit(None).cast("int").alias("cluster"))).alias("_g"))
-    clusters = item_clusters.select("movieId", F.array(F.struct(
-        F.lit("cluster").alias("kind"), F.lit(None).cast("string").alias("genre"), F.col("cluster").cast("int").alias("cluster"))).alias("_c"))
+    (sorted cluster ids), positive_count bigint. The facts are written once, counted by (user, genre) and by
+    (user, cluster); these two small tables are written, and grouped once by user."""
     pos = ratings.where(F.col("rating") > threshold).select("userId", "movieId", "rating")
-    x = pos.join(genres, "movieId", "left").join(clusters, "movieId", "left")
-    none = F.array().cast("array<struct<kind:string,genre:string,cluster:int>>")
-    one = F.array(F.struct(F.lit("all").alias("kind"), F.lit(None).cast("string").alias("genre"), F.lit(None).cast("int").alias("cluster")))
-    # one row per thing counted, so the facts are shuffled once
-    entries = x.select("userId", "rating", F.explode(F.concat(F.coalesce("_g", none), F.coalesce("_c", none), one)).alias("e"))
-    cells = entries.groupBy("userId", "e").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("r"))
-
-    def of(kind, key, value):
-        return F.collect_list(F.when(F.col("e.kind") == kind, F.struct(F.col(f"e.{key}").alias("k"), F.col(value).cast("double").alias("v"))))
-
-    per = cells.groupBy("userId").agg(of("genre", "genre", "n").alias("_g"), of("cluster", "cluster", "r").alias("_c"),
-                                      F.sum(F.when(F.col("e.kind") == "all", F.col("n"))).alias("positive_count"))
-    vocab = cells.agg(F.sort_array(F.collect_set("e.genre")).alias("_gv"), F.sort_array(F.collect_set("e.cluster")).alias("_cv"))
+    pos = pos.join(movies.select("movieId", genre_tokens("genres").alias("_g")), "movieId", "left")
+    pos = cut_lineage(pos.join(item_clusters.select("movieId", F.col("cluster").cast("int").alias("cluster")), "movieId", "left").drop("movieId"))
+    nothing = {k: F.lit(None).cast(t) for k, t in (("genre", "string"), ("cluster", "int"), ("r", "double"))}
+    genres = pos.select("userId", F.explode("_g").alias("genre")).groupBy("userId", "genre").agg(F.count(F.lit(1)).alias("n"))
+    genres = genres.select("userId", F.lit(True).alias("is_genre"), "genre", nothing["cluster"].alias("cluster"), "n", nothing["r"].alias("r"))
+    clusters = pos.groupBy("userId", "cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("r"))  # items without one: null
+    clusters = clusters.select("userId", F.lit(False).alias("is_genre"), nothing["genre"].alias("genre"), "cluster", "n", "r")
+    cells = cut_lineage(genres.unionByName(clusters))
+
+    def of(key, value):
+        return F.collect_list(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))))
+
+    per = cells.groupBy("userId").agg(of("genre", "n").alias("_g"), of("cluster", "r").alias("_c"),
+                                      F.sum(F.when(~F.col("is_genre"), F.col("n"))).alias("positive_count"))
+    vocab = cells.agg(F.sort_array(F.collect_set("genre")).alias("_gv"), F.sort_array(F.collect_set("cluster")).alias("_cv"))
     total = F.aggregate("_g", F.lit(0.0), lambda acc, e: acc + e["v"])
     shares = F.map_from_entries(F.transform("_g", lambda e: F.struct(e["k"], (e["v"] / F.col("_n")).alias("v"))))
     return with_scalars(per.withColumn("_n", total), vocab).select(

@@ -142,6 +142,25 @@ def anti(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return df.join(keys, on, "left_anti")
 
 
+#: Rows of one key on the right side of a ``split_join`` above which the key is cut into parts.
+HEAVY = 100_000
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, spread: str, limit: int | None = None) -> DataFrame:
+    """Inner equi-join on ``key`` in which no task holds a whole heavy key: rows of ``right`` are dealt over parts of
+    about ``limit`` rows by the hash of ``spread``, and rows of ``left`` are copied once a part. ``right`` is read twice,
+    so pass a written table. At most one key in ``limit`` rows is heavy."""
+    limit = HEAVY if limit is None else limit
+    heavy = right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    heavy = heavy.select(F.col(key).alias("_key"), F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
+    if heavy.isEmpty():
+        return left.join(right, key)
+    heavy, parts = cut_lineage(heavy), F.coalesce("_parts", F.lit(1))
+    copied = left.join(heavy, left[key] == heavy["_key"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = right.join(heavy, right[key] == heavy["_key"], "left").withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int"))
+    return copied.drop("_key", "_parts").join(dealt.drop("_key", "_parts"), [key, "_part"]).drop("_part")
+
+
 def left_fill(left: DataFrame, right: DataFrame, on: str | list[str], fill: dict) -> DataFrame:
     """Left outer join then zero-fill the right-hand columns."""
     return left.join(right, on, "left").na.fill(fill)

@@ -21,6 +21,7 @@ from marquee.operators.relational import (
     interaction_matrix,
     popularity,
     running_total,
+    split_join,
     scalar_quantile,
     top_k_per_group,
     with_scalars,
@@ -140,38 +141,39 @@ def user_dot(peers: DataFrame, matrix: DataFrame, mine: DataFrame | None = None)
     """dot(u, v) = sum_i r_ui r_vi for every requested u and every co-rater v."""
     mine = _peer_rows(peers, matrix) if mine is None else mine
     other = matrix.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
-    return mine.join(other, "movieId").groupBy("peer_id", "v").agg(F.sum(F.col("r_u") * F.col("r_v")).alias("dot"))
+    return split_join(mine, other, "movieId", "v").groupBy("peer_id", "v").agg(F.sum(F.col("r_u") * F.col("r_v")).alias("dot"))
 
 
 def co_rating_scores(peers: DataFrame, ratings: DataFrame, top_n: int = 100) -> DataFrame:
     """For each peer u, unrated items j scored by sum_v dot(u, v) * r_vj; top n (ties: id).
 
-    Items no co-rater reached score 0; they fill the list in id order when fewer than n
-    items are reached. The matrix is read by three branches only (the peers' rows, the full
-    matrix for both joins, the item dictionary); everything else derives from those."""
-    m = interaction_matrix(ratings)
+    Items no co-rater reached score 0; they fill the list in id order when fewer than n items are reached.
+    The matrix is written once and read by all branches. It is multiplied in two keyed joins whose heavy items and
+    heavy co-raters are cut into parts, with partial sums; only lists of n leave the product, and only peers whose
+    lists are short are joined with the item dictionary."""
+    m = cut_lineage(interaction_matrix(ratings))
     mine = _peer_rows(peers, m)
     d = user_dot(peers, m, mine)
     other = m.select(F.col("userId").alias("v"), "movieId", F.col("rating").alias("r_v"))
     rated = mine.select("peer_id", "movieId")
-    scored = d.join(other, "v").groupBy("peer_id", "movieId").agg(F.sum(F.col("dot") * F.col("r_v")).alias("score"))
+    scored = split_join(d, other, "v", "movieId").groupBy("peer_id", "movieId").agg(F.sum(F.col("dot") * F.col("r_v")).alias("score"))
     scored = scored.join(rated, ["peer_id", "movieId"], "left_anti")
-
-    # zero-score fill for peers that reach fewer than top_n unrated items: the smallest
-    # unreached ids, taken from the head of the item dictionary (per-peer slot count, no scalar)
-    items = dense_index(m.select("movieId"), "movieId", "idx")
-    per_peer = peers.select("peer_id").distinct().join(
-        rated.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_rated")), "peer_id", "left").join(
-        scored.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored")), "peer_id", "left").na.fill(
-        {"n_rated": 0, "n_scored": 0})
-    short = per_peer.where(F.col("n_scored") < top_n).select(
-        "peer_id", F.explode(F.sequence(F.lit(0), (F.col("n_rated") + F.col("n_scored") + top_n - 1).cast("bigint")))
-        .alias("idx"))
-    fill = short.join(items, "idx").select("peer_id", "movieId").join(rated, ["peer_id", "movieId"], "left_anti") \
-        .withColumn("score", F.lit(0.0))
-    # a reached item can also sit in the fill slots: keep its real score (max) once
-    cand = scored.unionByName(fill).groupBy("peer_id", "movieId").agg(F.max("score").alias("score"))
-    return top_k_per_group(cand, ["peer_id"], [F.col("score").desc(), F.col("movieId").asc()], top_n, "item_rank")
+    order = [F.col("score").desc(), F.col("movieId").asc()]
+    top = cut_lineage(top_k_per_group(scored, ["peer_id"], order, top_n, "item_rank"))
+
+    # zero-score fill: a short list holds all that its peer reaches; the smallest other ids follow
+    lengths = top.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_scored")).where(F.col("n_scored") >= top_n)
+    short = peers.select("peer_id").distinct().join(lengths, "peer_id", "left_anti")
+    if short.isEmpty():
+        return top
+    found = top.join(short, "peer_id", "left_semi").drop("item_rank")
+    taken = found.select("peer_id", "movieId").unionByName(rated.join(short, "peer_id", "left_semi")).distinct()
+    slots = short.join(taken.groupBy("peer_id").agg(F.count(F.lit(1)).alias("n_taken")), "peer_id", "left").select(
+        "peer_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("n_taken", F.lit(0)) + top_n - 1)).alias("idx"))
+    fill = slots.join(dense_index(m.select("movieId"), "movieId", "idx"), "idx").select("peer_id", "movieId")
+    fill = fill.join(taken, ["peer_id", "movieId"], "left_anti").withColumn("score", F.lit(0.0))
+    filled = top_k_per_group(found.unionByName(fill), ["peer_id"], order, top_n, "item_rank")
+    return top.join(short, "peer_id", "left_anti").unionByName(filled)
 
 
 def user_ensemble(requests: DataFrame, user_vectors: DataFrame, ratings: DataFrame, movies: DataFrame, *,
