@@ -27,11 +27,11 @@ def user_segment_matrix(ratings: DataFrame, movies: DataFrame, item_clusters: Da
     """Per user [genre shares | mean positive rating per item cluster | positive count], 0-filled.
 
     userId, genre_share array<double> (sorted genres), cluster_rating array<double>
-    (sorted cluster ids), positive_count bigint. The facts are written once, counted by (user, genre) and by
-    (user, cluster); these two small tables are written, and grouped once by user."""
+    (sorted cluster ids), positive_count bigint. The facts are counted by (user, genre) and by (user, cluster);
+    these two small tables are written, and grouped once by user."""
     pos = ratings.where(F.col("rating") > threshold).select("userId", "movieId", "rating")
     pos = pos.join(movies.select("movieId", genre_tokens("genres").alias("_g")), "movieId", "left")
-    pos = cut_lineage(pos.join(item_clusters.select("movieId", F.col("cluster").cast("int").alias("cluster")), "movieId", "left").drop("movieId"))
+    pos = pos.join(item_clusters.select("movieId", F.col("cluster").cast("int").alias("cluster")), "movieId", "left").drop("movieId")
     nothing = {k: F.lit(None).cast(t) for k, t in (("genre", "string"), ("cluster", "int"), ("r", "double"))}
     genres = pos.select("userId", F.explode("_g").alias("genre")).groupBy("userId", "genre").agg(F.count(F.lit(1)).alias("n"))
     genres = genres.select("userId", F.lit(True).alias("is_genre"), "genre", nothing["cluster"].alias("cluster"), "n", nothing["r"].alias("r"))
