@@ -25,11 +25,10 @@ b AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words END AS symbols,
          CASE WHEN n_words > 0 THEN 1000 * n_dup_lines // n_words END AS dup_lines,
-         CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words END AS repeats,
          CASE WHEN n_words > 0 THEN 100 * word_chars // n_words END AS word_length
   FROM m),
-v AS (UNPIVOT (SELECT lang, source, symbols, dup_lines, repeats, word_length FROM b WHERE NOT base_failed)
-      ON symbols, dup_lines, repeats, word_length INTO NAME measure VALUE x),
+v AS (UNPIVOT (SELECT lang, source, symbols, dup_lines, word_length FROM b WHERE NOT base_failed)
+      ON symbols, dup_lines, word_length INTO NAME measure VALUE x),
 s AS (SELECT lang, source, measure, CASE WHEN x <= 10000 THEN x
              ELSE floor(10000 * pow(1.02::DOUBLE, floor(ln(x / 10000.0::DOUBLE) / ln(1.02::DOUBLE))))::BIGINT END AS bin FROM v),
 levels AS (
@@ -41,21 +40,21 @@ q AS (
   FROM levels GROUP BY level, lang, source, measure),
 f AS (
   SELECT level, lang, source, measure, total,
-         q1 - greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 60 ELSE 100 END,
+         q1 - greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 ELSE 100 END,
                   CASE WHEN q3 > 10000 THEN ceil(q3 * (1.02::DOUBLE - 1)) + 2 ELSE 0 END) AS low,
-         q3 + greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 WHEN 'repeats' THEN 60 ELSE 100 END,
+         q3 + greatest(3 * (q3 - q1), CASE measure WHEN 'word_length' THEN 300 ELSE 100 END,
                   CASE WHEN q3 > 10000 THEN ceil(q3 * (1.02::DOUBLE - 1)) + 2 ELSE 0 END) AS high
   FROM q),
 p AS (
   SELECT level, lang, source, max(total) AS total, max(high) FILTER (measure = 'symbols') AS symbols_high,
-         max(high) FILTER (measure = 'dup_lines') AS dup_lines_high, max(high) FILTER (measure = 'repeats') AS repeats_high,
+         max(high) FILTER (measure = 'dup_lines') AS dup_lines_high,
          max(low) FILTER (measure = 'word_length') AS word_length_low, max(high) FILTER (measure = 'word_length') AS word_length_high
   FROM f GROUP BY level, lang, source),
 c AS (
   SELECT b.*, row_number() OVER (PARTITION BY b.r ORDER BY p.level DESC) AS choice, p.* EXCLUDE (lang, source)
   FROM b LEFT JOIN p ON (p.level = 0 OR p.lang = b.lang) AND (p.level < 2 OR p.source = b.source) AND (p.level = 0 OR p.total >= 200))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       CASE WHEN base_failed THEN false ELSE symbols <= symbols_high AND dup_lines <= dup_lines_high AND repeats <= repeats_high
+       CASE WHEN base_failed THEN false ELSE symbols <= symbols_high AND dup_lines <= dup_lines_high
             AND word_length BETWEEN word_length_low AND word_length_high END AS kept
 FROM c WHERE choice = 1
 """

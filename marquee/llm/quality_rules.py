@@ -1,6 +1,7 @@
 """Quality rules whose thresholds follow each language and source (operator 4).
 
-Every document gets word, symbol and repetition measures. The measures of the documents that
+Every document gets word, symbol and repetition measures. Repeated words have the base rule alone: a fence
+below it rejects clean documents and no more bad ones (README). The measures of the documents that
 pass the base rules are counted into bins per (lang, source): a quantile sketch that merges by adding
 counts. Up to ``EXACT`` a bin is one wide, above that ``RATIO`` times the one below, so their number is
 bounded by the logarithm of the values. Quartiles of the merged sketches give fences
@@ -33,7 +34,7 @@ SYMBOLS = b"#*$%&|<>"
 #: Fences: interquartile ranges beyond the quartile, and documents that a group needs for its own.
 FENCE, SUPPORT = 3, 200
 #: Least distance of the fence from the quartile, in bins (thousandths a word; hundredths of a code point).
-SPREAD = {"symbols": 100, "dup_lines": 100, "repeats": 60, "word_length": 300}
+SPREAD = {"symbols": 100, "dup_lines": 100, "word_length": 300}
 #: Values up to this one have bins of their own; those above are counted in bins that grow by a ratio.
 EXACT, RATIO = 10_000, 1.02
 MEASURES = list(SPREAD)
@@ -111,7 +112,6 @@ def _values() -> dict:
     return {
         "symbols": F.expr("1000 * n_symbols div n_words"),
         "dup_lines": F.expr("1000 * n_dup_lines div n_words"),
-        "repeats": F.expr("1000 * n_repeat_words div n_words"),
         "word_length": F.expr("100 * word_chars div n_words"),
     }
 
@@ -175,7 +175,7 @@ def fences(sketch: DataFrame) -> DataFrame:
 def _verdict():
     values = _values()
     inside = ~_base_failed()
-    for m in ("symbols", "dup_lines", "repeats"):
+    for m in ("symbols", "dup_lines"):
         inside &= values[m] <= F.col(f"{m}_high")
     return inside & values["word_length"].between(F.col("word_length_low"), F.col("word_length_high"))
 
