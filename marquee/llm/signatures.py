@@ -47,6 +47,8 @@ COORDINATES, LOSS = 128, 1e-8
 #: Pairs of one class above which they are salted; frequent coordinate-value pairs that are sent to the tasks.
 HOT, COMMON, OFTEN, COUNT_BLOCK = 100_000, 1 << 17, 3, 1 << 20
 PARITIES = 512
+#: Bits of the largest filter that is sent to the tasks (8 MB), and probes of a key.
+FILTER_BITS, PROBES = 1 << 26, 4
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64)).reshape(2, -1) | np.uint64(1)
 #: Four bits of each coordinate, in so many longs.
 _BITS = [f"bits{i}" for i in range(COORDINATES // 16)]
@@ -220,21 +222,38 @@ class SignatureJoin:
         pairs = pairs.where((F.col("x_label") != F.col("y_label")) & once & self._collide("x_", "y_"))
         return pairs.select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
 
+    def _filter(self, keys: DataFrame) -> np.ndarray:
+        """A Bloom filter of ``keys`` (key: long), as 64-bit words; its size follows their number up to FILTER_BITS."""
+        size = min(1 << max(16 * keys.count(), 64).bit_length(), FILTER_BITS)
+        step = F.shiftrightunsigned("key", 32).bitwiseOR(F.lit(1))
+        probes = [(F.col("key").bitwiseAND(F.lit((1 << 32) - 1)) + step * i).bitwiseAND(F.lit(size - 1)) for i in range(PROBES)]
+        each = keys.select(F.explode(F.array(*probes)).alias("at"))
+        bit = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
+        filled = each.groupBy(F.shiftrightunsigned("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()  # at most size / 64
+        words = np.zeros(size // 64, np.int64)
+        words[filled["word"].to_numpy()] = filled["bits"].to_numpy()
+        return words.view(np.uint64)
+
     def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        """class and n-grams (sorted 64-bit hashes) of each class in ``pairs``; written."""
-        n = self.n
+        """class and n-grams (sorted 64-bit hashes) of each class in ``pairs``; written.
+
+        One row of each class is read. A Bloom filter of these rows of bounded size goes to the tasks, so the texts of
+        other rows aren't shuffled; what it lets through wrongly is joined away.
+        """
+        n, row = self.n, F.xxhash64("doc_id", "hash").alias("key")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        ids = self.classes.join(wanted, "class", "left_semi").select("class", F.col("first.doc_id").alias("id"), F.col("first.hash").alias("row_hash"))
-        ids = written(ids, "wanted")
-        texts = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["id"]) & (self.docs["hash"] == ids["row_hash"])).select("class", "text")
+        ids = written(self.classes.join(wanted, "class", "left_semi").select("class", "first.*").select("class", row), "wanted")
+        sent = self.docs.sparkSession.sparkContext.broadcast(self._filter(ids))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_slices(batches, "text"):
+            for batch in text_slices((b.filter(pa.array(_held(sent.value, b["key"]))) for b in batches), "text"):
                 gram, bounds = shingle_sets(batch["text"], n)
                 names, ends = gram.astype("<u8").tobytes(), (8 * bounds).tolist()
-                yield pa.RecordBatch.from_arrays([batch["class"], pa.array([names[a:b] for a, b in zip(ends, ends[1:])], pa.binary())], names=["class", "grams"])
+                each = pa.array([names[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(set_hashes(gram, bounds)), each], names=["class", "grams"])
 
-        return written(texts.mapInArrow(run, "class long, grams binary").dropDuplicates(["class"]), "sets")
+        sets = self.docs.select(row, "text").mapInArrow(run, "class long, grams binary").dropDuplicates(["class"])
+        return written(sets.join(ids.select("class"), "class", "left_semi"), "sets")
 
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole overlap reaches the bound; written."""
@@ -276,6 +295,16 @@ def _names(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.split(np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, COORDINATES + len(_ODD)), [COORDINATES], axis=1)
 
 
+def _held(words: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Which keys may be in the filter that ``words`` are; none that are in it is missing."""
+    key = column.to_numpy(zero_copy_only=False).view(np.uint64)
+    at, step, may = key & np.uint64((1 << 32) - 1), (key >> np.uint64(32)) | np.uint64(1), np.ones(len(key), bool)
+    for i in range(PROBES):
+        place = (at + step * np.uint64(i)) & np.uint64(64 * len(words) - 1)
+        may &= (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return may
+
+
 def _ended(batches: Iterator) -> Iterator:
     """The batches, then None."""
     yield from batches

@@ -37,9 +37,10 @@ def slow(rows, n=5, percent=85):
     return Counter((d, len(sets[i]), component[i], d == component[i]) for i, (d, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("hot", [100_000, 3])
-def test_components_against_all_pairs(spark, hot, monkeypatch):
+@pytest.mark.parametrize("hot, filter_bits", [(100_000, 1 << 26), (3, 64)])
+def test_components_against_all_pairs(spark, hot, filter_bits, monkeypatch):
     monkeypatch.setattr(signatures, "HOT", hot)  # 3: most classes with pairs are salted
+    monkeypatch.setattr(signatures, "FILTER_BITS", filter_bits)  # 64: the filter lets nearly every row through
     rows = planted(4, base_size=120, copies=50)
     docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, n int, class string, kept int").repartition(4)
     expected = slow(rows)
@@ -84,3 +85,22 @@ def test_parities_differ_in_no_more_bins_than_sets_have_own_members():
         for j in range(4):
             apart = len(sets[i] ^ sets[j])
             assert apart // 2 <= (odd[i] != odd[j]).sum() <= apart or apart > 100
+
+
+def test_sets_are_read_for_the_classes_of_pairs_alone(spark):
+    rows = planted(4, base_size=120, copies=20)
+    join = SignatureJoin(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    some = [r["class"] for r in join.classes.orderBy("class").limit(6).collect()]
+    pairs = spark.createDataFrame(list(zip(some[::2], some[1::2])), "a long, b long")
+    sizes = {r["class"]: r["n_shingles"] for r in join.rows.collect()}
+    assert {r["class"]: len(r["grams"]) // 8 for r in join._sets_of(pairs).collect()} == {c: sizes[c] for c in some}
+    assert join._sets_of(pairs.limit(0)).collect() == []
+
+
+def test_filter_holds_its_keys_and_few_others(spark):
+    keys = spark.range(3000).selectExpr("xxhash64(id) AS key")
+    words = SignatureJoin._filter(None, keys)
+    others = spark.range(3000, 9000).selectExpr("xxhash64(id) AS key")
+    held, wrong = (signatures._held(words, t.toArrow()["key"].combine_chunks()) for t in (keys, others))
+    assert held.all() and wrong.mean() < 0.02
+    assert not signatures._held(SignatureJoin._filter(None, keys.limit(0)), keys.toArrow()["key"].combine_chunks()).any()
