@@ -578,7 +578,8 @@ SELECT movieId, round(rating_count / (rating_count + m) * ave_rating + m / (rati
 def weighted_rating(spark, sf_dir):
     """F10 with m = q0.60 of votes and C = mean rating."""
     pop = Rel.popularity(fx.ratings(spark, sf_dir))
-    s = pop.agg(F.avg("ave_rating").alias("_C"), F.percentile(F.col("rating_count").cast("double"), F.lit(0.6)).alias("_m"))
+    m = Rel.scalar_quantile(pop, "rating_count", 0.6, "_m")
+    s = Rel.with_scalars(pop.agg(F.avg("ave_rating").alias("_C")), m)
     return Rel.with_scalars(pop, s).select(
         "movieId", F.round(C.weighted_rating("rating_count", "ave_rating", "_m", "_C"), 6).alias("weighted_rating"))
 
@@ -591,7 +592,7 @@ SELECT movieId, round(rating_count / (rating_count + m) * ave_rating, 6) AS shru
 def shrunk_rating(spark, sf_dir):
     """F10b with m = median votes."""
     pop = Rel.popularity(fx.ratings(spark, sf_dir))
-    s = pop.agg(F.median(F.col("rating_count").cast("double")).alias("_m"))
+    s = Rel.scalar_quantile(pop, "rating_count", 0.5, "_m")
     return Rel.with_scalars(pop, s).select(
         "movieId", F.round(C.shrunk_rating("rating_count", "ave_rating", "_m"), 6).alias("shrunk_rating"))
 
