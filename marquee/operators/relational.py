@@ -50,6 +50,21 @@ def scalar_quantile(df: DataFrame, c: str, p: float, name: str) -> DataFrame:
     return at.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias(name))
 
 
+def group_quantile(df: DataFrame, keys: Sequence[str], c: str, p: float, name: str) -> DataFrame:
+    """A3 per group: the exact quantile (linear interpolation) of every ``keys`` group as (*keys, name).
+
+    Distinct values of a group are counted, range-partitioned on (keys, value) and totalled over the ranges, so no task
+    holds a group, however large; a group leaves two order statistics. Null values and rows with a null key are left out."""
+    values = df.select(*keys, F.col(c).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(counts, [F.col("_v").asc()], "_n", "_upto", keys, total="_all")
+    pos = (F.col("_all") - 1) * F.lit(float(p))
+    at = upto.groupBy(*keys).agg(F.min(F.when(F.col("_upto") > F.floor(pos), F.col("_v"))).alias("_lo"),
+                                 F.min(F.when(F.col("_upto") > F.ceil(pos), F.col("_v"))).alias("_hi"),
+                                 F.max(pos - F.floor(pos)).alias("_f"))
+    return at.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias(name))
+
+
 def interaction_matrix(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
     """Long sparse matrix with duplicate (user, item) cells summed."""
     return ratings.groupBy(user, item).agg(F.sum("rating").alias("rating"))
@@ -96,8 +111,9 @@ def keep_last(df: DataFrame, key: str, seq: str) -> DataFrame:
 
 
 def running_total(df: DataFrame, order: Sequence[Column], amount: str | None, name: str,
-                  keys: Sequence[str] = ()) -> DataFrame:
-    """Inclusive running total of ``amount`` (None: row count) in ``order``, within each key group.
+                  keys: Sequence[str] = (), total: str | None = None) -> DataFrame:
+    """Inclusive running total of ``amount`` (None: row count) in ``order``, within each key group; with ``total``
+    also the group's whole sum on every row.
 
     The rows are range-partitioned on (keys, order) and written once; totals per (range, key) then
     give each range its offset. No task holds more than a range, however large a key group is, and
@@ -108,7 +124,8 @@ def running_total(df: DataFrame, order: Sequence[Column], amount: str | None, na
     one = F.lit(1) if amount is None else F.col(amount)
     part = fixed.groupBy(*keys, "_part").agg(F.sum(one).alias("_sum"), F.min("_at").alias("_first"))
     w = Window.partitionBy(*keys).orderBy("_part") if keys else Window.orderBy("_part")  # one row per range and key
-    offset = part.select(*keys, "_part", "_first", (F.sum("_sum").over(w) - F.col("_sum")).alias("_before"))
+    offset = part.select(*keys, "_part", "_first", (F.sum("_sum").over(w) - F.col("_sum")).alias("_before"),
+                         *([F.sum("_sum").over(Window.partitionBy(*keys)).alias(total)] if total else []))
     joined = fixed.join(offset, [*keys, "_part"])
     if amount is None:
         inside = F.col("_at") - F.col("_first") + 1

@@ -18,6 +18,7 @@ from marquee.functions.columns import cosine, norm, shrunk_rating, weighted_rati
 from marquee.operators.neighbours import best, cells, cosine_matrix
 from marquee.operators.relational import (
     dense_index,
+    group_quantile,
     interaction_matrix,
     popularity,
     running_total,
@@ -210,11 +211,12 @@ def segment_recommend(requests: DataFrame, user_clusters: DataFrame, ratings: Da
     """Per user segment: stats of the members' ratings, m = median votes, v/(v+m)*R, top n.
 
     The list depends only on the segment, so it is computed once per segment and joined to
-    the requested users (unknown users drop out; see ``unknown_users``)."""
+    the requested users (unknown users drop out; see ``unknown_users``). The stats are written once;
+    medians are order statistics over ranges, so no task holds a segment."""
     r = ratings.join(user_clusters.select(F.col("user_id").alias("userId"), "cluster"), "userId")
-    stats = r.groupBy("cluster", "movieId").agg(F.avg("rating").alias("avg_rating"),
-                                                F.count("rating").alias("rating_count"))
-    med = stats.groupBy("cluster").agg(F.median(F.col("rating_count").cast("double")).alias("_m"))
+    stats = cut_lineage(r.groupBy("cluster", "movieId").agg(F.avg("rating").alias("avg_rating"),
+                                                            F.count("rating").alias("rating_count")))
+    med = group_quantile(stats, ["cluster"], "rating_count", 0.5, "_m")
     scored = stats.join(F.broadcast(med), "cluster").withColumn(
         "weighted_rating", F.round(shrunk_rating("rating_count", "avg_rating", "_m"), SCORE_DIGITS))
     top = top_k_per_group(scored, ["cluster"], [F.col("weighted_rating").desc(), F.col("movieId").asc()], top_n)
