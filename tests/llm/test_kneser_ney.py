@@ -113,3 +113,12 @@ def test_short_bad_texts_are_rejected(spark):
     docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi").selectExpr("*", "'en' AS lang")
     judged = kn.classify(docs, labels).join(labels, "doc_id").where("length <= 100 AND quality = 0").collect()
     assert len(judged) == 12 and sum(not r["kept"] for r in judged) > 3
+
+
+def test_model_is_of_every_trusted_document(spark):
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    trusted = spark.range(31_000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    fitted = kn.training_texts(trusted, labels)
+    held = kn._trusted(labels).where("held").count()
+    assert kn.trusted_ids(labels).count() == fitted.count() == 30_000 - held > 20_000
+    assert fitted.where("doc_id >= 30000 OR text <> concat('t', doc_id)").count() == 0
