@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from marquee.operators.neighbours import knn_scan
+from marquee.operators import pivots
 from marquee.operators.pivots import PivotSearch, knn_pivots
 
 
@@ -50,3 +51,22 @@ def test_pairs_scored_are_sub_quadratic_on_clusters(spark):
         assert row["requests"] == row["candidates"] == n
         shares.append(row["pairs_scored"] / n**2)
     assert shares[0] < 0.5 and shares[1] < shares[0] / 1.5, shares
+
+
+@pytest.mark.parametrize("wide", [50, 100_000])
+def test_requests_are_copied_once_a_block(spark, wide, monkeypatch):
+    """Vectors in no clusters: no cell can be ruled out, yet a request goes once to each block, whole or cut."""
+    monkeypatch.setattr(pivots, "WIDE", wide)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=32)) for i in range(200)] + [(200 + i, np.eye(32)[0] + 1e-3 * rng.normal(size=32)) for i in range(150)]
+    vectors = _vectors(spark, rows)
+    requests = vectors.selectExpr("id", "id AS request_id")
+    search = PivotSearch(requests, vectors, vectors, 5)
+    assert _rows(search.result) == _rows(knn_scan(requests, vectors, vectors, 5))
+    sent, cells = search._away(False).selectExpr("count(*)", "sum(size(cells))").first()
+    blocks = len(np.unique(search.cells.block))
+    assert sent <= 350 * blocks and cells > 3 * 350
+    if wide == 50:
+        assert search.cells.parts.max() > 1 and blocks > 1
+    else:
+        assert blocks == 1 and sent <= 350
