@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from marquee.operators.neighbours import knn_scan
+from marquee.operators import neighbours
+from marquee.operators.neighbours import knn_lsh, knn_scan
 from marquee.operators import pivots
 from marquee.operators.pivots import PivotSearch, knn_pivots
 
@@ -70,3 +71,23 @@ def test_requests_are_copied_once_a_block(spark, wide, monkeypatch):
         assert search.cells.parts.max() > 1 and blocks > 1
     else:
         assert blocks == 1 and sent <= 350
+
+
+def test_lsh_pairs_are_those_of_the_similarity_join(spark, monkeypatch):
+    """Equal to approxSimilarityJoin, without its join of vectors by bucket: zero vectors, copies and repeated rows too."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(neighbours, "LSH_ROWS", 40)
+    rows = _clustered(4, 150, groups=20, spread=0.3)
+    rows += [(500 + i, rows[i][1]) for i in range(10)] + rows[:5] + [(700, [0.0] * 8), (701, [0.0] * 8), (3, rows[9][1])]
+    vectors = _vectors(spark, rows).select("id", "vec")
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    unit = vectors.select("id", array_to_vector(F.when(norm == 0, F.col("vec")).otherwise(F.transform("vec", lambda x: x / norm))).alias("f"))
+    model = BucketedRandomProjectionLSH(inputCol="f", outputCol="hashes", bucketLength=0.5, numHashTables=4, seed=42).fit(unit)
+    joined = model.approxSimilarityJoin(unit, unit, 1.4**0.5, "d").where("datasetA.id <> datasetB.id")
+    expected = sorted((r[0], r[1], r[2]) for r in joined.selectExpr("datasetA.id", "datasetB.id", "round(1 - d * d / 2, 6)").collect())
+    found = knn_lsh(vectors, vectors, 0.3)
+    assert sorted(tuple(r) for r in found.collect()) == expected and len(expected) > 500
+    assert "datasetA" not in found._jdf.queryExecution().executedPlan().toString()  # no rows with both vectors
