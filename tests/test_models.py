@@ -140,3 +140,22 @@ def test_knn_lsh_recall(spark, entry):
     recall = len(exact & found) / len(exact)
     print(f"knn_lsh: {len(exact & found)} of {len(exact)} pairs, recall {recall:.4f}")
     assert recall >= 0.9
+
+
+def test_fewer_item_blocks_give_the_same_als_model(spark, monkeypatch):
+    """The random start depends on the blocks of users alone, so a model of fewer item blocks is that of Spark's ten."""
+    from marquee.operators import models as M
+
+    rng = np.random.default_rng(5)
+    rows = [(int(u), int(i), float(r)) for u in range(40) for i, r in zip(rng.choice(30, 12, replace=False), rng.integers(1, 11, 12) / 2)]
+    ratings = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    assert M.USER_BLOCKS == 10 and M.ITEM_BLOCKS < 10
+    for implicit in (False, True):
+        found = []
+        for blocks in (M.ITEM_BLOCKS, 10):
+            monkeypatch.setattr(M, "ITEM_BLOCKS", blocks)
+            model = M.als_fit(ratings, 4, 0.1, 5, implicit)
+            monkeypatch.undo()
+            found.append({(w, r["id"]): r["vec"] for w in ("user", "item") for r in M.factors(model, w).collect()})
+        assert found[0].keys() == found[1].keys()
+        assert all(np.allclose(found[0][x], found[1][x], atol=1e-3) for x in found[0])
