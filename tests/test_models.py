@@ -159,3 +159,21 @@ def test_fewer_item_blocks_give_the_same_als_model(spark, monkeypatch):
             found.append({(w, r["id"]): r["vec"] for w in ("user", "item") for r in M.factors(model, w).collect()})
         assert found[0].keys() == found[1].keys()
         assert all(np.allclose(found[0][x], found[1][x], atol=1e-3) for x in found[0])
+
+
+def test_ratings_are_derived_once_for_all_fits_of_a_report(spark):
+    """What the fits and scores of the validation read is written: no scan of the tables, no join."""
+    from marquee.plans import model_queries as Q
+
+    seen = []
+
+    def fit(df, reg):
+        seen.append(df)
+        return lambda x: seen.append(x) or x.withColumn("prediction", F.lit(reg))
+
+    train, test = Q._split_ratings(spark, SF_SMALL)
+    Q._validated(train.join(test.select("userId").distinct(), "userId", "left_semi"), fit, (0.0, 1.0))
+    assert len(seen) == 5
+    for df in [train, test, *seen]:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan and "Join" not in plan
