@@ -121,3 +121,15 @@ def test_arriving_items_against_user_factors(spark):
     swapped = spark.createDataFrame([(m, u, r) for u, m, r in rows], SCHEMA)
     counts = {500 + k: sum(r[1] == 500 + k for r in rows) for k in range(3)}
     _assert_same(table, _batch(swapped, factors, cents), counts)
+
+
+def test_sums_of_hot_users_are_bytes():
+    import numpy as np
+    import pandas as pd
+
+    from marquee.streaming import fold_in_stream as Fold
+
+    f, r = np.arange(12.0).reshape(6, 2), np.arange(6.0)
+    out = list(Fold._collapse(iter([pd.DataFrame({"id": [1] * 6, "f": list(f), "rating": r})])))
+    assert len(out) == 1 and isinstance(out[0]["sums"][0], bytes)
+    assert np.array_equal(np.frombuffer(out[0]["sums"][0]), Fold._sums(f, r))
