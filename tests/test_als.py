@@ -70,3 +70,31 @@ def test_lists_and_predictions_against_all_scores(spark, monkeypatch):
     rows = spark.createDataFrame([(one, other), (one, -1), (-1, other)], "userId long, movieId long")
     p = {(r["userId"], r["movieId"]): r["prediction"] for r in model.predict(rows).collect()}
     assert abs(p[(one, other)] - float(u[one] @ i[other])) < 1e-5 and p[(one, -1)] is None and p[(-1, other)] is None
+
+
+def test_the_start_takes_one_rating_of_a_user_and_files_hold_whole_codes(spark, monkeypatch):
+    """Spark's ALS gets a row a user, not all ratings; a code's rows stay in one file and may span batches."""
+    from pyspark.ml.recommendation import ALS
+
+    started, plain = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, df, *a: started.append(df.groupBy("_u").count().collect()) or plain(self, df, *a))
+    monkeypatch.setattr(als, "TASK_ROWS", 50)
+    want = {r["id"]: r["vec"] for r in M.factors(M.als_fit(_ratings(spark), 4, 0.1, 2)).collect()}
+    monkeypatch.setattr(als, "BATCH_ROWS", 7)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "5")
+    try:
+        coded = M.als_ratings(_ratings(spark))
+        for folder, code in ((coded.dealt.by_item, "_i"), (coded.dealt.by_user, "_u")):
+            of = spark.read.parquet(folder).selectExpr(code, "_metadata.file_name AS f").distinct()
+            assert of.select("f").distinct().count() > 1 and of.groupBy(code).count().where("count > 1").isEmpty()
+        found = {r["id"]: r["vec"] for r in M.factors(M.als_fit(coded, 4, 0.1, 2)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert [{r["count"] for r in rows} for rows in started] == [{1}, {1}] and len(started[0]) == 60
+    assert found.keys() == want.keys() and all(np.allclose(found[i], want[i], atol=1e-5) for i in want)
+
+
+def test_null_ratings_are_refused(spark):
+    rows = spark.createDataFrame([(1, 1, 2.0), (1, 2, None)], "userId long, movieId long, rating double")
+    with pytest.raises(Exception, match="null or NaN"):
+        M.als_fit(rows, 2, 0.1, 1)
