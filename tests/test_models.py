@@ -177,3 +177,16 @@ def test_ratings_are_derived_once_for_all_fits_of_a_report(spark):
     for df in [train, test, *seen]:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "FileScan" not in plan and "Join" not in plan
+
+
+def test_fits_on_the_same_rows_share_them_coded(spark, monkeypatch):
+    from marquee.operators import models as M
+    from marquee.plans import model_queries as Q
+
+    coded, plain = [], M.als_ratings
+    monkeypatch.setattr(M, "als_ratings", lambda df, *a: coded.append(df) or plain(df, *a))
+    monkeypatch.setattr(Q, "FACTORS", 3)
+    monkeypatch.setattr(Q, "ITERATIONS", 1)
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(30) for i in range(10)], "userId long, movieId long, rating double")
+    predict = Q._validated(rows, Q._als_predictor(), (0.5, 1.0))
+    assert len(coded) == 2 and predict(rows).where("prediction IS NULL").isEmpty()
