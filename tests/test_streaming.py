@@ -133,3 +133,48 @@ def test_sums_of_hot_users_are_bytes():
     out = list(Fold._collapse(iter([pd.DataFrame({"id": [1] * 6, "f": list(f), "rating": r})])))
     assert len(out) == 1 and isinstance(out[0]["sums"][0], bytes)
     assert np.array_equal(np.frombuffer(out[0]["sums"][0]), Fold._sums(f, r))
+
+
+def test_state_and_shuffle_hold_ratings_where_sums_are_larger(spark):
+    """64 factors make 17 KB of sums; a user with few ratings has 16 bytes for each, and no factors are shuffled."""
+    import numpy as np
+    import pandas as pd
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    rng = np.random.default_rng(4)
+    big = 2**60
+    vecs = {big + i: rng.normal(size=64) for i in range(3000)}
+    side = F._positions(spark.createDataFrame([(i, v.tolist()) for i, v in vecs.items()], "id long, vec array<double>"), 3)
+    rounds = [[(big + 1, 4.0), (big + 2, 1.0), (7, 5.0)], [(big + 2, 2.0), (big + 9, 3.0)]]
+    hot = [[(i, float(i % 9)) for i in list(vecs)[:1500]], [(big + 2999, 1.0)]]
+    for arriving, n in ((rounds, [2, 4]), (hot, [1500, 1501])):
+        state, seen = State(), []
+        for rows, count in zip(arriving, n):
+            pdf = pd.DataFrame({"id": 5, "other": [i for i, _ in rows], "rating": [r for _, r in rows]})
+            chunks = list(F._gathered(side)(iter([pdf])))
+            assert all(list(c.columns) == ["id", "other", "rating", "sums"] for c in chunks)
+            assert sum(len(c) for c in chunks) == (1 if len(rows) > 1000 else len(rows) - (rows[-1][0] == 7))
+            out = list(F._fold(0.1, side)((5,), iter([pd.concat(chunks)]), state))[0]
+            seen += [r for r in rows if r[0] in vecs]
+            v, y = np.array([vecs[i] for i, _ in seen]), np.array([r for _, r in seen])
+            assert out["n_ratings"][0] == count == len(seen)
+            assert np.allclose(out["vec"][0], np.linalg.solve(v.T @ v + 0.1 * len(seen) * np.eye(64), v.T @ y))
+            kept, sums = state.get
+            assert (kept is None) != (sums is None) and len(kept or sums) == min(16 * len(seen), F._sum_bytes(64))
+    side.discard()
+
+
+def test_positions_find_ids_once_for_each(spark):
+    import numpy as np
+
+    rows = [(3, [1.0, 2.0]), (5, [3.0, 4.0]), (5, [5.0, 6.0]), (2**60 + 1, [7.0, 8.0]), (None, [0.0, 0.0])]
+    side = F._positions(spark.createDataFrame(rows, "id long, vec array<double>"), 2)
+    at, f = F.als._Lookup(side).find(np.array([5, 1, 2**60 + 1, 2**60, 3, 5]))
+    assert at.tolist() == [0, 0, 2, 4, 5, 5]
+    assert sorted(f[:2].tolist()) == sorted(f[4:].tolist()) == [[3.0, 4.0], [5.0, 6.0]] and f[2:4].tolist() == [[7.0, 8.0], [1.0, 2.0]]
+    side.discard()
