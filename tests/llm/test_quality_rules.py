@@ -78,3 +78,22 @@ def test_values_have_no_cap(spark):
     assert [kept[r[0]] for r in rows] == verdicts([(r[2], r[3], r[1]) for r in rows])
     assert all(kept[i] for i in range(300)) and kept[1000] and not kept[1001]
     assert all(kept[i] for i in range(2000, 2300)) and not kept[3000]
+
+
+def test_a_text_passes_to_python_once(spark, monkeypatch):
+    """Beside their documents the texts are read inside them: the task gets no second column of texts."""
+    from pyspark.sql import functions as F
+
+    from marquee.llm import quality_rules as Q
+
+    texts = [None, "", "one two\none two\n# three", "x " * 300, "é ü " * 200]
+    docs = spark.createDataFrame([(i, t, "en", None, i * 10) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, other long")
+    monkeypatch.setattr(Q, "SLICE", 100)
+    own = {r.doc_id: tuple(r)[1:] for r in Q.measured(docs.select("doc_id", "text"), ["doc_id"]).collect()}
+    found = Q.measured(docs.select(F.struct("*").alias("document")), ["document"], "document")
+    assert {r.document.doc_id: tuple(r)[1:] for r in found.collect()} == own and own[2] == slow(texts[2])
+    assert {r.document.doc_id: r.document.text for r in found.collect()} == dict(enumerate(texts))
+    seen, plain = [], Q.measured
+    monkeypatch.setattr(Q, "measured", lambda d, *a: seen.append(d.columns) or plain(d, *a))
+    Q.filter_documents(docs)
+    assert [c for c in seen if "document" in c] == [["document", "lang", "source"]]
