@@ -132,6 +132,29 @@ def test_content_neighbours_brute_force(spark, gate, exclude, block, monkeypatch
     assert [(r.movie_id, r.similarity_score, r.weight) for r in got] == expect
 
 
+def test_sums_of_a_cell_are_per_request(monkeypatch):
+    """A seed with NaN spoils its own request only, and a request with more seeds than a chunk is added up whole."""
+    import pandas as pd
+
+    monkeypatch.setattr(N, "_SUM_CHUNK", 3)
+    rng = np.random.default_rng(3)
+    c = rng.normal(size=(12, 4))
+    who = np.array([7, 9, 7, 7, 5, 7, 7, 8, 7])
+    seeds = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8])
+    s = c[seeds].copy()
+    s[7] = np.nan
+    cp = pd.DataFrame({"movie_id": np.arange(12), "c_vec": list(c), "c_nrm": np.linalg.norm(c, axis=1), "c_tokens": [["a"]] * 12})
+    sp = pd.DataFrame({"request_id": who, "seed_id": seeds, "s_vec": list(s), "s_nrm": np.linalg.norm(s, axis=1), "s_tokens": [["a"]] * 9})
+    got = N._sum_kernel(True, False, 12)(None, sp, cp)
+    unit = c / np.linalg.norm(c, axis=1)[:, None]
+    for request in (5, 7, 9):
+        own = seeds[who == request]
+        expect = {m: sum(unit[x] @ unit[m] for x in own if x != m) for m in range(12) if list(own) != [m]}
+        found = got[got.request_id == request].set_index("movie_id").sim_sum.to_dict()
+        assert found.keys() == expect.keys()
+        assert all(abs(found[m] - expect[m]) < 1e-9 for m in expect)
+
+
 def test_content_neighbours_empty_request_keeps_schema(spark):
     vdf = spark.createDataFrame([(1, [1.0], 0)], "id bigint, vec array<double>, cluster int")
     mdf = _movies(spark, [(1, "t", "a")])
