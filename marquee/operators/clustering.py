@@ -7,6 +7,8 @@ Centroid tables hold k rows of d values (bounded by k x d) and are broadcast.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -60,7 +62,12 @@ def davies_bouldin(df: DataFrame, label: str = "cluster", vec: str = "vec", by=(
     c = centroids(df, label, vec, by)
     j = _attach(df, c.select(*keys, "centroid"), keys)
     s = j.groupBy(*keys).agg(F.avg(F.sqrt(sq_dist(F.col(vec), F.col("centroid")))).alias("s"))
-    cs = c.join(s, keys).select(*by, F.col(label).alias("i"), F.col("centroid").alias("ci"), F.col("s").alias("si"))
+    return _separation(c.join(s, keys), by, label)
+
+
+def _separation(clusters: DataFrame, by, label: str = "cluster") -> DataFrame:
+    """A19 of the clusters' centroids and mean distances ``s``."""
+    cs = clusters.select(*by, F.col(label).alias("i"), F.col("centroid").alias("ci"), F.col("s").alias("si"))
     other = cs.select(*by, F.col("i").alias("j"), F.col("ci").alias("cj"), F.col("si").alias("sj"))
     pairs = _attach(cs, other, by).where(F.col("i") != F.col("j"))  # k x k per group, bounded by k
     r = pairs.select(*by, "i", ((F.col("si") + F.col("sj")) / F.sqrt(sq_dist(F.col("ci"), F.col("cj")))).alias("r"))
@@ -78,8 +85,11 @@ def calinski_harabasz(df: DataFrame, label: str = "cluster", vec: str = "vec", b
     b = _attach(c, allc, by).groupBy(*by).agg(
         F.sum(F.col("n") * sq_dist(F.col("centroid"), F.col("g"))).alias("B"), F.count(F.lit(1)).alias("k_"))
     out = w.join(b, list(by)) if by else w.crossJoin(b)
-    return out.select(*by, F.round((F.col("B") / (F.col("k_") - 1)) / (F.col("W") / (F.col("n") - F.col("k_"))),
-                                   DIGITS).alias("calinski_harabasz"))
+    return out.select(*by, _ratio().alias("calinski_harabasz"))
+
+
+def _ratio():
+    return F.round((F.col("B") / (F.col("k_") - 1)) / (F.col("W") / (F.col("n") - F.col("k_"))), DIGITS)
 
 
 def hash_sample(df: DataFrame, size: int, key: str = "id", salt: str = ":sample") -> DataFrame:
@@ -149,31 +159,108 @@ def model_centroids(model, spark) -> DataFrame:
 
 
 def sweep_assignments(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
-    """(id, vec, k, cluster): the rows labelled by one KMeans fit per k, written to the shared folder."""
+    """(id, vec, labels): the rows with their label in each of the fits, one KMeans per k, written to the shared folder.
+    All fits label a row in one pass."""
+    from pyspark.ml import PipelineModel
+
     base = df.select("id", vec).persist()
     try:
-        assigned = None
+        models = []
         for k in ks:
-            _, a = kmeans_fit(base, k, seed, vec)
-            a = a.withColumn("k", F.lit(int(k)))
-            assigned = a if assigned is None else assigned.unionByName(a)
-        return cut_lineage(base.join(assigned, "id"))
+            model, _ = kmeans_fit(base, k, seed, vec)
+            models.append(model.setPredictionCol(f"_k{k}"))
+        rows = base.select("id", array_to_vector(vec).alias("features"))
+        labels = PipelineModel(models).transform(rows).select("id", F.array(*[f"_k{k}" for k in ks]).alias("labels"))
+        return cut_lineage(base.join(labels, "id"))
     finally:
         base.unpersist()
 
 
+def _label_sums(vec: str, ks: list[int]):
+    """Per task: size, vector sum and sum of squared norms of each cluster of each fit."""
+    def run(it):
+        total = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            x, labels = np.stack(pdf[vec].to_numpy()), np.stack(pdf["labels"].to_numpy())
+            x = np.hstack([x, (x * x).sum(axis=1)[:, None], np.ones((len(x), 1))])
+            for i, k in enumerate(ks):
+                member = (labels[:, i] == np.arange(k)[:, None]).astype(float)
+                total[k] = total.get(k, 0.0) + member @ x
+        for k, sums in total.items():
+            yield pd.DataFrame({"k": k, "cluster": np.arange(k), "sums": list(sums)})
+    return run
+
+
+def _label_measures(vec: str, ks: list[int], sums: dict[int, np.ndarray]):
+    """Per task: sums of silhouette scores, squared distances and distances to the own centroid of each cluster."""
+    def run(it):
+        total = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            x, labels = np.stack(pdf[vec].to_numpy()), np.stack(pdf["labels"].to_numpy())
+            xx, rows = (x * x).sum(axis=1), np.arange(len(x))
+            for i, k in enumerate(ks):
+                own, n = labels[:, i], sums[k][:, -1]
+                size = np.maximum(n, 1.0)
+                m, s = sums[k][:, :-2] / size[:, None], sums[k][:, -2] / size
+                far = xx[:, None] - 2 * (x @ m.T) + s
+                far[:, n == 0] = np.inf
+                a = far[rows, own] * n[own] / np.maximum(n[own] - 1, 1.0)
+                far[rows, own] = np.inf
+                b = far.min(axis=1)
+                most = np.maximum(a, b)
+                known = (n[own] > 1) & np.isfinite(b) & (most != 0)
+                score = np.where(known, (b - a) / np.where(known, most, 1.0), 0.0)
+                sq = ((x - m[own]) ** 2).sum(axis=1)
+                part = np.stack([np.bincount(own, w, k) for w in (score, sq, np.sqrt(sq))], axis=1)
+                total[k] = total.get(k, 0.0) + part
+        for k, part in total.items():
+            yield pd.DataFrame({"k": k, "cluster": np.arange(k), "score": part[:, 0], "sq": part[:, 1], "dist": part[:, 2]})
+    return run
+
+
+def quality_of_fits(fits: DataFrame, ks, vec: str = "vec") -> DataFrame:
+    """The four measures of each fit of ``sweep_assignments`` over all rows, as ``quality_by_group`` defines them.
+
+    Two passes over the rows, each once for all fits: sums per cluster, then distances to the means. Tasks emit a row
+    for each cluster of each fit; the sums of the first pass (bounded by clusters x d) go to the tasks of the second."""
+    ks = [int(k) for k in ks]
+    per_task = fits.mapInPandas(_label_sums(vec, ks), "k int, cluster int, sums array<double>")
+    sums = {k: {} for k in ks}
+    for r in per_task.groupBy("k", "cluster").agg(Summarizer.sum(array_to_vector("sums")).alias("s")).collect():
+        sums[r["k"]][r["cluster"]] = r["s"].toArray()
+    sums = {k: np.stack([of[c] for c in range(k)]) for k, of in sums.items() if of}
+    rows = [(k, c, int(v[-1]), [float(y) for y in v[:-2] / v[-1]]) for k, of in sums.items() for c, v in enumerate(of) if v[-1] > 0]
+    c = fits.sparkSession.createDataFrame(rows, "k int, cluster int, n bigint, centroid array<double>")
+    measures = fits.mapInPandas(_label_measures(vec, ks, sums), "k int, cluster int, score double, sq double, dist double")
+    measures = measures.groupBy("k", "cluster").agg(F.sum("score").alias("score"), F.sum("sq").alias("sq"), F.sum("dist").alias("dist"))
+    c = cut_lineage(c.join(F.broadcast(measures), ["k", "cluster"]))
+    whole = c.groupBy("k").agg(F.sum("n").alias("_rows"), Summarizer.mean(array_to_vector("centroid"), F.col("n").cast("double")).alias("_g"))
+    b = c.join(F.broadcast(whole.select("k", "_rows", vector_to_array("_g").alias("g"))), "k").groupBy("k").agg(
+        F.sum("score").alias("score"), F.sum("sq").alias("W"), F.max("_rows").alias("n"),
+        F.sum(F.col("n") * sq_dist(F.col("centroid"), F.col("g"))).alias("B"), F.count(F.lit(1)).alias("k_"))
+    cs = c.select("k", "cluster", "centroid", (F.col("dist") / F.col("n")).alias("s"))
+    return b.join(_separation(cs, ["k"]), "k").select(
+        "k", F.round(F.col("score") / F.col("n"), DIGITS).alias("silhouette"), _ratio().alias("calinski_harabasz"),
+        "davies_bouldin", F.round("W", DIGITS).alias("inertia"))
+
+
 def k_sweep(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
-    """The four quality measures of all fits, computed over all rows in one grouped job."""
-    out = quality_by_group(sweep_assignments(df, ks, seed, vec), ["k"], "cluster", vec)
+    """The four quality measures of all fits, computed over all rows in two passes."""
+    out = quality_of_fits(sweep_assignments(df, ks, seed, vec), ks, vec)
     return out.select(F.col("k").cast("int").alias("k"), "silhouette", "calinski_harabasz", "davies_bouldin", "inertia")
 
 
 def segment_by_vote(df: DataFrame, ks, seed: int = 42, vec: str = "vec") -> DataFrame:
     """M5c + W1: (id, cluster) of the fit whose k has the best total rank over the four measures (ties: smaller k)."""
     fits = sweep_assignments(df, ks, seed, vec)
-    votes = cut_lineage(k_rank_vote(quality_by_group(fits, ["k"], "cluster", vec)))
-    chosen = votes.agg(F.min(F.struct("rank_total", "k")).alias("_b")).select(F.col("_b.k").alias("k"))
-    return fits.join(F.broadcast(chosen), "k").select("id", "cluster")
+    votes = cut_lineage(k_rank_vote(quality_of_fits(fits, ks, vec)))
+    chosen = votes.agg(F.min(F.struct("rank_total", "k")).alias("_b")).select(F.col("_b.k").alias("_k"))
+    place = F.array_position(F.array(*[F.lit(int(k)) for k in ks]), F.col("_k")).cast("int")
+    return with_scalars(fits, chosen).select("id", F.element_at("labels", place).alias("cluster"))
 
 
 def k_rank_vote(metrics: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from marquee.operators import clustering as Cl
 from tests.conftest import SF_CHECK, SF_SMALL
 
 
@@ -23,6 +24,20 @@ def test_k_sweep_metrics(spark, entry):
     assert all(-1 <= r.silhouette <= 1 and r.inertia > 0 and r.davies_bouldin > 0 for r in rows)
 
 
+def test_quality_of_fits_is_that_of_each_labelling(spark):
+    """Two passes over (id, vec, labels) give the measures of the long form, with a singleton and an unused label too."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=3)], [i % 2, 2 if i == 0 else i % 2, i % 3]) for i in range(40)]
+    fits = spark.createDataFrame(rows, "id bigint, vec array<double>, labels array<int>").repartition(3)
+    ks = [2, 3, 4]
+    long = fits.select("id", "vec", F.posexplode("labels").alias("p", "cluster")).withColumn("k", F.col("p") + 2)
+    names = ["k", "silhouette", "calinski_harabasz", "davies_bouldin", "inertia"]
+    got, expect = ({r.k: r for r in x.select(names).collect()} for x in (Cl.quality_of_fits(fits, ks), Cl.quality_by_group(long, ["k"])))
+    assert got.keys() == expect.keys() == set(ks)
+    for k in ks:
+        np.testing.assert_allclose(list(got[k]), list(expect[k]), atol=2e-6)
+
+
 def test_rating_models_are_no_worse_than_the_mean(spark, entry):
     for name in ("rating_als", "rating_regressor"):
         r = q(entry, spark, name).first()
