@@ -38,6 +38,12 @@ def test_quality_of_fits_is_that_of_each_labelling(spark):
         np.testing.assert_allclose(list(got[k]), list(expect[k]), atol=2e-6)
 
 
+def test_segment_features_are_scaled_once(spark, entry):
+    """The encodings are read from the written matrix; the ratings are not derived again for them."""
+    files = q(entry, spark, "encode_user_segments")._jdf.queryExecution().toString()
+    assert "Scan" in files and "l_partkey" not in files
+
+
 def test_rating_models_are_no_worse_than_the_mean(spark, entry):
     for name in ("rating_als", "rating_regressor"):
         r = q(entry, spark, name).first()
