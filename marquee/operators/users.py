@@ -28,6 +28,7 @@ from marquee.operators.relational import (
     with_scalars,
 )
 from marquee.session import cut_lineage
+from marquee.sources.io import roundtrip_parquet
 
 SCORE_DIGITS = 6
 
@@ -231,9 +232,9 @@ def watched_segments(requests: DataFrame, item_clusters: DataFrame, movies: Data
     """Unwatched movies from the clusters of the watched ones, count >= 1, scored by the
     weighted rating (C = mean over all movies incl. unrated 0s, m = q0.60 of counts), top k.
 
-    The score does not depend on the request, so each cluster is ranked once; a request
-    needs only its clusters' first k + (watched in that cluster) entries, fetched by an
-    equi-join on (cluster, rank) — the candidate set stays bounded per request."""
+    The score does not depend on the request, so each cluster is ranked once. A request needs only
+    its clusters' first k entries whose ranks are not those of watched movies: k ids and scores a
+    cluster are sorted per request, and titles are joined to the k that are left."""
     pop = popularity(ratings, mean_name="mean_rating", count_name="rating_count")
     allm = movies.select("movieId", "title").join(pop, "movieId", "left").na.fill(
         {"mean_rating": 0.0, "rating_count": 0})
@@ -241,12 +242,18 @@ def watched_segments(requests: DataFrame, item_clusters: DataFrame, movies: Data
     scored = with_scalars(allm.join(item_clusters, "movieId"), stats).where(F.col("rating_count") >= 1)
     scored = scored.withColumn(
         "score", F.round(weighted_rating("rating_count", "mean_rating", "_m", "_C"), SCORE_DIGITS))
+    ranked = roundtrip_parquet(running_total(scored, [F.col("score").desc(), F.col("movieId").asc()],
+                                             None, "crank", ["cluster"]), "cluster-ranks")
     watched = requests.select("request_id", "movieId").distinct().join(item_clusters, "movieId")
-    need = watched.groupBy("request_id", "cluster").agg((F.count(F.lit(1)) + top_k).alias("_k"))
-    slots = need.select("request_id", "cluster", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k"))).alias("crank"))
-    ranked = running_total(scored, [F.col("score").desc(), F.col("movieId").asc()], None, "crank", ["cluster"])
-    cand = slots.join(ranked, ["cluster", "crank"]).join(
-        watched.select("request_id", "movieId"), ["request_id", "movieId"], "left_anti")
+    seen = watched.join(ranked.select("movieId", "cluster", "crank"), ["movieId", "cluster"], "left")
+    seen = seen.groupBy("request_id", "cluster").agg(F.collect_set(F.when(F.col("request_id").isNotNull(), F.col("crank"))).alias("_seen"))
+    free = F.slice(F.array_except(F.sequence(F.lit(1).cast("bigint"), F.size("_seen") + F.lit(top_k).cast("bigint")), "_seen"), 1, top_k)
+    slots = cut_lineage(seen.select("request_id", "cluster", free.alias("_free")))
+    last = slots.agg(F.max(F.element_at("_free", -1)).alias("_last"))  # no request looks beyond it
+    wanted = roundtrip_parquet(with_scalars(ranked, last).where(F.col("crank") <= F.col("_last")).drop("_last"), "wanted-ranks")
+    cand = slots.select("request_id", "cluster", F.explode("_free").alias("crank")).join(
+        wanted.select("cluster", "crank", "movieId", "score"), ["cluster", "crank"])
     top = top_k_per_group(cand, ["request_id"], [F.col("score").desc(), F.col("movieId").asc()], top_k)
+    top = top.join(wanted.select("cluster", "crank", "title", "mean_rating", "rating_count"), ["cluster", "crank"])
     return top.select("request_id", "movieId", "title", "mean_rating", "rating_count", "score", "rank")
 

@@ -278,6 +278,17 @@ def test_cluster_quality_matches_numpy(spark):
     assert math.isclose(Cl.silhouette_sample(df, 100).first().silhouette, np.mean(sil), abs_tol=2e-6)
 
 
+def test_watched_segments_list_is_whole_where_catalogue_rows_repeat(spark):
+    """Each row of a watched movie that stands twice in the catalogue is passed over, and the list still has k entries."""
+    req = spark.createDataFrame([(1, 1)], "request_id bigint, movieId bigint")
+    mv = spark.createDataFrame([(i, f"t{i}", "a") for i in range(1, 7) for _ in range(2)], "movieId bigint, title string, genres string")
+    ic = spark.createDataFrame([(i, 0) for i in range(1, 7) for _ in range(2)], "movieId bigint, cluster int")
+    r = spark.createDataFrame([(u, i, 6.0 - i) for i in range(1, 7) for u in range(5)], "userId bigint, movieId bigint, rating double")
+    out = sorted(U.watched_segments(req, ic, mv, r, top_k=6).collect(), key=lambda x: x["rank"])
+    assert [x.movieId for x in out] == [2, 2, 2, 2, 3, 3]
+    assert [x.title for x in out] == ["t2"] * 4 + ["t3"] * 2
+
+
 def test_watched_segments_excludes_watched_and_ranks(spark):
     mv = _movies(spark, [(i, f"t{i}", "a") for i in range(1, 9)])
     ic = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "movieId bigint, cluster int")
