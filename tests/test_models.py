@@ -39,9 +39,9 @@ def test_quality_of_fits_is_that_of_each_labelling(spark):
 
 
 def test_segment_features_are_scaled_once(spark, entry):
-    """The encodings are read from the written matrix; the ratings are not derived again for them."""
-    files = q(entry, spark, "encode_user_segments")._jdf.queryExecution().toString()
-    assert "Scan" in files and "l_partkey" not in files
+    """The encodings are read from the written matrix; it is not grouped again for them."""
+    plan = q(entry, spark, "encode_user_segments")._jdf.queryExecution().toString()
+    assert "Scan" in plan and "Aggregate" not in plan
 
 
 def test_rating_models_are_no_worse_than_the_mean(spark, entry):
