@@ -98,3 +98,39 @@ def test_null_ratings_are_refused(spark):
     rows = spark.createDataFrame([(1, 1, 2.0), (1, 2, None)], "userId long, movieId long, rating double")
     with pytest.raises(Exception, match="null or NaN"):
         M.als_fit(rows, 2, 0.1, 1)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_factors_are_neither_broadcast_nor_shuffled(spark):
+    """Spark takes rows made by Python for a few bytes, so joins with factors, or lists, were broadcast whatever their size."""
+    model = M.als_fit(_ratings(spark), 3, 0.1, 1)
+    for which in ("user", "item"):
+        assert "Join" not in _plan(M.factors(model, which))
+    assert "MapInArrow" not in _plan(model.predict(_ratings(spark))) and "BroadcastExchange" not in _plan(model.recommend_all(5))
+    few = spark.createDataFrame([(3.5, 1), (3.5, None), (7.0, 10**6)], "id double, code int")  # a dictionary's codes need not be in the fit
+    assert [(r["id"], len(r["features"])) for r in model.user_factors.vectors(few).collect()] == [(3.5, 3)]
+
+
+def test_fold_in_looks_factors_up(spark, monkeypatch):
+    """No side is broadcast; only heavy users send sums; unknown items, nulls and repeated factors count as in a join."""
+    from marquee.operators import relational
+
+    monkeypatch.setattr(als, "BATCH_ROWS", 7)
+    rng = np.random.default_rng(4)
+    factors = [(i, rng.normal(size=3).tolist()) for i in range(20)]
+    factors += [(5, [1.0, 2.0, 3.0]), (None, [9.0, 9.0, 9.0])]
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(6) for i in range(0, 20, 1 + u)] + [(0, 3, 2.0), (0, 99, 5.0), (8, 99, 5.0), (None, 1, 1.0), (1, None, 1.0)]
+    f, r = spark.createDataFrame(factors, "id long, vec array<double>"), spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    for heavy in (100, 8):
+        monkeypatch.setattr(relational, "HEAVY", heavy)
+        out = M.fold_in_users(r, f, 0.1)
+        assert heavy < 100 or "Join" not in _plan(out)
+        found = {x["id"]: x["vec"] for x in out.collect()}
+        assert found.keys() == set(range(6))
+        for u, vec in found.items():
+            mine = [(v, x) for w, i, x in rows if w == u and i is not None for k, v in factors if k == i]
+            v, y = np.array([m[0] for m in mine]), np.array([m[1] for m in mine])
+            assert np.allclose(vec, np.linalg.solve(v.T @ v + 0.1 * len(mine) * np.eye(3), v.T @ y))
