@@ -376,3 +376,23 @@ def test_knn_and_peers_on_the_grid(spark, block, monkeypatch):
     for mode in ("banded", "nearest"):
         quick = {tuple(r) for r in U.chosen_peers(users, df, 3, mode).collect()}
         assert quick == {tuple(r) for r in U.select_peers(U.peer_candidates(users, df), 3, mode).collect()}
+
+
+def test_knn_lsh_sends_ids_to_the_cells_not_vectors(spark, monkeypatch):
+    """An id may have two vectors; a row is copied to every block of its buckets, so it must be narrow."""
+    import numpy as np
+
+    from marquee.operators import neighbours as N
+
+    rng = np.random.default_rng(2)
+    rows = [(i // 2, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 5)))]
+    sent, plain = [], N.cells
+    monkeypatch.setattr(N, "cells", lambda s, c, *a: sent.extend([s.columns, c.columns]) or plain(s, c, *a))
+    monkeypatch.setattr(N, "LSH_ROWS", 8)
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    found = sorted((r["query_id"], r["candidate_id"], r["similarity"]) for r in N.knn_lsh(df, df, 0.5, bucket_length=50.0).collect())
+    assert sent and not any({"vec", "h"} & set(c) for c in sent)
+    unit = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows]
+    want = sorted((i, j, round(float(v @ w), 6)) for i, v in unit for j, w in unit if i != j and v @ w > 0.5)
+    assert len(found) >= 0.8 * len(want) > 0 and {(i, j) for i, j, _ in found} <= {(i, j) for i, j, _ in want}
+    assert all(min(abs(s - x) for a, b, x in want if (a, b) == (i, j)) < 1e-5 for i, j, s in found)
