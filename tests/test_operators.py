@@ -396,3 +396,21 @@ def test_knn_lsh_sends_ids_to_the_cells_not_vectors(spark, monkeypatch):
     want = sorted((i, j, round(float(v @ w), 6)) for i, v in unit for j, w in unit if i != j and v @ w > 0.5)
     assert len(found) >= 0.8 * len(want) > 0 and {(i, j) for i, j, _ in found} <= {(i, j) for i, j, _ in want}
     assert all(min(abs(s - x) for a, b, x in want if (a, b) == (i, j)) < 1e-5 for i, j, s in found)
+
+
+def test_neighbour_lists_do_not_broadcast_movies(spark, tmp_path):
+    """Names compress well in files: the table's size there says little of its size in memory."""
+    from marquee.operators import neighbours as N
+
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    movies = stored("m", [(i, f"title {i}", "a|b") for i in range(9)], "movieId long, title string, genres string")
+    vectors = stored("v", [(i, [1.0, float(i)], i % 2) for i in range(8)], "id long, vec array<double>, cluster int")
+    requests = stored("r", [(1, 2), (1, 3), (2, 4)], "request_id long, movieId long")
+    out = N.content_neighbours(requests, vectors, movies, top_n=3)
+    top = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x][0]
+    for df, joins in ((N.seed_rows(requests, vectors, movies), 1), (N.cluster_candidates(vectors, movies), 1)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == joins
+    assert "SortMergeJoin" in top and {r["request_id"] for r in out.collect()} == {1, 2}
