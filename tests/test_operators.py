@@ -414,3 +414,17 @@ def test_neighbour_lists_do_not_broadcast_movies(spark, tmp_path):
     for df, joins in ((N.seed_rows(requests, vectors, movies), 1), (N.cluster_candidates(vectors, movies), 1)):
         assert df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == joins
     assert "SortMergeJoin" in top and {r["request_id"] for r in out.collect()} == {1, 2}
+
+
+def test_genre_donors_do_not_broadcast_requests(spark, tmp_path):
+    from marquee.functions.columns import genre_tokens
+    from marquee.operators import models as M
+
+    spark.createDataFrame([(i, "a|b" if i % 2 else "c") for i in range(9)], "movieId long, genres string").write.parquet(f"{tmp_path}/m")
+    movies = spark.read.parquet(f"{tmp_path}/m")
+    requests = movies.where("movieId > 4").select(F.col("movieId").alias("request_id"), genre_tokens("genres").alias("genres"))
+    with_vector = movies.where("movieId < 2").select(F.col("movieId").alias("id"))
+    out = M.closest_by_genres(requests, movies, with_vector).where("donor_id IS NOT NULL")  # turns the outer join into an inner one
+    joins = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x]
+    assert "SortMergeJoin" in joins[0]
+    assert {(r["request_id"], r["donor_id"], r["overlap"]) for r in out.collect()} == {(i, i % 2, 1 + i % 2) for i in range(5, 9)}
